@@ -1,0 +1,19 @@
+"""Broadcasts behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 200_000
+
+
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Counts at most ``max_rows + 1`` rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for a side of narrow rows that was counted and found small; otherwise a plain
+    side, which joins by shuffle with adaptive skew splitting."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
