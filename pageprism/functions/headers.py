@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pageprism.functions.binding import let
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -16,22 +18,22 @@ def parse_headers(text) -> Column:
     Lines are split once at ``": "``; repeated names keep every value in order; the HTTP status
     line is kept under ``status``.
     """
-    lines = F.filter(F.split(F.trim(_col(text)), r"\r\n|\n|\r"),
-                     lambda s: s.contains(": ") | s.contains("HTTP/"))
-
-    def entry(s: Column) -> Column:
-        field = s.contains(": ")
+    def entry(line: Column) -> Column:
+        is_field = line.contains(": ")
         return F.struct(
-            F.when(field, F.lower(F.substring_index(s, ": ", 1))).otherwise(F.lit("status")).alias("name"),
-            F.when(field, F.regexp_replace(s, r"(?s)^.*?: ", "")).otherwise(s).alias("value"),
+            F.when(is_field, F.lower(F.substring_index(line, ": ", 1))).otherwise(F.lit("status")).alias("name"),
+            F.when(is_field, F.regexp_replace(line, r"(?s)^.*?: ", "")).otherwise(line).alias("value"),
         )
 
-    entries = F.transform(lines, entry)
-    names = F.array_distinct(F.transform(entries, lambda e: e["name"]))
-    values = F.transform(
-        names, lambda n: F.transform(F.filter(entries, lambda e: e["name"] == n), lambda e: e["value"])
-    )
-    return F.map_from_arrays(names, values)
+    def grouped(entries: Column) -> Column:
+        def values(name: Column) -> Column:
+            return F.transform(F.filter(entries, lambda e: e["name"] == name), lambda e: e["value"])
+
+        names = F.array_distinct(F.transform(entries, lambda e: e["name"]))
+        return let(names, lambda n: F.map_from_arrays(n, F.transform(n, values)))
+
+    lines = F.filter(F.split(F.trim(_col(text)), r"\r\n|\n|\r"), lambda s: s.contains(": ") | s.contains("HTTP/"))
+    return let(F.transform(lines, entry), grouped)
 
 
 def header_text(headers) -> Column:

@@ -11,6 +11,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pageprism.functions.binding import let
 from pageprism.functions.text import clean_text, primary_language, unescape_common
 
 # Possessive repeats keep the matcher iterative on tags and pages of any length.
@@ -43,9 +44,10 @@ def attribute(token: Column, name: str) -> Column:
     other = (rf"""[\s/]+(?!{name}[\s=/>])[^\s=/>]++"""
              r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?+""")
     head = rf"(?is)^<[a-z][^\s/>]*+(?:{other})*+[\s/]+{name}(?=[\s=/>])"
-    raw = F.regexp_extract(token, rf"""{head}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)""", 1)
-    bare = F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2")
-    return F.when(raw != "", unescape_common(bare)).when(token.rlike(head), F.lit(""))
+    quoted = F.regexp_extract(token, rf"""{head}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)""", 1)
+    return let(quoted, lambda raw: F.when(
+        raw != "", unescape_common(F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2"))
+    ).when(token.rlike(head), F.lit("")))
 
 
 def tag_attributes(toks, tag: str, name: str) -> Column:
@@ -72,20 +74,18 @@ def _meta_entries(toks, key: str) -> Column:
 
 def meta_map(toks) -> Column:
     """Named meta tags as ``map<string,string>``: names lower-cased, the last one wins."""
-    pairs = F.transform(_meta_entries(toks, "name"), lambda p: F.struct(
+    lowered = F.transform(_meta_entries(toks, "name"), lambda p: F.struct(
         F.lower(p["name"]).alias("name"), p["content"].alias("content")))
-    last = F.filter(pairs, lambda p, i: ~F.exists(
-        F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["name"] == p["name"]))
-    return F.map_from_entries(last)
+    return let(lowered, lambda pairs: F.map_from_entries(F.filter(pairs, lambda p, i: ~F.exists(
+        F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["name"] == p["name"]))))
 
 
 def property_map(toks) -> Column:
     """Namespaced property meta tags (``og:title``) as a map; the first non-empty value wins."""
-    pairs = F.filter(_meta_entries(toks, "property"),
-                     lambda p: p["name"].contains(":") & (F.trim(p["content"]) != ""))
-    first = F.filter(pairs, lambda p, i: ~F.exists(
-        F.slice(pairs, F.lit(1), i), lambda q: q["name"] == p["name"]))
-    return F.map_from_entries(first)
+    filled = F.filter(_meta_entries(toks, "property"),
+                      lambda p: p["name"].contains(":") & (F.trim(p["content"]) != ""))
+    return let(filled, lambda pairs: F.map_from_entries(F.filter(pairs, lambda p, i: ~F.exists(
+        F.slice(pairs, F.lit(1), i), lambda q: q["name"] == p["name"]))))
 
 
 def linked_data(toks) -> Column:
@@ -101,24 +101,26 @@ def page_language(toks) -> Column:
 
 
 def _head(toks) -> Column:
-    body = F.array_position(F.transform(_col(toks), lambda t: is_tag(t, "body")), True)
-    return F.when(body > 0, F.slice(_col(toks), F.lit(1), body.cast("int") - 1)).otherwise(_col(toks))
+    body = F.array_position(F.transform(_col(toks), lambda t: is_tag(t, "body")), True).cast("int")
+    return let(body, lambda b: F.when(b > 0, F.slice(_col(toks), F.lit(1), b - 1)).otherwise(_col(toks)))
 
 
 def page_head(toks) -> Column:
     """``struct<language, page_title, page_description, page_keywords>`` of a page."""
-    head = _head(toks)
-    titles = F.filter(head, lambda t: is_tag(t, "title"))
-    title = F.regexp_replace(
-        F.regexp_replace(F.try_element_at(titles, F.lit(1)), rf"(?is)^<title{_ATTRS}>", ""), r"(?i)</title\s*>$", "")
-
-    def named(name: str) -> Column:
-        hits = F.filter(_meta_entries(head, "name"), lambda p: p["name"] == name)
-        return clean_text(F.try_element_at(hits, F.lit(1))["content"])
-
-    return F.struct(
-        page_language(toks).alias("language"),
-        clean_text(F.nullif(title, F.lit(""))).alias("page_title"),
-        named("description").alias("page_description"),
-        named("keywords").alias("page_keywords"),
-    )
+    def read(head: Column) -> Column:
+        title = F.try_element_at(F.filter(head, lambda t: is_tag(t, "title")), F.lit(1))
+        text = F.regexp_replace(
+            F.regexp_replace(title, rf"(?is)^<title{_ATTRS}>", ""), r"(?i)</title\s*>$", "")
+
+        def named(pairs: Column, name: str) -> Column:
+            hits = F.filter(pairs, lambda p: p["name"] == name)
+            return clean_text(F.try_element_at(hits, F.lit(1))["content"])
+
+        return let(_meta_entries(head, "name"), lambda pairs: F.struct(
+            page_language(toks).alias("language"),
+            clean_text(F.nullif(text, F.lit(""))).alias("page_title"),
+            named(pairs, "description").alias("page_description"),
+            named(pairs, "keywords").alias("page_keywords"),
+        ))
+
+    return let(_head(toks), read)

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pageprism import fixed
+from pageprism.functions.binding import let
 from pageprism.functions.text import clean_text
 
 
@@ -19,14 +20,16 @@ def clean_price(text) -> Column:
     ``,dd`` at the end is a decimal comma; a separator in front of exactly three digits is a
     thousands separator. Texts with letters right before a dot, or a leading dot, are refused.
     """
-    packed = F.regexp_replace(_col(text), r"[ \u00A0']", "")
-    refused = packed.rlike(r"\D+\.|^\.")
-    number = F.regexp_extract(
-        packed, r"[+-]?\d++(?:[,.]\d++)++(?:[eE][+-]?\d+)?|\d++(?:[eE][+-]?\d+)?", 0
-    )
-    dotted = F.when(number.rlike(r",\d{2}$"), F.replace(number, F.lit(","), F.lit("."))).otherwise(number)
-    plain = F.regexp_replace(dotted, r"[,.](?=\d{3}(?:\D|$))", "")
-    return F.when(~refused & (number != ""), plain.try_cast("double"))
+    def separated(number: Column) -> Column:
+        dotted = F.when(number.rlike(r",\d{2}$"), F.replace(number, F.lit(","), F.lit("."))).otherwise(number)
+        return F.regexp_replace(dotted, r"[,.](?=\d{3}(?:\D|$))", "").try_cast("double")
+
+    def number(packed: Column) -> Column:
+        found = F.regexp_extract(
+            packed, r"[+-]?\d++(?:[,.]\d++)++(?:[eE][+-]?\d+)?|\d++(?:[eE][+-]?\d+)?", 0)
+        return F.when(~packed.rlike(r"\D+\.|^\."), let(found, separated))
+
+    return let(F.regexp_replace(_col(text), r"[ \u00A0']", ""), number)
 
 
 def plain_number(value) -> Column:
@@ -45,13 +48,17 @@ def _matched(lowered: Column, pattern: str, group: int) -> Column:
 def html_price(lowered) -> Column:
     """First usable price in a lower-cased page, trying the patterns in order."""
     lowered = _col(lowered)
-    found = [F.nullif(clean_price(_matched(lowered, p, g)), F.lit(0.0)) for p, g in fixed.PRICE_PATTERNS]
+    found = [
+        let(_matched(lowered, p, g), lambda m: F.when(m.isNotNull(), F.nullif(clean_price(m), F.lit(0.0))))
+        for p, g in fixed.PRICE_PATTERNS
+    ]
     return F.when(lowered.contains("price") | lowered.contains("formattedvalue"), F.coalesce(*found))
 
 
 def html_currency(lowered) -> Column:
     """First currency in a lower-cased page, trying the patterns in order."""
     lowered = _col(lowered)
-    found = [F.nullif(clean_text(_matched(lowered, p, g)), F.lit("")) for p, g in fixed.CURRENCY_PATTERNS]
+    found = [_matched(lowered, p, g) for p, g in fixed.CURRENCY_PATTERNS]
     mentioned = lowered.contains("price") | lowered.contains("currency") | lowered.contains("formattedvalue")
-    return F.when(mentioned, F.coalesce(*found))
+    # Only the last pattern can match text that needs cleaning, so cleaning the first match is enough.
+    return F.nullif(clean_text(F.when(mentioned, F.coalesce(*found))), F.lit(""))

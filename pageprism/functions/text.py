@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import functools
+import html
 import html.entities
-import json
+
+import pandas as pd
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pageprism import fixed
+from pageprism.functions.binding import let
 
 
 def _col(c) -> Column:
@@ -17,13 +20,20 @@ def _col(c) -> Column:
 
 
 @functools.lru_cache(maxsize=1)
-def _entity_json() -> str:
-    """Entity name -> text, from the standard library's HTML5 table, plus the numeric references
-    that HTML reads as windows-1252."""
-    table = {name.rstrip(";"): text for name, text in html.entities.html5.items() if name.endswith(";")}
+def _entity_table() -> str:
+    """Named entities and the numbers that HTML reads as windows-1252, as ``<name>=<text>`` lines."""
+    table = {name: chr(code) for name, code in html.entities.name2codepoint.items()} | {"apos": "'"}
     for code in range(0x80, 0xA0):
         table[f"#{code}"] = bytes([code]).decode("cp1252", errors="ignore") or chr(code)
-    return json.dumps(table, ensure_ascii=True)
+    return "\n" + "".join(f"{name}={text}\n" for name, text in table.items())
+
+
+def _entity(name: Column) -> Column:
+    """Text of an entity name; null when unknown. Looked up in one literal, which keeps plans small."""
+    table = F.lit(_entity_table())
+    key = F.concat(F.lit("\n"), name, F.lit("="))
+    behind = F.call_function("substring_index", table, key, F.lit(-1))
+    return F.when(table.contains(key), F.substring_index(behind, "\n", 1))
 
 
 @functools.lru_cache(maxsize=1)
@@ -40,31 +50,59 @@ def _code_point(code: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
 
 
+def _numeric(name: Column) -> Column:
+    decimal = F.regexp_extract(name, r"^#([0-9]+)$", 1).try_cast("bigint")
+    hexa = F.nullif(F.regexp_extract(name, r"^#[xX]([0-9a-fA-F]+)$", 1), F.lit(""))
+    return let(F.coalesce(decimal, F.conv(hexa, 16, 10).try_cast("bigint")), lambda code: F.when(
+        code.isNotNull(),
+        F.coalesce(_entity(F.concat(F.lit("#"), code.cast("string"))), _code_point(code))))
+
+
+_REFERENCE = r"^&(#[0-9]{1,9}|#[xX][0-9a-fA-F]{1,8}|[a-zA-Z][a-zA-Z0-9]{0,31}(?=;));?"
+
+
+def _decoded(piece: Column) -> Column:
+    """A piece of text that starts with a character reference."""
+    def named(name: Column) -> Column:
+        value = F.when(name.startswith("#"), _numeric(name)).otherwise(_entity(name))
+        return F.concat(value, F.regexp_replace(piece, _REFERENCE, ""))
+
+    def bare(name: Column) -> Column:
+        return F.when(name != "", F.concat(_entity(name), F.substr(piece, F.length(name) + 2)))
+
+    return F.coalesce(
+        let(F.regexp_extract(piece, _REFERENCE, 1), lambda n: F.when(n != "", named(n))),
+        let(F.regexp_extract(piece, rf"^&({_bare_names()})", 1), bare),
+        piece)
+
+
 def unescape_html(text) -> Column:
-    """Replaces named, decimal and hexadecimal character references, in one pass."""
-    text = _col(text)
-    names = F.from_json(F.lit(_entity_json()), "map<string,string>")
-    ref = r"^&(#[0-9]{1,9};?|#[xX][0-9a-fA-F]{1,8};?|[a-zA-Z][a-zA-Z0-9]{0,31};)"
-    bare = rf"^&({_bare_names()})"
-
-    def piece(p: Column) -> Column:
-        name = F.regexp_extract(p, ref, 1)
-        key = F.rtrim(name, F.lit(";"))
-        rest = F.substr(p, F.length(name) + 2)
-        decimal = F.regexp_extract(key, r"^#([0-9]+)$", 1).try_cast("bigint")
-        hexa = F.regexp_extract(key, r"^#[xX]([0-9a-fA-F]+)$", 1)
-        code = F.coalesce(decimal, F.conv(F.when(hexa != "", hexa), 16, 10).try_cast("bigint"))
-        number = F.coalesce(F.try_element_at(names, F.concat(F.lit("#"), code.cast("string"))), _code_point(code))
-        value = F.when(code.isNotNull(), number).otherwise(F.try_element_at(names, key))
-        short = F.regexp_extract(p, bare, 1)
-        short_value = F.concat(F.try_element_at(names, short), F.substr(p, F.length(short) + 2))
-        return F.when(
-            p.startswith("&"),
-            F.coalesce(F.when(name != "", F.concat(value, rest)), F.when(short != "", short_value), p),
-        ).otherwise(p)
-
-    decoded = F.array_join(F.transform(F.split(text, "(?=&)"), piece), "")
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    """Replaces decimal, hexadecimal and HTML 4 named character references, in one pass."""
+    def decode(t: Column) -> Column:
+        pieces = F.transform(F.split(t, "(?=&)"), lambda p: F.when(p.startswith("&"), _decoded(p)).otherwise(p))
+        # The frequent references are replaced as they are; the ampersand goes last.
+        common = t
+        for name, value in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", "\u00a0"), ("&#39;", "'"),
+                            ("&amp;", "&")):
+            common = F.replace(common, F.lit(name), F.lit(value))
+        rare = t.rlike(r"&(?!(?:lt|gt|quot|nbsp|#39|amp);)[#a-zA-Z]")
+        return F.when(~t.contains("&"), t).when(rare, F.array_join(pieces, "")).otherwise(common)
+
+    return let(_col(text), decode)
+
+
+@F.pandas_udf("string")
+def _unescape_all(texts: pd.Series) -> pd.Series:
+    return texts.map(html.unescape, na_action="ignore")
+
+
+def unescape_html_full(text) -> Column:
+    """As ``unescape_html`` with the whole HTML 5 table: texts with names beyond HTML 4 go to the standard
+    library in Arrow batches, all others stay in the JVM."""
+    plain = unescape_html(text)
+    names = "|".join(sorted(html.entities.name2codepoint))
+    strange = _col(text).rlike(rf"&(?!(?:{names})\b)[a-zA-Z]")
+    return F.coalesce(_unescape_all(F.when(strange, _col(text))), plain)
 
 
 def unescape_common(text) -> Column:
@@ -88,15 +126,14 @@ def clean_text(text) -> Column:
 
 
 def drop_placeholder(text) -> Column:
-    """Null for texts that stand for a missing value."""
-    text = F.regexp_replace(_col(text), r"(?U)^\s+|\s+$", "")
-    return F.when(~F.lower(text).isin(fixed.PLACEHOLDERS), text)
+    """Trimmed text; null for texts that stand for a missing value."""
+    return let(F.regexp_replace(_col(text), r"(?U)^\s+|\s+$", ""),
+               lambda t: F.when(~F.lower(t).isin(fixed.PLACEHOLDERS), t))
 
 
 def product_text(title, description) -> Column:
     """``title. description`` from the parts that carry a value; null when neither does."""
-    joined = F.concat_ws(". ", drop_placeholder(title), drop_placeholder(description))
-    return F.when(joined != "", joined)
+    return F.nullif(F.concat_ws(". ", drop_placeholder(title), drop_placeholder(description)), F.lit(""))
 
 
 def primary_language(tag) -> Column:

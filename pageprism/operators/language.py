@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageprism import fixed
+from pageprism.functions.binding import let
 from pageprism.operators.broadcasting import broadcast_if_small
 
 _WORD = r"[\p{L}]+"
@@ -18,23 +19,26 @@ def words(text) -> Column:
 
 def word_scores(text) -> Column:
     """``array<struct<score, rank, lang>>``: function words of each language in the text."""
-    found = words(text)
+    known = {lang: listed.split() for lang, listed in fixed.STOP_WORDS.items()}
+    every = F.array(*[F.lit(w) for w in sorted({w for listed in known.values() for w in listed})])
 
-    def score(rank: int, lang: str) -> Column:
-        known = F.array(*[F.lit(w) for w in fixed.STOP_WORDS[lang].split()])
-        return F.struct(
-            F.size(F.filter(found, lambda w: F.array_contains(known, w))).alias("score"),
-            F.lit(-rank).alias("rank"), F.lit(lang).alias("lang"))
+    def scores(found: Column) -> Column:
+        def score(rank: int, lang: str) -> Column:
+            own = F.array(*[F.lit(w) for w in known[lang]])
+            return F.struct(F.size(F.filter(found, lambda w: F.array_contains(own, w))).alias("score"),
+                            F.lit(-rank).alias("rank"), F.lit(lang).alias("lang"))
 
-    return F.array(*[score(i, lang) for i, lang in enumerate(sorted(fixed.STOP_WORDS))])
+        return F.array(*[score(i, lang) for i, lang in enumerate(sorted(known))])
+
+    return let(F.filter(words(text), lambda w: F.array_contains(every, w)), scores)
 
 
 def detect_language(text) -> Column:
     """Language with the most function words, the first by code among equals; null for no text and
     ``en`` when no function word occurs at all. Stays inside the row."""
     text = F.col(text) if isinstance(text, str) else text
-    best = F.array_max(word_scores(text))
-    return F.when(text.isNotNull(), F.when(best["score"] > 0, best["lang"]).otherwise(F.lit("en")))
+    return F.when(text.isNotNull(), let(F.array_max(word_scores(text)), lambda best: F.when(
+        best["score"] > 0, best["lang"]).otherwise(F.lit("en"))))
 
 
 def _ngrams(df: DataFrame, text: str, keep: list[str], n: int) -> DataFrame:

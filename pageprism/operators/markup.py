@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageprism import fixed
+from pageprism.functions.binding import let
 from pageprism.functions.markup_text import linked_data, property_map
 from pageprism.functions.price import clean_price, plain_number
 from pageprism.functions.text import clean_text
@@ -38,18 +39,19 @@ def _is_object(v: Column) -> Column:
 
 def _text(v: Column, *keys) -> Column:
     """A value, only when it is a string."""
-    part = _get(v, *keys)
-    return F.when(F.schema_of_variant(part) == "STRING", F.try_variant_get(part, "$", "string"))
+    return let(_get(v, *keys), lambda part: F.when(
+        F.schema_of_variant(part) == "STRING", F.try_variant_get(part, "$", "string")))
 
 
 def _shown(v: Column, *keys) -> Column:
     """A scalar as text; numbers in plain shortest form."""
-    part = _get(v, *keys)
-    kind = F.schema_of_variant(part)
-    number = kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT", "BIGINT")
-    return F.when(kind == "STRING", F.try_variant_get(part, "$", "string")).when(
-        number, F.when(kind == "BIGINT", F.try_variant_get(part, "$", "string"))
-        .otherwise(plain_number(F.try_variant_get(part, "$", "double"))))
+    def read(part: Column) -> Column:
+        return let(F.schema_of_variant(part), lambda kind: F.when(
+            kind.isin("STRING", "BIGINT"), F.try_variant_get(part, "$", "string")
+        ).when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"),
+               plain_number(F.try_variant_get(part, "$", "double"))))
+
+    return let(_get(v, *keys), read)
 
 
 def _first(values: Column) -> Column:
@@ -93,36 +95,33 @@ def brand(v: Column) -> Column:
 
 def _offer(v: Column) -> Column:
     """The offers object, or the first offer of the list (or of the list inside it)."""
-    offers = _get(v, "offers")
-    return F.when(_is_object(offers), offers).when(_is_object(_get(v, "offers", 0)), _get(v, "offers", 0)).when(
-        _is_object(_get(v, "offers", 0, 0)), _get(v, "offers", 0, 0))
+    def pick(offers: Column) -> Column:
+        options = F.array(offers, _get(offers, 0), _get(offers, 0, 0))
+        return F.try_element_at(F.filter(options, _is_object), F.lit(1))
+
+    return let(_get(v, "offers"), pick)
 
 
 def currency(v: Column) -> Column:
     """Currency of the offer when there is one, else of the item itself."""
-    offer = _offer(v)
     own = F.coalesce(*[_shown(v, k) for k in fixed.CURRENCY_KEYS])
-    return F.when(offer.isNotNull(), _shown(offer, "priceCurrency")).otherwise(own)
+    return let(_offer(v), lambda offer: F.when(offer.isNotNull(), _shown(offer, "priceCurrency")).otherwise(own))
 
 
-def _offer_value(v: Column, name: str) -> Column:
-    """(offer has a currency, text of one of its values)."""
-    offer = _offer(v)
-    return F.struct(_shown(offer, "priceCurrency").isNotNull().alias("trusted"), _shown(offer, name).alias("shown"))
+def _trusted(v: Column, name: str, own: Column) -> Column:
+    """Value of an offer that names its currency; else of the item; else of an offer without currency."""
+    return clean_price(let(_offer(v), lambda offer: F.when(
+        _shown(offer, "priceCurrency").isNotNull(), _shown(offer, name)
+    ).otherwise(F.coalesce(own, _shown(offer, name)))))
 
 
 def price(v: Column) -> Column:
-    """Price of an offer that names its currency; else of the item; else of an offer without currency."""
-    found = _offer_value(v, "price")
-    own = F.coalesce(*[_shown(v, k) for k in fixed.PRICE_KEYS])
-    return clean_price(F.when(found["trusted"], found["shown"]).otherwise(F.coalesce(own, found["shown"])))
+    return _trusted(v, "price", F.coalesce(*[_shown(v, k) for k in fixed.PRICE_KEYS]))
 
 
 def bound_price(v: Column, name: str) -> Column:
     """``lowPrice`` or ``highPrice``, by the same rule as the price."""
-    found = _offer_value(v, name)
-    return clean_price(F.when(found["trusted"], found["shown"]).otherwise(
-        F.coalesce(_shown(v, name), found["shown"])))
+    return _trusted(v, name, _shown(v, name))
 
 
 def _parsed(texts: Column) -> Column:
@@ -173,7 +172,7 @@ def markup_columns(pages: DataFrame, toks: str = "tokens", html: str = "html") -
 def markup_items(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """One row per item: ``key, syntax, seq, item`` (variant)."""
     parts = [
-        F.transform(s, lambda v, i, s=s: F.struct(F.lit(s).alias("syntax"), i.alias("seq"), v.alias("item")))
+        F.transform(s, lambda v, i: F.struct(F.lit(s).alias("syntax"), i.alias("seq"), v.alias("item")))
         for s in SYNTAXES
     ]
     return pages.select(key, F.explode(F.concat(*parts)).alias("_i")).select(
@@ -183,27 +182,32 @@ def markup_items(pages: DataFrame, key: str = "page_id") -> DataFrame:
 def _candidates(items: Column) -> Column:
     """Items that may describe the product, best first. A product group stands for its variants;
     the blocks of graphs come before the items when there are several items, else behind them."""
-    head = F.try_element_at(items, F.lit(1))
-    variants = F.coalesce(
-        _items(head, "hasVariant"),
-        F.when(_is_object(_get(head, "hasVariant")), F.array(_get(head, "hasVariant"))))
-    grouped = F.when((_text(head, "@type") == "ProductGroup") & variants.isNotNull(), variants).otherwise(items)
     none = F.array().cast("array<variant>")
-    blocks = F.flatten(F.transform(grouped, lambda v: F.coalesce(_items(v, "@graph"), none)))
-    return F.when(F.size(grouped) > 1, F.concat(blocks, grouped)).otherwise(F.concat(grouped, blocks))
+
+    def variants(head: Column) -> Column:
+        return F.when(_text(head, "@type") == "ProductGroup", let(_get(head, "hasVariant"), lambda v: F.coalesce(
+            _items(v), F.when(_is_object(v), F.array(v)))))
+
+    def ordered(grouped: Column) -> Column:
+        blocks = F.flatten(F.transform(grouped, lambda v: F.coalesce(_items(v, "@graph"), none)))
+        return F.when(F.size(grouped) > 1, F.concat(blocks, grouped)).otherwise(F.concat(grouped, blocks))
+
+    grouped = F.coalesce(let(F.try_element_at(items, F.lit(1)), variants), items)
+    return let(grouped, ordered)
 
 
 def _described(items: Column) -> Column:
     """Candidates with a product type, as structs of their type and their fields."""
-    fit = F.filter(_candidates(items), lambda v: F.exists(
-        F.array(*[_has_type(v, t) for t in fixed.PRODUCT_TYPES]), lambda x: x))
-    return F.transform(fit, lambda v: F.struct(
-        F.array(*[_has_type(v, t) for t in fixed.PRODUCT_TYPES]).alias("types"),
-        title(v).alias("product_title"),
-        description(v).alias("product_description"),
-        brand(v).alias("brand"),
-        price(v).alias("price"),
-        currency(v).alias("currency"),
+    typed = F.transform(_candidates(items), lambda v: F.struct(
+        F.array(*[_has_type(v, t) for t in fixed.PRODUCT_TYPES]).alias("types"), v.alias("item")))
+    fit = F.filter(typed, lambda c: F.array_contains(c["types"], True))
+    return F.transform(fit, lambda c: F.struct(
+        c["types"].alias("types"),
+        title(c["item"]).alias("product_title"),
+        description(c["item"]).alias("product_description"),
+        brand(c["item"]).alias("brand"),
+        price(c["item"]).alias("price"),
+        currency(c["item"]).alias("currency"),
     ))
 
 
@@ -224,7 +228,7 @@ def merge_markup(pages: DataFrame) -> DataFrame:
     """
     work = pages.withColumns({f"_d_{s}": F.when(F.size(s) > 0, _described(F.col(s))) for s in SYNTAXES})
     picks = F.array(*[
-        _first(F.transform(F.col(f"_d_{s}"), lambda d, k=k: F.when(d["types"][k], d)))
+        F.try_element_at(F.filter(F.col(f"_d_{s}"), lambda d: d["types"][k]), F.lit(1))
         for s in SYNTAXES for k in range(len(fixed.PRODUCT_TYPES))
     ])
     work = work.withColumn("_picks", F.when(

@@ -102,7 +102,7 @@ def header_hits(rules: RuleSet, headers: str = "headers", ignore_case: bool = Tr
     for rule, groups in rules.rows:
         if rule.field == "headers":
             pattern = _flagged(rule.pattern, ignore_case)
-            values = F.filter(F.try_element_at(headers, F.lit(rule.key)), lambda v, p=pattern: v.rlike(p))
+            values = F.filter(F.try_element_at(headers, F.lit(rule.key)), lambda v: v.rlike(pattern))
             hits.append(_hit(rule, _first(values), pattern, groups, F.size(values) > 0))
     return _chunks(hits)
 
@@ -116,7 +116,7 @@ def meta_hits(rules: RuleSet, toks: str = "tokens", ignore_case: bool = True) ->
             text = F.try_element_at(metas, F.lit(rule.key))
             hits.append(_hit(rule, text, pattern, groups, text.rlike(pattern)))
         elif rule.field == "scriptSrc":
-            values = F.filter(sources, lambda v, p=pattern: v.rlike(p))
+            values = F.filter(sources, lambda v: v.rlike(pattern))
             hits.append(_hit(rule, _first(values), pattern, groups, F.size(values) > 0))
     return _chunks(hits)
 
@@ -142,21 +142,21 @@ def element_hits(rules: RuleSet, toks: str = "tokens", html: str = "html", tree:
         literal = selector.literal()
         gate = F.col(html).contains(literal) if literal else F.lit(True)
         if not _needs_tree(rule, selector):
-            fit = F.filter(toks, lambda t, s=selector: selectors.on_token(s.steps[0], t))
-            values = fit if rule.key == "" else F.transform(fit, lambda t, r=rule: attribute(t, r.key))
+            fit = F.filter(toks, lambda t: selectors.on_token(selector.steps[0], t))
+            values = fit if rule.key == "" else F.transform(fit, lambda t: attribute(t, rule.key))
         elif tree is None:
             continue
         else:
             nodes = F.col(tree)
-            fit = F.filter(nodes, lambda e, s=selector, n=nodes: selectors.on_element(s, e, n))
+            fit = F.filter(nodes, lambda e: selectors.on_element(selector, e, nodes))
             if rule.key == "":
                 values = F.transform(fit, lambda e: e["tag"])
             elif rule.key == "#text":
-                values = F.transform(fit, lambda e, n=nodes: selectors.element_text(e, n))
+                values = F.transform(fit, lambda e: selectors.element_text(e, nodes))
             else:
-                values = F.transform(fit, lambda e, r=rule: F.try_element_at(e["attrs"], F.lit(r.key)))
+                values = F.transform(fit, lambda e: F.try_element_at(e["attrs"], F.lit(rule.key)))
         if rule.key:
-            values = F.filter(values, lambda v, p=pattern: v.isNotNull() & v.rlike(p))
+            values = F.filter(values, lambda v: v.isNotNull() & v.rlike(pattern))
         else:
             pattern = ""
         present = F.when(gate, F.size(values) > 0)
