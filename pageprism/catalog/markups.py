@@ -13,7 +13,7 @@ from pageprism.functions.urls import is_product_path
 from pageprism.operators import links as l
 from pageprism.operators import markup
 from pageprism.operators.dedupe import non_null_count
-from pageprism.operators.products import page_products, with_tokens
+from pageprism.operators.products import page_products, product_rows, with_tokens
 
 
 def _shop(spark, sf_dir):
@@ -63,9 +63,9 @@ def html_currency(spark, sf_dir):
 
 def jsonld_products(spark, sf_dir):
     scripts = _shop(spark, sf_dir).select("page_id", m.linked_data("tokens").alias("scripts"))
-    found = scripts.select("page_id", F.explode(markup.described_products(F.col("scripts"))).alias("v"))
-    return found.select("page_id", markup.title(F.col("v")).alias("title"), markup.brand(F.col("v")).alias("brand"),
-                        markup.price(F.col("v")).alias("price"), markup.currency(F.col("v")).alias("currency"))
+    found = scripts.select("page_id", F.explode(F.expr(markup.described_products("scripts"))).alias("v"))
+    fields = found.select("page_id", F.expr(markup.product_fields("v")).alias("f"))
+    return fields.select("page_id", F.col("f.product_title").alias("title"), "f.brand", "f.price", "f.currency")
 
 
 def markup_items(spark, sf_dir):
@@ -75,9 +75,8 @@ def markup_items(spark, sf_dir):
 
 def markup_price(spark, sf_dir):
     items = markup.markup_items(markup.markup_columns(_shop(spark, sf_dir))).where("seq = 0")
-    return items.select("page_id", markup.price(F.col("item")).alias("price"),
-                        markup.currency(F.col("item")).alias("currency"),
-                        markup.brand(F.col("item")).alias("brand"))
+    return items.select("page_id", F.expr(markup.product_fields("item")).alias("f")).select(
+        "page_id", "f.price", "f.currency", "f.brand")
 
 
 def markup_merge(spark, sf_dir):
@@ -119,11 +118,10 @@ def product_group(spark, sf_dir):
 def price_bounds(spark, sf_dir):
     """Category, low and high price of the products in lists, pages and graphs."""
     items = markup.markup_columns(_described(spark, sf_dir)).select(
-        "page_id", F.explode(markup._candidates(F.col("jsonld"))).alias("v"))
-    found = items.select("page_id", markup.title(F.col("v")).alias("title"), markup.category(F.col("v")).alias("category"),
-                         markup.bound_price(F.col("v"), "lowPrice").alias("low_price"),
-                         markup.bound_price(F.col("v"), "highPrice").alias("high_price"))
-    return found.where(F.col("category").isNotNull() & (F.col("title") != "other")).distinct()
+        "page_id", F.explode(F.expr(markup.candidates("jsonld"))).alias("v"))
+    found = items.select("page_id", F.expr(markup.product_fields("v")).alias("f"), F.expr(markup.extra_fields("v")).alias("x"))
+    return found.where("x.category IS NOT NULL AND f.product_title <> 'other'").select(
+        "page_id", F.col("f.product_title").alias("title"), "x.category", "x.low_price", "x.high_price").distinct()
 
 
 def min_non_null(spark, sf_dir):
@@ -150,10 +148,9 @@ def product_url(spark, sf_dir):
 
 
 def products(spark, sf_dir):
-    found = page_products(_shop(spark, sf_dir))
-    return found.where(F.col("product_schema").isNotNull()).select(
+    return product_rows(page_products(_shop(spark, sf_dir)), [
         "page_id", "url", "detected_language", "product_title", "product_description", "brand", "price", "currency",
-        "product_schema")
+        "product_schema"])
 
 
 QUERIES = {f.__name__: f for f in (

@@ -9,10 +9,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-from pageprism.functions.binding import let
-from pageprism.functions.text import clean_text, primary_language, unescape_common
+from pageprism.functions.binding import column, each, let, only, q
+from pageprism.functions.text import clean_text_sql, unescape_common_sql
 
 # Possessive repeats keep the matcher iterative on tags and pages of any length.
 _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
@@ -24,103 +23,100 @@ _TOKEN = (
 )
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def tokens(html) -> Column:
+def tokens(html: str) -> Column:
     """``array<string>`` of the markup tokens of a page, in document order, without comments."""
-    found = F.regexp_extract_all(F.coalesce(_col(html), F.lit("")), F.lit(_TOKEN), F.lit(0))
-    return F.filter(found, lambda t: ~t.startswith("<!"))
+    found = f"regexp_extract_all(coalesce({html}, ''), {q(_TOKEN)}, 0)"
+    return column(only(found, lambda t: f"NOT startswith({t}, '<!')"))
 
 
-def is_tag(token: Column, name: str) -> Column:
-    return token.rlike(rf"(?i)^<{re.escape(name)}[\s/>]")
+def is_tag(token: str, name: str) -> str:
+    return f"{token} RLIKE {q(rf'(?i)^<{re.escape(name)}[\s/>]')}"
 
 
-def attribute(token: Column, name: str) -> Column:
+def attribute(token: str, name: str) -> str:
     """Value of an attribute of a start tag: ``''`` when it has no value, null when it is missing."""
     name = re.escape(name)
     other = (rf"""[\s/]+(?!{name}[\s=/>])[^\s=/>]++"""
              r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?+""")
     head = rf"(?is)^<[a-z][^\s/>]*+(?:{other})*+[\s/]+{name}(?=[\s=/>])"
-    quoted = F.regexp_extract(token, rf"""{head}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)""", 1)
-    return let(quoted, lambda raw: F.when(
-        raw != "", unescape_common(F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2"))
-    ).when(token.rlike(head), F.lit("")))
+    quoted = rf"""{head}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+    unquoted = r"""(?s)^(["'])(.*)\1$"""
+    return let(f"regexp_extract({token}, {q(quoted)}, 1)", lambda raw: (
+        f"CASE WHEN {raw} <> '' THEN {unescape_common_sql(f'regexp_replace({raw}, {q(unquoted)}, {q('$2')})')} "
+        f"WHEN {token} RLIKE {q(head)} THEN '' END"))
+
 
+def tags(toks: str, name: str) -> str:
+    return only(toks, lambda t: is_tag(t, name))
 
-def tag_attributes(toks, tag: str, name: str) -> Column:
+
+def attribute_values(toks: str, tag: str, name: str) -> str:
     """Values of one attribute over all tags of a kind, in document order; missing ones left out."""
-    values = F.transform(F.filter(_col(toks), lambda t: is_tag(t, tag)), lambda t: attribute(t, name))
-    return F.filter(values, lambda v: v.isNotNull())
+    return only(each(tags(toks, tag), lambda t: attribute(t, name)), lambda v: f"{v} IS NOT NULL")
 
 
-def anchors(toks) -> Column:
+def anchors(toks: str) -> Column:
     """Link targets of a page in document order."""
-    return tag_attributes(toks, "a", "href")
+    return column(attribute_values(toks, "a", "href"))
 
 
-def script_sources(toks) -> Column:
-    return tag_attributes(toks, "script", "src")
+def script_sources_sql(toks: str) -> str:
+    return attribute_values(toks, "script", "src")
 
 
-def _meta_entries(toks, key: str) -> Column:
-    metas = F.filter(_col(toks), lambda t: is_tag(t, "meta"))
-    pairs = F.transform(metas, lambda t: F.struct(
-        attribute(t, key).alias("name"), attribute(t, "content").alias("content")))
-    return F.filter(pairs, lambda p: p["name"].isNotNull() & p["content"].isNotNull())
+def script_sources(toks: str) -> Column:
+    return column(script_sources_sql(toks))
 
 
-def meta_map(toks) -> Column:
-    """Named meta tags as ``map<string,string>``: names lower-cased, the last one wins."""
-    lowered = F.transform(_meta_entries(toks, "name"), lambda p: F.struct(
-        F.lower(p["name"]).alias("name"), p["content"].alias("content")))
-    return let(lowered, lambda pairs: F.map_from_entries(F.filter(pairs, lambda p, i: ~F.exists(
-        F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["name"] == p["name"]))))
+def _meta_pairs(toks: str, key: str, lower: bool = False) -> str:
+    def pair(t: str) -> str:
+        name = f"lower({attribute(t, key)})" if lower else attribute(t, key)
+        return f"named_struct('name', {name}, 'content', {attribute(t, 'content')})"
 
+    return only(each(tags(toks, "meta"), pair), lambda p: f"{p}.name IS NOT NULL AND {p}.content IS NOT NULL")
 
-def property_map(toks) -> Column:
-    """Namespaced property meta tags (``og:title``) as a map; the first non-empty value wins."""
-    filled = F.filter(_meta_entries(toks, "property"),
-                      lambda p: p["name"].contains(":") & (F.trim(p["content"]) != ""))
-    return let(filled, lambda pairs: F.map_from_entries(F.filter(pairs, lambda p, i: ~F.exists(
-        F.slice(pairs, F.lit(1), i), lambda q: q["name"] == p["name"]))))
 
+def meta_map_sql(toks: str) -> str:
+    return let(_meta_pairs(toks, "name", lower=True), lambda pairs: (
+        f"map_from_entries(filter({pairs}, (p, i) -> NOT exists(slice({pairs}, i + 2, size({pairs})), "
+        "o -> o.name = p.name)))"))
 
-def linked_data(toks) -> Column:
-    """Texts of the JSON-LD scripts of a page."""
-    scripts = F.filter(_col(toks), lambda t: is_tag(t, "script") & t.contains("ld+json"))
-    typed = F.filter(scripts, lambda t: F.lower(F.trim(attribute(t, "type"))) == "application/ld+json")
-    return F.transform(typed, lambda t: F.regexp_replace(
-        F.regexp_replace(t, rf"(?is)^<script{_ATTRS}>", ""), r"(?i)</script\s*>$", ""))
 
+def meta_map(toks: str) -> Column:
+    """Named meta tags as ``map<string,string>``: names lower-cased, the last one wins."""
+    return column(meta_map_sql(toks))
 
-def page_language(toks) -> Column:
-    return primary_language(F.try_element_at(tag_attributes(toks, "html", "lang"), F.lit(1)))
 
+def property_map(toks: str) -> Column:
+    """Namespaced property meta tags (``og:title``) as a map; the first non-empty value wins."""
+    filled = only(_meta_pairs(toks, "property"), lambda p: f"contains({p}.name, ':') AND trim({p}.content) <> ''")
+    return column(let(filled, lambda pairs: (
+        f"map_from_entries(filter({pairs}, (p, i) -> NOT exists(slice({pairs}, 1, i), o -> o.name = p.name)))")))
 
-def _head(toks) -> Column:
-    body = F.array_position(F.transform(_col(toks), lambda t: is_tag(t, "body")), True).cast("int")
-    return let(body, lambda b: F.when(b > 0, F.slice(_col(toks), F.lit(1), b - 1)).otherwise(_col(toks)))
+
+def linked_data(toks: str) -> Column:
+    """Texts of the JSON-LD scripts of a page."""
+    scripts = only(tags(toks, "script"), lambda t: (
+        f"contains({t}, 'ld+json') AND lower(trim({attribute(t, 'type')})) = 'application/ld+json'"))
+    return column(each(scripts, lambda t: (
+        f"regexp_replace(regexp_replace({t}, {q(rf'(?is)^<script{_ATTRS}>')}, ''), {q(r'(?i)</script\s*>$')}, '')")))
 
 
-def page_head(toks) -> Column:
+def page_head(toks: str) -> Column:
     """``struct<language, page_title, page_description, page_keywords>`` of a page."""
-    def read(head: Column) -> Column:
-        title = F.try_element_at(F.filter(head, lambda t: is_tag(t, "title")), F.lit(1))
-        text = F.regexp_replace(
-            F.regexp_replace(title, rf"(?is)^<title{_ATTRS}>", ""), r"(?i)</title\s*>$", "")
-
-        def named(pairs: Column, name: str) -> Column:
-            hits = F.filter(pairs, lambda p: p["name"] == name)
-            return clean_text(F.try_element_at(hits, F.lit(1))["content"])
-
-        return let(_meta_entries(head, "name"), lambda pairs: F.struct(
-            page_language(toks).alias("language"),
-            clean_text(F.nullif(text, F.lit(""))).alias("page_title"),
-            named(pairs, "description").alias("page_description"),
-            named(pairs, "keywords").alias("page_keywords"),
-        ))
-
-    return let(_head(toks), read)
+    def read(head: str) -> str:
+        title = (f"regexp_replace(regexp_replace(try_element_at({tags(head, 'title')}, 1), "
+                 f"{q(rf'(?is)^<title{_ATTRS}>')}, ''), {q(r'(?i)</title\s*>$')}, '')")
+
+        def named(pairs: str, name: str) -> str:
+            return clean_text_sql(f"try_element_at({only(pairs, lambda p: f'{p}.name = {q(name)}')}, 1).content")
+
+        language = f"element_at(split(try_element_at({attribute_values(toks, 'html', 'lang')}, 1), '[-_]'), 1)"
+        return let(_meta_pairs(head, "name"), lambda pairs: (
+            f"named_struct('language', {language}, "
+            f"'page_title', {clean_text_sql(f'nullif({title}, {q('')})')}, "
+            f"'page_description', {named(pairs, 'description')}, 'page_keywords', {named(pairs, 'keywords')})"))
+
+    body = f"CAST(array_position({each(toks, lambda t: is_tag(t, 'body'))}, true) AS INT)"
+    head = let(body, lambda b: f"CASE WHEN {b} > 0 THEN slice({toks}, 1, {b} - 1) ELSE {toks} END")
+    return column(let(head, read))

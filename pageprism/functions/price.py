@@ -3,62 +3,58 @@
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from pageprism import fixed
-from pageprism.functions.binding import let
-from pageprism.functions.text import clean_text
+from pageprism.functions.binding import column, let, q
+from pageprism.functions.text import clean_text_sql
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def clean_price_sql(text: str) -> str:
+    def number(n: str) -> str:
+        dotted = f"CASE WHEN {n} RLIKE {q(',[0-9]{2}$')} THEN replace({n}, ',', '.') ELSE {n} END"
+        return f"try_cast(regexp_replace({dotted}, {q('[,.](?=[0-9]{3}(?:[^0-9]|$))')}, '') AS DOUBLE)"
 
+    def read(packed: str) -> str:
+        found = q(r"[+-]?\d++(?:[,.]\d++)++(?:[eE][+-]?\d+)?|\d++(?:[eE][+-]?\d+)?")
+        refused = q(r"\D+\.|^\.")
+        return (f"CASE WHEN NOT {packed} RLIKE {refused} THEN "
+                + let(f"regexp_extract({packed}, {found}, 0)", number) + " END")
 
-def clean_price(text) -> Column:
+    return let(f"regexp_replace({text}, {q(chr(91) + ' ' + chr(160) + chr(39) + chr(93))}, '')", read)
+
+
+def clean_price(text: str) -> Column:
     """Number in a price text, whatever its separators mean; null when it is not a price.
 
     ``,dd`` at the end is a decimal comma; a separator in front of exactly three digits is a
     thousands separator. Texts with letters right before a dot, or a leading dot, are refused.
     """
-    def separated(number: Column) -> Column:
-        dotted = F.when(number.rlike(r",\d{2}$"), F.replace(number, F.lit(","), F.lit("."))).otherwise(number)
-        return F.regexp_replace(dotted, r"[,.](?=\d{3}(?:\D|$))", "").try_cast("double")
-
-    def number(packed: Column) -> Column:
-        found = F.regexp_extract(
-            packed, r"[+-]?\d++(?:[,.]\d++)++(?:[eE][+-]?\d+)?|\d++(?:[eE][+-]?\d+)?", 0)
-        return F.when(~packed.rlike(r"\D+\.|^\."), let(found, separated))
-
-    return let(F.regexp_replace(_col(text), r"[ \u00A0']", ""), number)
+    return column(clean_price_sql(text))
 
 
-def plain_number(value) -> Column:
+def plain_number_sql(value: str) -> str:
     """Number as shortest decimal text without an exponent, at least one decimal (``900.0``)."""
-    value = _col(value)
-    fixed_point = value.try_cast("decimal(38,10)").cast("string")
-    return F.regexp_replace(F.regexp_replace(fixed_point, r"0+$", ""), r"\.$", ".0")
+    fixed_point = f"CAST(try_cast({value} AS DECIMAL(38,10)) AS STRING)"
+    return f"regexp_replace(regexp_replace({fixed_point}, '0+$', ''), {q('[.]$')}, '.0')"
 
 
-def _matched(lowered: Column, pattern: str, group: int) -> Column:
+def _matched(lowered: str, pattern: str, group: int) -> str:
     # Possessive repeats where they cannot change a match: no recursion on long digit runs.
     safe = pattern.replace(r"([.,]\d+)*", r"([.,]\d+)*+")
-    return F.nullif(F.regexp_extract(lowered, f"(?U){safe}", group), F.lit(""))
+    return f"nullif(regexp_extract({lowered}, {q('(?U)' + safe)}, {group}), '')"
 
 
-def html_price(lowered) -> Column:
+def html_price(lowered: str) -> Column:
     """First usable price in a lower-cased page, trying the patterns in order."""
-    lowered = _col(lowered)
-    found = [
-        let(_matched(lowered, p, g), lambda m: F.when(m.isNotNull(), F.nullif(clean_price(m), F.lit(0.0))))
-        for p, g in fixed.PRICE_PATTERNS
-    ]
-    return F.when(lowered.contains("price") | lowered.contains("formattedvalue"), F.coalesce(*found))
+    found = [let(_matched(lowered, p, g), lambda m: f"CASE WHEN {m} IS NOT NULL THEN nullif({clean_price_sql(m)}, 0D) END")
+             for p, g in fixed.PRICE_PATTERNS]
+    return column(f"CASE WHEN contains({lowered}, 'price') OR contains({lowered}, 'formattedvalue') "
+                  f"THEN coalesce({', '.join(found)}) END")
 
 
-def html_currency(lowered) -> Column:
+def html_currency(lowered: str) -> Column:
     """First currency in a lower-cased page, trying the patterns in order."""
-    lowered = _col(lowered)
-    found = [_matched(lowered, p, g) for p, g in fixed.CURRENCY_PATTERNS]
-    mentioned = lowered.contains("price") | lowered.contains("currency") | lowered.contains("formattedvalue")
+    found = ", ".join(_matched(lowered, p, g) for p, g in fixed.CURRENCY_PATTERNS)
+    mentioned = " OR ".join(f"contains({lowered}, '{w}')" for w in ("price", "currency", "formattedvalue"))
     # Only the last pattern can match text that needs cleaning, so cleaning the first match is enough.
-    return F.nullif(clean_text(F.when(mentioned, F.coalesce(*found))), F.lit(""))
+    return column(f"nullif({clean_text_sql(f'CASE WHEN {mentioned} THEN coalesce({found}) END')}, '')")

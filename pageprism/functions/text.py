@@ -10,9 +10,10 @@ import pandas as pd
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pageprism import fixed
-from pageprism.functions.binding import let
+from pageprism.functions.binding import column, each, let, q
 
 
 def _col(c) -> Column:
@@ -28,12 +29,12 @@ def _entity_table() -> str:
     return "\n" + "".join(f"{name}={text}\n" for name, text in table.items())
 
 
-def _entity(name: Column) -> Column:
+def _entity(name: str) -> str:
     """Text of an entity name; null when unknown. Looked up in one literal, which keeps plans small."""
-    table = F.lit(_entity_table())
-    key = F.concat(F.lit("\n"), name, F.lit("="))
-    behind = F.call_function("substring_index", table, key, F.lit(-1))
-    return F.when(table.contains(key), F.substring_index(behind, "\n", 1))
+    table = q(_entity_table())
+    key = f"concat('\\n', {name}, '=')"
+    return let(key, lambda k: f"CASE WHEN contains({table}, {k}) THEN "
+                              f"substring_index(substring_index({table}, {k}, -1), '\\n', 1) END")
 
 
 @functools.lru_cache(maxsize=1)
@@ -43,75 +44,79 @@ def _bare_names() -> str:
     return "|".join(sorted(names, key=lambda n: (-len(n), n)))
 
 
-def _code_point(code: Column) -> Column:
+def _code_point(code: str) -> str:
     """Text of a code point; zero, surrogates and numbers beyond Unicode become U+FFFD."""
-    valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    safe = F.when(valid, code).otherwise(F.lit(0xFFFD))
-    return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+    valid = f"{code} > 0 AND {code} <= 1114111 AND NOT {code} BETWEEN 55296 AND 57343"
+    return f"decode(unhex(lpad(hex(CASE WHEN {valid} THEN {code} ELSE 65533 END), 8, '0')), 'UTF-32')"
 
 
-def _numeric(name: Column) -> Column:
-    decimal = F.regexp_extract(name, r"^#([0-9]+)$", 1).try_cast("bigint")
-    hexa = F.nullif(F.regexp_extract(name, r"^#[xX]([0-9a-fA-F]+)$", 1), F.lit(""))
-    return let(F.coalesce(decimal, F.conv(hexa, 16, 10).try_cast("bigint")), lambda code: F.when(
-        code.isNotNull(),
-        F.coalesce(_entity(F.concat(F.lit("#"), code.cast("string"))), _code_point(code))))
+def _numeric(name: str) -> str:
+    digits = f"try_cast(regexp_extract({name}, '^#([0-9]+)$', 1) AS BIGINT)"
+    hexa = f"try_cast(conv(nullif(regexp_extract({name}, '^#[xX]([0-9a-fA-F]+)$', 1), ''), 16, 10) AS BIGINT)"
+    return let(f"coalesce({digits}, {hexa})", lambda code: (
+        f"CASE WHEN {code} IS NOT NULL THEN coalesce({_entity(f'concat({q('#')}, {code})')}, {_code_point(code)}) END"))
 
 
 _REFERENCE = r"^&(#[0-9]{1,9}|#[xX][0-9a-fA-F]{1,8}|[a-zA-Z][a-zA-Z0-9]{0,31}(?=;));?"
 
 
-def _decoded(piece: Column) -> Column:
+def _decoded(piece: str) -> str:
     """A piece of text that starts with a character reference."""
-    def named(name: Column) -> Column:
-        value = F.when(name.startswith("#"), _numeric(name)).otherwise(_entity(name))
-        return F.concat(value, F.regexp_replace(piece, _REFERENCE, ""))
+    def named(n: str) -> str:
+        value = f"CASE WHEN startswith({n}, '#') THEN {_numeric(n)} ELSE {_entity(n)} END"
+        return f"CASE WHEN {n} <> '' THEN concat({value}, regexp_replace({piece}, {q(_REFERENCE)}, '')) END"
 
-    def bare(name: Column) -> Column:
-        return F.when(name != "", F.concat(_entity(name), F.substr(piece, F.length(name) + 2)))
+    def bare(n: str) -> str:
+        return f"CASE WHEN {n} <> '' THEN concat({_entity(n)}, substr({piece}, length({n}) + 2)) END"
 
-    return F.coalesce(
-        let(F.regexp_extract(piece, _REFERENCE, 1), lambda n: F.when(n != "", named(n))),
-        let(F.regexp_extract(piece, rf"^&({_bare_names()})", 1), bare),
+    return "coalesce({}, {}, {})".format(
+        let(f"regexp_extract({piece}, {q(_REFERENCE)}, 1)", named),
+        let(f"regexp_extract({piece}, {q(f'^&({_bare_names()})')}, 1)", bare),
         piece)
 
 
-def unescape_html(text) -> Column:
-    """Replaces decimal, hexadecimal and HTML 4 named character references, in one pass."""
-    def decode(t: Column) -> Column:
-        pieces = F.transform(F.split(t, "(?=&)"), lambda p: F.when(p.startswith("&"), _decoded(p)).otherwise(p))
+def unescape_sql(text: str) -> str:
+    def decode(t: str) -> str:
+        pieces = each(f"split({t}, '(?=&)')", lambda p: f"CASE WHEN startswith({p}, '&') THEN {_decoded(p)} ELSE {p} END")
         # The frequent references are replaced as they are; the ampersand goes last.
         common = t
         for name, value in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", "\u00a0"), ("&#39;", "'"),
                             ("&amp;", "&")):
-            common = F.replace(common, F.lit(name), F.lit(value))
-        rare = t.rlike(r"&(?!(?:lt|gt|quot|nbsp|#39|amp);)[#a-zA-Z]")
-        return F.when(~t.contains("&"), t).when(rare, F.array_join(pieces, "")).otherwise(common)
+            common = f"replace({common}, {q(name)}, {q(value)})"
+        rare = q(r"&(?!(?:lt|gt|quot|nbsp|#39|amp);)[#a-zA-Z]")
+        return (f"CASE WHEN NOT contains({t}, '&') THEN {t} WHEN {t} RLIKE {rare} THEN array_join({pieces}, '') "
+                f"ELSE {common} END")
 
-    return let(_col(text), decode)
+    return let(text, decode)
 
 
-@F.pandas_udf("string")
+def unescape_html(text: str) -> Column:
+    """Replaces decimal, hexadecimal and HTML 4 named character references, in one pass.
+
+    ``text`` is a column name or SQL expression, as in all functions here that take a ``str``.
+    """
+    return column(unescape_sql(text))
+
+
+@F.pandas_udf(T.StringType())
 def _unescape_all(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
-def unescape_html_full(text) -> Column:
+def unescape_html_full(text: str) -> Column:
     """As ``unescape_html`` with the whole HTML 5 table: texts with names beyond HTML 4 go to the standard
     library in Arrow batches, all others stay in the JVM."""
-    plain = unescape_html(text)
     names = "|".join(sorted(html.entities.name2codepoint))
-    strange = _col(text).rlike(rf"&(?!(?:{names})\b)[a-zA-Z]")
-    return F.coalesce(_unescape_all(F.when(strange, _col(text))), plain)
+    strange = F.expr(text).rlike(rf"&(?!(?:{names})\b)[a-zA-Z]")
+    return F.coalesce(_unescape_all(F.when(strange, F.expr(text))), unescape_html(text))
 
 
-def unescape_common(text) -> Column:
+def unescape_common_sql(text: str) -> str:
     """The references that occur in attribute values of real links; the ampersand goes last."""
-    out = _col(text)
     for name, value in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
                         ("&#38;", "&"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(name), F.lit(value))
-    return out
+        text = f"replace({text}, {q(name)}, {q(value)})"
+    return text
 
 
 def strip_html(text) -> Column:
@@ -119,16 +124,20 @@ def strip_html(text) -> Column:
     return F.regexp_replace(_col(text), "<.*?>", "")
 
 
-def clean_text(text) -> Column:
+def clean_text_sql(text: str) -> str:
+    bare = f"regexp_replace(regexp_replace({text}, '<.*?>', ''), {q('(?U)^\\s+|\\s+$')}, '')"
+    return unescape_sql(f"regexp_replace(replace({bare}, '\\n', ' '), ' +', ' ')")
+
+
+def clean_text(text: str) -> Column:
     """Tags out, trimmed, line feeds to spaces, runs of spaces collapsed, entities decoded once."""
-    bare = F.regexp_replace(strip_html(text), r"(?U)^\s+|\s+$", "")
-    return unescape_html(F.regexp_replace(F.replace(bare, F.lit("\n"), F.lit(" ")), " +", " "))
+    return column(clean_text_sql(text))
 
 
 def drop_placeholder(text) -> Column:
     """Trimmed text; null for texts that stand for a missing value."""
-    return let(F.regexp_replace(_col(text), r"(?U)^\s+|\s+$", ""),
-               lambda t: F.when(~F.lower(t).isin(fixed.PLACEHOLDERS), t))
+    trimmed = F.regexp_replace(_col(text), r"(?U)^\s+|\s+$", "")
+    return F.when(~F.lower(trimmed).isin(fixed.PLACEHOLDERS), trimmed)
 
 
 def product_text(title, description) -> Column:

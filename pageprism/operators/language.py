@@ -6,39 +6,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageprism import fixed
-from pageprism.functions.binding import let
+from pageprism.functions.binding import column, let, only, q
 from pageprism.operators.broadcasting import broadcast_if_small
 
-_WORD = r"[\p{L}]+"
+_WORD = r"\p{L}+"
 
 
-def words(text) -> Column:
-    text = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
+def words(text: str) -> str:
+    return f"regexp_extract_all(lower({text}), {q(_WORD)}, 0)"
 
 
-def word_scores(text) -> Column:
+def word_scores(text: str) -> str:
     """``array<struct<score, rank, lang>>``: function words of each language in the text."""
-    known = {lang: listed.split() for lang, listed in fixed.STOP_WORDS.items()}
-    every = F.array(*[F.lit(w) for w in sorted({w for listed in known.values() for w in listed})])
+    known = {lang: listed.split() for lang, listed in sorted(fixed.STOP_WORDS.items())}
+    every = sorted({w for listed in known.values() for w in listed})
 
-    def scores(found: Column) -> Column:
-        def score(rank: int, lang: str) -> Column:
-            own = F.array(*[F.lit(w) for w in known[lang]])
-            return F.struct(F.size(F.filter(found, lambda w: F.array_contains(own, w))).alias("score"),
-                            F.lit(-rank).alias("rank"), F.lit(lang).alias("lang"))
+    def listed(ws: list[str]) -> str:
+        return "(" + ", ".join(q(w) for w in ws) + ")"
 
-        return F.array(*[score(i, lang) for i, lang in enumerate(sorted(known))])
+    def scores(found: str) -> str:
+        rows = [f"named_struct('score', size({only(found, lambda w: f'{w} IN {listed(own)}')}), 'rank', {-rank}, "
+                f"'lang', {q(lang)})" for rank, (lang, own) in enumerate(known.items())]
+        return f"array({', '.join(rows)})"
 
-    return let(F.filter(words(text), lambda w: F.array_contains(every, w)), scores)
+    return let(only(words(text), lambda w: f"{w} IN {listed(every)}"), scores)
 
 
-def detect_language(text) -> Column:
+def detect_language(text: str) -> Column:
     """Language with the most function words, the first by code among equals; null for no text and
     ``en`` when no function word occurs at all. Stays inside the row."""
-    text = F.col(text) if isinstance(text, str) else text
-    return F.when(text.isNotNull(), let(F.array_max(word_scores(text)), lambda best: F.when(
-        best["score"] > 0, best["lang"]).otherwise(F.lit("en"))))
+    best = let(f"array_max({word_scores(text)})", lambda b: f"CASE WHEN {b}.score > 0 THEN {b}.lang ELSE 'en' END")
+    return column(f"CASE WHEN {text} IS NOT NULL THEN {best} END")
 
 
 def _ngrams(df: DataFrame, text: str, keep: list[str], n: int) -> DataFrame:
@@ -47,7 +45,7 @@ def _ngrams(df: DataFrame, text: str, keep: list[str], n: int) -> DataFrame:
     Words are counted first, so a repeated word is cut into n-grams once, and no expression ever
     walks over a whole text per n-gram.
     """
-    counted = df.select(*keep, F.explode(words(text)).alias("_w")).groupBy(*keep, "_w").agg(
+    counted = df.select(*keep, F.explode(column(words(text))).alias("_w")).groupBy(*keep, "_w").agg(
         F.count(F.lit(1)).alias("_c"))
     padded = F.concat(F.lit(" "), F.col("_w"), F.lit(" "))
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - (n - 1), F.lit(1))),

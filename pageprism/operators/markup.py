@@ -6,148 +6,147 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageprism import fixed
-from pageprism.functions.binding import let
+from pageprism.functions.binding import column, each, first, let, only, q
 from pageprism.functions.markup_text import linked_data, property_map
-from pageprism.functions.price import clean_price, plain_number
-from pageprism.functions.text import clean_text
+from pageprism.functions.price import clean_price_sql, plain_number_sql
+from pageprism.functions.text import clean_text_sql
 from pageprism.operators.elements import microdata_items
 
 SYNTAXES = ["opengraph", "microdata", "jsonld"]
 FIELDS = ["product_title", "product_description", "brand", "price", "currency"]
+_NONE = "CAST(array() AS ARRAY<VARIANT>)"
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _get(v: str, *keys) -> str:
+    path = "$" + "".join(f"[{k}]" if isinstance(k, int) else f"['{k}']" for k in keys)
+    return f"try_variant_get({v}, {q(path)}, 'variant')"
 
 
-def _path(*keys) -> str:
-    return "$" + "".join(f"[{k}]" if isinstance(k, int) else f"['{k}']" for k in keys)
-
-
-def _get(v: Column, *keys) -> Column:
-    return F.try_variant_get(v, _path(*keys), "variant")
+def _items(v: str) -> str:
+    """Elements of an array value; null when it is none."""
+    return f"try_variant_get({v}, '$', 'array<variant>')"
 
 
-def _items(v: Column, *keys) -> Column:
-    """Elements of an array value; null when it is none."""
-    return F.try_variant_get(v, _path(*keys), "array<variant>")
+def _fields(v: str) -> str:
+    """Fields of an object value; null when it is none."""
+    return f"try_variant_get({v}, '$', 'map<string,variant>')"
 
 
-def _is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+def _is_object(v: str) -> str:
+    return f"coalesce(startswith(schema_of_variant({v}), 'OBJECT'), false)"
 
 
-def _text(v: Column, *keys) -> Column:
+def _text(v: str) -> str:
     """A value, only when it is a string."""
-    return let(_get(v, *keys), lambda part: F.when(
-        F.schema_of_variant(part) == "STRING", F.try_variant_get(part, "$", "string")))
+    return let(v, lambda x: f"CASE WHEN schema_of_variant({x}) = 'STRING' THEN try_variant_get({x}, '$', 'string') END")
 
 
-def _shown(v: Column, *keys) -> Column:
+def _shown(v: str) -> str:
     """A scalar as text; numbers in plain shortest form."""
-    def read(part: Column) -> Column:
-        return let(F.schema_of_variant(part), lambda kind: F.when(
-            kind.isin("STRING", "BIGINT"), F.try_variant_get(part, "$", "string")
-        ).when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"),
-               plain_number(F.try_variant_get(part, "$", "double"))))
+    def read(x: str) -> str:
+        number = plain_number_sql(f"try_variant_get({x}, '$', 'double')")
+        return let(f"schema_of_variant({x})", lambda kind: (
+            f"CASE WHEN {kind} IN ('STRING', 'BIGINT') THEN try_variant_get({x}, '$', 'string') "
+            f"WHEN {kind} IN ('DOUBLE', 'FLOAT') OR startswith({kind}, 'DECIMAL') THEN {number} END"))
 
-    return let(_get(v, *keys), read)
+    return let(v, read)
 
 
-def _first(values: Column) -> Column:
-    return F.try_element_at(F.filter(values, lambda x: x.isNotNull()), F.lit(1))
+def _keys(names: list[str]) -> str:
+    return f"array({', '.join(q(n) for n in names)})"
 
 
-def _with_offers(v: Column, keys: list[str], read=_text) -> Column:
-    """First key that fits at the top level, then in the offers object, then in each offer."""
-    def any_key(part: Column) -> Column:
-        return F.coalesce(*[read(part, k) for k in keys])
+def _levels(v: str) -> str:
+    """Field maps of the item, of its offers object and of each offer in its list, in this order."""
+    parts = f"concat(array({v}, {_get(v, 'offers')}), coalesce({_items(_get(v, 'offers'))}, {_NONE}))"
+    return only(each(parts, _fields), lambda m: f"{m} IS NOT NULL")
 
-    offers = F.coalesce(_items(v, "offers"), F.array().cast("array<variant>"))
-    return F.coalesce(any_key(v), any_key(_get(v, "offers")), _first(F.transform(offers, any_key)))
 
+def _any_text(levels: str, names: list[str]) -> str:
+    """First text under one of the names, level by level."""
+    return first(f"flatten({each(levels, lambda m: each(_keys(names), lambda k: _text(f'try_element_at({m}, {k})')))})")
 
-def title(v: Column) -> Column:
-    return clean_text(_with_offers(v, fixed.TITLE_KEYS))
 
+def _any_shown(fields: str, names: list[str]) -> str:
+    return first(each(_keys(names), lambda k: _shown(f"try_element_at({fields}, {k})")))
 
-def description(v: Column) -> Column:
-    return clean_text(_with_offers(v, fixed.DESCRIPTION_KEYS))
 
-
-def category(v: Column) -> Column:
-    return clean_text(_with_offers(v, fixed.CATEGORY_KEYS))
-
-
-def brand(v: Column) -> Column:
+def _brand(levels: str) -> str:
     """Brand text, the name inside a brand object, or the brand name of a nested ``object``."""
-    def read(part: Column, key: str) -> Column:
-        named = _text(part, "object", "brand", "name") if key == "object" else _text(part, key, "name")
-        return F.coalesce(_text(part, key), named)
+    def read(b: str) -> str:
+        return f"coalesce({_text(b)}, {_text(_get(b, 'name'))}, {_text(_get(b, 'brand', 'name'))})"
 
-    return clean_text(F.coalesce(
-        F.coalesce(*[read(v, k) for k in fixed.BRAND_KEYS]),
-        F.coalesce(*[_text(v, "offers", k) for k in fixed.BRAND_KEYS]),
-        _first(F.transform(F.coalesce(_items(v, "offers"), F.array().cast("array<variant>")),
-                           lambda o: F.coalesce(*[_text(o, k) for k in fixed.BRAND_KEYS]))),
-    ))
+    own = first(each(_keys(fixed.BRAND_KEYS), lambda k: let(f"try_element_at({levels}[0], {k})", read)))
+    return f"coalesce({own}, {_any_text(f'slice({levels}, 2, size({levels}))', fixed.BRAND_KEYS)})"
 
 
-def _offer(v: Column) -> Column:
+def _offer(v: str) -> str:
     """The offers object, or the first offer of the list (or of the list inside it)."""
-    def pick(offers: Column) -> Column:
-        options = F.array(offers, _get(offers, 0), _get(offers, 0, 0))
-        return F.try_element_at(F.filter(options, _is_object), F.lit(1))
+    return let(_get(v, "offers"), lambda o: (
+        f"try_element_at({only(f'array({o}, {_get(o, 0)}, {_get(o, 0, 0)})', _is_object)}, 1)"))
 
-    return let(_get(v, "offers"), pick)
 
+def _trusted(offer: str, name: str, own: str) -> str:
+    """Value of an offer that names its currency; else of the item; else of an offer without currency."""
+    shown = _shown(_get(offer, name))
+    return (f"CASE WHEN {_shown(_get(offer, 'priceCurrency'))} IS NOT NULL THEN {shown} "
+            f"ELSE coalesce({own}, {shown}) END")
 
-def currency(v: Column) -> Column:
-    """Currency of the offer when there is one, else of the item itself."""
-    own = F.coalesce(*[_shown(v, k) for k in fixed.CURRENCY_KEYS])
-    return let(_offer(v), lambda offer: F.when(offer.isNotNull(), _shown(offer, "priceCurrency")).otherwise(own))
 
+def product_fields(v: str) -> str:
+    """Struct of the fields of one item, by field name; empty offers lists and objects without a name give nulls."""
+    def read(levels: str) -> str:
+        own = f"{levels}[0]"
 
-def _trusted(v: Column, name: str, own: Column) -> Column:
-    """Value of an offer that names its currency; else of the item; else of an offer without currency."""
-    return clean_price(let(_offer(v), lambda offer: F.when(
-        _shown(offer, "priceCurrency").isNotNull(), _shown(offer, name)
-    ).otherwise(F.coalesce(own, _shown(offer, name)))))
+        def with_offer(offer: str) -> str:
+            currency = (f"CASE WHEN {offer} IS NOT NULL THEN {_shown(_get(offer, 'priceCurrency'))} "
+                        f"ELSE {_any_shown(own, fixed.CURRENCY_KEYS)} END")
+            price = _trusted(offer, "price", _any_shown(own, fixed.PRICE_KEYS))
+            return (
+                f"named_struct('product_title', {clean_text_sql(_any_text(levels, fixed.TITLE_KEYS))}, "
+                f"'product_description', {clean_text_sql(_any_text(levels, fixed.DESCRIPTION_KEYS))}, "
+                f"'brand', {clean_text_sql(_brand(levels))}, "
+                f"'price', {clean_price_sql(price)}, 'currency', {currency})")
+
+        return let(_offer(v), with_offer)
 
+    return let(_levels(v), read)
 
-def price(v: Column) -> Column:
-    return _trusted(v, "price", F.coalesce(*[_shown(v, k) for k in fixed.PRICE_KEYS]))
 
+def extra_fields(v: str) -> str:
+    """Struct of category, lowest and highest price of one item."""
+    def read(levels: str) -> str:
+        def with_offer(offer: str) -> str:
+            low, high = (clean_price_sql(_trusted(offer, n, _any_shown(f"{levels}[0]", [n]))) for n in ("lowPrice", "highPrice"))
+            return (f"named_struct('category', {clean_text_sql(_any_text(levels, fixed.CATEGORY_KEYS))}, "
+                    f"'low_price', {low}, 'high_price', {high})")
 
-def bound_price(v: Column, name: str) -> Column:
-    """``lowPrice`` or ``highPrice``, by the same rule as the price."""
-    return _trusted(v, name, _shown(v, name))
+        return let(_offer(v), with_offer)
 
+    return let(_levels(v), read)
 
-def _parsed(texts: Column) -> Column:
-    return F.filter(F.transform(texts, F.try_parse_json), lambda v: v.isNotNull())
 
+def _parsed(texts: str) -> str:
+    return only(each(texts, lambda t: f"try_parse_json({t})"), lambda v: f"{v} IS NOT NULL")
 
-def _flat(values: Column) -> Column:
-    """Every value, lists replaced by their elements."""
-    return F.flatten(F.transform(values, lambda v: F.coalesce(_items(v), F.array(v))))
 
+def _type_list(v: str) -> str:
+    return f"try_variant_get({v}, {q("$['@type']")}, 'array<string>')"
 
-def _has_type(v: Column, wanted: str) -> Column:
+
+def _has_type(v: str, wanted: str) -> str:
     """Text types match by substring, type lists by membership."""
-    kinds = F.try_variant_get(v, _path("@type"), "array<string>")
-    return F.coalesce(F.contains(_text(v, "@type"), F.lit(wanted)), F.array_contains(kinds, wanted), F.lit(False))
+    return (f"coalesce(contains({_text(_get(v, '@type'))}, {q(wanted)}), "
+            f"array_contains({_type_list(v)}, {q(wanted)}), false)")
 
 
-def described_products(scripts: Column) -> Column:
+def described_products(scripts: str) -> str:
     """Products among JSON-LD scripts: first item of a list, main entity of a page, type Product only."""
-    parsed = F.transform(_parsed(scripts), lambda v: F.when(_items(v).isNotNull(), _get(v, 0)).otherwise(v))
-    entities = F.transform(parsed, lambda v: F.when(
-        _is_object(_get(v, "mainEntity")), _get(v, "mainEntity")).otherwise(v))
-    exact = F.filter(entities, lambda v: F.coalesce(
-        _text(v, "@type") == "Product",
-        F.array_contains(F.try_variant_get(v, _path("@type"), "array<string>"), "Product"), F.lit(False)))
-    return F.filter(exact, lambda v: v.isNotNull())
+    heads = each(_parsed(scripts), lambda v: f"CASE WHEN {_items(v)} IS NOT NULL THEN {_get(v, 0)} ELSE {v} END")
+    entities = each(heads, lambda v: let(_get(v, "mainEntity"), lambda e: (
+        f"CASE WHEN {_is_object(e)} THEN {e} ELSE {v} END")))
+    return only(entities, lambda v: (
+        f"coalesce({_text(_get(v, '@type'))} = 'Product', array_contains({_type_list(v)}, 'Product'), false)"))
 
 
 def markup_columns(pages: DataFrame, toks: str = "tokens", html: str = "html") -> DataFrame:
@@ -157,68 +156,45 @@ def markup_columns(pages: DataFrame, toks: str = "tokens", html: str = "html") -
         "_props": property_map(toks),
         "_scripts": linked_data(toks),
     })
-    og_type = F.try_element_at("_props", F.lit("og:type"))
-    props = F.map_filter("_props", lambda k, v: k != "og:type")
-    typed = F.when(og_type.isNotNull(), F.map_concat(F.create_map(F.lit("@type"), og_type), props)).otherwise(props)
-    none = F.array().cast("array<variant>")
+    typed = ("CASE WHEN map_contains_key(_props, 'og:type') THEN map_concat(map('@type', _props['og:type']), "
+             "map_filter(_props, (k, v) -> k <> 'og:type')) ELSE _props END")
+    listed = f"flatten({each(_parsed('_scripts'), lambda v: f'coalesce({_items(v)}, array({v}))')})"
     return work.withColumns({
-        "opengraph": F.when(F.size("_props") > 0, F.array(F.to_variant_object(typed))).otherwise(none),
-        "microdata": _parsed(F.col("_micro")),
-        "jsonld": F.when(F.size("_scripts") > 0, F.concat(
-            _flat(_parsed(F.col("_scripts"))), described_products(F.col("_scripts")))).otherwise(none),
+        "opengraph": column(f"CASE WHEN size(_props) > 0 THEN array(to_variant_object({typed})) ELSE {_NONE} END"),
+        "microdata": column(_parsed("_micro")),
+        "jsonld": column(f"CASE WHEN size(_scripts) > 0 THEN concat({listed}, {described_products('_scripts')}) "
+                         f"ELSE {_NONE} END"),
     }).drop("_micro", "_props", "_scripts")
 
 
 def markup_items(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """One row per item: ``key, syntax, seq, item`` (variant)."""
-    parts = [
-        F.transform(s, lambda v, i: F.struct(F.lit(s).alias("syntax"), i.alias("seq"), v.alias("item")))
-        for s in SYNTAXES
-    ]
-    return pages.select(key, F.explode(F.concat(*parts)).alias("_i")).select(
+    parts = ", ".join(f"transform({s}, (v, i) -> named_struct('syntax', '{s}', 'seq', i, 'item', v))" for s in SYNTAXES)
+    return pages.select(key, F.explode(column(f"concat({parts})")).alias("_i")).select(
         key, "_i.syntax", "_i.seq", "_i.item")
 
 
-def _candidates(items: Column) -> Column:
+def candidates(items: str) -> str:
     """Items that may describe the product, best first. A product group stands for its variants;
     the blocks of graphs come before the items when there are several items, else behind them."""
-    none = F.array().cast("array<variant>")
-
-    def variants(head: Column) -> Column:
-        return F.when(_text(head, "@type") == "ProductGroup", let(_get(head, "hasVariant"), lambda v: F.coalesce(
-            _items(v), F.when(_is_object(v), F.array(v)))))
+    def variants(head: str) -> str:
+        listed = let(_get(head, "hasVariant"), lambda v: (
+            f"coalesce({_items(v)}, CASE WHEN {_is_object(v)} THEN array({v}) END)"))
+        return f"CASE WHEN {_text(_get(head, '@type'))} = 'ProductGroup' THEN {listed} END"
 
-    def ordered(grouped: Column) -> Column:
-        blocks = F.flatten(F.transform(grouped, lambda v: F.coalesce(_items(v, "@graph"), none)))
-        return F.when(F.size(grouped) > 1, F.concat(blocks, grouped)).otherwise(F.concat(grouped, blocks))
+    def ordered(grouped: str) -> str:
+        blocks = f"flatten({each(grouped, lambda v: f'coalesce({_items(_get(v, '@graph'))}, {_NONE})')})"
+        return let(blocks, lambda b: (
+            f"CASE WHEN size({grouped}) > 1 THEN concat({b}, {grouped}) ELSE concat({grouped}, {b}) END"))
 
-    grouped = F.coalesce(let(F.try_element_at(items, F.lit(1)), variants), items)
-    return let(grouped, ordered)
+    return let(f"coalesce({let(f'try_element_at({items}, 1)', variants)}, {items})", ordered)
 
 
-def _described(items: Column) -> Column:
-    """Candidates with a product type, as structs of their type and their fields."""
-    typed = F.transform(_candidates(items), lambda v: F.struct(
-        F.array(*[_has_type(v, t) for t in fixed.PRODUCT_TYPES]).alias("types"), v.alias("item")))
-    fit = F.filter(typed, lambda c: F.array_contains(c["types"], True))
-    return F.transform(fit, lambda c: F.struct(
-        c["types"].alias("types"),
-        title(c["item"]).alias("product_title"),
-        description(c["item"]).alias("product_description"),
-        brand(c["item"]).alias("brand"),
-        price(c["item"]).alias("price"),
-        currency(c["item"]).alias("currency"),
-    ))
-
-
-def _longest(picks: Column, field: str) -> Column:
+def _longest(picks: str, field: str) -> str:
     """Longest text wins, the earliest among equals."""
-    def key(p: Column, i: Column) -> Column:
-        value = p[field]
-        shown = plain_number(value) if field == "price" else value
-        return F.when(value.isNotNull(), F.struct(F.length(shown).alias("n"), (-i).alias("r"), value.alias("v")))
-
-    return F.array_max(F.transform(picks, key))["v"]
+    shown = plain_number_sql(f"p.{field}") if field == "price" else f"p.{field}"
+    return (f"array_max(transform({picks}, (p, i) -> CASE WHEN p.{field} IS NOT NULL THEN "
+            f"named_struct('n', length({shown}), 'r', -i, 'v', p.{field}) END)).v")
 
 
 def merge_markup(pages: DataFrame) -> DataFrame:
@@ -226,12 +202,17 @@ def merge_markup(pages: DataFrame) -> DataFrame:
 
     Per syntax and type the first fitting candidate speaks; each field takes its best value on its own.
     """
-    work = pages.withColumns({f"_d_{s}": F.when(F.size(s) > 0, _described(F.col(s))) for s in SYNTAXES})
-    picks = F.array(*[
-        F.try_element_at(F.filter(F.col(f"_d_{s}"), lambda d: d["types"][k]), F.lit(1))
-        for s in SYNTAXES for k in range(len(fixed.PRODUCT_TYPES))
-    ])
-    work = work.withColumn("_picks", F.when(
-        F.coalesce(*[F.col(f"_d_{s}") for s in SYNTAXES]).isNotNull(), F.filter(picks, lambda p: p.isNotNull())))
-    return work.withColumns({f: _longest(F.col("_picks"), f) for f in FIELDS}).drop(
-        "_picks", *[f"_d_{s}" for s in SYNTAXES])
+    # Numbered by syntax, all candidates go through one expression for their types and one for their fields.
+    parts = ", ".join(
+        f"transform({candidates(s)}, v -> named_struct('syntax', {n}, 'types', "
+        f"array({', '.join(_has_type('v', t) for t in fixed.PRODUCT_TYPES)}), 'item', v))"
+        for n, s in enumerate(SYNTAXES))
+    fit = only(f"concat({parts})", lambda c: f"array_contains({c}.types, true)")
+    described = each("_fit", lambda c: (
+        f"named_struct('syntax', {c}.syntax, 'types', {c}.types, 'fields', {product_fields(f'{c}.item')})"))
+    picks = ", ".join(
+        f"try_element_at(filter(_described, d -> d.syntax = {n} AND d.types[{k}]), 1).fields"
+        for n in range(len(SYNTAXES)) for k in range(len(fixed.PRODUCT_TYPES)))
+    work = pages.withColumn("_fit", column(fit)).withColumn("_described", column(described)).withColumn(
+        "_picks", column(f"CASE WHEN size(_described) > 0 THEN array({picks}) END"))
+    return work.withColumns({f: column(_longest("_picks", f)) for f in FIELDS}).drop("_fit", "_described", "_picks")

@@ -54,3 +54,13 @@ def page_products(pages: DataFrame, html: str = "html") -> DataFrame:
         "currency": F.when(pattern & both, F.col("_currency")).otherwise(F.col("currency")),
         "detected_language": detect_language("_text"),
     }).drop("_markup_text", "_enough", "_head", "_head_text", "_schema", "_lowered", "_price", "_currency", "_text")
+
+
+def product_rows(facts: DataFrame, columns: list[str]) -> DataFrame:
+    """The products among pages with product columns.
+
+    Written as an explode of at most one struct: a filter would be pushed below the projections that make
+    ``product_schema`` and repeat all of their work.
+    """
+    one = F.when(F.col("product_schema").isNotNull(), F.struct(*columns))
+    return facts.select(F.explode(F.array_compact(F.array(one))).alias("_p")).select("_p.*")

@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_RULE_ROWS = 100_000
-TAG_SEPARATOR = r"\;"
 
 
 def split_pattern(raw: Column) -> dict[str, Column]:
-    """``regex\;version:..\;confidence:..`` as the columns pattern, version_tpl and confidence."""
-    parts = F.split(raw, r"\;")
+    r"""``regex\;version:..\;confidence:..`` as the columns pattern, version_tpl and confidence."""
+    parts = F.split(raw, r"\\;")
     tags = F.slice(parts, 2, F.size(parts))
 
     def tag(name: str) -> Column:
@@ -73,8 +72,8 @@ def _dom(body: Column) -> Column:
         texts = _list(F.try_variant_get(clause, "$.text", "variant"))
         attrs = _map(F.try_variant_get(clause, "$.attributes", "variant"))
         # A clause that asks for nothing in particular asks for existence.
-        bare = exists.isNotNull() | F.exists(texts, lambda t: F.split(t, r"\;")[0] == "")
-        real = F.filter(texts, lambda t: F.split(t, r"\;")[0] != "")
+        bare = exists.isNotNull() | F.exists(texts, lambda t: F.split(t, r"\\;")[0] == "")
+        real = F.filter(texts, lambda t: F.split(t, r"\\;")[0] != "")
         none = F.array().cast("array<string>")
         return F.concat(
             _rows("dom", F.lit(""), e["key"], F.when(bare, present).otherwise(none)),
@@ -108,7 +107,7 @@ def implies_table(bodies_: DataFrame) -> DataFrame:
     """``tech, implied``, confidence tags stripped."""
     names = _list(F.try_variant_get("body", "$.implies", "variant"))
     return bodies_.select("tech", F.explode(names).alias("_i")).select(
-        "tech", F.element_at(F.split("_i", r"\;"), 1).alias("implied"))
+        "tech", F.element_at(F.split("_i", r"\\;"), 1).alias("implied"))
 
 
 def category_table(bodies_: DataFrame) -> DataFrame:

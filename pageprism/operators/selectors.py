@@ -6,9 +6,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from pageprism.functions.binding import each, fresh, let, only, q
 from pageprism.functions.markup_text import attribute, is_tag
 
 _PART = re.compile(
@@ -78,54 +76,51 @@ def parse(text: str) -> list[Selector]:
     return out
 
 
-def _test(value: Column, op: str | None, wanted: str | None) -> Column:
+def _test(value: str, op: str | None, wanted: str | None) -> str:
     if op is None:
-        return value.isNotNull()
-    if op == "=":
-        hit = value == wanted
-    elif op == "*=":
-        hit = value.contains(wanted)
-    elif op == "^=":
-        hit = value.startswith(wanted)
-    elif op == "$=":
-        hit = value.endswith(wanted)
-    elif op == "~=":
-        hit = F.array_contains(F.split(value, r"\s+"), wanted)
-    else:
-        hit = (value == wanted) | value.startswith(f"{wanted}-")
-    return F.coalesce(hit, F.lit(False))
-
-
-def on_token(compound: Compound, token: Column) -> Column:
+        return f"{value} IS NOT NULL"
+    text = q(wanted)
+    hit = {
+        "=": f"{value} = {text}",
+        "*=": f"contains({value}, {text})",
+        "^=": f"startswith({value}, {text})",
+        "$=": f"endswith({value}, {text})",
+        "~=": f"array_contains(split({value}, {q(chr(92) + 's+')}), {text})",
+        "|=": f"rlike({value}, {q('^' + re.escape(wanted) + '(?:-|$)')})",
+    }[op]
+    return f"coalesce({hit}, false)"
+
+
+def on_token(compound: Compound, token: str) -> str:
     """Does a start tag fit? Used with functions.markup_text.tokens."""
-    hit = is_tag(token, compound.tag) if compound.tag else token.startswith("<")
-    for name, op, wanted in compound.tests:
-        hit = hit & _test(attribute(token, name), op, wanted)
-    return hit
+    tests = [is_tag(token, compound.tag)] if compound.tag else []
+    tests += [_test(attribute(token, name), op, wanted) for name, op, wanted in compound.tests]
+    return " AND ".join(f"({t})" for t in tests) or "true"
 
 
-def _on_element(compound: Compound, element: Column) -> Column:
-    hit = (element["tag"] == compound.tag) if compound.tag else F.lit(True)
-    for name, op, wanted in compound.tests:
-        hit = hit & _test(F.try_element_at(element["attrs"], F.lit(name)), op, wanted)
-    return F.coalesce(hit, F.lit(False))
+def _on_element(compound: Compound, element: str) -> str:
+    tests = [f"{element}.tag = {q(compound.tag)}"] if compound.tag else []
+    tests += [_test(f"try_element_at({element}.attrs, {q(name)})", op, wanted) for name, op, wanted in compound.tests]
+    return " AND ".join(f"({t})" for t in tests) or "true"
 
 
-def on_element(selector: Selector, element: Column, elements: Column) -> Column:
+def on_element(selector: Selector, element: str, elements: str) -> str:
     """Does an element of a tree fit, its parents or ancestors included?"""
-    def fits(step: int, e: Column) -> Column:
-        hit = _on_element(selector.steps[step], e)
+    def fits(step: int, e: str) -> str:
+        hit = f"({_on_element(selector.steps[step], e)})"
         if step == 0:
             return hit
         if selector.combinators[step - 1] == ">":
-            parent = F.try_element_at(elements, F.when(e["parent"] >= 0, e["parent"] + 1))
-            return hit & parent.isNotNull() & fits(step - 1, parent)
-        return hit & F.exists(elements, lambda a: (a["pos"] < e["pos"]) & (a["last"] >= e["pos"]) & fits(step - 1, a))
+            parent = f"try_element_at({elements}, CASE WHEN {e}.parent >= 0 THEN {e}.parent + 1 END)"
+            return f"{hit} AND {let(parent, lambda p: f'({p} IS NOT NULL AND {fits(step - 1, p)})')}"
+        a = fresh("a")
+        return (f"{hit} AND exists({elements}, {a} -> {a}.pos < {e}.pos AND {a}.last >= {e}.pos "
+                f"AND {fits(step - 1, a)})")
 
     return fits(len(selector.steps) - 1, element)
 
 
-def element_text(element: Column, elements: Column) -> Column:
+def element_text(element: str, elements: str) -> str:
     """Text of an element and its descendants."""
-    inside = F.filter(elements, lambda d: d["pos"].between(element["pos"], element["last"]))
-    return F.array_join(F.transform(inside, lambda d: d["text"]), "")
+    inside = only(elements, lambda d: f"{d}.pos BETWEEN {element}.pos AND {element}.last")
+    return f"array_join({each(inside, lambda d: f'{d}.text')}, '')"

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pageprism.functions.binding import column, each, let, only, q
 from pageprism.functions.markup_text import attribute, meta_map, script_sources
 from pageprism.operators import selectors
 from pageprism.operators.broadcasting import broadcast_if_small
@@ -33,52 +34,49 @@ def required_literal(pattern: str) -> str:
     return best if len(best) >= 3 else ""
 
 
-def version(text: Column, pattern: str, template: str | None, groups: int) -> Column:
+def version(text: str, pattern: str, template: str | None, groups: int) -> str:
     """Version from the groups of a match: ``\\1``, or ``\\1?a:b`` by whether the group matched."""
-    none = F.lit(None).cast("string")
     if not template:
-        return none
+        return "CAST(NULL AS STRING)"
 
-    def group(n: int) -> Column:
-        return F.regexp_extract(text, pattern, n) if n <= groups else F.lit("")
+    def group(n: int) -> str:
+        return f"regexp_extract({text}, {q(pattern)}, {n})" if n <= groups else "''"
 
-    def fill(tpl: str) -> Column:
+    def fill(tpl: str) -> str:
         parts = [p for p in re.split(r"(\\\d)", tpl) if p]
-        cols = [group(int(p[1])) if re.fullmatch(r"\\\d", p) else F.lit(p) for p in parts]
-        return F.concat(*cols) if cols else F.lit("")
+        return "concat(" + ", ".join(group(int(p[1])) if re.fullmatch(r"\\\d", p) else q(p) for p in parts) + ")"
 
     choice = re.fullmatch(r"\\(\d)\?([^:]*):(.*)", template)
     if choice:
-        value = F.when(group(int(choice[1])) != "", fill(choice[2])).otherwise(fill(choice[3]))
+        value = f"CASE WHEN {group(int(choice[1]))} <> '' THEN {fill(choice[2])} ELSE {fill(choice[3])} END"
     else:
         value = fill(template)
-    return F.nullif(F.trim(value), F.lit(""))
+    return f"nullif(trim({value}), '')"
 
 
-def _hit(rule, text: Column, pattern: str, groups: int, present: Column) -> Column:
-    return F.when(present, F.struct(
-        F.lit(rule.tech).alias("technology"),
-        version(text, pattern, rule.version_tpl, groups).alias("version"),
-        F.lit(rule.confidence).alias("confidence"),
-        F.lit(rule.field).alias("field")))
+def _hit(rule, text: str, pattern: str, groups: int, present: str) -> str:
+    return (f"CASE WHEN {present} THEN named_struct('technology', {q(rule.tech)}, "
+            f"'version', {version(text, pattern, rule.version_tpl, groups)}, "
+            f"'confidence', {rule.confidence}, 'field', {q(rule.field)}) END")
 
 
-def _first(values: Column) -> Column:
-    return F.try_element_at(values, F.lit(1))
-
-
-def _chunks(hits: list[Column]) -> Column:
-    none = F.array().cast(HIT)
+def _listed(hits: list[str]) -> Column:
     if not hits:
-        return none
-    parts = [F.array_compact(F.array(*hits[i:i + CHUNK])) for i in range(0, len(hits), CHUNK)]
-    return parts[0] if len(parts) == 1 else F.flatten(F.array(*parts))
+        return column(f"CAST(array() AS {HIT})")
+    parts = [f"array_compact(array({', '.join(hits[i:i + CHUNK])}))" for i in range(0, len(hits), CHUNK)]
+    return column(f"flatten(array({', '.join(parts)}))")
 
 
 def _flagged(pattern: str, ignore_case: bool) -> str:
     return f"(?i){pattern}" if ignore_case else pattern
 
 
+def _value_hit(rule, values: str, pattern: str, groups: int) -> str:
+    """Hit of a rule over several texts: the version comes from the first one that fits."""
+    fit = only(values, lambda v: f"rlike({v}, {q(pattern)})")
+    return let(f"try_element_at({fit}, 1)", lambda v: _hit(rule, v, pattern, groups, f"{v} IS NOT NULL"))
+
+
 def html_hits(rules: RuleSet, url: str = "url", html: str = "html", lowered: str | None = None,
               ignore_case: bool = True) -> Column:
     """URL and page-text rules. A required literal is looked for before the pattern runs."""
@@ -86,39 +84,34 @@ def html_hits(rules: RuleSet, url: str = "url", html: str = "html", lowered: str
     for rule, groups in rules.rows:
         if rule.field not in ("url", "html"):
             continue
-        text = F.col(url if rule.field == "url" else html)
+        text = url if rule.field == "url" else html
         pattern = _flagged(rule.pattern, ignore_case)
-        present = text.rlike(pattern)
+        present = f"rlike({text}, {q(pattern)})"
         literal = required_literal(rule.pattern)
         if literal and rule.field == "html" and lowered:
-            present = F.when(F.col(lowered).contains(literal), present)
+            present = f"CASE WHEN contains({lowered}, {q(literal)}) THEN {present} END"
         hits.append(_hit(rule, text, pattern, groups, present))
-    return _chunks(hits)
+    return _listed(hits)
 
 
 def header_hits(rules: RuleSet, headers: str = "headers", ignore_case: bool = True) -> Column:
     """Header rules: by lower-cased name, any of the repeated values."""
-    hits = []
-    for rule, groups in rules.rows:
-        if rule.field == "headers":
-            pattern = _flagged(rule.pattern, ignore_case)
-            values = F.filter(F.try_element_at(headers, F.lit(rule.key)), lambda v: v.rlike(pattern))
-            hits.append(_hit(rule, _first(values), pattern, groups, F.size(values) > 0))
-    return _chunks(hits)
+    return _listed([
+        _value_hit(rule, f"try_element_at({headers}, {q(rule.key)})", _flagged(rule.pattern, ignore_case), groups)
+        for rule, groups in rules.rows if rule.field == "headers"])
 
 
-def meta_hits(rules: RuleSet, toks: str = "tokens", ignore_case: bool = True) -> Column:
-    """Meta-tag and script-source rules."""
-    metas, sources, hits = meta_map(toks), script_sources(toks), []
+def meta_hits(rules: RuleSet, metas: str = "metas", sources: str = "sources", ignore_case: bool = True) -> Column:
+    """Meta-tag and script-source rules over a meta map and a list of script sources."""
+    hits = []
     for rule, groups in rules.rows:
         pattern = _flagged(rule.pattern, ignore_case)
         if rule.field == "meta":
-            text = F.try_element_at(metas, F.lit(rule.key))
-            hits.append(_hit(rule, text, pattern, groups, text.rlike(pattern)))
+            text = f"try_element_at({metas}, {q(rule.key)})"
+            hits.append(_hit(rule, text, pattern, groups, f"rlike({text}, {q(pattern)})"))
         elif rule.field == "scriptSrc":
-            values = F.filter(sources, lambda v: v.rlike(pattern))
-            hits.append(_hit(rule, _first(values), pattern, groups, F.size(values) > 0))
-    return _chunks(hits)
+            hits.append(_value_hit(rule, sources, pattern, groups))
+    return _listed(hits)
 
 
 def _dom_rules(rules: RuleSet):
@@ -135,33 +128,28 @@ def _needs_tree(rule, selector) -> bool:
 def element_hits(rules: RuleSet, toks: str = "tokens", html: str = "html", tree: str | None = None,
                  ignore_case: bool = True) -> Column:
     """Selector rules. One-step selectors are decided on start tags; selectors with a text clause or
-    with several steps on the element tree in column ``tree``."""
+    with several steps on the element tree in column ``tree``. A text that the selector needs is
+    looked for in the page before any tag is tested."""
     hits = []
     for rule, groups, selector in _dom_rules(rules):
-        pattern = _flagged(rule.pattern, ignore_case)
-        literal = selector.literal()
-        gate = F.col(html).contains(literal) if literal else F.lit(True)
+        pattern = _flagged(rule.pattern, ignore_case) if rule.key else ""
         if not _needs_tree(rule, selector):
-            fit = F.filter(toks, lambda t: selectors.on_token(selector.steps[0], t))
-            values = fit if rule.key == "" else F.transform(fit, lambda t: attribute(t, rule.key))
+            fit = only(toks, lambda t: selectors.on_token(selector.steps[0], t))
+            values = each(fit, lambda t: attribute(t, rule.key)) if rule.key else fit
         elif tree is None:
             continue
         else:
-            nodes = F.col(tree)
-            fit = F.filter(nodes, lambda e: selectors.on_element(selector, e, nodes))
+            fit = only(tree, lambda e: selectors.on_element(selector, e, tree))
             if rule.key == "":
-                values = F.transform(fit, lambda e: e["tag"])
+                values = each(fit, lambda e: f"{e}.tag")
             elif rule.key == "#text":
-                values = F.transform(fit, lambda e: selectors.element_text(e, nodes))
+                values = each(fit, lambda e: selectors.element_text(e, tree))
             else:
-                values = F.transform(fit, lambda e: F.try_element_at(e["attrs"], F.lit(rule.key)))
-        if rule.key:
-            values = F.filter(values, lambda v: v.isNotNull() & v.rlike(pattern))
-        else:
-            pattern = ""
-        present = F.when(gate, F.size(values) > 0)
-        hits.append(_hit(rule, _first(values), pattern, groups, present))
-    return _chunks(hits)
+                values = each(fit, lambda e: f"try_element_at({e}.attrs, {q(rule.key)})")
+        hit = _value_hit(rule, values, pattern, groups)
+        literal = selector.literal()
+        hits.append(f"CASE WHEN contains({html}, {q(literal)}) THEN {hit} END" if literal else hit)
+    return _listed(hits)
 
 
 def with_tree(pages: DataFrame, rules: RuleSet, html: str = "html") -> DataFrame:
@@ -175,13 +163,15 @@ def with_tree(pages: DataFrame, rules: RuleSet, html: str = "html") -> DataFrame
 
 def page_technologies(pages: DataFrame, rules: RuleSet, ignore_case: bool = True, elements: bool = True) -> DataFrame:
     """Adds ``hits`` to pages with ``url, html, headers, tokens``: one struct per rule that fits."""
-    work = pages.withColumn("_lowered", F.lower("html"))
+    work = pages.withColumns({
+        "_lowered": F.lower("html"), "_metas": meta_map("tokens"), "_sources": script_sources("tokens")})
     parts = [html_hits(rules, lowered="_lowered", ignore_case=ignore_case),
-             header_hits(rules, ignore_case=ignore_case), meta_hits(rules, ignore_case=ignore_case)]
+             header_hits(rules, ignore_case=ignore_case),
+             meta_hits(rules, "_metas", "_sources", ignore_case=ignore_case)]
     if elements:
         work = with_tree(work, rules)
         parts.append(element_hits(rules, tree="tree" if "tree" in work.columns else None, ignore_case=ignore_case))
-    return work.withColumn("hits", F.concat(*parts)).drop("_lowered", "tree")
+    return work.withColumn("hits", F.concat(*parts)).drop("_lowered", "_metas", "_sources", "tree")
 
 
 def detected(pages: DataFrame, keys: list[str]) -> DataFrame:

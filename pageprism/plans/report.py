@@ -16,7 +16,7 @@ from pageprism.operators.broadcasting import broadcast_if_small
 from pageprism.operators.budget import Limits, apply_budget, candidates, needs_live
 from pageprism.operators.index import crawls_for_year, for_domains, page_candidates
 from pageprism.operators.links import external_links, link_hosts, live_only, page_links, social_links
-from pageprism.operators.products import page_products, with_tokens
+from pageprism.operators.products import page_products, product_rows, with_tokens
 from pageprism.operators.rules import RuleSet
 from pageprism.operators.technology import detected, page_technologies, with_categories, with_implied
 from pageprism.session import stored
@@ -63,7 +63,8 @@ class Report:
     @property
     def products(self) -> DataFrame:
         year = F.when(F.col("origin") == "live", F.lit(fixed.LIVE_YEAR)).otherwise(F.lit(self.archive_year))
-        return self._stamped(self.facts.where(F.col("product_schema").isNotNull()), "products", year)
+        rows = product_rows(self.facts, ["domain", "url", "origin", *PRODUCT_COLUMNS])
+        return self._stamped(rows, "products", year)
 
     @property
     def _external(self) -> DataFrame:

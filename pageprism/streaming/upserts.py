@@ -8,14 +8,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pageprism import schemas
 from pageprism.operators.rules import RuleSet
-from pageprism.plans.report import page_facts
+from pageprism.operators.products import product_rows
+from pageprism.plans.report import PRODUCT_COLUMNS, page_facts
 from pageprism.sources.tables import upsert_results
 
 
-def product_rows(pages: DataFrame, rules: RuleSet, archive_year: str, run_date: Column) -> DataFrame:
+def page_product_rows(pages: DataFrame, rules: RuleSet, archive_year: str, run_date: Column) -> DataFrame:
     """Product rows of fetched pages; row by row, so it runs on streams as it does on tables."""
-    facts = page_facts(pages, rules).where(F.col("product_schema").isNotNull())
-    return facts.withColumns({"archive_year": F.lit(archive_year), "last_update": run_date}).select(
+    rows = product_rows(page_facts(pages, rules), ["domain", "url", *PRODUCT_COLUMNS])
+    return rows.withColumns({"archive_year": F.lit(archive_year), "last_update": run_date}).select(
         *schemas.PRODUCTS.fieldNames())
 
 
@@ -27,7 +28,7 @@ def stream_products(spark: SparkSession, page_folder: str, result_path: str, che
         spark.readStream.schema(schemas.PAGE_RECORDS).option("maxFilesPerTrigger", files_per_batch)
         .parquet(page_folder)
     )
-    rows = product_rows(pages, rules, query_year, run_date)
+    rows = page_product_rows(pages, rules, query_year, run_date)
     return (
         rows.writeStream.foreachBatch(lambda batch, _: upsert_results(
             batch.sparkSession, "products", batch, result_path, query_year))
