@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageprism.functions.urls import authority, url_path
+from pageprism.operators.rows import spread
 
 CRAWLS = ["10", "18", "22", "26"]
 LANGUAGES = {
@@ -156,7 +157,7 @@ def shop_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 5 == 0, F.concat(F.lit("\r\nSet-Cookie: sid="), text, F.lit("\r\nSet-Cookie: theme: dark")))
         .otherwise(""),
         F.lit("\r\nContent-Type: text/html; charset=utf-8"))
-    return table(spark, sf_dir, "part").select(
+    return spread(table(spark, sf_dir, "part")).select(
         k.alias("page_id"), domain.alias("domain"), _crawl(k % 4).alias("crawl"), path.alias("url_path"),
         html.alias("response"), header.alias("header"),
         F.lit("parts").alias("warc_filename"), k.alias("warc_record_offset"),

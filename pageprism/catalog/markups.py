@@ -14,6 +14,7 @@ from pageprism.operators import links as l
 from pageprism.operators import markup
 from pageprism.operators.dedupe import non_null_count
 from pageprism.operators.products import page_products, product_rows, with_tokens
+from pageprism.operators.rows import spread, unnest
 
 
 def _shop(spark, sf_dir):
@@ -63,7 +64,7 @@ def html_currency(spark, sf_dir):
 
 def jsonld_products(spark, sf_dir):
     scripts = _shop(spark, sf_dir).select("page_id", m.linked_data("tokens").alias("scripts"))
-    found = scripts.select("page_id", F.explode(F.expr(markup.described_products("scripts"))).alias("v"))
+    found = unnest(scripts, ["page_id"], F.expr(markup.described_products("scripts")), "v")
     fields = found.select("page_id", F.expr(markup.product_fields("v")).alias("f"))
     return fields.select("page_id", F.col("f.product_title").alias("title"), "f.brand", "f.price", "f.currency")
 
@@ -86,7 +87,7 @@ def markup_merge(spark, sf_dir):
 
 def _described(spark, sf_dir):
     """One JSON-LD text per part, in four shapes: group with variants, graph, page entity and list."""
-    part = table(spark, sf_dir, "part")
+    part = spread(table(spark, sf_dir, "part"))
     key = F.col("p_partkey").cast("string")
 
     def product(name, price, kind="Product"):
@@ -117,8 +118,8 @@ def product_group(spark, sf_dir):
 
 def price_bounds(spark, sf_dir):
     """Category, low and high price of the products in lists, pages and graphs."""
-    items = markup.markup_columns(_described(spark, sf_dir)).select(
-        "page_id", F.explode(F.expr(markup.candidates("jsonld"))).alias("v"))
+    items = unnest(markup.markup_columns(_described(spark, sf_dir)), ["page_id"],
+                   F.expr(markup.candidates("jsonld")), "v")
     found = items.select("page_id", F.expr(markup.product_fields("v")).alias("f"), F.expr(markup.extra_fields("v")).alias("x"))
     return found.where("x.category IS NOT NULL AND f.product_title <> 'other'").select(
         "page_id", F.col("f.product_title").alias("title"), "x.category", "x.low_price", "x.high_price").distinct()

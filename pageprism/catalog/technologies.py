@@ -9,12 +9,13 @@ from pageprism.functions.headers import parse_headers
 from pageprism.functions.urls import url_host
 from pageprism.operators import technology as t
 from pageprism.operators.products import with_tokens
+from pageprism.operators.rows import spread, unnest
 from pageprism.operators.rules import split_pattern
 from pageprism.sources.rule_files import sample_rules
 
 
 def _pages(spark, sf_dir):
-    pages = with_tokens(table(spark, sf_dir, "pages"))
+    pages = with_tokens(spread(table(spark, sf_dir, "pages")))
     return pages.withColumn("headers", F.lit(None).cast("map<string,array<string>>"))
 
 
@@ -35,12 +36,12 @@ def tech_html(spark, sf_dir):
     """URL and page-text rules on the given pages."""
     rules = sample_rules(spark)
     pages = _pages(spark, sf_dir).withColumn("lowered", F.lower("html"))
-    return pages.select("page_id", F.explode(t.html_hits(rules, lowered="lowered")).alias("h")).select(
+    return unnest(pages, ["page_id"], t.html_hits(rules, lowered="lowered"), "h").select(
         "page_id", "h.technology", "h.version", "h.confidence")
 
 
 def tech_headers(spark, sf_dir):
-    return _shop(spark, sf_dir).select("page_id", F.explode(t.header_hits(sample_rules(spark))).alias("h")).select(
+    return unnest(_shop(spark, sf_dir), ["page_id"], t.header_hits(sample_rules(spark)), "h").select(
         "page_id", "h.technology", "h.version", "h.confidence")
 
 
@@ -48,14 +49,14 @@ def tech_dom(spark, sf_dir):
     """Selector rules on the given pages, those on text and on nested elements included."""
     rules = sample_rules(spark)
     pages = t.with_tree(_pages(spark, sf_dir), rules)
-    return pages.select("page_id", F.explode(t.element_hits(rules, tree="tree")).alias("h")).select(
+    return unnest(pages, ["page_id"], t.element_hits(rules, tree="tree"), "h").select(
         "page_id", "h.technology", "h.version").distinct()
 
 
 def tech_meta(spark, sf_dir):
     """Meta-tag and script-source rules on the shop pages."""
     pages = _shop(spark, sf_dir).withColumns({"metas": t.meta_map("tokens"), "sources": t.script_sources("tokens")})
-    return pages.select("page_id", F.explode(t.meta_hits(sample_rules(spark))).alias("h")).select(
+    return unnest(pages, ["page_id"], t.meta_hits(sample_rules(spark)), "h").select(
         "page_id", "h.technology", "h.version")
 
 

@@ -18,10 +18,11 @@ from pageprism.operators.classify import predict, train
 from pageprism.operators.elements import page_elements as elements_of
 from pageprism.operators.language import detect_language, learn_profile, score_languages
 from pageprism.operators.links import internal_links
+from pageprism.operators.rows import spread, unnest, unnest_positions
 
 
 def _pages(spark, sf_dir):
-    return table(spark, sf_dir, "pages")
+    return spread(table(spark, sf_dir, "pages"))
 
 
 def _tokens(spark, sf_dir):
@@ -39,13 +40,12 @@ def meta_map(spark, sf_dir):
 
 
 def page_links(spark, sf_dir):
-    links = _tokens(spark, sf_dir).select("page_id", F.posexplode(m.anchors("tokens")).alias("pos", "href"))
-    return links
+    return unnest_positions(_tokens(spark, sf_dir), ["page_id"], m.anchors("tokens"), "pos", "href")
 
 
 def script_sources(spark, sf_dir):
     shop = shop_pages(spark, sf_dir).withColumn("tokens", m.tokens("response"))
-    return shop.select("page_id", F.explode(m.script_sources("tokens")).alias("src"))
+    return unnest(shop, ["page_id"], m.script_sources("tokens"), "src")
 
 
 def page_elements(spark, sf_dir):
@@ -56,7 +56,7 @@ def page_elements(spark, sf_dir):
 
 def page_tokens(spark, sf_dir):
     """Start tags per page and tag, counted inside the JVM."""
-    found = _tokens(spark, sf_dir).select("page_id", F.explode("tokens").alias("t"))
+    found = unnest(_tokens(spark, sf_dir), ["page_id"], F.col("tokens"), "t")
     tag = F.lower(F.regexp_extract("t", r"^<([a-zA-Z][^\s/>]*)", 1))
     return found.groupBy("page_id", tag.alias("tag")).agg(F.count(F.lit(1)).alias("elements"))
 
@@ -64,7 +64,7 @@ def page_tokens(spark, sf_dir):
 def followed_links(spark, sf_dir):
     """Links a crawler would follow from the given pages."""
     pages = _tokens(spark, sf_dir).withColumn("domain", url_host("url"))
-    links = pages.select("domain", "url", F.posexplode(m.anchors("tokens")).alias("pos", "href"))
+    links = unnest_positions(pages, ["domain", "url"], m.anchors("tokens"), "pos", "href")
     return internal_links(links)
 
 
@@ -128,7 +128,7 @@ def declared_charset(spark, sf_dir):
 
 def language_id(spark, sf_dir):
     """Language of every document by function words, and whether it can be translated."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     found = docs.select("doc_id", detect_language("text").alias("detected"), "text")
     return found.select("doc_id", "detected", is_translatable("detected").alias("translatable"),
                         F.length(translation_input("detected", "text")).cast("long").alias("chars"))
@@ -136,14 +136,14 @@ def language_id(spark, sf_dir):
 
 def language_profile(spark, sf_dir):
     """Language of every document by n-gram profiles that are learned from the labelled documents."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     scored = score_languages(docs, learn_profile(docs), "doc_id")
     return docs.select("doc_id", "lang").join(scored, "doc_id", "left")
 
 
 def text_classifier(spark, sf_dir):
     """Class of every document by a model that is trained on the labelled ones."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     model = train(docs.join(labels, "doc_id"))
     return predict(model, docs, ["doc_id"])

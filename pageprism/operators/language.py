@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pageprism import fixed
 from pageprism.functions.binding import column, let, only, q
 from pageprism.operators.broadcasting import broadcast_if_small
+from pageprism.operators.rows import unnest
 
 _WORD = r"\p{L}+"
 
@@ -45,7 +46,7 @@ def _ngrams(df: DataFrame, text: str, keep: list[str], n: int) -> DataFrame:
     Words are counted first, so a repeated word is cut into n-grams once, and no expression ever
     walks over a whole text per n-gram.
     """
-    counted = df.select(*keep, F.explode(column(words(text))).alias("_w")).groupBy(*keep, "_w").agg(
+    counted = unnest(df, keep, column(words(text)), "_w").groupBy(*keep, "_w").agg(
         F.count(F.lit(1)).alias("_c"))
     padded = F.concat(F.lit(" "), F.col("_w"), F.lit(" "))
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - (n - 1), F.lit(1))),

@@ -10,12 +10,13 @@ from pageprism.functions.urls import (
     authority, canonical_link, is_page_link, is_page_path, resolve_link, same_site, site_root, strip_www,
 )
 from pageprism.operators.dedupe import keep_first
+from pageprism.operators.rows import unnest, unnest_positions
 
 
 def page_links(pages: DataFrame, links: str = "links") -> DataFrame:
     """One row per link of a page: its position and target."""
     keep = [c for c in pages.columns if c != links]
-    return pages.select(*keep, F.posexplode(links).alias("pos", "href"))
+    return unnest_positions(pages, keep, F.col(links), "pos", "href")
 
 
 def external_links(links: DataFrame, match: str = "host") -> DataFrame:
@@ -59,7 +60,7 @@ def internal_links(links: DataFrame, page_url: str = "url", relative: bool = Tru
 
 def social_links(links: DataFrame, order: list[str] = ("pos",)) -> DataFrame:
     """Social accounts per domain. An account is listed once, under the first platform that claims it."""
-    found = links.select("domain", *order, F.explode(social_accounts("href")).alias("_s")).select(
+    found = unnest(links, ["domain", *order], social_accounts("href"), "_s").select(
         "domain", *order, F.col("_s.rank").alias("_rank"),
         F.col("_s.platform").alias("social_platform"), F.col("_s.account").alias("social_link"))
     return keep_first(found, ["domain", "social_link"], [*order, "_rank"]).select(

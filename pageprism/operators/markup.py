@@ -11,6 +11,7 @@ from pageprism.functions.markup_text import linked_data, property_map
 from pageprism.functions.price import clean_price_sql, plain_number_sql
 from pageprism.functions.text import clean_text_sql
 from pageprism.operators.elements import microdata_items
+from pageprism.operators.rows import unnest
 
 SYNTAXES = ["opengraph", "microdata", "jsonld"]
 FIELDS = ["product_title", "product_description", "brand", "price", "currency"]
@@ -170,7 +171,7 @@ def markup_columns(pages: DataFrame, toks: str = "tokens", html: str = "html") -
 def markup_items(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """One row per item: ``key, syntax, seq, item`` (variant)."""
     parts = ", ".join(f"transform({s}, (v, i) -> named_struct('syntax', '{s}', 'seq', i, 'item', v))" for s in SYNTAXES)
-    return pages.select(key, F.explode(column(f"concat({parts})")).alias("_i")).select(
+    return unnest(pages, [key], column(f"concat({parts})"), "_i").select(
         key, "_i.syntax", "_i.seq", "_i.item")
 
 

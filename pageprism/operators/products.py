@@ -11,6 +11,7 @@ from pageprism.functions.text import product_text
 from pageprism.functions.urls import is_product_path, normalize_url
 from pageprism.operators.dedupe import at_least_non_null
 from pageprism.operators.language import detect_language
+from pageprism.operators.rows import unnest
 from pageprism.operators.markup import FIELDS, SYNTAXES, markup_columns, merge_markup
 
 
@@ -63,4 +64,4 @@ def product_rows(facts: DataFrame, columns: list[str]) -> DataFrame:
     ``product_schema`` and repeat all of their work.
     """
     one = F.when(F.col("product_schema").isNotNull(), F.struct(*columns))
-    return facts.select(F.explode(F.array_compact(F.array(one))).alias("_p")).select("_p.*")
+    return unnest(facts, [], F.array(one), "_p").select("_p.*")

@@ -4,7 +4,6 @@ pages are never multiplied by rules."""
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +13,7 @@ from pageprism.functions.markup_text import attribute, meta_map, script_sources
 from pageprism.operators import selectors
 from pageprism.operators.broadcasting import broadcast_if_small
 from pageprism.operators.elements import element_array
+from pageprism.operators.rows import unnest
 from pageprism.operators.rules import RuleSet
 
 CHUNK = 50
@@ -154,11 +154,14 @@ def element_hits(rules: RuleSet, toks: str = "tokens", html: str = "html", tree:
 
 def with_tree(pages: DataFrame, rules: RuleSet, html: str = "html") -> DataFrame:
     """Adds ``tree`` when a rule needs it, filled only for pages in which such a rule can match."""
-    literals = [s.literal() for r, _, s in _dom_rules(rules) if _needs_tree(r, s)]
-    if not literals:
+    needed = [s for r, _, s in _dom_rules(rules) if _needs_tree(r, s)]
+    if not needed:
         return pages
-    gates = [F.col(html).contains(v) if v else F.col(html).isNotNull() for v in sorted(set(literals))]
-    return pages.withColumn("tree", element_array(html, reduce(lambda a, b: a | b, gates)))
+    gates = sorted({
+        f"contains({html}, {q(s.literal())})" if s.literal()
+        else f"contains(lower({html}), {q(s.start_tag())})" if s.start_tag() else f"{html} IS NOT NULL"
+        for s in needed})
+    return pages.withColumn("tree", element_array(html, column(" OR ".join(gates))))
 
 
 def page_technologies(pages: DataFrame, rules: RuleSet, ignore_case: bool = True, elements: bool = True) -> DataFrame:
@@ -177,7 +180,7 @@ def page_technologies(pages: DataFrame, rules: RuleSet, ignore_case: bool = True
 def detected(pages: DataFrame, keys: list[str]) -> DataFrame:
     """Technologies per key: greatest version text, total confidence over the rows."""
     return (
-        pages.select(*keys, F.explode("hits").alias("_h"))
+        unnest(pages, keys, F.col("hits"), "_h")
         .groupBy(*keys, F.col("_h.technology").alias("technology"))
         .agg(F.max("_h.version").alias("version"), F.sum("_h.confidence").alias("confidence"))
     )
