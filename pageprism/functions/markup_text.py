@@ -109,13 +109,14 @@ def page_head(toks: str) -> Column:
                  f"{q(rf'(?is)^<title{_ATTRS}>')}, ''), {q(r'(?i)</title\s*>$')}, '')")
 
         def named(pairs: str, name: str) -> str:
-            return clean_text_sql(f"try_element_at({only(pairs, lambda p: f'{p}.name = {q(name)}')}, 1).content")
+            return f"try_element_at({only(pairs, lambda p: f'{p}.name = {q(name)}')}, 1).content"
 
         language = f"element_at(split(try_element_at({attribute_values(toks, 'html', 'lang')}, 1), '[-_]'), 1)"
-        return let(_meta_pairs(head, "name"), lambda pairs: (
-            f"named_struct('language', {language}, "
-            f"'page_title', {clean_text_sql(f'nullif({title}, {q('')})')}, "
-            f"'page_description', {named(pairs, 'description')}, 'page_keywords', {named(pairs, 'keywords')})"))
+        texts = let(_meta_pairs(head, "name"), lambda pairs: (
+            f"array(nullif({title}, ''), {named(pairs, 'description')}, {named(pairs, 'keywords')})"))
+        return let(each(texts, clean_text_sql), lambda t: (
+            f"named_struct('language', {language}, 'page_title', {t}[0], 'page_description', {t}[1], "
+            f"'page_keywords', {t}[2])"))
 
     body = f"CAST(array_position({each(toks, lambda t: is_tag(t, 'body'))}, true) AS INT)"
     head = let(body, lambda b: f"CASE WHEN {b} > 0 THEN slice({toks}, 1, {b} - 1) ELSE {toks} END")

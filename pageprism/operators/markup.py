@@ -103,11 +103,12 @@ def product_fields(v: str) -> str:
             currency = (f"CASE WHEN {offer} IS NOT NULL THEN {_shown(_get(offer, 'priceCurrency'))} "
                         f"ELSE {_any_shown(own, fixed.CURRENCY_KEYS)} END")
             price = _trusted(offer, "price", _any_shown(own, fixed.PRICE_KEYS))
-            return (
-                f"named_struct('product_title', {clean_text_sql(_any_text(levels, fixed.TITLE_KEYS))}, "
-                f"'product_description', {clean_text_sql(_any_text(levels, fixed.DESCRIPTION_KEYS))}, "
-                f"'brand', {clean_text_sql(_brand(levels))}, "
-                f"'price', {clean_price_sql(price)}, 'currency', {currency})")
+            # One cleaning expression for all texts keeps the plan small.
+            texts = each(f"array({_any_text(levels, fixed.TITLE_KEYS)}, {_any_text(levels, fixed.DESCRIPTION_KEYS)}, "
+                         f"{_brand(levels)})", clean_text_sql)
+            return let(texts, lambda t: (
+                f"named_struct('product_title', {t}[0], 'product_description', {t}[1], 'brand', {t}[2], "
+                f"'price', {clean_price_sql(price)}, 'currency', {currency})"))
 
         return let(_offer(v), with_offer)
 
@@ -135,10 +136,11 @@ def _type_list(v: str) -> str:
     return f"try_variant_get({v}, {q("$['@type']")}, 'array<string>')"
 
 
-def _has_type(v: str, wanted: str) -> str:
-    """Text types match by substring, type lists by membership."""
-    return (f"coalesce(contains({_text(_get(v, '@type'))}, {q(wanted)}), "
-            f"array_contains({_type_list(v)}, {q(wanted)}), false)")
+def _types(v: str) -> str:
+    """Which product types an item has, in their order: texts match by substring, lists by membership."""
+    return let(_text(_get(v, "@type")), lambda text: let(_type_list(v), lambda listed: each(
+        _keys(fixed.PRODUCT_TYPES),
+        lambda t: f"coalesce(contains({text}, {t}), array_contains({listed}, {t}), false)")))
 
 
 def described_products(scripts: str) -> str:
@@ -203,17 +205,15 @@ def merge_markup(pages: DataFrame) -> DataFrame:
 
     Per syntax and type the first fitting candidate speaks; each field takes its best value on its own.
     """
-    # Numbered by syntax, all candidates go through one expression for their types and one for their fields.
-    parts = ", ".join(
-        f"transform({candidates(s)}, v -> named_struct('syntax', {n}, 'types', "
-        f"array({', '.join(_has_type('v', t) for t in fixed.PRODUCT_TYPES)}), 'item', v))"
-        for n, s in enumerate(SYNTAXES))
-    fit = only(f"concat({parts})", lambda c: f"array_contains({c}.types, true)")
+    # All syntaxes and types go through the same expressions, by number, which keeps the plan small.
+    listed = f"array({', '.join(SYNTAXES)})"
+    numbered = (f"flatten(transform({listed}, (items, n) -> transform({candidates('items')}, "
+                f"v -> named_struct('syntax', n, 'types', {_types('v')}, 'item', v))))")
+    fit = only(numbered, lambda c: f"array_contains({c}.types, true)")
     described = each("_fit", lambda c: (
         f"named_struct('syntax', {c}.syntax, 'types', {c}.types, 'fields', {product_fields(f'{c}.item')})"))
-    picks = ", ".join(
-        f"try_element_at(filter(_described, d -> d.syntax = {n} AND d.types[{k}]), 1).fields"
-        for n in range(len(SYNTAXES)) for k in range(len(fixed.PRODUCT_TYPES)))
+    picks = (f"flatten(transform(sequence(0, {len(SYNTAXES) - 1}), n -> transform(sequence(0, {len(fixed.PRODUCT_TYPES) - 1}), "
+             "k -> try_element_at(filter(_described, d -> d.syntax = n AND d.types[k]), 1).fields)))")
     work = pages.withColumn("_fit", column(fit)).withColumn("_described", column(described)).withColumn(
-        "_picks", column(f"CASE WHEN size(_described) > 0 THEN array({picks}) END"))
+        "_picks", column(f"CASE WHEN size(_described) > 0 THEN {picks} END"))
     return work.withColumns({f: column(_longest("_picks", f)) for f in FIELDS}).drop("_fit", "_described", "_picks")

@@ -160,7 +160,16 @@ def load_rules(files: DataFrame, category_files: DataFrame | None = None) -> Rul
         named = named.join(categories(category_files).select("cat_id", "name"), "cat_id")
     else:
         named = named.withColumn("name", F.col("cat_id").cast("string"))
-    return RuleSet(good, implies_table(parsed), named, [r for r, _ in rejected])
+    return RuleSet(good, _local(implies_table(parsed)), _local(named.select("tech", "pos", "name")),
+                   [r for r, _ in rejected])
+
+
+def _local(df: DataFrame) -> DataFrame:
+    """A rule dimension as driver-side rows, so that no query parses the rule files again."""
+    rows = df.limit(MAX_RULE_ROWS + 1).collect()
+    if len(rows) > MAX_RULE_ROWS:
+        raise ValueError(f"more than {MAX_RULE_ROWS} rules")
+    return df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def categories(files: DataFrame) -> DataFrame:
