@@ -24,6 +24,7 @@ def _col(c) -> Column:
 def _entity_table() -> str:
     """Named entities and the numbers that HTML reads as windows-1252, as ``<name>=<text>`` lines."""
     table = {name: chr(code) for name, code in html.entities.name2codepoint.items()} | {"apos": "'"}
+    table |= {name: text for name, text in html.entities.html5.items() if not name.endswith(";")}
     for code in range(0x80, 0xA0):
         table[f"#{code}"] = bytes([code]).decode("cp1252", errors="ignore") or chr(code)
     return "\n" + "".join(f"{name}={text}\n" for name, text in table.items())
