@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pageprism import fixed
 from pageprism.catalog.frames import CAPTURES_SQL, PAGE_INDEX_SQL, captures, page_index, table
 from pageprism.functions.urls import (
-    authority, canonical_link, is_page_path, normalize_url, registered_domain, strip_www, url_host,
+    authority, canonical_link, is_page_path, normalize_url, strip_www, url_host,
 )
 from pageprism.operators import budget, dedupe, index
+from pageprism.operators.domains import registered_domain
 from pageprism.operators.links import archive_and_live, live_only
 from pageprism.operators.ranking import shuffle_key
 

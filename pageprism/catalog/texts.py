@@ -18,6 +18,7 @@ from pageprism.operators.classify import predict, train
 from pageprism.operators.elements import page_elements as elements_of
 from pageprism.operators.language import detect_language, learn_profile, score_languages
 from pageprism.operators.links import internal_links
+from pageprism.session import checkpointed
 from pageprism.operators.rows import spread, unnest, unnest_positions
 
 
@@ -137,7 +138,7 @@ def language_id(spark, sf_dir):
 def language_profile(spark, sf_dir):
     """Language of every document by n-gram profiles that are learned from the labelled documents."""
     docs = spread(table(spark, sf_dir, "documents"))
-    scored = score_languages(docs, learn_profile(docs), "doc_id")
+    scored = score_languages(docs, checkpointed(learn_profile(docs)), "doc_id")
     return docs.select("doc_id", "lang").join(scored, "doc_id", "left")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageprism import fixed
-from pageprism.operators.ranking import rank_by_hash, shuffle_key
+from pageprism.operators.ranking import join_hot, rank_by_hash, shuffle_key
 from pageprism.session import checkpointed
 
 
@@ -25,7 +25,7 @@ def frontier(links: DataFrame, roots: DataFrame, cap: int = fixed.MAX_LIVE_RECOR
     for depth in range(1, max_rounds + 1):
         steps = front.select("domain", F.col("page").alias("source"))
         reached = (
-            links.join(steps, ["domain", "source"], "left_semi")
+            join_hot(links, steps, ["domain", "source"], "left_semi")
             .select("domain", F.col("target").alias("page")).distinct()
             .join(known.select("domain", "page"), ["domain", "page"], "left_anti")
         )

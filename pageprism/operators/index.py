@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from pageprism import fixed, schemas
 from pageprism.functions.urls import crawl_id, is_page_path
-from pageprism.operators.broadcasting import is_small
 from pageprism.operators.dedupe import latest_captures
-from pageprism.operators.ranking import salted_join
+from pageprism.operators.ranking import join_hot
 
 # IN lists stay literals up to this length, so they reach the Parquet scan as pushed filters.
 MAX_IN_LIST = 500
@@ -53,9 +52,7 @@ def for_domains(index: DataFrame, seeds: DataFrame) -> DataFrame:
     """Index rows whose domain is a seed. A short seed list is broadcast; a long one is joined by
     salted hash, since one domain may own a large share of the index."""
     wanted = seeds.select("domain").where("domain IS NOT NULL").distinct()
-    if is_small(wanted):
-        return index.join(F.broadcast(wanted), "domain", "left_semi")
-    return salted_join(index, wanted, ["domain"], "left_semi").select(*index.columns)
+    return join_hot(index, wanted, ["domain"], "left_semi").select(*index.columns)
 
 
 def lookup(index: DataFrame, domains: list[str], crawls: list[str]) -> DataFrame:

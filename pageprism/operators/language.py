@@ -63,8 +63,12 @@ def learn_profile(labelled: DataFrame, text: str = "text", lang: str = "lang", n
     The profile has at most ``size`` rows per language, whatever the size of the training table.
     """
     counts = _ngrams(labelled.select(F.col(lang).alias("lang"), text), text, ["lang"], n)
+    # In two steps, so that no task ever holds all n-grams of a language.
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("gram"), F.lit(64))).orderBy(F.desc("n"), "gram")
     top = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    kept = counts.withColumn("_r", F.row_number().over(top)).where(F.col("_r") <= size).drop("_r")
+    kept = counts
+    for window in (part, top):
+        kept = kept.withColumn("_r", F.row_number().over(window)).where(F.col("_r") <= size).drop("_r")
     totals = kept.groupBy("lang").agg(F.sum("n").alias("total"))
     languages = totals.agg(F.sort_array(F.collect_list(F.struct("lang", "total"))).alias("languages"))
     grams = kept.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("counts"))

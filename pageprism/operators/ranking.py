@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pageprism.operators.broadcasting import is_small
+
 BUCKET_DIGITS = 3
 
 
@@ -52,6 +54,14 @@ def salted_join(big: DataFrame, side: DataFrame, on: list[str], how: str = "left
     return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
+def join_hot(big: DataFrame, side: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join whose keys may be hot in ``big``: a side that was counted and found small is broadcast, any
+    other is joined with salt. ``side`` has distinct keys and narrow rows."""
+    if is_small(side):
+        return big.join(F.broadcast(side), on, how)
+    return salted_join(big, side, on, how)
+
+
 def _hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if f.dataType.typeName() in
             ("string", "long", "integer", "double", "date", "timestamp", "boolean")]

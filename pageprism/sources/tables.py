@@ -47,7 +47,8 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 def _overwrite_partitions(df: DataFrame, path: str, partitions: list[str]) -> None:
     """Replaces exactly the partitions that occur in ``df``. The rows are staged and swapped in when
     the job commits, so a table may be read and rewritten in one job."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path))
+    balanced = df.hint("rebalance", *partitions)  # few files for small partitions, many for large ones
+    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
 def upsert_index(spark: SparkSession, new: DataFrame, path: str) -> None:
@@ -55,8 +56,7 @@ def upsert_index(spark: SparkSession, new: DataFrame, path: str) -> None:
     read and rewritten."""
     crawls = new.select("crawl").distinct()
     touched = read_index(spark, path).join(F.broadcast(crawls), "crawl", "left_semi")  # one row per crawl id
-    _overwrite_partitions(merge_index(touched, new).repartition("crawl", F.xxhash64("domain", "url_path") % 64),
-                          path, ["crawl"])
+    _overwrite_partitions(merge_index(touched, new), path, ["crawl"])
 
 
 def _result_schema(name: str) -> T.StructType:
