@@ -11,6 +11,7 @@ from pageprism.functions.urls import (
 )
 from pageprism.operators import budget, dedupe, index
 from pageprism.operators.domains import registered_domain
+from pageprism.operators.frontier import on_asked_domain
 from pageprism.operators.links import archive_and_live, live_only
 from pageprism.operators.ranking import shuffle_key
 
@@ -139,6 +140,13 @@ fresh AS (SELECT domain, link FROM pages_split p WHERE NOT EXISTS (
   SELECT 1 FROM pages_split a WHERE starts_with(a.url, 'https:') AND a.link = p.link AND a.domain = p.domain))"""
 
 
+def final_url_check(spark, sf_dir):
+    """Pages that are still on the domain that was asked for: one domain per language folder."""
+    pages = table(spark, sf_dir, "pages")
+    asked = F.when(F.col("url").contains("/en/"), "example.com").otherwise("example.org")
+    return on_asked_domain(pages.select("page_id", "url", asked.alias("domain")), "url")
+
+
 def _visits(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     return events.select(F.col("user_id").cast("string").alias("domain"), F.col("event_id").cast("string").alias("url_path"),
@@ -163,7 +171,7 @@ def page_budget(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     index_lookup, suffix_filter, index_semi_join, seed_hits, index_dedupe, keep_first, index_upsert, index_rows_added,
     crawl_calendar, registered_domains, page_batches, per_domain_limit, live_anti_join, archive_plus_live,
-    novelty_streak, page_budget)}
+    novelty_streak, page_budget, final_url_check)}
 QUERIES["normalize_url"] = normalize_urls
 QUERIES["url_host"] = url_hosts
 
@@ -200,7 +208,8 @@ ORACLES = {
                      "FROM page_index",
     "url_host": "SELECT page_id, split_part(url, '/', 3) AS netloc, split_part(url, '/', 3) AS host, "
                 "regexp_replace(split_part(url, '/', 3), '^www\\.', '') AS bare_host FROM pages",
-    "registered_domain": "",
+    "final_url_check": "WITH asked AS (SELECT page_id, url, CASE WHEN contains(url, '/en/') THEN 'example.com' ELSE 'example.org' END "
+                       "AS domain FROM pages) SELECT page_id, url, domain FROM asked WHERE ends_with(split_part(url, '/', 3), '.' || domain)",
     "page_batches": f"WITH {PAGE_INDEX_SQL}, ranked AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY "
                     f"{_ORDER}) AS rn, count(*) OVER (PARTITION BY domain) AS total FROM page_index) "
                     "SELECT domain, url_path, warc_record_offset, rn, CAST((rn - 1) // 5 AS BIGINT) AS batch, "

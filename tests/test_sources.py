@@ -71,6 +71,21 @@ def test_record_encodings():
     assert split_record(b"") == (None, None)
 
 
+def test_live_pages_take_the_shape_of_records(spark):
+    live = spark.createDataFrame([("https://shop.com/p/1?x=2", "<p>", "A: 1")], schemas.LIVE_RECORDS)
+    row = tables.live_as_pages(live).first()
+    assert (row.domain, row.crawl, row.url_path, row.response) == ("shop.com", "LIVE-CRAWL", "/p/1?x=2", "<p>")
+
+
+def test_rule_metadata(spark):
+    from pageprism.operators.rules import bodies, metadata_table
+    from pageprism.sources.rule_files import texts
+
+    files = texts(spark, {"a.json": '{"T": {"website": "w", "saas": true, "pricing": "low"}}'})
+    row = metadata_table(bodies(files)).first()
+    assert (row.tech, row.website, row.saas, row.oss, row.pricing) == ("T", "w", True, None, ["low"])
+
+
 def test_rule_folder(spark, tmp_path):
     (tmp_path / "rules").mkdir()
     (tmp_path / "rules" / "a.json").write_text('{"T": {"html": "x", "cats": [1]}}')
