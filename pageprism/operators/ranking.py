@@ -26,7 +26,8 @@ def rank_by_hash(df: DataFrame, keys: list[str], order: str, ties: list[str] = (
                  rank: str = "rn", total: str = "total") -> DataFrame:
     """Adds ``rank`` (1, 2, ...) and ``total`` (group size) per group in the order of the hash column.
 
-    With ``limit`` only the first ``limit`` rows of a group are returned; whole buckets beyond it are
+    ``order`` should tell rows apart: rows that share it share a bucket (pages are unique per path once the
+    latest captures are taken). With ``limit`` only the first ``limit`` rows of a group are returned; whole buckets beyond it are
     dropped before any sort. Rows with a null key belong to no group and are left out.
     """
     group = [*keys, "_bucket"]
@@ -48,7 +49,8 @@ def rank_by_hash(df: DataFrame, keys: list[str], order: str, ties: list[str] = (
 
 def salted_join(big: DataFrame, side: DataFrame, on: list[str], how: str = "left", salts: int = 32) -> DataFrame:
     """Join where one key may hold a large share of ``big``: its rows are spread over ``salts`` parts
-    and the side, which has few rows per key, is repeated for each part."""
+    and the side, which has few rows per key, is repeated for each part. The salt is a hash of the row, so a
+    retried task makes the same rows; identical copies share a salt and are split by adaptive execution."""
     spread = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in _hashable(big)]), F.lit(salts)).cast("int"))
     repeated = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(repeated, [*on, "_salt"], how).drop("_salt")

@@ -134,11 +134,12 @@ def shop_report(index: DataFrame, fetch: Callable[[DataFrame], DataFrame], seeds
     into pages; no other page is ever read. ``live`` holds ``domain, url_path, link, response, header`` of pages
     collected from the sites themselves, used for domains whose archive ran out.
 
-    With ``store`` the facts are written once to the shared folder and all five tables read them there,
-    each only its own columns.
+    The candidates are written to the shared folder. With ``store`` so are the facts, once, and all five tables
+    read them there, each only its own columns.
     """
     wanted = for_domains(index.where(F.col("crawl").isin(crawls_for_year(year))), seeds)
-    ranked = candidates(page_candidates(wanted), seed=seed, limits=limits)
+    # The candidates are narrow index rows that the fetch, the facts and the tracking table all need.
+    ranked = stored(candidates(page_candidates(wanted), seed=seed, limits=limits), "candidates")
     facts = page_facts(fetch(ranked).withColumn("origin", F.lit("archive")), rules)
     facts = facts.withColumn("is_product", F.col("product_schema").isNotNull())
     if store:
