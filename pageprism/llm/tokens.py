@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -11,6 +13,8 @@ from pageprism.llm.common import spread_ranges
 
 SLICE_BYTES = 1 << 20
 BLANKS = b" \t\n\r\x0b\x0c"
+#: Letters a-z and the letters of Latin-1 in UTF-8, with a stop or comma behind or not.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+[.,]?")
 
 
 def default_tokenizer() -> str:
@@ -49,7 +53,7 @@ class TextEncoder:
     in slices that may hold a special token. Other tokenizers get whole texts.
     """
 
-    def __init__(self, tokenizer_json: str, most_chunks: int = 400_000):
+    def __init__(self, tokenizer_json: str, most_chunks: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -58,32 +62,73 @@ class TextEncoder:
         self.by_chunk = not ids(" \n\t\r\x0b\x0c") and all(ids(f"{a}{chr(b)}b") == ids(a) + ids("b")
                                                            for a in ("a", "-", "é") for b in BLANKS)
         self.folds = ids("ABCDEFGHIJKLMNOPQRSTUVWXYZ aB") == ids("abcdefghijklmnopqrstuvwxyz ab")
+        self.word_ends = self._word_ends() if self.by_chunk else None
         self._reset()
 
+    def _word_ends(self) -> np.ndarray | None:
+        """By id, whether a word ends there; None where the vocabulary doesn't tell or a word in two forms does not keep to it."""
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if not suffix:
+            return None
+        ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            ends[i] = token.endswith(suffix)
+        ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        tried = ("ab.", "zzqxjv,", "éàüñ.", "ß,")
+        kept = all(ends[ids(t)].sum() == 2 and ids(t) == ids(t[:-1]) + ids(t[-1]) for t in tried)
+        return ends if kept else None
+
     def _reset(self) -> None:
         self.index = _Index()
         self.flat = np.zeros(1 << 16, np.uint32)
         self.used = 0
-        self.first = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
+        self.first = np.zeros(1 << 16, np.int64)
+        self.size = np.zeros(1 << 16, np.int64)
 
     def _learn(self) -> None:
+        """Ids of the chunks that are new. Runs of plain letters, perhaps with a stop or comma behind, are one or two words to the
+        tokenizer; many of them are encoded as one text, which is cut again where words end."""
         fresh, self.index.fresh = self.index.fresh, []
         if not fresh:
             return
-        found = []
-        for i in range(0, len(fresh), 20_000):
-            texts = [c.decode("utf-8", "replace") for c in fresh[i:i + 20_000]]
-            found += [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        new = np.fromiter((x for ids in found for x in ids), np.uint32, int(size.sum()))
+        size = np.zeros(len(fresh), np.int64)
+        parts: list[np.ndarray] = []
+        order: list[np.ndarray] = []
+        for group, joined in self._by_form(fresh):
+            for i in range(0, len(group), 2048):
+                own = np.array(group[i:i + 2048])
+                texts = [fresh[k].decode("utf-8", "replace") for k in own.tolist()]
+                if joined:
+                    ids = np.array(self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, np.uint32)
+                    ends = np.nonzero(self.word_ends[ids])[0] + 1
+                    words = np.cumsum(1 + np.array([not t[-1].isalpha() for t in texts]))
+                    size[own] = np.diff(ends[words - 1], prepend=0)
+                else:
+                    found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+                    size[own] = np.fromiter(map(len, found), np.int64, len(found))
+                    ids = np.fromiter(chain.from_iterable(found), np.uint32)
+                parts.append(ids)
+                order.append(own)
+        new, turn = np.concatenate(parts), np.concatenate(order)
         while self.used + len(new) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
         self.flat[self.used:self.used + len(new)] = new
-        self.first = np.concatenate([self.first, self.used + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
+        first = np.zeros(len(fresh), np.int64)
+        first[turn] = self.used + np.cumsum(size[turn]) - size[turn]
+        known = len(self.index) - len(fresh)
+        while len(self.index) > len(self.first):
+            self.first, self.size = (np.concatenate([x, np.zeros(len(x), np.int64)]) for x in (self.first, self.size))
+        self.first[known:known + len(fresh)], self.size[known:known + len(fresh)] = first, size
         self.used += len(new)
 
+    def _by_form(self, fresh: list[bytes]) -> list[tuple[list[int], bool]]:
+        if self.word_ends is None:
+            return [(list(range(len(fresh))), False)]
+        plain, other = [], []
+        for k, chunk in enumerate(fresh):
+            (plain if PLAIN.fullmatch(chunk) else other).append(k)
+        return [(plain, True), (other, False)]
+
     def _chunks(self, text: bytes) -> list[bytes]:
         return (text.lower() if self.folds and b"<|" not in text else text).split()
 
