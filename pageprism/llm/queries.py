@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pageprism.llm import packing, records, simhash
+from pageprism.llm import packing, records, secret_scan, simhash
 
 QUERIES = {
+    "op2_secret_scan": secret_scan.op2_secret_scan,
     "op3_packing": packing.op3_packing,
     "op4_simhash": simhash.op4_simhash,
     "op10_token_records": records.op10_token_records,
