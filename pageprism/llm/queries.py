@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pageprism.llm import packing, records, secret_scan, simhash
+from pageprism.llm import lang_id, packing, records, secret_scan, simhash, topk
 
 QUERIES = {
     "op2_secret_scan": secret_scan.op2_secret_scan,
     "op3_packing": packing.op3_packing,
     "op4_simhash": simhash.op4_simhash,
+    "op6_language": lang_id.op6_language,
+    "op8_topk": topk.op8_topk,
     "op10_token_records": records.op10_token_records,
 }
 
