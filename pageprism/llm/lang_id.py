@@ -18,7 +18,7 @@ CENTROIDS = 4
 SAMPLE_PER_LANGUAGE = 400
 MOST_SAMPLES = 4000
 MOST_LANGUAGES = 500
-REJECT_QUANTILE = 0.001
+REJECT_QUANTILE = 0.01
 REJECT_MARGIN = 0.5
 FOLDS = 5
 UNKNOWN = "und"

@@ -20,6 +20,8 @@ SEED = 42
 BITS_APART = 2
 BYTES = 8
 LONG_POSTING = 64
+VIEW_SHINGLES = 8
+VIEW_BITS_APART = 13
 _CHUNK = 1 << 16
 
 
@@ -45,16 +47,33 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def with_fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and ``fp``: the fingerprint's 64 bits as a signed long."""
+def view_prints(hashes: np.ndarray, views: int, shingles: int = VIEW_SHINGLES) -> list[int]:
+    """Fingerprints of samples: each view orders the different shingles anew and takes the first ``shingles``. Similar texts have equal samples in some views,
+    though their whole fingerprints may differ in many bits."""
+    different = np.unique(hashes)
+    out = []
+    for v in range(views):
+        mixed = (different ^ np.uint64((v + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(32)
+        first = np.argpartition(mixed, shingles)[:shingles] if len(mixed) > shingles else slice(None)
+        out.append(fingerprint(different[first]))
+    return out
+
+
+def with_fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, views: int = 0) -> DataFrame:
+    """doc_id, ``fp`` (the fingerprint's 64 bits as a signed long) and ``views`` (those of samples)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(shingle_hashes(t, shingle_words)) for t in column_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(prints, np.uint64).view(np.int64))],
-                                             names=["doc_id", "fp"])
+            prints, sampled = [], []
+            for text in column_bytes(batch.column(1)):
+                hashes = shingle_hashes(text, shingle_words)
+                prints.append(fingerprint(hashes))
+                sampled.append(np.array(view_prints(hashes, views), np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(prints, np.uint64).view(np.int64)),
+                                              pa.array(sampled, pa.list_(pa.int64()))], names=["doc_id", "fp", "views"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long, views array<long>")
 
 
 def _byte(fp: Column, position: int) -> Column:
@@ -107,16 +126,26 @@ def links(prints: DataFrame, bits_apart: int = BITS_APART, long_posting: int = L
     return near.select("a", "b").union(starred).distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, bits_apart: int = BITS_APART) -> DataFrame:
+def view_links(prints: DataFrame, bits_apart: int = VIEW_BITS_APART) -> DataFrame:
+    """Links (a, b) between prints with an equal sample in some view, if the whole prints are at most ``bits_apart`` bits apart. All prints of a sample are
+    compared with its least and its greatest one, so a sample that very many texts share makes no more than two links for each."""
+    seen = prints.select("fp", F.posexplode("views").alias("view", "sample")).distinct()
+    ends = seen.groupBy("view", "sample").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low < high")
+    met = seen.join(ends, ["view", "sample"]).select(F.explode(F.array("low", "high")).alias("a"), F.col("fp").alias("b"))
+    return met.where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits_apart)).distinct()
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, bits_apart: int = BITS_APART, views: int = 0) -> DataFrame:
     """(doc_id, fp, component_id) of every document: the smallest doc_id that a chain of links reaches.
 
-    Equal prints are folded into one before the index is made, so copies cost nothing. A text without words (null, empty) has
-    print 0. A null doc_id takes part in links but never names a component; a component of such rows alone has a null
-    name. Repeated rows stay. Extra columns are left out.
+    Texts are linked if their fingerprints are at most ``bits_apart`` bits apart, and with ``views`` also by ``view_links``. Equal prints are folded
+    into one before the index is made, so copies cost nothing. A text without words (null, empty) has print 0. A null doc_id takes part in links
+    but never names a component; a component of such rows alone has a null name. Repeated rows stay. Extra columns are left out.
     """
-    prints = stored(with_fingerprints(docs, shingle_words), "prints")
+    prints = stored(with_fingerprints(docs, shingle_words, views), "prints")
     least = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "least")
-    found = components(links(least.select("fp"), bits_apart))
+    linked = links(least.select("fp"), bits_apart)
+    found = components(linked.union(view_links(prints)) if views else linked)
     named = least.join(found.withColumnRenamed("node", "fp"), "fp")
     groups = named.groupBy("component").agg(F.min("least").alias("group_least"))
     linked = named.join(groups, "component").select("fp", "group_least")
