@@ -9,12 +9,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 TEXT_GROUP_BYTES = 2 << 20
+BATCH_BYTES = "8m"
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow`` with batches bounded by bytes too, unless the session has set a bound: ten thousand whole texts at once
+    would take a worker's memory."""
+    if df.sparkSession.conf.get(_BATCH_SETTING, None) is None:
+        df.sparkSession.conf.set(_BATCH_SETTING, BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
 def column_bytes(column: pa.Array) -> list[bytes]:
     """Values of a string column as UTF-8; null counts as empty."""
     return [v or b"" for v in column.cast(pa.binary()).to_pylist()]

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageprism.llm.common import column_bytes, table
+from pageprism.llm.common import column_bytes, map_batches, table
 from pageprism.session import stored
 
 FEATURES = 1 << 14
@@ -149,7 +149,7 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most_languag
                                               pa.array(grams, pa.binary()), pa.array(values, pa.binary())],
                                              names=["label", "order", "grams", "counts"])
 
-    found = stored(sample.mapInArrow(run, "label int, order long, grams binary, counts binary"), "grams").collect()
+    found = stored(map_batches(sample, run, "label int, order long, grams binary, counts binary"), "grams").collect()
     found.sort(key=lambda r: (r.label, r.order))
     known = sorted({r.label for r in found})
     counts = np.zeros((len(found), FEATURES), np.float32)
@@ -176,7 +176,7 @@ def identify(docs: DataFrame, model: Centroids) -> DataFrame:
 
     given = docs.select(*names)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields)
-    return given.mapInArrow(run, f"{schema}, lang_pred string, score double, rejected boolean")
+    return map_batches(given, run, f"{schema}, lang_pred string, score double, rejected boolean")
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageprism.llm.common import column_bytes, groups_by_bytes, table
+from pageprism.llm.common import column_bytes, groups_by_bytes, map_batches, table
 from pageprism.llm.tokens import default_tokenizer, encoder, tokenizer_text
 
 SEQUENCE_TOKENS = 4096
@@ -108,7 +108,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, end_id: int = END_I
                 pa.array([window[d][1][s:s + n].tobytes() for d, s, n, *_ in part], pa.binary())], schema=_ARROW)
         return max((p[3] for p in placed), default=-1) + 1
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECES)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, PIECES)
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

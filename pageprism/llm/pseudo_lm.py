@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageprism.llm.common import column_bytes, groups_by_bytes, table
+from pageprism.llm.common import column_bytes, groups_by_bytes, map_batches, table
 from pageprism.session import stored
 
 CLASSES = 256
@@ -43,7 +43,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     held = Counter()
         yield from _count_rows(held)
 
-    counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "word binary, n long")
+    counted = map_batches(docs.select(F.col("text").cast("string")), run, "word binary, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -74,7 +74,7 @@ def encode(docs: DataFrame, frequent: list[bytes]) -> DataFrame:
             tokens = [bytes(map(classes.__getitem__, text.lower().split())) for text in column_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.binary())], names=["doc_id", "tokens"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, tokens binary")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, tokens binary")
 
 
 @dataclass
@@ -190,7 +190,7 @@ def train(encoded: DataFrame, rounds: int = ROUNDS, every: int = EVERY, seed: in
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values * learned), pa.array(np.full(len(values), float(learned)))],
                                                  names=["i", "value", "learned"])
 
-        rows = encoded.select("tokens").coalesce(spark.sparkContext.defaultParallelism).mapInArrow(run, "i long, value double, learned double")
+        rows = map_batches(encoded.select("tokens").coalesce(spark.sparkContext.defaultParallelism), run, "i long, value double, learned double")
         mean = rows.groupBy("i").agg((F.sum("value") / F.sum("learned")).alias("value")).collect()
         if not mean:
             break
@@ -224,7 +224,7 @@ def score(encoded: DataFrame, net: Network) -> DataFrame:
                 sums = score_documents(documents[a:b], model.value, tables)
                 yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), pa.array(counts), pa.array(sums)], names=["doc_id", "n_tokens", "log_likelihood"])
 
-    scored = encoded.select("doc_id", "tokens").mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double")
+    scored = map_batches(encoded.select("doc_id", "tokens"), run, "doc_id long, n_tokens long, log_likelihood double")
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     return scored.withColumn("mean_log_likelihood", mean)
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pageprism.llm.common import column_bytes, groups_by_bytes, table
+from pageprism.llm.common import column_bytes, groups_by_bytes, map_batches, table
 from pageprism.llm.tokens import default_tokenizer, encoder, tokenizer_text
 from pageprism.session import shared_folder
 
@@ -114,7 +114,7 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str | None = None,
     mark = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), mark.alias("mark"))
     placed = rows.repartitionByRange("doc_id", "mark").sortWithinPartitions("doc_id", "mark")
-    placed.mapInArrow(run, _MANIFEST).write.mode("overwrite").parquet(f"{path}/manifest")
+    map_batches(placed, run, _MANIFEST).write.mode("overwrite").parquet(f"{path}/manifest")
     return read_manifest(spark, path)
 
 
@@ -146,7 +146,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
     n = max(1, manifest.count())
     narrow = manifest.select("file", "start").repartition(n, "file")
-    return narrow.mapInArrow(run, _READ).withColumnRenamed("file_start", "start")
+    return map_batches(narrow, run, _READ).withColumnRenamed("file_start", "start")
 
 
 def _rows(data: bytes, n: int, start: int) -> tuple[pa.RecordBatch, int]:
@@ -189,7 +189,7 @@ def read_shuffled(spark: SparkSession, path: str, seed: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(positions[lo:lo + 256], pa.int64()), pa.array(keys, pa.int64()),
                                                   pa.array(values, pa.binary())], names=["position", "doc_id", "ids"])
 
-    return order.mapInArrow(run, "position long, doc_id long, ids binary")
+    return map_batches(order, run, "position long, doc_id long, ids binary")
 
 
 def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:

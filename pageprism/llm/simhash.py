@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageprism.llm.common import column_bytes, table
+from pageprism.llm.common import column_bytes, map_batches, table
 from pageprism.llm.components import components
 from pageprism.session import stored
 
@@ -73,7 +73,7 @@ def with_fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, views
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(prints, np.uint64).view(np.int64)),
                                               pa.array(sampled, pa.list_(pa.int64()))], names=["doc_id", "fp", "views"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long, views array<long>")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, fp long, views array<long>")
 
 
 def _byte(fp: Column, position: int) -> Column:

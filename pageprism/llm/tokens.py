@@ -53,7 +53,7 @@ class TextEncoder:
     in slices that may hold a special token. Other tokenizers get whole texts.
     """
 
-    def __init__(self, tokenizer_json: str, most_chunks: int = 800_000):
+    def __init__(self, tokenizer_json: str, most_chunks: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)

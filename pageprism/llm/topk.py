@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pageprism.llm.common import table
+from pageprism.llm.common import map_batches, table
 from pageprism.session import stored
 
 K = 5
@@ -80,7 +80,7 @@ def gram_basis(rows: DataFrame, width: int) -> np.ndarray:
         i, j = np.indices((width, width)).reshape(2, -1)
         yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(total.reshape(-1))], names=["i", "j", "m"])
 
-    sums = rows.select("ids", "vectors", "dim").mapInArrow(run, "i long, j long, m double")
+    sums = map_batches(rows.select("ids", "vectors", "dim"), run, "i long, j long, m double")
     moments = np.zeros((width, width))
     for r in sums.groupBy("i", "j").agg(F.sum("m").alias("m")).collect():
         moments[r.i, r.j] = r.m
@@ -184,7 +184,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE)
     if not width:
         width = 1
     by_length = rows.repartitionByRange(F.desc("norm"), "vec_id").sortWithinPartitions(F.desc("norm"), "vec_id")
-    blocks = stored(by_length.select("vec_id", "v").mapInArrow(_pack_rows(BLOCK), _PACKED), "blocks")
+    blocks = stored(map_batches(by_length.select("vec_id", "v"), _pack_rows(BLOCK), _PACKED), "blocks")
     basis = spark.sparkContext.broadcast(gram_basis(blocks, width))
     longest = rows.orderBy(F.desc("norm"), "vec_id").limit(HEAD).select("vec_id", "v").collect()
     head = np.zeros((len(longest), width))
@@ -192,13 +192,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE)
         head[i, :len(r.v)] = r.v
     head = spark.sparkContext.broadcast((np.array([r.vec_id for r in longest], np.int64), head))
     asked = rows.where("is_query").select("vec_id", "v").dropDuplicates().repartitionByRange("vec_id").sortWithinPartitions("vec_id")
-    packed = asked.mapInArrow(_pack_rows(QUERY_BLOCK), _PACKED).select("ids", "vectors", "dim")
-    queries = stored(packed.mapInArrow(_floors(k, width, basis, head), "q_ids binary, q_vectors binary, q_dim int, floor binary"), "queries")
+    packed = map_batches(asked, _pack_rows(QUERY_BLOCK), _PACKED).select("ids", "vectors", "dim")
+    queries = stored(map_batches(packed, _floors(k, width, basis, head), "q_ids binary, q_vectors binary, q_dim int, floor binary"), "queries")
     stripes = max(1, min(math.ceil(n / BLOCK), 4 * spark.sparkContext.defaultParallelism))
     items = blocks.select("ids", "vectors", "dim", (F.monotonically_increasing_id() % stripes).cast("int").alias("stripe"))
     copies = queries.select("*", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))).alias("stripe"))
     met = copies.join(items, "stripe").select("q_ids", "q_vectors", "q_dim", "floor", "ids", "vectors", "dim")
-    found = met.mapInArrow(_pairs(k, width, basis), "query_id long, vec_id long, score long")
+    found = map_batches(met, _pairs(k, width, basis), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
