@@ -15,6 +15,9 @@ SLICE_BYTES = 1 << 20
 BLANKS = b" \t\n\r\x0b\x0c"
 #: Letters a-z and the letters of Latin-1 in UTF-8, with a stop or comma behind or not.
 PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+[.,]?")
+#: Those among them that hold small letters only: normalising leaves them as they are.
+SMALL = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+[.,]?")
+JOINED = 256
 
 
 def default_tokenizer() -> str:
@@ -53,7 +56,7 @@ class TextEncoder:
     in slices that may hold a special token. Other tokenizers get whole texts.
     """
 
-    def __init__(self, tokenizer_json: str, most_chunks: int = 600_000):
+    def __init__(self, tokenizer_json: str, most_chunks: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -63,8 +66,20 @@ class TextEncoder:
                                                            for a in ("a", "-", "é") for b in BLANKS)
         self.folds = ids("ABCDEFGHIJKLMNOPQRSTUVWXYZ aB") == ids("abcdefghijklmnopqrstuvwxyz ab")
         self.word_ends = self._word_ends() if self.by_chunk else None
+        self.bare = self._without_normalizer(Tokenizer.from_str(tokenizer_json))
         self._reset()
 
+    def _without_normalizer(self, bare):
+        """The tokenizer without its normaliser, for text that it would leave as it is; the tokenizer itself if small letters aren't left so."""
+        from tokenizers import normalizers
+
+        text = " ".join(map(chr, [*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100)]))
+        given = self.tokenizer.normalizer
+        if given is not None and given.normalize_str(text) != text:
+            return self.tokenizer
+        bare.normalizer = normalizers.Sequence([])
+        return bare
+
     def _word_ends(self) -> np.ndarray | None:
         """By id, whether a word ends there; None where the vocabulary doesn't tell or a word in two forms does not keep to it."""
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
@@ -95,15 +110,16 @@ class TextEncoder:
         parts: list[np.ndarray] = []
         order: list[np.ndarray] = []
         for group, joined in self._by_form(fresh):
-            for i in range(0, len(group), 2048):
-                own = np.array(group[i:i + 2048])
-                texts = [fresh[k].decode("utf-8", "replace") for k in own.tolist()]
+            for i in range(0, len(group), JOINED):
+                own = np.array(group[i:i + JOINED])
+                chunks = [fresh[k] for k in group[i:i + JOINED]]
                 if joined:
-                    ids = np.array(self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, np.uint32)
+                    ids = np.array(joined.encode_batch_fast([b" ".join(chunks).decode()], add_special_tokens=False)[0].ids, np.uint32)
                     ends = np.nonzero(self.word_ends[ids])[0] + 1
-                    words = np.cumsum(1 + np.array([not t[-1].isalpha() for t in texts]))
+                    words = np.cumsum([1 + (c[-1] in b".,") for c in chunks])
                     size[own] = np.diff(ends[words - 1], prepend=0)
                 else:
+                    texts = [c.decode("utf-8", "replace") for c in chunks]
                     found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
                     size[own] = np.fromiter(map(len, found), np.int64, len(found))
                     ids = np.fromiter(chain.from_iterable(found), np.uint32)
@@ -121,13 +137,17 @@ class TextEncoder:
         self.first[known:known + len(fresh)], self.size[known:known + len(fresh)] = first, size
         self.used += len(new)
 
-    def _by_form(self, fresh: list[bytes]) -> list[tuple[list[int], bool]]:
+    def _by_form(self, fresh: list[bytes]) -> list[tuple[list[int], object]]:
+        """Chunks by the tokenizer that takes many as one text; None where each is encoded alone."""
         if self.word_ends is None:
-            return [(list(range(len(fresh))), False)]
-        plain, other = [], []
+            return [(list(range(len(fresh))), None)]
+        small, plain, other = [], [], []
         for k, chunk in enumerate(fresh):
-            (plain if PLAIN.fullmatch(chunk) else other).append(k)
-        return [(plain, True), (other, False)]
+            if chunk.isalpha() and chunk.islower():  # ASCII only
+                small.append(k)
+            else:
+                (small if SMALL.fullmatch(chunk) else plain if PLAIN.fullmatch(chunk) else other).append(k)
+        return [(small, self.bare), (plain, self.tokenizer), (other, None)]
 
     def _chunks(self, text: bytes) -> list[bytes]:
         return (text.lower() if self.folds and b"<|" not in text else text).split()
