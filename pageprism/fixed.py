@@ -144,31 +144,31 @@ CURRENCY_PATTERNS = [
 SOCIAL_PLATFORMS = [
     (
         "facebook",
-        r"^https?://(?:[^/?#]*\.)?facebook\.com(?!/(?:share|ads|legal|about|groups|policy\.php|business|settings))",
+        r"^(?:https?:)?//(?:[^/?#]*\.)?facebook\.com(?!/(?:sharer?(?:\.php)?|ads|legal|about|groups|policy\.php|business|settings)(?:[/?#]|$))(?:[:/?#]|$)",
         r"developers|docs",
         r".*facebook\.com/.*?(?:/|$)",
     ),
     (
         "twitter",
-        r"twitter\.com(?!/(?:share|intent|personalization|home/?\?))",
+        r"^(?:https?:)?//(?:[^/?#]*\.)?twitter\.com(?!/(?:(?:share|intent|personalization)(?:[/?#]|$)|home/?\?))(?:[:/?#]|$)",
         None,
         r".*twitter\.com/.*?(?:/|$)",
     ),
     (
         "instagram",
-        r"^https?://(?:[^/?#]*\.)?instagram\.com(?!/(?:share|about|explore|p|tv|vp|oauth))",
+        r"^(?:https?:)?//(?:[^/?#]*\.)?instagram\.com(?!/(?:share|about|explore|p|tv|vp|oauth)(?:[/?#]|$))(?:[:/?#]|$)",
         r"help",
         r".*instagram\.com/.*?(?:/|$)",
     ),
     (
         "youtube",
-        r"youtube\.com/",
+        r"^(?:https?:)?//(?:[^/?#]*\.)?youtube\.com/",
         None,
         r".*youtube\.com/(?:user/[^/\s]+|channel/[^/\s]+|c/[^/\s]+|[^/\s]+)(?:/|$|\s)",
     ),
-    ("tiktok", r"tiktok\.com/@", None, r"(?s)^.*$"),
-    ("playstore", r"play\.google\.com", None, r"(?s)^.*$"),
-    ("appstore", r"itunes\.apple\.com", None, r"(?s)^.*$"),
+    ("tiktok", r"^(?:https?:)?//(?:[^/?#]*\.)?tiktok\.com/@", None, r"(?s)^.*$"),
+    ("playstore", r"^(?:https?:)?//play\.google\.com(?:[:/?#]|$)", None, r"(?s)^.*$"),
+    ("appstore", r"^(?:https?:)?//itunes\.apple\.com(?:[:/?#]|$)", None, r"(?s)^.*$"),
 ]
 
 # --- Fixed values: item types that describe a product, in order of preference --------

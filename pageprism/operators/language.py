@@ -56,18 +56,15 @@ def _ngrams(df: DataFrame, text: str, keep: list[str], n: int) -> DataFrame:
 
 
 def learn_profile(labelled: DataFrame, text: str = "text", lang: str = "lang", n: int = 3,
-                  size: int = 2000) -> DataFrame:
-    """Naive Bayes weights of the ``size`` most frequent n-grams per language: ``gram, weights`` with
-    one weight per language.
-
-    The profile has at most ``size`` rows per language, whatever the size of the training table.
-    """
+                  size: int | None = None) -> DataFrame:
+    """Naive Bayes weights of n-grams: ``gram, weights`` with one weight per language. All n-grams count unless
+    ``size`` asks for the most frequent ones of each language."""
     counts = _ngrams(labelled.select(F.col(lang).alias("lang"), text), text, ["lang"], n)
     # In two steps, so that no task ever holds all n-grams of a language.
     part = Window.partitionBy("lang", F.pmod(F.xxhash64("gram"), F.lit(64))).orderBy(F.desc("n"), "gram")
     top = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     kept = counts
-    for window in (part, top):
+    for window in (part, top) if size else ():
         kept = kept.withColumn("_r", F.row_number().over(window)).where(F.col("_r") <= size).drop("_r")
     totals = kept.groupBy("lang").agg(F.sum("n").alias("total"))
     languages = totals.agg(F.sort_array(F.collect_list(F.struct("lang", "total"))).alias("languages"))
@@ -84,11 +81,13 @@ def learn_profile(labelled: DataFrame, text: str = "text", lang: str = "lang", n
 
 
 def score_languages(df: DataFrame, profile: DataFrame, key: str, text: str = "text", n: int = 3) -> DataFrame:
-    """``key, lang_detected``: best-scoring language per row. Scores of a row fold on the map side."""
+    """``key, lang_detected``: best-scoring language per row, null for a row without a known n-gram. Scores of a row
+    fold on the map side."""
     grams = _ngrams(df, text, [key], n)
-    return (
+    scored = (
         grams.join(broadcast_if_small(profile), "gram")
         .select(key, "n", F.explode("weights").alias("_w"))
         .groupBy(key, F.col("_w.lang").alias("lang")).agg(F.sum(F.col("n") * F.col("_w.weight")).alias("score"))
         .groupBy(key).agg(F.max_by("lang", F.struct("score", "lang")).alias("lang_detected"))
     )
+    return df.select(key).distinct().join(scored, key, "left")

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pageprism.operators import selectors
+
 MAX_RULE_ROWS = 100_000
 
 
@@ -144,8 +146,19 @@ def _groups(spark: SparkSession, pattern: str) -> int | None:
         return None
 
 
+def _readable(row) -> bool:
+    if row.selector is None:
+        return True
+    try:
+        selectors.parse(row.selector)
+    except ValueError:
+        return False
+    return True
+
+
 def load_rules(files: DataFrame, category_files: DataFrame | None = None) -> RuleSet:
-    """Rule set of ``file, text`` rows. Patterns that do not compile are reported in ``rejected``."""
+    """Rule set of ``file, text`` rows. Patterns that do not compile and selectors that can't be read are reported in
+    ``rejected``."""
     spark = files.sparkSession
     parsed = bodies(files)
     rows = rule_table(parsed).orderBy("tech", "field", "selector", "key", "pattern").limit(MAX_RULE_ROWS + 1).collect()
@@ -154,7 +167,7 @@ def load_rules(files: DataFrame, category_files: DataFrame | None = None) -> Rul
     good, rejected = [], []
     for row in rows:
         groups = _groups(spark, row.pattern)
-        (rejected if groups is None else good).append((row, groups))
+        (good if groups is not None and _readable(row) else rejected).append((row, groups))
     named = category_table(parsed)
     if category_files is not None:
         named = named.join(categories(category_files).select("cat_id", "name"), "cat_id")

@@ -22,9 +22,9 @@ HIT = "array<struct<technology:string,version:string,confidence:int,field:string
 
 def required_literal(pattern: str) -> str:
     """Longest lower-case ASCII text that every match of a pattern contains; '' when unknown."""
-    if "|" in pattern or "(?" in pattern.replace("(?:", "("):
+    if "|" in pattern or "(?" in pattern.replace("(?:", "(") or r"\Q" in pattern:
         return ""
-    bare = re.sub(r"\\[a-zA-Z0-9]|\[(?:\\.|[^\]\\])*\]|\\(.)", lambda m: m[1] if m[1] in tuple("./-_:") else "\0", pattern)
+    bare = re.sub(r"\\x\{[^}]*\}|\\x..|\\u....|\\c.|\\0[0-7]{1,3}|\\[pPN](?:\{[^}]*\}|.)|\\k<[^>]*>|\\\d+|\\[a-zA-Z]|\[(?:\\.|[^\]\\])*\]|\\(.)", lambda m: m[1] if m[1] in tuple("./-_:") else "\0", pattern)
     while (shorter := re.sub(r"\([^()]*\)[*?+]?(?:\{[^}]*\})?", "\0", bare)) != bare:
         bare = shorter
     # A quantifier makes the character in front of it optional or repeated.

@@ -117,6 +117,12 @@ def test_parse_headers(spark):
     ("https://www.instagram.com/shop/p1", [("instagram", "https://www.instagram.com/shop")]),
     ("https://www.tiktok.com/@x/", [("tiktok", "https://www.tiktok.com/@x")]),
     ("https://example.org/", []),
+    ("https://www.instagram.com/pizzashop", [("instagram", "https://www.instagram.com/pizzashop")]),
+    ("https://www.facebook.com/aboutyou", [("facebook", "https://www.facebook.com/aboutyou")]),
+    ("https://twitter.com/shareasale", [("twitter", "https://twitter.com/shareasale")]),
+    ("https://www.facebook.com/sharer/sharer.php?u=x", []), ("https://www.facebook.com/sharer.php?u=x", []),
+    ("https://www.instagram.com/p/xyz/", []), ("https://twitter.com/home?status=x", []),
+    ("https://nottwitter.com/acme", []), ("https://e.com/r?to=https://twitter.com/acme", []), ("https://e.com/play.google.com", []),
 ])
 def test_social(spark, link, want):
     got = values(spark, [(link,)], "l string", social.social_accounts("l"))[0]
