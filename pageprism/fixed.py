@@ -68,75 +68,77 @@ NON_PAGE_PREFIXES = ["mailto:", "tel:", "javascript:", "data:", "#"]
 # --- Fixed values: texts that stand for "no value" --------------------------------
 PLACEHOLDERS = ["none", "null", "undefined", ""]
 
-# --- Fixed values: price patterns in order of trust, with the value group ----------
+# --- Fixed values: price patterns in order of trust: a text that each match contains, and the pattern ----
+# The value is group 1. Each pattern runs in time linear in the page: repeats that meet only characters they can't
+# hold are possessive, and a scan stops where the next one starts.
 PRICE_PATTERNS = [
-    (r"""([^:\-_?!\w]*)(product:price:amount)[^:\-_?!\w]*content[:=]*[^:\-_?!\w]*(\d+([.,]\d+)*)""", 3),
-    (r"""([^:\-_?!\w]*)(regularprice)[^:\-_?!\w]*content[:=]*[^:\-_?!\w]*(\d+([.,]\d+)*)""", 3),
-    (r"""[^:\-_?!\w]*(price(01|02)*)[^:\-_?!\w]*[=:{'"><_\s]*amount([=:{'"><_\s]*)(\d+([.,]\d+)*)""", 4),
-    (r"""[^:\-_?!\w]*(regularprice)[^:\-_?!\w]*[=:{'"><_\s]*amount([=:{'"><_\s]*)(\d+([.,]\d+)*)""", 3),
-    (r"""price-amount amount[><:='"\s]*<bdi>(\d+([.,]\d+)*)""", 1),
-    (r""""price" style="display:none;">(\d+([.,]\d+)*)""", 1),
-    (r"""([^:\-_?!\w]price)[^\-_\w]current([^\-_\w]*)[:=]([^\-_\w]*)(\d+([.,]\d+)*)""", 4),
-    (r"""[^:\-_?!\w](price(01|02)*)[^\-_\w]*[:=][^\-_\w]*(\d+([.,]\d+)*)""", 3),
-    (r"""[^:\-_?!\w](regularprice)[^\-_\w]*[:=][^\-_\w]*(\d+([.,]\d+)*)""", 2),
-    (r"""[^:\-_?!\w](price(01|02)*)[^\-_\w]*(content)[^\-_\w]*(\d+([.,]\d+)*)""", 4),
-    (r"""[^:\-_?!\w](price(01|02)*)[^\-_\w]*(data-product-price)[^\-_\w]*(\d+([.,]\d+)*)""", 4),
-    (r"""[^:\-_?!\w](regularprice)[^\-_\w]*(value)[^\-_\w]*(\d+([.,]\d+)*)""", 3),
-    (r"""["'><_\s]*formattedvalue(["'\s:=]*)[$£¥円€a-z\s]*(\s)*(\d+([.,]\d+)*)""", 3),
-    (r"""["'><_\s]*price_formatted(["'\s:=]*)[$£¥円€a-z\s]*(\s)*(\d+([.,]\d+)*)""", 3),
-    (r"""['"><_\s]*price(01|02)*(["'\s:=]*)[$£¥円€a-z\s]*(\d+([.,]\d+)*)""", 3),
-    (r"""([^:\-_?!\w]pricetotal:)[^:\-_?!\w](initialize\()(\d+([.,]\d+)*)(\))""", 3),
-    (r"""[^:\-_?!\w](price(01|02)*)([^:\-_?!\w]*)[:=]*[^:\-_?!\w]*(\d+([.,]\d+)*)""", 4),
-    (r"""[^:\-_?!\w](regularprice)([^:\-_?!\w]*)[:=]*[^:\-_?!\w]*(\d+([.,]\d+)*)""", 3),
-    (r"""([^:\-_?!\w]*)(price(01|02)*)[^:\-_?!\w]*content[:=]*[^:\-_?!\w]*(\d+([.,]\d+)*)""", 4),
-    (r"""(price(01|02)*)([^:\-_?!\w]*)[:=]*[^:\-_?!\w]*(\d+([.,]\d+)*)""", 4),
-    (r"""[^:\-_?!\w](pricecol)['"\s><]*span['"\s<>]*[\D]*(\d+([.,]\d+)*)""", 2),
+    ("product:price:amount", r"""product:price:amount[^:\-_?!\w]*+content[:=]*+[^:\-_?!\w]*+(\d+(?:[.,]\d+)*+)"""),
+    ("regularprice", r"""regularprice[^:\-_?!\w]*+content[:=]*+[^:\-_?!\w]*+(\d+(?:[.,]\d+)*+)"""),
+    ("amount", r"""price(?:0[12])*+[^:\-_?!\w]*+[=:{'"><_\s]*+amount[=:{'"><_\s]*+(\d+(?:[.,]\d+)*+)"""),
+    ("amount", r"""regularprice[^:\-_?!\w]*+[=:{'"><_\s]*+amount[=:{'"><_\s]*+(\d+(?:[.,]\d+)*+)"""),
+    ("price-amount amount", r"""price-amount amount[><:='"\s]*<bdi>(\d+(?:[.,]\d+)*+)"""),
+    ("display:none", r""""price" style="display:none;">(\d+(?:[.,]\d+)*+)"""),
+    ("current", r"""[^:\-_?!\w]price[^\-_\w]current[^\-_\w:=]*+[:=][^\-_\w]*+(\d+(?:[.,]\d+)*+)"""),
+    ("price", r"""[^:\-_?!\w]price(?:0[12])*+[^\-_\w:=]*+[:=][^\-_\w]*+(\d+(?:[.,]\d+)*+)"""),
+    ("regularprice", r"""[^:\-_?!\w]regularprice[^\-_\w:=]*+[:=][^\-_\w]*+(\d+(?:[.,]\d+)*+)"""),
+    ("content", r"""[^:\-_?!\w]price(?:0[12])*+[^\-_\w]*+content[^\-_\w]*+(\d+(?:[.,]\d+)*+)"""),
+    ("data-product-price", r"""[^:\-_?!\w]price(?:0[12])*+[^\-_\w]*+data-product-price[^\-_\w]*+(\d+(?:[.,]\d+)*+)"""),
+    ("regularprice", r"""[^:\-_?!\w]regularprice[^\-_\w]*+value[^\-_\w]*+(\d+(?:[.,]\d+)*+)"""),
+    ("formattedvalue", r"""formattedvalue["'\s:=]*+(?:(?!formattedvalue)[$£¥円€a-z\s])*+(\d+(?:[.,]\d+)*+)"""),
+    ("price_formatted", r"""price_formatted["'\s:=]*+[$£¥円€a-z\s]*+(\d+(?:[.,]\d+)*+)"""),
+    ("price", r"""price(?:(?:0[12])+["'\s:=]*+[$£¥円€a-z\s]*+|["'\s:=]*+(?:(?!price(?!0[12]))[$£¥円€a-z\s])*+)(\d+(?:[.,]\d+)*+)"""),
+    ("pricetotal:", r"""[^:\-_?!\w]pricetotal:[^:\-_?!\w]initialize\((\d+(?:[.,]\d+)*+)\)"""),
+    ("price", r"""[^:\-_?!\w]price(?:0[12])*[^:\-_?!\w]*+[:=]*+[^:\-_?!\w]*+(\d+(?:[.,]\d+)*+)"""),
+    ("regularprice", r"""[^:\-_?!\w]regularprice[^:\-_?!\w]*+[:=]*+[^:\-_?!\w]*+(\d+(?:[.,]\d+)*+)"""),
+    ("content", r"""price(?:0[12])*+[^:\-_?!\w]*+content[:=]*+[^:\-_?!\w]*+(\d+(?:[.,]\d+)*+)"""),
+    ("price", r"""price(?:0[12])*[^:\-_?!\w]*+[:=]*+[^:\-_?!\w]*+(\d+(?:[.,]\d+)*+)"""),
+    ("pricecol", r"""\A(?:(?![^:\-_?!\w]pricecol['"\s><]*+span)[\s\S])*+[^:\-_?!\w]pricecol['"\s><]*+span\D*+(\d+(?:[.,]\d+)*+)"""),
 ]
 
-# --- Fixed values: currency patterns in order of trust, with the value group -------
+# --- Fixed values: currency patterns, in the same form ----
 CURRENCY_PATTERNS = [
-    (r"""[^:\-_?!\w](currency)['"\s]*[:=]['"\s]*([\w$€£¥円]*)""", 2),
-    (r"""[^:\-_?!\w](price(\s*)currency)['"\s]*[:=]['"\s]*([\w$€£¥円]*)""", 3),
-    (r"""[^:\-_?!\w](currency(\s)*code)['"\s]*[:=]['"\s]*([\w$€£¥円]*)""", 3),
-    (r"""[^:\-_?!\w](currency(\s*)symbol)['"\s]*[:=]['"\s]*([\w$€£¥円]*)""", 3),
-    (r"""[^:\-_?!\w](currency_code)['"\s]*[:=]['"\s]*([\w$€£¥円]*)""", 2),
-    (r"""[^:\-_?!\w](currencyiso)['"\s]*[:=]['"\s]*([\w$€£¥円]*)""", 2),
-    (r"""[^:\-_?!\w](currency(\s*)type)['"\s]*[:=]['"\s]*([\w$€£¥円]*)""", 3),
-    (r"""[^:\-_?!\w](product(\s)*currency)['"\s]*content[:='"\s]*([\w$€£¥円]*)""", 3),
-    (r"""[^:\-_?!\w](price(\s*)currency)['"\s]*content[:='"\s]*([\w$€£¥円]*)""", 3),
-    (r"""[^:\-_?!\w](currency(\s)*code)['"\s]*content[:='"\s]*([\w$€£¥円]*)""", 3),
-    (r"""[^:\-_?!\w](currency(\s*)symbol)['"\s]*content[:='"\s]*([\w$€£¥円]*)""", 3),
-    (r"""[^:\-_?!\w](currency_code)['"\s]*content[:='"\s]*([\w$€£¥円]*)""", 2),
-    (r"""[^:\-_?!\w](product:price:currency)['"\s]*content[:='"\s]*([\w$€£¥円]*)""", 2),
-    (r"""[^:\-_?!\w](og:price:currency)['"\s]*content[:='"\s]*([\w$€£¥円]*)""", 2),
-    (r"""[^:\-_?!\w](currency)['"\s]*content[:='"\s]*([\w$€£¥円]*)""", 2),
-    (r"""[^:\-_?!\w](product(\s)*currency)['"\s]*value[:='"\s]*([\w$€£¥円]*)""", 3),
-    (r"""[^:\-_?!\w](price(\s*)currency)['"\s]*value[:='"\s]*([\w$€£¥円]*)""", 3),
-    (r"""[^:\-_?!\w](currency(\s)*code)['"\s]*value[:='"\s]*([\w$€£¥円]*)""", 3),
-    (r"""[^:\-_?!\w](currency(\s*)symbol)['"\s]*value[:='"\s]*([\w$€£¥円]*)""", 3),
-    (r"""[^:\-_?!\w](currency_code)['"\s]*value[:='"\s]*([\w$€£¥円]*)""", 2),
-    (r"""[^:\-_?!\w](product:price:currency)['"\s]*value[:='"\s]*([\w$€£¥円]*)""", 2),
-    (r"""[^:\-_?!\w](og:price:currency)['"\s]*value[:='"\s]*([\w$€£¥円]*)""", 2),
-    (r"""[^:\-_?!\w](currency)['"\s]*value[:='"\s]*([\w$€£¥円]*)""", 2),
-    (r"""[^:\-_?!\w](product(\s)*currency)['"\s]*(&quot;:)*['"\s:=]*([\w$€£¥円]*)""", 4),
-    (r"""[^:\-_?!\w](price(\s*)currency)['"\s]*(&quot;:)*['"\s:=]*([\w$€£¥円]*)""", 4),
-    (r"""[^:\-_?!\w](currency(\s)*code)['"\s]*(&quot;:)*['"\s:=]*([\w$€£¥円]*)""", 4),
-    (r"""[^:\-_?!\w](currency(\s*)symbol)['"\s]*(&quot;:)*['"\s:=]*([\w$€£¥円]*)""", 4),
-    (r"""[^:\-_?!\w](currency)['"\s]*(&quot;:)*['"\s:=]*([\w$€£¥円]*)""", 3),
-    (r"""[^:\-_?!\w](currency_code)['"\s]*(&quot;:)*['"\s:=]*([\w$€£¥円]*)""", 3),
-    (r"""[^:\-_?!\w](price_currency)['"\s]*(&quot;:)*['"\s:=]*([\w$€£¥円]*)""", 3),
-    (r"""\W(price(01|02)*)['"><_\s:=]*([\w$€£¥円]+)""", 3),
-    (r"""\W(regularprice)['"><_\s:=]*([\w$€£¥円]+)""", 2),
-    (r"""\W(regularpriceamount)['"><_\s:=]*([\w$€£¥円]+)""", 2),
-    (r"""\W(pricetotal)['"><_\s:=]*([\w$€£¥円]+)""", 2),
-    (r"""\W(formattedvalue)['"><_\s:=]*([\w$€£¥円]+)""", 2),
-    (r"""[^:\-_?!\w](pricecol)['"\s]*<span>['"\s]*([\w$€£¥円]*)""", 2),
-    (r"""\W(price(01|02)*)['"><_\s:=]*(\d+([.,]\d*)*)(\s)*(<span>)*([\w$€£¥円]+)""", 7),
-    (r"""\W(product_price)['"><_\s:=]*(\d+([.,]\d*)*)(\s)*(<span>)*([\w$€£¥円]+)""", 6),
-    (r"""_amount__currency[><:='"\s]*([\w$€£¥円]+)""", 1),
-    (r"""pricecurrency" style="display:none;">([\w$€£¥円]*)""", 1),
-    (r"""currencysymbol[><:='"\s]*([\w$€£¥円]*)""", 1),
-    (r"""[^:\-_?!\w](pricecol)['"\s><]*span['"\s<>]*(\D*)(\d+([.,]\d+)*)""", 2),
+    ("currency", r"""[^:\-_?!\w]currency['"\s]*+[:=]['"\s]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]price\s*+currency['"\s]*+[:=]['"\s]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]currency\s*+code['"\s]*+[:=]['"\s]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]currency\s*+symbol['"\s]*+[:=]['"\s]*+([\w$€£¥円]*)"""),
+    ("currency_code", r"""[^:\-_?!\w]currency_code['"\s]*+[:=]['"\s]*+([\w$€£¥円]*)"""),
+    ("currencyiso", r"""[^:\-_?!\w]currencyiso['"\s]*+[:=]['"\s]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]currency\s*+type['"\s]*+[:=]['"\s]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]product\s*+currency['"\s]*+content[:='"\s]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]price\s*+currency['"\s]*+content[:='"\s]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]currency\s*+code['"\s]*+content[:='"\s]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]currency\s*+symbol['"\s]*+content[:='"\s]*+([\w$€£¥円]*)"""),
+    ("currency_code", r"""[^:\-_?!\w]currency_code['"\s]*+content[:='"\s]*+([\w$€£¥円]*)"""),
+    ("product:price:currency", r"""[^:\-_?!\w]product:price:currency['"\s]*+content[:='"\s]*+([\w$€£¥円]*)"""),
+    ("og:price:currency", r"""[^:\-_?!\w]og:price:currency['"\s]*+content[:='"\s]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]currency['"\s]*+content[:='"\s]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]product\s*+currency['"\s]*+value[:='"\s]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]price\s*+currency['"\s]*+value[:='"\s]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]currency\s*+code['"\s]*+value[:='"\s]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]currency\s*+symbol['"\s]*+value[:='"\s]*+([\w$€£¥円]*)"""),
+    ("currency_code", r"""[^:\-_?!\w]currency_code['"\s]*+value[:='"\s]*+([\w$€£¥円]*)"""),
+    ("product:price:currency", r"""[^:\-_?!\w]product:price:currency['"\s]*+value[:='"\s]*+([\w$€£¥円]*)"""),
+    ("og:price:currency", r"""[^:\-_?!\w]og:price:currency['"\s]*+value[:='"\s]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]currency['"\s]*+value[:='"\s]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]product\s*+currency['"\s]*+(?:&quot;:)*+['"\s:=]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]price\s*+currency['"\s]*+(?:&quot;:)*+['"\s:=]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]currency\s*+code['"\s]*+(?:&quot;:)*+['"\s:=]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]currency\s*+symbol['"\s]*+(?:&quot;:)*+['"\s:=]*+([\w$€£¥円]*)"""),
+    ("currency", r"""[^:\-_?!\w]currency['"\s]*+(?:&quot;:)*+['"\s:=]*+([\w$€£¥円]*)"""),
+    ("currency_code", r"""[^:\-_?!\w]currency_code['"\s]*+(?:&quot;:)*+['"\s:=]*+([\w$€£¥円]*)"""),
+    ("price_currency", r"""[^:\-_?!\w]price_currency['"\s]*+(?:&quot;:)*+['"\s:=]*+([\w$€£¥円]*)"""),
+    ("price", r"""\Wprice(?:0[12])*['"><_\s:=]*([\w$€£¥円]+)"""),
+    ("regularprice", r"""\Wregularprice['"><_\s:=]*([\w$€£¥円]+)"""),
+    ("regularpriceamount", r"""\Wregularpriceamount['"><_\s:=]*([\w$€£¥円]+)"""),
+    ("pricetotal", r"""\Wpricetotal['"><_\s:=]*([\w$€£¥円]+)"""),
+    ("formattedvalue", r"""\Wformattedvalue['"><_\s:=]*([\w$€£¥円]+)"""),
+    ("pricecol", r"""[^:\-_?!\w]pricecol['"\s]*+<span>['"\s]*+([\w$€£¥円]*)"""),
+    ("price", r"""\Wprice(?:0[12])*['"><_\s:=]*+\d[\d.,]*\s*+(?:<span>)*+([\w$€£¥円]+)"""),
+    ("product_price", r"""\Wproduct_price['"><_\s:=]*+\d[\d.,]*\s*+(?:<span>)*+([\w$€£¥円]+)"""),
+    ("_amount__currency", r"""_amount__currency[><:='"\s]*+([\w$€£¥円]+)"""),
+    ("pricecurrency", r"""pricecurrency" style="display:none;">([\w$€£¥円]*)"""),
+    ("currencysymbol", r"""currencysymbol[><:='"\s]*+([\w$€£¥円]*)"""),
+    ("pricecol", r"""\A(?:(?![^:\-_?!\w]pricecol['"\s><]*+span)[\s\S])*+[^:\-_?!\w]pricecol['"\s><]*+span['"\s<>]*+(\D*+)\d"""),
 ]
 
 # --- Fixed values: social platforms -------------------------------------------------

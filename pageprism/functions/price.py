@@ -38,23 +38,21 @@ def plain_number_sql(value: str) -> str:
     return f"regexp_replace(regexp_replace({fixed_point}, '0+$', ''), {q('[.]$')}, '.0')"
 
 
-def _matched(lowered: str, pattern: str, group: int) -> str:
-    # Possessive repeats where they cannot change a match: no recursion on long digit runs.
-    safe = pattern.replace(r"([.,]\d+)*", r"([.,]\d+)*+")
-    return f"nullif(regexp_extract({lowered}, {q('(?U)' + safe)}, {group}), '')"
+def _matched(lowered: str, needed: str, pattern: str) -> str:
+    """First group of the first match; pages without the text that each match contains are not searched."""
+    return (f"CASE WHEN contains({lowered}, {q(needed)}) THEN "
+            f"nullif(regexp_extract({lowered}, {q('(?U)' + pattern)}, 1), '') END")
 
 
 def html_price(lowered: str) -> Column:
     """First usable price in a lower-cased page, trying the patterns in order."""
-    found = [let(_matched(lowered, p, g), lambda m: f"CASE WHEN {m} IS NOT NULL THEN nullif({clean_price_sql(m)}, 0D) END")
-             for p, g in fixed.PRICE_PATTERNS]
-    return column(f"CASE WHEN contains({lowered}, 'price') OR contains({lowered}, 'formattedvalue') "
-                  f"THEN coalesce({', '.join(found)}) END")
+    found = [let(_matched(lowered, *p), lambda m: f"CASE WHEN {m} IS NOT NULL THEN nullif({clean_price_sql(m)}, 0D) END")
+             for p in fixed.PRICE_PATTERNS]
+    return column(f"coalesce({', '.join(found)})")
 
 
 def html_currency(lowered: str) -> Column:
     """First currency in a lower-cased page, trying the patterns in order."""
-    found = ", ".join(_matched(lowered, p, g) for p, g in fixed.CURRENCY_PATTERNS)
-    mentioned = " OR ".join(f"contains({lowered}, '{w}')" for w in ("price", "currency", "formattedvalue"))
+    found = ", ".join(_matched(lowered, *p) for p in fixed.CURRENCY_PATTERNS)
     # Only the last pattern can match text that needs cleaning, so cleaning the first match is enough.
-    return column(f"nullif({clean_text_sql(f'CASE WHEN {mentioned} THEN coalesce({found}) END')}, '')")
+    return column(f"nullif({clean_text_sql(f'coalesce({found})')}, '')")
