@@ -11,6 +11,7 @@ from pageprism.catalog.markups import HOST_SQL
 from pageprism.catalog.technologies import CATEGORY_SQL, SHOP_TECH_SQL
 from pageprism.functions.markup_text import page_head, tokens
 from pageprism.functions.urls import is_page_path, normalize_url
+from pageprism.operators.budget import Limits
 from pageprism.operators.dedupe import keep_last, keep_latest as latest
 from pageprism.operators.frontier import frontier as walk
 from pageprism.plans.report import from_table, shop_report as report_of
@@ -18,6 +19,7 @@ from pageprism.sources.records import fetch_records, write_records
 from pageprism.sources.rule_files import sample_rules
 
 RUN_DATE = datetime.date(2024, 6, 1)
+BUDGET = Limits(batch_size=10, max_pages=60, max_products=28, relevance_check=20, relevance_threshold=2.0)
 
 
 def _report(spark, sf_dir):
@@ -66,6 +68,16 @@ def shop_report(spark, sf_dir):
     return out
 
 
+def report_budgeted(spark, sf_dir):
+    """Tracking of a report under an explicit page budget."""
+    shop = shop_pages(spark, sf_dir)
+    seeds = shop.select("domain").distinct()
+    r = report_of(shop.drop("response", "header"), from_table(shop), seeds, sample_rules(spark), F.lit(RUN_DATE),
+                  limits=BUDGET)
+    return r.tracking.select("domain", "archive_record_count_unique", "archive_record_count_checked",
+                             "product_count_schema", "product_count_pattern")
+
+
 def live_top_up(spark, sf_dir):
     """Products of a report whose archive lacks the pattern pages, which the live pages bring back."""
     shop = shop_pages(spark, sf_dir)
@@ -108,7 +120,7 @@ def frontier(spark, sf_dir):
         F.col("l_returnflag").alias("domain"), F.col("l_orderkey").cast("string").alias("source"),
         F.col("l_partkey").cast("string").alias("target"))
     roots = links.groupBy("domain").agg(F.min(F.col("source").cast("bigint")).cast("string").alias("page"))
-    return walk(links, roots, cap=250, max_rounds=12)
+    return walk(links, roots)
 
 
 def warc_records(spark, sf_dir):
@@ -123,7 +135,8 @@ def warc_records(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    report_products, report_links, report_social, report_technology, tracking, shop_report, live_top_up,
+    report_products, report_links, report_social, report_technology, tracking, shop_report,
+    report_budgeted, live_top_up,
     page_summary, upsert_latest, frontier, warc_records)}
 
 _STAMP = "'2024' AS archive_year, DATE '2024-06-01' AS last_update"
@@ -167,14 +180,27 @@ ORACLES = {
       both_ AS (SELECT *, 1 AS g FROM rows WHERE status <> 'F' UNION ALL SELECT *, 0 FROM rows WHERE status <> 'P')
       SELECT domain, url, last_update, order_key FROM both_ QUALIFY row_number() OVER (
         PARTITION BY domain, url ORDER BY last_update DESC, g DESC, order_key DESC) = 1""",
+    "report_budgeted": f"""WITH {SHOP_SQL},
+      batched AS (SELECT *, CAST((row_number() OVER (PARTITION BY domain ORDER BY md5('0|' || url_path), url_path) - 1) // 10 AS BIGINT)
+                  AS batch FROM shop_products),
+      sums AS (SELECT domain, batch, count(*) AS p, count(product_schema) AS c FROM batched GROUP BY ALL),
+      running AS (SELECT domain, batch, sum(p) OVER w AS p, sum(c) OVER w AS c FROM sums WINDOW w AS (PARTITION BY domain ORDER BY batch)),
+      stops AS (SELECT domain, min(batch) AS last FROM running WHERE p > 60 OR c > 28 OR (p >= 28 AND c = 0)
+                OR (p >= 20 AND c * 100.0 / p < 2.0) GROUP BY domain),
+      kept AS (SELECT b.* FROM batched b LEFT JOIN stops s ON s.domain = b.domain WHERE s.last IS NULL OR b.batch <= s.last),
+      total AS (SELECT domain, count(*) AS archive_record_count_unique FROM batched GROUP BY domain)
+      SELECT domain, archive_record_count_unique, count(*) AS archive_record_count_checked,
+             count(CASE WHEN product_schema THEN 1 END) AS product_count_schema,
+             count(CASE WHEN NOT product_schema THEN 1 END) AS product_count_pattern
+      FROM kept JOIN total USING (domain) GROUP BY ALL""",
     "frontier": """WITH RECURSIVE links AS (SELECT DISTINCT l_returnflag AS domain, l_orderkey AS source, l_partkey AS target FROM lineitem),
-      walk(domain, page, depth) AS (
+      walk(domain, page, depth) USING KEY (domain, page) AS (
         SELECT domain, min(source), 0 FROM links GROUP BY domain
-        UNION SELECT w.domain, l.target, w.depth + 1 FROM walk w JOIN links l ON l.domain = w.domain AND l.source = w.page
-        WHERE w.depth < 12),
-      reached AS (SELECT domain, CAST(page AS VARCHAR) AS page, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY domain, page),
-      placed AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY depth, md5('0|' || page), page) AS position FROM reached)
-      SELECT domain, page, depth, position FROM placed WHERE position <= 250""",
+        UNION SELECT w.domain, l.target, min(w.depth + 1) FROM walk w JOIN links l ON l.domain = w.domain AND l.source = w.page
+        WHERE NOT EXISTS (SELECT 1 FROM recurring.walk r WHERE r.domain = l.domain AND r.page = l.target)
+        GROUP BY w.domain, l.target)
+      SELECT domain, CAST(page AS VARCHAR) AS page, CAST(depth AS INTEGER) AS depth, row_number() OVER (
+        PARTITION BY domain ORDER BY depth, md5('0|' || CAST(page AS VARCHAR)), CAST(page AS VARCHAR)) AS position FROM walk""",
     "warc_records": f"WITH {PAGE_INDEX_SQL} SELECT domain, crawl, url_path, 'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'X-Page: ' || page_id AS header, "
                     "md5(trim(html)) AS digest FROM page_index JOIN pages ON page_id = warc_record_offset",
 }

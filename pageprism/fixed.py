@@ -259,8 +259,12 @@ STOP_WORDS = {
     "sv": "och att det som är inte för med på av",
 }
 
-# --- Common public suffixes (default of functions.urls.registered_domain; pass the full list as a table)
+# --- Common public suffixes (own list, default of operators.domains; pass the full list as a table)
+# Suffixes of one label need no entry: the last label is the suffix where no rule says otherwise.
 PUBLIC_SUFFIXES = (
-    "com net org info biz eu io co shop store app dev de at ch fr es it nl be pl pt dk se no fi cz hu ro gr ie us ca mx "
-    "br cn jp kr in au nz za co.uk org.uk com.au com.br co.jp co.nz co.za com.mx com.tr com.cn"
+    "co.uk org.uk me.uk ltd.uk ac.uk gov.uk com.au net.au org.au com.br net.br org.br co.jp ne.jp or.jp ac.jp co.nz net.nz org.nz "
+    "co.za org.za com.mx org.mx com.tr org.tr com.cn net.cn org.cn co.kr or.kr com.sg edu.sg com.hk com.tw org.tw com.my co.id or.id "
+    "web.id co.in net.in org.in firm.in co.th in.th com.vn com.ph com.pk com.bd com.np com.lk com.sa com.eg co.il org.il co.ke com.ng "
+    "com.gh com.ar com.co com.pe com.ve com.uy com.ec com.py com.bo com.gt com.ua in.ua com.pl net.pl org.pl com.pt com.es org.es "
+    "com.gr com.ro co.at or.at com.ru co.hu com.cy com.mt com.kz co.rs in.rs com.hr com.mk com.al co.ma com.tn com.qa com.kw com.lb"
 ).split()

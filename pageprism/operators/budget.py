@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageprism import fixed
@@ -26,6 +26,11 @@ class Limits:
         return (self.max_pages // self.batch_size + 1) * self.batch_size
 
 
+def order_number(*by: str, seed: int = 0) -> Column:
+    """The seeded order as a number of the row itself: 60 bits of its key, without a sort or a shuffle."""
+    return F.conv(F.substring(shuffle_key(*by, seed=seed), 1, 15), 16, 10).cast("long")
+
+
 def shuffled(df: DataFrame, by: list[str] = ("url_path",), seed: int = 0, limit: int | None = None) -> DataFrame:
     """Pages of a domain in a seeded pseudo-random order: columns ``rn`` and ``total``."""
     return rank_by_hash(df.withColumn("_order", shuffle_key(*by, seed=seed)), ["domain"], "_order",
@@ -92,6 +97,14 @@ def needs_live(seeds: DataFrame, checked: DataFrame) -> DataFrame:
         F.coalesce("_live", F.lit(True))).select("domain")
 
 
+def few_products(seeds: DataFrame, pages: DataFrame, most: int = fixed.MAX_PRODUCTS,
+                 product: str = "is_product") -> DataFrame:
+    """Domains whose pages, all of them, hold at most ``most`` products; seeds without pages are among them."""
+    found = pages.groupBy("domain").agg(F.count_if(F.col(product)).alias("_n"))
+    return seeds.select("domain").distinct().join(found, "domain", "left").where(
+        F.coalesce("_n", F.lit(0)) <= most).select("domain")
+
+
 def novelty_streak(df: DataFrame, technologies: str = "technologies", by: list[str] = ("url_path",), seed: int = 0,
                    limits: Limits = Limits()) -> DataFrame:
     """Pages since the last one that showed a new technology of its domain (``streak``), technologies

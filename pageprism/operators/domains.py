@@ -6,32 +6,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageprism import fixed
-from pageprism.operators.ranking import join_hot
 
 
 def _last(labels: Column, n) -> Column:
     return F.array_join(F.slice(labels, -n, n), ".")
 
 
-def registered_domain(df: DataFrame, host: str, out: str, suffixes: DataFrame | None = None,
-                      max_labels: int = 4) -> DataFrame:
-    """Longest public suffix of ``host`` plus one label, as column ``out`` (null when no suffix fits).
+def registered_domain(df: DataFrame, host: str, out: str, suffixes: DataFrame | None = None) -> DataFrame:
+    """Public suffix of ``host`` plus one label, as column ``out``.
 
-    Without ``suffixes`` a short built-in list is used, inside the row. A table with a string column
-    ``suffix`` is joined once per suffix length, so rows are never multiplied and never regrouped.
+    ``suffixes`` has a string column ``suffix`` with the rules of a public suffix list: names, ``*.`` rules and ``!``
+    exceptions, of any length. An exception wins, then the longest rule; without any rule the last label is the
+    suffix. Null for addresses, for hosts that are a suffix themselves and for null. The list is joined once per rule length, so rows are
+    never multiplied; one small job reads the greatest length. Without ``suffixes`` a short built-in list is used inside the row.
     """
-    labels = F.split(F.col(host), r"\.")
-    lengths = range(max_labels, 0, -1)
+    labels = F.split(F.lower(F.rtrim(F.col(host), F.lit("."))), r"\.")
+    count = F.size(labels)
     if suffixes is None:
+        longest = max(s.count(".") + 1 for s in fixed.PUBLIC_SUFFIXES)
         known = F.array(*[F.lit(s) for s in fixed.PUBLIC_SUFFIXES])
-        size = F.coalesce(*[
-            F.when((F.size(labels) > k) & F.array_contains(known, _last(labels, F.lit(k))), k) for k in lengths])
-        return df.withColumn(out, F.when(size.isNotNull(), _last(labels, size + 1)))
-    wanted = suffixes.select(F.lower("suffix").alias("_suffix")).where("_suffix IS NOT NULL").distinct()
-    work = df
-    for k in lengths:
-        side = wanted.withColumn(f"_k{k}", F.lit(k))
-        work = work.withColumn("_suffix", F.when(F.size(labels) > k, _last(labels, F.lit(k))))
-        work = join_hot(work, side, ["_suffix"]).drop("_suffix")
-    size = F.coalesce(*[F.col(f"_k{k}") for k in lengths])
-    return work.select(*df.columns, F.when(size.isNotNull(), _last(labels, size + 1)).alias(out))
+        work, size = df, F.coalesce(*[
+            F.when((count >= k) & F.array_contains(known, _last(labels, F.lit(k))), k) for k in range(longest, 0, -1)], F.lit(1))
+    else:
+        rule = F.lower(F.trim("suffix"))
+        rules = suffixes.where("suffix IS NOT NULL").groupBy(F.regexp_replace(rule, r"^(\*\.|!)", "").alias("_suffix")).agg(
+            F.bool_or(~rule.startswith("*.") & ~rule.startswith("!")).alias("_plain"),
+            F.bool_or(rule.startswith("*.")).alias("_wild"), F.bool_or(rule.startswith("!")).alias("_except"))
+        longest = rules.agg(F.max(F.size(F.split("_suffix", r"\.")))).first()[0] or 0
+        work = df
+        for k in range(1, longest + 1):
+            side = rules.select("_suffix", F.struct("_plain", "_wild", "_except").alias(f"_k{k}"))
+            work = work.withColumn("_suffix", F.when(count >= k, _last(labels, F.lit(k)))).join(side, "_suffix", "left").drop("_suffix")
+        found = [F.col(f"_k{k}") for k in range(1, longest + 1)]
+        excepted = [F.when(r["_except"], k - 1) for k, r in enumerate(found, 1)]
+        matched = [F.when(r["_wild"] & (count > k), k + 1).when(r["_plain"], k) for k, r in enumerate(found, 1)]
+        size = F.coalesce(*excepted, F.greatest(*matched, F.lit(1), F.lit(1)))
+    address = F.element_at(labels, -1).rlike(r"^[0-9]*$") | F.col(host).contains(":")
+    return work.select(*df.columns, F.when(~address & (count > size), _last(labels, size + 1)).alias(out))

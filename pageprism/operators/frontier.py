@@ -2,30 +2,30 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageprism import fixed
-from pageprism.operators.ranking import join_hot, rank_by_hash, shuffle_key
+from pageprism.operators.ranking import rank_by_hash, shuffle_key
 from pageprism.session import checkpointed
 
 
-def frontier(links: DataFrame, roots: DataFrame, cap: int = fixed.MAX_LIVE_RECORDS, max_rounds: int = 50,
-             seed: int = 0) -> DataFrame:
+def frontier(links: DataFrame, roots: DataFrame, cap: int | None = None, seed: int = 0) -> DataFrame:
     """Pages reached from the root of each domain: ``domain, page, depth, position``.
 
     ``links`` has ``domain, source, target``, ``roots`` has ``domain, page``. Each round follows the links
-    of the last round's pages, drops pages that are known, and keeps as many as the domain's cap still
-    allows, in seeded order. Rounds end when no domain has new pages. The state of a round,
-    at most ``cap`` pages per domain, is stored, so the plan does not grow with the rounds.
+    of the last round's pages and drops pages that are known. Rounds go on until no domain has new pages. With ``cap``
+    (a live crawl takes ``fixed.MAX_LIVE_RECORDS``) a domain ends with its first ``cap`` pages, by depth and seeded order.
+    The state of a round is stored, so the plan does not grow with the rounds.
     """
     first = roots.select("domain", "page").distinct()
     known = checkpointed(first.select("domain", "page", F.lit(0).alias("depth"), F.lit(1).cast("long").alias("position")))
     front = known
-    for depth in range(1, max_rounds + 1):
+    for depth in itertools.count(1):
         steps = front.select("domain", F.col("page").alias("source"))
         reached = (
-            join_hot(links, steps, ["domain", "source"], "left_semi")
+            links.join(steps, ["domain", "source"], "left_semi")
             .select("domain", F.col("target").alias("page")).distinct()
             .join(known.select("domain", "page"), ["domain", "page"], "left_anti")
         )
@@ -35,7 +35,7 @@ def frontier(links: DataFrame, roots: DataFrame, cap: int = fixed.MAX_LIVE_RECOR
         fresh = (
             ranked.join(used, "domain")
             .withColumn("position", F.col("rn") + F.col("_used"))
-            .where(F.col("position") <= cap)
+            .where(F.lit(True) if cap is None else F.col("position") <= cap)
             .select("domain", "page", F.lit(depth).alias("depth"), "position")
         )
         front = checkpointed(fresh)

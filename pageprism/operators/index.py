@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pageprism import fixed, schemas
 from pageprism.functions.urls import crawl_id, is_page_path
 from pageprism.operators.dedupe import latest_captures
-from pageprism.operators.ranking import join_hot
 
 # IN lists stay literals up to this length, so they reach the Parquet scan as pushed filters.
 MAX_IN_LIST = 500
@@ -49,16 +48,18 @@ def select_index(table: DataFrame, crawls: list[str], subset: str = "warc") -> D
 
 
 def for_domains(index: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Index rows whose domain is a seed. A short seed list is broadcast; a long one is joined by
-    salted hash, since one domain may own a large share of the index."""
+    """Index rows whose domain is a seed. Spark broadcasts a seed list whose statistics are small; a long one is joined
+    by domain, and adaptive execution splits a domain that owns a large share of the index."""
     wanted = seeds.select("domain").where("domain IS NOT NULL").distinct()
-    return join_hot(index, wanted, ["domain"], "left_semi").select(*index.columns)
+    return index.join(wanted, "domain", "left_semi").select(*index.columns)
 
 
 def lookup(index: DataFrame, domains: list[str], crawls: list[str]) -> DataFrame:
-    """Index rows of some domains in some crawls; both lists are pushed to the scan."""
+    """Index rows of some domains in some crawls; both lists are pushed to the scan. A long list of domains is joined
+    as a table."""
     if len(domains) > MAX_IN_LIST:
-        raise ValueError("use for_domains for long domain lists")
+        seeds = index.sparkSession.createDataFrame([(d,) for d in domains], "domain string")
+        return for_domains(index.where(F.col("crawl").isin(crawls)), seeds)
     return index.where(F.col("domain").isin(domains) & F.col("crawl").isin(crawls))
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from pageprism import fixed
 from pageprism.functions.binding import column, let, only, q
-from pageprism.operators.broadcasting import broadcast_if_small
 from pageprism.operators.rows import unnest
 
 _WORD = r"\p{L}+"
@@ -85,7 +84,7 @@ def score_languages(df: DataFrame, profile: DataFrame, key: str, text: str = "te
     fold on the map side."""
     grams = _ngrams(df, text, [key], n)
     scored = (
-        grams.join(broadcast_if_small(profile), "gram")
+        grams.join(profile, "gram")
         .select(key, "n", F.explode("weights").alias("_w"))
         .groupBy(key, F.col("_w.lang").alias("lang")).agg(F.sum(F.col("n") * F.col("_w.weight")).alias("score"))
         .groupBy(key).agg(F.max_by("lang", F.struct("score", "lang")).alias("lang_detected"))

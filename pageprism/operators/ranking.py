@@ -8,11 +8,12 @@ at most ``16 ** BUCKET_DIGITS`` per group, give each bucket its offset.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageprism.operators.broadcasting import is_small
-
 BUCKET_DIGITS = 3
 
 
@@ -28,23 +29,24 @@ def rank_by_hash(df: DataFrame, keys: list[str], order: str, ties: list[str] = (
 
     ``order`` should tell rows apart: rows that share it share a bucket (pages are unique per path once the
     latest captures are taken). With ``limit`` only the first ``limit`` rows of a group are returned; whole buckets beyond it are
-    dropped before any sort. Rows with a null key belong to no group and are left out.
+    dropped before any sort. Rows with a null key are a group of their own.
     """
     group = [*keys, "_bucket"]
     work = df.withColumn("_bucket", F.substring(order, 1, BUCKET_DIGITS))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = work.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).select(
-        *group,
+        *[F.col(k).alias(f"_of_{k}") for k in group],
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.sum("_n").over(Window.partitionBy(*keys)).alias(total),
     )
     if limit is not None:
         offsets = offsets.where(F.col("_before") < limit)
     inside = Window.partitionBy(*group).orderBy(order, *ties)
-    ranked = work.join(offsets, group).withColumn(rank, F.row_number().over(inside) + F.col("_before"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in group])
+    ranked = work.join(offsets, same).withColumn(rank, F.row_number().over(inside) + F.col("_before"))
     if limit is not None:
         ranked = ranked.where(F.col(rank) <= limit)
-    return ranked.drop("_bucket", "_before")
+    return ranked.drop("_bucket", "_before", *[f"_of_{k}" for k in group])
 
 
 def salted_join(big: DataFrame, side: DataFrame, on: list[str], how: str = "left", salts: int = 32) -> DataFrame:
@@ -56,14 +58,6 @@ def salted_join(big: DataFrame, side: DataFrame, on: list[str], how: str = "left
     return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def join_hot(big: DataFrame, side: DataFrame, on: list[str], how: str = "left") -> DataFrame:
-    """Join whose keys may be hot in ``big``: a side that was counted and found small is broadcast, any
-    other is joined with salt. ``side`` has distinct keys and narrow rows."""
-    if is_small(side):
-        return big.join(F.broadcast(side), on, how)
-    return salted_join(big, side, on, how)
-
-
 def _hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if f.dataType.typeName() in
             ("string", "long", "integer", "double", "date", "timestamp", "boolean")]

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pageprism.functions.binding import column, each, let, only, q
 from pageprism.functions.markup_text import attribute, meta_map, script_sources
 from pageprism.operators import selectors
-from pageprism.operators.broadcasting import broadcast_if_small
 from pageprism.operators.elements import element_array
 from pageprism.operators.rows import unnest
 from pageprism.operators.rules import RuleSet
@@ -188,7 +187,7 @@ def detected(pages: DataFrame, keys: list[str]) -> DataFrame:
 
 def with_implied(found: DataFrame, implies: DataFrame, keys: list[str], hops: int = 1) -> DataFrame:
     """Adds implied technologies, ``hops`` steps far, without a version of their own."""
-    edges = broadcast_if_small(implies.select(F.col("tech").alias("technology"), "implied").distinct())
+    edges = implies.select(F.col("tech").alias("technology"), "implied").distinct()
     known, front = found.select(*keys, "technology", "version"), found.select(*keys, "technology")
     for _ in range(hops):
         front = front.join(edges, "technology").select(*keys, F.col("implied").alias("technology")).distinct()
@@ -200,6 +199,6 @@ def with_categories(found: DataFrame, tech_categories: DataFrame) -> DataFrame:
     """Adds category names in rule order; an empty list for unknown technologies."""
     named = tech_categories.groupBy(F.col("tech").alias("technology")).agg(
         F.sort_array(F.collect_list(F.struct("pos", "name"))).alias("_c"))
-    return found.join(broadcast_if_small(named), "technology", "left").withColumn(
+    return found.join(named, "technology", "left").withColumn(
         "categories", F.coalesce(F.transform("_c", lambda c: c["name"]), F.array().cast("array<string>"))
     ).drop("_c")

@@ -12,8 +12,7 @@ from pageprism import fixed, schemas
 from pageprism.functions.headers import parse_headers
 from pageprism.functions.markup_text import anchors
 from pageprism.functions.urls import normalize_url
-from pageprism.operators.broadcasting import broadcast_if_small
-from pageprism.operators.budget import Limits, apply_budget, candidates, needs_live
+from pageprism.operators.budget import Limits, apply_budget, candidates, few_products, needs_live, order_number
 from pageprism.operators.index import crawls_for_year, for_domains, page_candidates
 from pageprism.operators.links import external_links, link_hosts, live_only, page_links, social_links
 from pageprism.operators.products import page_products, product_rows, with_tokens
@@ -114,46 +113,55 @@ def from_archive(root: str) -> Callable[[DataFrame], DataFrame]:
     return lambda wanted: fetch_records(wanted, root)
 
 
-def from_table(pages: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """Takes the wanted records out of a page table. The wanted keys are broadcast when they are few,
-    so page contents stay where they are; else both sides meet by a shuffle on the record key."""
+def from_table(pages: DataFrame, year=None) -> Callable[[DataFrame], DataFrame]:
+    """Takes the wanted records of the year's crawls out of a page table. The wanted keys are a written table whose size
+    Spark knows: it broadcasts few of them, so page contents stay where they are, and else joins by the record key."""
     keys = ["domain", "url_path", "crawl", "warc_filename", "warc_record_offset"]
+    of_year = pages.where(F.col("crawl").isin(crawls_for_year(year)))
 
     def take(wanted: DataFrame) -> DataFrame:
-        return pages.select(*keys, "response", "header").join(broadcast_if_small(wanted), keys)
+        return of_year.select(*keys, "response", "header").join(wanted, keys)
 
     return take
 
 
 def shop_report(index: DataFrame, fetch: Callable[[DataFrame], DataFrame], seeds: DataFrame, rules: RuleSet,
-                run_date: Column, year=None, live: DataFrame | None = None, limits: Limits = Limits(),
+                run_date: Column, year=None, live: DataFrame | None = None, limits: Limits | None = None,
                 seed: int = 0, store: bool = True) -> Report:
-    """Report over the archived pages of the seeds.
+    """Report over all archived pages of the seeds.
 
-    ``index`` is the page index; ``fetch`` turns the index rows of the pages the budget can reach
-    into pages; no other page is ever read. ``live`` holds ``domain, url_path, link, response, header`` of pages
-    collected from the sites themselves, used for domains whose archive ran out.
+    ``index`` is the page index; ``fetch`` turns index rows into pages. With ``limits`` only the pages that this budget
+    can reach are fetched, and its stop rules decide which count. ``live`` holds ``domain, url_path, link, response,
+    header`` of pages collected from the sites themselves, used for domains whose archive ran out with few products.
 
     The candidates are written to the shared folder. With ``store`` so are the facts, once, and all five tables
     read them there, each only its own columns.
     """
     wanted = for_domains(index.where(F.col("crawl").isin(crawls_for_year(year))), seeds)
+    unique = page_candidates(wanted)
     # The candidates are narrow index rows that the fetch, the facts and the tracking table all need.
-    ranked = stored(candidates(page_candidates(wanted), seed=seed, limits=limits), "candidates")
-    facts = page_facts(fetch(ranked).withColumn("origin", F.lit("archive")), rules)
+    if limits is None:
+        chosen = stored(unique.withColumn("rn", order_number("url_path", seed=seed)), "candidates")
+        counts = chosen.groupBy("domain").agg(F.count(F.lit(1)).alias("archive_record_count_unique"))
+    else:
+        chosen = stored(candidates(unique, seed=seed, limits=limits), "candidates")
+        counts = chosen.groupBy("domain").agg(F.max("total").alias("archive_record_count_unique"))
+    facts = page_facts(fetch(chosen).withColumn("origin", F.lit("archive")), rules)
     facts = facts.withColumn("is_product", F.col("product_schema").isNotNull())
     if store:
         facts = stored(facts, "facts")
-    checked = apply_budget(facts, limits)
-    counts = ranked.groupBy("domain").agg(F.max("total").alias("archive_record_count_unique"))
+    checked = facts if limits is None else apply_budget(facts, limits)
     live_counts = None
     columns = ["domain", "url", "origin", "rn", "links", "hits", *PRODUCT_COLUMNS]
     if live is not None:
-        short = needs_live(seeds, checked)
-        fresh = live_only(live.join(short, "domain", "left_semi"), checked, link="link", url="url")
-        live_facts = page_facts(fresh.withColumns({
+        short = few_products(seeds, checked) if limits is None else needs_live(seeds, checked)
+        # Keys decide; the contents move once, and only those that are wanted are parsed.
+        fresh = live_only(live.select("domain", "link").distinct().join(short, "domain", "left_semi"), checked)
+        live_facts = page_facts(live.join(stored(fresh, "live-keys"), ["domain", "link"], "left_semi").withColumns({
             "origin": F.lit("live"), "rn": F.lit(0).cast("long")}), rules)
-        live_counts = fresh.groupBy("domain").agg(F.count(F.lit(1)).alias("live_record_count"))
+        if store:
+            live_facts = stored(live_facts, "live-facts")
+        live_counts = live_facts.groupBy("domain").agg(F.count(F.lit(1)).alias("live_record_count"))
         checked = checked.select(*columns).unionByName(live_facts.select(*columns))
     else:
         checked = checked.select(*columns)
