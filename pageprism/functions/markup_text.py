@@ -11,7 +11,7 @@ import re
 from pyspark.sql import Column
 
 from pageprism.functions.binding import column, each, let, only, q
-from pageprism.functions.text import clean_text_sql, unescape_common_sql
+from pageprism.functions.text import clean_text_sql, plain_references_sql, unescape_kept_sql
 
 # Possessive repeats keep the matcher iterative on tags and pages of any length.
 _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
@@ -24,9 +24,10 @@ _TOKEN = (
 
 
 def tokens(html: str) -> Column:
-    """``array<string>`` of the markup tokens of a page, in document order, without comments."""
+    """``array<string>`` of the markup tokens of a page, in document order, without comments, with plain
+    references (see ``functions.text``)."""
     found = f"regexp_extract_all(coalesce({html}, ''), {q(_TOKEN)}, 0)"
-    return column(only(found, lambda t: f"NOT startswith({t}, '<!')"))
+    return column(each(only(found, lambda t: f"NOT startswith({t}, '<!')"), plain_references_sql))
 
 
 def is_tag(token: str, name: str) -> str:
@@ -42,7 +43,7 @@ def attribute(token: str, name: str) -> str:
     quoted = rf"""{head}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
     unquoted = r"""(?s)^(["'])(.*)\1$"""
     return let(f"regexp_extract({token}, {q(quoted)}, 1)", lambda raw: (
-        f"CASE WHEN {raw} <> '' THEN {unescape_common_sql(f'regexp_replace({raw}, {q(unquoted)}, {q('$2')})')} "
+        f"CASE WHEN {raw} <> '' THEN {unescape_kept_sql(f'regexp_replace({raw}, {q(unquoted)}, {q('$2')})')} "
         f"WHEN {token} RLIKE {q(head)} THEN '' END"))
 
 

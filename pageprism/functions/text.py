@@ -6,11 +6,8 @@ import functools
 import html
 import html.entities
 
-import pandas as pd
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pageprism import fixed
 from pageprism.functions.binding import column, each, let, q
@@ -20,104 +17,137 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _table(entries: dict[str, str]) -> str:
+    return "\n" + "".join(f"{name}={text}\n" for name, text in entries.items())
+
+
 @functools.lru_cache(maxsize=1)
-def _entity_table() -> str:
-    """Named entities and the numbers that HTML reads as windows-1252, as ``<name>=<text>`` lines."""
-    table = {name: chr(code) for name, code in html.entities.name2codepoint.items()} | {"apos": "'"}
-    table |= {name: text for name, text in html.entities.html5.items() if not name.endswith(";")}
-    for code in range(0x80, 0xA0):
-        table[f"#{code}"] = bytes([code]).decode("cp1252", errors="ignore") or chr(code)
-    return "\n" + "".join(f"{name}={text}\n" for name, text in table.items())
-
-
-def _entity(name: str) -> str:
-    """Text of an entity name; null when unknown. Looked up in one literal, which keeps plans small."""
-    table = q(_entity_table())
-    key = f"concat('\\n', {name}, '=')"
-    return let(key, lambda k: f"CASE WHEN contains({table}, {k}) THEN "
-                              f"substring_index(substring_index({table}, {k}, -1), '\\n', 1) END")
+def _named() -> str:
+    """All names of HTML 5 that end in a semicolon, as ``<name>=<text>`` lines. Line feeds are spelled as U+0001."""
+    return _table({n[:-1]: t.replace("\n", "\x01") for n, t in html.entities.html5.items() if n.endswith(";")})
 
 
 @functools.lru_cache(maxsize=1)
-def _bare_names() -> str:
-    """Names that are also read without a semicolon, longest first."""
-    names = [n for n in html.entities.html5 if not n.endswith(";")]
-    return "|".join(sorted(names, key=lambda n: (-len(n), n)))
+def _bare() -> dict[str, str]:
+    """Names that are also read without a semicolon."""
+    return {n: t for n, t in html.entities.html5.items() if not n.endswith(";")}
+
+
+@functools.lru_cache(maxsize=1)
+def _numbers() -> str:
+    """Numbers that HTML reads as windows-1252."""
+    return _table({str(c): bytes([c]).decode("cp1252", errors="ignore") or chr(c) for c in range(0x80, 0xA0)})
+
+
+def _entry(table: str, name: str) -> str:
+    """Text of a name; null when unknown. Looked up in one literal, which keeps plans small."""
+    text = q(table)
+    key = f"concat('\\n', {name}, '=')"
+    return let(key, lambda k: f"CASE WHEN contains({text}, {k}) THEN "
+                              f"substring_index(substring_index({text}, {k}, -1), '\\n', 1) END")
 
 
 def _code_point(code: str) -> str:
-    """Text of a code point; zero, surrogates and numbers beyond Unicode become U+FFFD."""
+    """Text of a code point. Zero, surrogates and numbers beyond Unicode become U+FFFD; control characters and those
+    that are none at all vanish."""
     valid = f"{code} > 0 AND {code} <= 1114111 AND NOT {code} BETWEEN 55296 AND 57343"
-    return f"decode(unhex(lpad(hex(CASE WHEN {valid} THEN {code} ELSE 65533 END), 8, '0')), 'UTF-32')"
+    none = (f"{code} BETWEEN 1 AND 8 OR {code} = 11 OR {code} BETWEEN 14 AND 31 OR {code} = 127 OR "
+            f"{code} BETWEEN 64976 AND 65007 OR ({code} <= 1114111 AND {code} % 65536 >= 65534)")
+    return (f"CASE WHEN {none} THEN '' ELSE "
+            f"decode(unhex(lpad(hex(CASE WHEN {valid} THEN {code} ELSE 65533 END), 8, '0')), 'UTF-32') END")
 
 
 def _numeric(name: str) -> str:
-    digits = f"try_cast(regexp_extract({name}, '^#([0-9]+)$', 1) AS BIGINT)"
-    hexa = f"try_cast(conv(nullif(regexp_extract({name}, '^#[xX]([0-9a-fA-F]+)$', 1), ''), 16, 10) AS BIGINT)"
-    return let(f"coalesce({digits}, {hexa})", lambda code: (
-        f"CASE WHEN {code} IS NOT NULL THEN coalesce({_entity(f'concat({q('#')}, {code})')}, {_code_point(code)}) END"))
+    def number(digits: str, value: str) -> str:
+        # More digits than any code point has are beyond Unicode.
+        return let(f"regexp_extract({name}, {q(digits)}, 1)", lambda d: (
+            f"CASE WHEN length({d}) > 9 THEN 1114112 WHEN {d} <> '' THEN CAST({value.format(d)} AS BIGINT) END"))
+
+    return let(f"coalesce({number('^#0*([0-9]+)$', '{}')}, {number('^#[xX]0*([0-9a-fA-F]+)$', 'conv({}, 16, 10)')})",
+               lambda code: f"CASE WHEN {code} BETWEEN 128 AND 159 THEN {_entry(_numbers(), f'CAST({code} AS STRING)')} "
+                            f"ELSE {_code_point(code)} END")
+
+
+_REFERENCE = r"^&(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]{0,31}(?=;));?"
+
+
+#: Characters that a tag needs as references, and how they are spelled in tokens; the ampersand is decoded last.
+_KEPT = {"<": "&lt;", ">": "&gt;", '"': "&quot;", "'": "&#39;", " ": "&#32;", "\t": "&#9;", "\n": "&#10;", "\f": "&#12;",
+         "\r": "&#13;", "&": "&amp;"}
 
 
-_REFERENCE = r"^&(#[0-9]{1,9}|#[xX][0-9a-fA-F]{1,8}|[a-zA-Z][a-zA-Z0-9]{0,31}(?=;));?"
+def _kept(value: str) -> str:
+    cases = " ".join(f"WHEN {q(c)} THEN {q(r)}" for c, r in _KEPT.items())
+    return let(value, lambda v: f"CASE {v} {cases} ELSE {v} END")
 
 
-def _decoded(piece: str) -> str:
-    """A piece of text that starts with a character reference."""
+def _decoded(piece: str, in_tag: bool) -> str:
+    """A piece of text that starts with a character reference. In a tag a name without a semicolon is none when a letter,
+    a digit or an equals sign follows (it is a parameter of a link)."""
+    keep = _kept if in_tag else str
+
     def named(n: str) -> str:
-        value = f"CASE WHEN startswith({n}, '#') THEN {_numeric(n)} ELSE {_entity(n)} END"
-        return f"CASE WHEN {n} <> '' THEN concat({value}, regexp_replace({piece}, {q(_REFERENCE)}, '')) END"
+        value = (f"CASE WHEN startswith({n}, '#') THEN {_numeric(n)} "
+                 f"ELSE replace({_entry(_named(), n)}, '\\u0001', '\\n') END")
+        return f"CASE WHEN {n} <> '' THEN concat({keep(value)}, regexp_replace({piece}, {q(_REFERENCE)}, '')) END"
 
     def bare(n: str) -> str:
-        return f"CASE WHEN {n} <> '' THEN concat({_entity(n)}, substr({piece}, length({n}) + 2)) END"
+        value = _entry(_table(_bare()), n)
+        return f"CASE WHEN {n} <> '' THEN concat({keep(value)}, substr({piece}, length({n}) + 2)) END"
 
+    longest_first = "|".join(sorted(_bare(), key=lambda n: (-len(n), n)))
+    end = "(?![a-zA-Z0-9=])" if in_tag else ""
     return "coalesce({}, {}, {})".format(
         let(f"regexp_extract({piece}, {q(_REFERENCE)}, 1)", named),
-        let(f"regexp_extract({piece}, {q(f'^&({_bare_names()})')}, 1)", bare),
+        let(f"regexp_extract({piece}, {q(f'^&({longest_first}){end}')}, 1)", bare),
         piece)
 
 
+def _all_decoded(text: str, in_tag: bool = False) -> str:
+    pieces = each(f"split({text}, '(?=&)')", lambda p: f"CASE WHEN startswith({p}, '&') THEN {_decoded(p, in_tag)} ELSE {p} END")
+    return f"array_join({pieces}, '')"
+
+
 def unescape_sql(text: str) -> str:
     def decode(t: str) -> str:
-        pieces = each(f"split({t}, '(?=&)')", lambda p: f"CASE WHEN startswith({p}, '&') THEN {_decoded(p)} ELSE {p} END")
         # The frequent references are replaced as they are; the ampersand goes last.
         common = t
         for name, value in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", "\u00a0"), ("&#39;", "'"),
                             ("&amp;", "&")):
             common = f"replace({common}, {q(name)}, {q(value)})"
         rare = q(r"&(?!(?:lt|gt|quot|nbsp|#39|amp);)[#a-zA-Z]")
-        return (f"CASE WHEN NOT contains({t}, '&') THEN {t} WHEN {t} RLIKE {rare} THEN array_join({pieces}, '') "
+        return (f"CASE WHEN NOT contains({t}, '&') THEN {t} WHEN {t} RLIKE {rare} THEN {_all_decoded(t)} "
                 f"ELSE {common} END")
 
     return let(text, decode)
 
 
-def unescape_html(text: str) -> Column:
-    """Replaces decimal, hexadecimal and HTML 4 named character references, in one pass.
-
-    ``text`` is a column name or SQL expression, as in all functions here that take a ``str``.
-    """
-    return column(unescape_sql(text))
+def plain_references_sql(token: str) -> str:
+    """A tag whose references are decoded but for those characters that would change the tag: they get one spelling,
+    which ``unescape_kept_sql`` decodes. So the table of names is searched once per page and not once per attribute."""
+    kept = "|".join(r[1:-1] for r in _KEPT.values())
+    rare = q(rf"&(?!(?:{kept});)(?:#|[a-zA-Z][a-zA-Z0-9]*+(?!=))")
+    return (f"CASE WHEN contains({token}, '&') AND NOT {token} RLIKE '(?i)^<(?:script|style|title|textarea)' AND {token} RLIKE {rare} "
+            f"THEN {_all_decoded(token, in_tag=True)} ELSE {token} END")
 
 
-@F.pandas_udf(T.StringType())
-def _unescape_all(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+def unescape_kept_sql(text: str) -> str:
+    """Decodes the references that tags keep, in one pass: the ampersand goes last."""
+    def decode(t: str) -> str:
+        plain = t
+        for character, name in _KEPT.items():
+            plain = f"replace({plain}, {q(name)}, {q(character)})"
+        return f"CASE WHEN contains({t}, '&') THEN {plain} ELSE {t} END"
 
+    return let(text, decode)
 
-def unescape_html_full(text: str) -> Column:
-    """As ``unescape_html`` with the whole HTML 5 table: texts with names beyond HTML 4 go to the standard
-    library in Arrow batches, all others stay in the JVM."""
-    names = "|".join(sorted(html.entities.name2codepoint))
-    strange = F.expr(text).rlike(rf"&(?!(?:{names})\b)[a-zA-Z]")
-    return F.coalesce(_unescape_all(F.when(strange, F.expr(text))), unescape_html(text))
 
+def unescape_html(text: str) -> Column:
+    """Replaces decimal, hexadecimal and named character references of HTML 5, in one pass.
 
-def unescape_common_sql(text: str) -> str:
-    """The references that occur in attribute values of real links; the ampersand goes last."""
-    for name, value in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-                        ("&#38;", "&"), ("&amp;", "&")):
-        text = f"replace({text}, {q(name)}, {q(value)})"
-    return text
+    ``text`` is a column name or SQL expression, as in all functions here that take a ``str``.
+    """
+    return column(unescape_sql(text))
 
 
 def strip_html(text) -> Column:

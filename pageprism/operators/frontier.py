@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,10 @@ from pageprism.operators.ranking import rank_by_hash, shuffle_key
 from pageprism.session import checkpointed
 
 
+#: Fronts that are read side by side before they are written as one.
+MERGE_ROUNDS = 8
+
+
 def frontier(links: DataFrame, roots: DataFrame, cap: int | None = None, seed: int = 0) -> DataFrame:
     """Pages reached from the root of each domain: ``domain, page, depth, position``.
 
@@ -19,30 +24,29 @@ def frontier(links: DataFrame, roots: DataFrame, cap: int | None = None, seed: i
     (a live crawl takes ``fixed.MAX_LIVE_RECORDS``) a domain ends with its first ``cap`` pages, by depth and seeded order.
     The state of a round is stored, so the plan does not grow with the rounds.
     """
-    first = roots.select("domain", "page").distinct()
-    known = checkpointed(first.select("domain", "page", F.lit(0).alias("depth"), F.lit(1).cast("long").alias("position")))
-    front = known
+    front = checkpointed(roots.select("domain", "page").distinct().select(
+        "domain", "page", F.lit(0).alias("depth"), F.lit(1).cast("long").alias("position")))
+    fronts = [front]
     for depth in itertools.count(1):
-        steps = front.select("domain", F.col("page").alias("source"))
-        reached = (
-            links.join(steps, ["domain", "source"], "left_semi")
+        known = reduce(DataFrame.union, fronts)
+        fresh = (
+            links.join(front.select("domain", F.col("page").alias("source")), ["domain", "source"], "left_semi")
             .select("domain", F.col("target").alias("page")).distinct()
             .join(known.select("domain", "page"), ["domain", "page"], "left_anti")
         )
-        used = known.groupBy("domain").agg(F.max("position").alias("_used"))
-        ranked = rank_by_hash(reached.withColumn("_order", shuffle_key("page", seed=seed)), ["domain"], "_order",
-                              ["page"], limit=cap)
-        fresh = (
-            ranked.join(used, "domain")
-            .withColumn("position", F.col("rn") + F.col("_used"))
-            .where(F.lit(True) if cap is None else F.col("position") <= cap)
-            .select("domain", "page", F.lit(depth).alias("depth"), "position")
-        )
-        front = checkpointed(fresh)
+        used = known.groupBy("domain").agg(F.count(F.lit(1)).alias("_used"))
+        if cap is not None:
+            open_domains = used.where(F.col("_used") < cap).select("domain")
+            fresh = fresh.join(open_domains, "domain", "left_semi")
+        ranked = rank_by_hash(fresh.withColumn("_order", shuffle_key("page", seed=seed)), ["domain"], "_order", ["page"], limit=cap)
+        placed = ranked.join(used, "domain").select(
+            "domain", "page", F.lit(depth).alias("depth"), (F.col("rn") + F.col("_used")).alias("position"))
+        front = checkpointed(placed if cap is None else placed.where(F.col("position") <= cap))
         if front.isEmpty():
-            break
-        known = checkpointed(known.unionByName(front))
-    return known
+            return known
+        fronts.append(front)
+        if len(fronts) > MERGE_ROUNDS:
+            fronts = [checkpointed(reduce(DataFrame.union, fronts))]
 
 
 def on_asked_domain(pages: DataFrame, url: str = "link") -> DataFrame:

@@ -1,11 +1,13 @@
 """Golden vectors of the row functions."""
 
 import html
+from html import entities
 
 import pytest
 from pyspark.sql import functions as F
 
 from pageprism.functions import headers, markup_text, price, social, text, urls
+from pageprism.functions.markup_text import anchors, tokens
 
 
 def values(spark, rows, schema, column):
@@ -73,8 +75,21 @@ def test_unescape(spark):
     rows = [(t,) for t in UNESCAPES] + [(None,)]
     want = [html.unescape(t) for t in UNESCAPES] + [None]
     assert values(spark, rows, "t string", text.unescape_html("t")) == want
-    rows = [(t,) for t in [*UNESCAPES, "&NotEqualTilde; &amp;", "&CounterClockwiseContourIntegral;"]]
-    assert values(spark, rows, "t string", text.unescape_html_full("t")) == [html.unescape(t) for (t,) in rows]
+    rows = [(t,) for t in ["&check; &excl; &comma;", "&NotEqualTilde; &amp;", "&CounterClockwiseContourIntegral;", "a&NewLine;b&Tab;c",
+                           "&#00000000000065; &#99999999999999999999; &#x000000041; &#xFFFFFFFFFFF;", "&#1;&#xB;&#x7f;&#xFFFE;&#13;&#128;",
+                           "&#38;amp; &notit; &amp;lt; &AMP &unknown; & &; &#; &#x;"]]
+    assert values(spark, rows, "t string", text.unescape_html("t")) == [html.unescape(t) for (t,) in rows]
+    rows = [(f"&{n}",) for n in sorted(entities.html5)]
+    assert values(spark, rows, "t string", text.unescape_html("t")) == [html.unescape(t) for (t,) in rows]
+
+
+def test_references_in_links(spark):
+    links = {"/caf&eacute;": "/café", "&#x2F;p": "/p", "&#38;amp;": "&amp;", "/a?b=1&copy=2&lt=3": "/a?b=1&copy=2&lt=3",
+             "/a?b=1&amp;c=2": "/a?b=1&c=2", "&quot;&#34;&apos;&#39;": "\"\"''", "&lt;&#62;&check;": "<>✓", "a&#32;b&Tab;": "a b\t",
+             "&amp;eacute;": "&eacute;", "/x&copy": "/x©", "&#38;eacute;": "&eacute;"}
+    page = "".join(f'<a href="{a}">x</a>' for a in links) + "<a href=a&#32;b&gt;c class=x>"
+    df = spark.createDataFrame([(page,)], "html string").select(tokens("html").alias("t")).select(anchors("t"))
+    assert df.first()[0] == [*links.values(), "a b>c"]
 
 
 def test_clean_text(spark):
