@@ -135,25 +135,52 @@ def language_id(spark, sf_dir):
                         F.length(translation_input("detected", "text")).cast("long").alias("chars"))
 
 
+def _held_out():
+    """A fifth of all documents, from which no model learns."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+
+
 def language_profile(spark, sf_dir):
-    """Language of every document by n-gram profiles that are learned from the labelled documents."""
+    """Language of every document by n-gram profiles that are learned from the labelled documents outside the
+    held-out fifth."""
     docs = spread(table(spark, sf_dir, "documents"))
-    scored = score_languages(docs, checkpointed(learn_profile(docs)), "doc_id")
+    scored = score_languages(docs, checkpointed(learn_profile(docs.where(~_held_out()))), "doc_id")
     return docs.select("doc_id", "lang").join(scored, "doc_id", "left")
 
 
 def text_classifier(spark, sf_dir):
-    """Class of every document by a model that is trained on the labelled ones."""
+    """Quality class of every document by a model that is trained on the labelled ones outside the held-out fifth."""
     docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    model = train(docs.join(labels, "doc_id"))
-    return predict(model, docs, ["doc_id"])
+    model = train(docs.join(labels, "doc_id").where(~_held_out() & F.col("text").isNotNull() & F.col("label").isNotNull()))
+    return predict(model, docs, ["doc_id"], spark.createDataFrame(QUALITY, "id int, literal string"))
+
+
+def language_quality(spark, sf_dir):
+    """Of the learned profiles: documents, and whether at least 85 % of the held-out ones get their own language."""
+    right = F.when(_held_out() & F.col("lang").isNotNull(), (F.coalesce("lang_detected", F.lit("")) == F.col("lang")).cast("int"))
+    return language_profile(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("documents"), (F.avg(right) >= 0.85).alias("accurate"))
+
+
+def classifier_quality(spark, sf_dir):
+    """Of the classes: documents, whether classes are named and probabilities sound, and whether at least 70 % of the held-out
+    labels are met."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    both = text_classifier(spark, sf_dir).join(labels, "doc_id", "left")
+    right = F.when(_held_out() & F.col("quality").isNotNull(), (F.col("id") == F.col("quality")).cast("int"))
+    return both.agg(
+        F.count_distinct("doc_id").alias("documents"), F.bool_and(F.col("literal").isNotNull()).alias("named"),
+        F.bool_and(F.col("probability").between(0.5, 1.0)).alias("sound"), (F.avg(right) >= 0.7).alias("accurate"))
+
 
+#: Classes of the label table.
+QUALITY = [(0, "low quality"), (1, "high quality")]
 
 QUERIES = {f.__name__: f for f in (
     page_head, meta_map, page_links, script_sources, page_elements, page_tokens, followed_links, strip_html,
     clean_text, html_unescape, clean_price, answered_pages, declared_charset, language_id, language_profile,
-    text_classifier)}
+    text_classifier, language_quality, classifier_quality)}
 QUERIES["parse_headers"] = parse_header_blocks
 
 # Pages without comments, scripts and styles: what is left has markup only where it is markup.
@@ -209,6 +236,8 @@ UNION ALL SELECT p_partkey, 'abbreviation', NULL FROM d""",
              'set-cookie: theme: dark' ELSE '' END) || chr(10) || 'content-type: text/html; charset=utf-8' AS rendered
       FROM lines""",
     "answered_pages": f"WITH {SHOP_SQL} SELECT domain, count(*) AS answered FROM shop WHERE k % 11 <> 0 GROUP BY domain",
+    "language_quality": "SELECT count(*) AS documents, TRUE AS accurate FROM documents",
+    "classifier_quality": "SELECT count(DISTINCT doc_id) AS documents, TRUE AS named, TRUE AS sound, TRUE AS accurate FROM documents",
     "declared_charset": "SELECT page_id, lower(regexp_extract(html, '<meta charset=\"([^\"]+)\"', 1)) AS charset, "
                         "TRUE AS same FROM pages",
     "language_id": f"""

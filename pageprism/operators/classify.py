@@ -13,6 +13,7 @@ from pageprism import fixed, schemas
 
 
 def class_labels(spark: SparkSession) -> DataFrame:
+    """The shop categories, for models that were trained on their ids."""
     return spark.createDataFrame(list(enumerate(fixed.CLASS_LABELS)), schemas.CLASS_LABELS)
 
 
@@ -27,10 +28,10 @@ def train(labelled: DataFrame, text: str = "text", label: str = "label", feature
     ]).fit(labelled)
 
 
-def predict(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` plus ``id, literal, probability`` of the most likely class."""
-    scored = model.transform(df).select(
+def predict(model: PipelineModel, df: DataFrame, keep: list[str], labels: DataFrame) -> DataFrame:
+    """``keep`` plus ``id, literal, probability`` of the most likely class. ``labels`` (``id, literal``) names the classes
+    that the model was trained on; texts that are null count as empty."""
+    scored = model.transform(df.fillna("", ["text"])).select(
         *keep, F.col("_class").cast("int").alias("id"),
         F.array_max(vector_to_array("_probability")).alias("probability"))
-    labels = F.broadcast(class_labels(df.sparkSession))  # fifty rows
     return scored.join(labels, "id", "left").select(*keep, "id", "literal", "probability")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pageprism.operators import budget, dedupe, index, markup, selectors, technology as tech
 from pageprism.operators.elements import page_elements, parse_tree
+from pageprism.operators.domains import registered_domain
 from pageprism.operators.frontier import frontier
 from pageprism.operators.links import live_only, social_links
 from pageprism.operators.products import with_tokens
@@ -284,3 +285,25 @@ def test_filters_reach_the_scan(spark, tmp_path):
     plan = index.lookup(hits, ["d"], ["CC-MAIN-2024-10"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(crawl" in plan or "PartitionFilters: [isnotnull(subset" in plan
     assert "PushedFilters: [IsNotNull(url_host_registered_domain), EqualTo(url_host_registered_domain,d)]" in plan
+
+
+def test_registered_domains_follow_the_rules_of_the_list(spark):
+    rules = spark.createDataFrame([(r,) for r in ("com", "uk", "co.uk", "*.ck", "!www.ck", "a.b.c.d.e", None)], "suffix string")
+    want = {"www.shop.com": "shop.com", "a.b.co.uk": "b.co.uk", "co.uk": None, "x.y.ck": "x.y.ck", "y.ck": None, "z.www.ck": "www.ck",
+            "p.q.a.b.c.d.e": "q.a.b.c.d.e", "www.x.ru": "x.ru", "com": None, "1.2.3.4": None, None: None}
+    df = spark.createDataFrame([(h,) for h in want], "host string")
+    got = {r.host: r.d for r in registered_domain(df, "host", "d", rules).collect()}
+    assert got == want
+    short = spark.createDataFrame([("www.x.ru",), ("a.shop.com.sg",), ("x.y.co.kr",)], "host string")
+    assert {r.d for r in registered_domain(short, "host", "d").collect()} == {"x.ru", "shop.com.sg", "y.co.kr"}
+
+
+def test_rows_without_a_key_are_ranked_too(spark):
+    df = spark.createDataFrame([(None, "/a"), (None, "/b"), ("d", "/c")], "domain string, url_path string")
+    assert sorted((r.domain or "", r.rn, r.total) for r in budget.shuffled(df).collect()) == [("", 1, 2), ("", 2, 2), ("d", 1, 1)]
+
+
+def test_frontier_goes_on_to_the_last_page(spark):
+    links = spark.createDataFrame([("d", str(i), str(i + 1)) for i in range(12)], "domain string, source string, target string")
+    roots = spark.createDataFrame([("d", "0")], "domain string, page string")
+    assert {(r.page, r.depth) for r in frontier(links, roots).collect()} == {(str(i), i) for i in range(13)}

@@ -116,3 +116,16 @@ def test_stream(spark, tmp_path):
     stream_products(*args).awaitTermination(300)
     count = tables.read_results(spark, "products", str(tmp_path / "products")).count()
     assert count == sum(k % 4 < 3 or k % 3 < 2 for k in range(shop_pages(spark, SF).count()))
+
+
+def test_report_covers_every_page_of_a_large_domain(spark):
+    pages = spark.range(6100).select(
+        F.lit("big.example.com").alias("domain"), F.lit("CC-MAIN-2024-10").alias("crawl"),
+        F.concat(F.lit("/product/"), F.col("id").cast("string")).alias("url_path"), F.lit("f").alias("warc_filename"),
+        F.col("id").alias("warc_record_offset"), F.lit(1).cast("long").alias("warc_record_length"),
+        F.concat(F.lit("<title>T</title><p>price: 5.00 currency: eur <a href='https://out"), F.col("id"), F.lit(".example.org/'>x</a>")).alias("response"),
+        F.lit("HTTP/1.1 200 OK").alias("header"))
+    rep = shop_report(pages.drop("response", "header"), from_table(pages), pages.select("domain").distinct(), sample_rules(spark), day())
+    row = rep.tracking.first()
+    assert row.archive_record_count_unique == row.archive_record_count_checked == row.product_count_pattern == 6100
+    assert rep.products.count() == rep.links.count() == 6100
