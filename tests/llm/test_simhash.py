@@ -90,3 +90,32 @@ def test_odd_rows(spark):
 def test_spark_agrees_on_hashes(spark):
     h = spark.range(1).select(F.xxhash64(F.lit("a b c"))).first()[0]
     assert int(simhash.shingle_hashes(b"A b\tc", 3)[0]) == h % (1 << 64)
+
+
+def similar_pairs():
+    """Texts of 5-word shingles at known similarities: (text, text) pairs at 0.8 to 0.85 and at 0.5 to 0.75."""
+    rng = np.random.default_rng(5)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
+    close, far = [], []
+    for i in range(300):
+        n, own = 300, words(300)
+        low, high = ((0.805, 0.85), (0.5, 0.75))[i % 2]
+        share = rng.uniform(low, high)
+        changed = int((n - 4) * (1 - share) / (1 + share))
+        other = own[:n - changed] + words(changed)      # a changed end: n - 4 - changed shingles in common
+        (close, far)[i % 2].append((" ".join(own), " ".join(other)))
+    return close, far
+
+
+def plain_similarity(x, y):
+    a, b = ({tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (x.split(), y.split()))
+    return len(a & b) / len(a | b)
+
+
+def test_pairs_at_the_similarity_limit(spark):
+    close, far = similar_pairs()
+    assert all(0.8 <= plain_similarity(*p) <= 0.86 for p in close) and all(0.49 <= plain_similarity(*p) < 0.76 for p in far)
+    rows = [(2 * i + k, t) for i, p in enumerate(close + far) for k, t in enumerate(p)]
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, bands=24).collect()}
+    met = [found[2 * i] == found[2 * i + 1] for i in range(len(close + far))]
+    assert sum(met[:len(close)]) >= len(close) - 1 and not any(met[len(close):])
