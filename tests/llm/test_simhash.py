@@ -119,3 +119,22 @@ def test_pairs_at_the_similarity_limit(spark):
     found = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, bands=24).collect()}
     met = [found[2 * i] == found[2 * i + 1] for i in range(len(close + far))]
     assert sum(met[:len(close)]) >= len(close) - 1 and not any(met[len(close):])
+
+
+def test_lists_of_several_groups(spark):
+    """Groups that share a passage meet in long lists; the least and the greatest member are strangers to all others."""
+    rng = np.random.default_rng(6)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
+    passage, texts = words(300), []
+    for _ in range(12):
+        own = words(90)
+        for _ in range(4):
+            copy = list(passage) + own
+            copy[int(rng.integers(310, 380))] = "changed" + words(1)[0]
+            texts.append(" ".join(copy))
+    texts += [" ".join(passage + words(int(rng.integers(110, 160)))) for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, 5, bands=24).collect()}
+    like = [(i, j) for i in range(len(texts)) for j in range(i) if plain_similarity(texts[i], texts[j]) >= 0.8]
+    want = plain_groups([(j, i) for i, j in like], range(len(texts)))
+    assert found == {i: min(j for j in want if want[j] == want[i]) for i in want} and len(set(found.values())) > 12
