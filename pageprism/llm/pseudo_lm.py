@@ -26,6 +26,7 @@ EVERY = 32
 RATE = 5e-3
 BATCH = 256
 MOST_WORDS = 500_000
+KNOWN = 100_000  # words whose probabilities are sent to every task; those of all others are joined
 _TOKENS = 8192
 
 
@@ -66,15 +67,67 @@ class Classes(dict):
         return token
 
 
-def encode(docs: DataFrame, frequent: list[bytes]) -> DataFrame:
-    """doc_id and ``tokens``, a byte for each word of the whole text."""
+def _name(word: bytes) -> int:
+    from xxhash import xxh64_intdigest
+
+    return xxh64_intdigest(word)
+
+
+def class_totals(counts: DataFrame, frequent: list[bytes]) -> dict[int, int]:
+    """Occurrences of all words of each class that words share."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, held = Classes(frequent), np.zeros(CLASSES, np.int64)
+        for batch in batches:
+            at = np.fromiter(map(classes.__getitem__, batch.column(0).to_pylist()), np.int64, batch.num_rows)
+            np.add.at(held, at, batch.column(1).to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), pa.array(held)], names=["class", "n"])
+
+    summed = map_batches(counts.select("word", "n"), run, "class long, n long").groupBy("class").agg(F.sum("n").alias("n"))
+    return {r["class"]: r.n for r in summed.where(F.col("class") > FREQUENT).collect()}
+
+
+def word_logs(counts: DataFrame, frequent: list[bytes], totals: dict[int, int]) -> DataFrame:
+    """(name, log): ln P(word | class) of every counted word that shares its class: n / (total + 1), which leaves 1 / (total + 1) for
+    a word that was never counted. ``name`` is the XXH64 of the word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = Classes(frequent)
         for batch in batches:
-            tokens = [bytes(map(classes.__getitem__, text.lower().split())) for text in column_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.binary())], names=["doc_id", "tokens"])
+            rows = [(_name(w), np.log(n / (totals.get(c, 0) + 1))) for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                    if (c := classes[w]) > FREQUENT]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array([r[0] for r in rows], np.uint64).view(np.int64)), pa.array([r[1] for r in rows], pa.float64())],
+                                             names=["name", "log"])
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, tokens binary")
+    return map_batches(counts.select("word", "n"), run, "name long, log double")
+
+
+def encode(docs: DataFrame, frequent: list[bytes], known: dict[bytes, float] | None = None, totals: dict[int, int] | None = None) -> DataFrame:
+    """doc_id and ``tokens``, a byte for each word of the whole text; ``known_log``, the sum of ln P(word | class) over the words in ``known``; and ``rest``, each
+    other word that shares its class with its count and the value of a word that was never counted."""
+    spark, known, totals = docs.sparkSession, known or {}, totals or {}
+    sent = spark.sparkContext.broadcast(known)
+    element = pa.struct([("name", pa.int64()), ("n", pa.int64()), ("unseen", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, known = Classes(frequent), sent.value
+        for batch in batches:
+            tokens, logs, rest = [], [], []
+            for text in column_bytes(batch.column(1)):
+                words = text.lower().split()
+                tokens.append(bytes(map(classes.__getitem__, words)))
+                log, own = 0.0, []
+                for word, n in Counter(words).items():
+                    if (value := known.get(word)) is not None:
+                        log += n * value
+                    elif (token := classes[word]) > FREQUENT:
+                        name = _name(word)
+                        own.append({"name": name - (1 << 64) if name >> 63 else name, "n": n, "unseen": -np.log(totals.get(token, 0) + 1)})
+                logs.append(log)
+                rest.append(own)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.binary()), pa.array(logs, pa.float64()), pa.array(rest, pa.list_(element))],
+                                             names=["doc_id", "tokens", "known_log", "rest"])
+
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
+                       "doc_id long, tokens binary, known_log double, rest array<struct<name:long,n:long,unseen:double>>")
 
 
 @dataclass
@@ -129,18 +182,20 @@ class Network:
     def step(self, contexts: np.ndarray, tokens: np.ndarray, state: list, t: int) -> None:
         """One Adam step on the mean negative log-probability of a batch."""
         n = len(tokens)
-        seen = [self.embed[c] for c in contexts]
-        hidden = np.maximum(sum(x @ w for x, w in zip(seen, self.inner)) + self.bias, 0)
+        hidden = np.maximum(sum(t[c] for t, c in zip(self.position_tables(), contexts)) + self.bias, 0)
         logits = hidden @ self.out + self.out_bias
         p = np.exp(logits - logits.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         p[np.arange(n), tokens] -= 1
         p /= n
         d_hidden = (p @ self.out.T) * (hidden > 0)
-        d_embed = np.zeros_like(self.embed)
-        for c, w in zip(contexts, self.inner):
-            np.add.at(d_embed, c, d_hidden @ w.T)
-        grads = [d_embed, np.stack([x.T @ d_hidden for x in seen]), d_hidden.sum(0), hidden.T @ p, p.sum(0)]
+        d_tables = np.zeros((2 * SIDE, CLASSES, HIDDEN), np.float32)  # of the position tables: rows of like tokens are summed first
+        for c, d_table in zip(contexts, d_tables):
+            order = np.argsort(c, kind="stable")
+            own, first = np.unique(c[order], return_index=True)
+            d_table[own] = np.add.reduceat(d_hidden[order], first)
+        d_embed = sum(d @ w.T for d, w in zip(d_tables, self.inner))
+        grads = [d_embed, np.stack([self.embed.T @ d for d in d_tables]), d_hidden.sum(0), hidden.T @ p, p.sum(0)]
         for value, g, (m, v) in zip(self.parameters(), grads, state):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
@@ -162,7 +217,7 @@ def sides(row: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def train(encoded: DataFrame, rounds: int = ROUNDS, every: int = EVERY, seed: int = 3) -> Network:
-    """Trains on every ``every``-th token of every document: what is learned from grows with the corpus.
+    """Round r trains on the tokens r, r + ``every``, ... of all documents; with no more than ``rounds`` for ``every`` each token is a target.
 
     In each round every task starts from the same network, learns from the documents of its own partitions, and gives back its parameters; Spark
     averages them, weighted by the tokens learned from, and only the mean (some thousand numbers) reaches the driver.
@@ -219,26 +274,44 @@ def score(encoded: DataFrame, net: Network) -> DataFrame:
         tables = model.value.position_tables()
         for batch in batches:
             keys, documents = batch.column(0), batch.column(1).to_pylist()
+            rows = batch.column(2)
             for a, b in groups_by_bytes(documents):
                 counts = np.fromiter(map(len, documents[a:b]), np.int64, b - a)
                 sums = score_documents(documents[a:b], model.value, tables)
-                yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), pa.array(counts), pa.array(sums)], names=["doc_id", "n_tokens", "log_likelihood"])
+                yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), rows.slice(a, b - a), pa.array(counts), pa.array(sums)],
+                                                 names=["doc_id", "row", "n_tokens", "log_likelihood"])
 
-    scored = map_batches(encoded.select("doc_id", "tokens"), run, "doc_id long, n_tokens long, log_likelihood double")
+    scored = map_batches(encoded.select("doc_id", "tokens", "row"), run, "doc_id long, row long, n_tokens long, log_likelihood double")
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     return scored.withColumn("mean_log_likelihood", mean)
 
 
+def with_words(scored: DataFrame, encoded: DataFrame, logs: DataFrame) -> DataFrame:
+    """Adds ``word_log_likelihood``: the class probabilities times P(word | class) of every word."""
+    rest = encoded.select("row", F.explode("rest").alias("r")).select("row", "r.*").join(logs, "name", "left")
+    sums = rest.groupBy("row").agg(F.sum(F.col("n") * F.coalesce("log", "unseen")).alias("rest_log"))
+    words = encoded.select("row", "known_log").join(sums, "row", "left").select("row", (F.col("known_log") + F.coalesce("rest_log", F.lit(0.0))).alias("word_log"))
+    whole = scored.join(words, "row").withColumn("word_log_likelihood", F.col("log_likelihood") + F.col("word_log"))
+    mean = F.when(F.col("n_tokens") > 0, F.col("word_log_likelihood") / F.col("n_tokens"))
+    return whole.withColumn("mean_word_log_likelihood", mean).drop("row", "word_log")
+
+
 def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS, every: int = EVERY) -> DataFrame:
-    """(doc_id, n_tokens, log_likelihood, mean_log_likelihood) of every document, by a network trained on the same documents.
+    """(doc_id, n_tokens, log_likelihood, mean_log_likelihood, word_log_likelihood, mean_word_log_likelihood) of every document, by a network trained on
+    the same documents.
 
     Words of all texts are counted; the ``FREQUENT`` most frequent are tokens of their own, the rest share tokens by their endings. Every token of a
-    document is predicted from ``SIDE`` tokens on either side, and the logarithms of the probabilities are added. A null or empty text has no
+    document is predicted from ``SIDE`` tokens on either side, and the logarithms of the probabilities are added: of the tokens alone in
+    ``log_likelihood``, of the words themselves (token, and word given token by the counts of all words) in ``word_log_likelihood``. A null or empty text has no
     tokens, sum 0 and a null mean. Repeated rows get equal scores. Extra columns are left out; an empty table gives no rows.
     """
-    frequent = [bytes(r.word) for r in word_counts(docs).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()]
-    encoded = stored(encode(docs, frequent), "tokens")
-    return score(encoded, train(encoded, rounds, every))
+    counts = stored(word_counts(docs), "word-counts")
+    top = [(bytes(r.word), r.n) for r in counts.orderBy(F.desc("n"), "word").limit(KNOWN).collect()]
+    frequent = [w for w, _ in top[:FREQUENT]]
+    totals, classes = class_totals(counts, frequent), Classes(frequent)
+    known = {w: float(np.log(n / (totals[classes[w]] + 1))) for w, n in top[FREQUENT:]}
+    rows = stored(encode(docs, frequent, known, totals).withColumn("row", F.monotonically_increasing_id()), "tokens")
+    return with_words(score(rows, train(rows, rounds, every)), rows, word_logs(counts, frequent, totals))
 
 
 def op7_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:

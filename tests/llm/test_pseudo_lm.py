@@ -1,6 +1,7 @@
 """Pseudo-likelihood scores against direct computation."""
 
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -67,3 +68,30 @@ def test_odd_rows(spark):
 def test_word_counts(spark):
     docs = spark.createDataFrame([("A b\ta",), (None,), ("é É b",)], "text string")
     assert {bytes(r.word).decode(): r.n for r in pseudo_lm.word_counts(docs).collect()} == {"a": 2, "b": 2, "é": 1, "É": 1}
+
+
+def test_words_of_a_class_differ(spark):
+    docs = [(i, "lorem ipsum " * 20 + " ".join(f"f{k}x" for k in range(130)) + " common" * 30) for i in range(30)]
+    docs += [(100, "lorem common ipsum"), (101, "lorem zzcommon ipsum")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = {r.doc_id: r for r in pseudo_lm.pseudo_likelihood(frame).collect()}
+    n = Counter(w for _, t in docs for w in t.split())
+    frequent = sorted(n, key=lambda w: (-n[w], w))[:pseudo_lm.FREQUENT]
+    classes = pseudo_lm.Classes([w.encode() for w in frequent])
+    own = [w for w in n if w not in frequent]
+    totals = Counter()
+    for w in own:
+        totals[classes[w.encode()]] += n[w]
+    for i, t in docs:
+        want = sum(np.log(n[w] / (totals[classes[w.encode()]] + 1)) for w in t.split() if w in own)
+        assert np.isclose(rows[i].word_log_likelihood - rows[i].log_likelihood, want)
+    assert rows[101].word_log_likelihood < rows[100].word_log_likelihood
+
+
+def test_words_beyond_the_sent_ones_are_joined(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(100)
+    gap = lambda: {r.doc_id: r.word_log_likelihood - r.log_likelihood for r in pseudo_lm.pseudo_likelihood(docs).collect()}
+    whole = gap()
+    monkeypatch.setattr(pseudo_lm, "KNOWN", 200)
+    few = gap()
+    assert whole.keys() == few.keys() and all(np.isclose(whole[k], few[k]) for k in whole)
