@@ -22,7 +22,7 @@ SIDE = 2
 EMBED = 16
 HIDDEN = 32
 ROUNDS = 3
-EVERY = 32
+EVERY = 3  # with as many rounds: each token is a target once
 RATE = 5e-3
 BATCH = 256
 MOST_WORDS = 500_000

@@ -95,3 +95,12 @@ def test_words_beyond_the_sent_ones_are_joined(spark, monkeypatch):
     monkeypatch.setattr(pseudo_lm, "KNOWN", 200)
     few = gap()
     assert whole.keys() == few.keys() and all(np.isclose(whole[k], few[k]) for k in whole)
+
+
+def test_every_token_is_a_target_in_production(spark, monkeypatch):
+    assert pseudo_lm.EVERY <= pseudo_lm.ROUNDS
+    at = np.arange(1000)
+    assert sorted(np.concatenate([at[r % pseudo_lm.EVERY::pseudo_lm.EVERY] for r in range(pseudo_lm.ROUNDS)])) == list(at)
+    docs = spark.createDataFrame([(i, "a b c d e f g h " * 5) for i in range(200)] + [(999, "d a h b g c f e " * 5)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in pseudo_lm.pseudo_likelihood(docs).collect()}
+    assert rows[0].mean_log_likelihood > rows[999].mean_log_likelihood + 0.5
