@@ -33,8 +33,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats documents so that sources have their weights; every document stays once at least."""
-    return mixing.repeat(docs, mixing.plan(docs)).select(*docs.columns)
+    """Repeats documents so that sources have their weights, block by block; every document stays once at least."""
+    return mixing.mixed_texts(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

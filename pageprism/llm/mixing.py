@@ -133,14 +133,29 @@ def mix(docs: DataFrame, target_entropy: float = TARGET_ENTROPY, repetitions: fl
     Null is a source of its own; a null or empty text counts as one token; a null doc_id has one place in the order. Repeated rows are mixed each, and
     those of one doc_id are in or out together. Extra columns are left out; an empty table gives no rows.
     """
-    rows = docs.select("doc_id", "text", "source")
+    return _dealt(docs.select("doc_id", "text", "source"), target_entropy, repetitions, budget_tokens, block_tokens, seed).select(
+        "doc_id", "source", "tokens", "epoch", "block", "position")
+
+
+def _dealt(rows: DataFrame, target_entropy: float = TARGET_ENTROPY, repetitions: float = MOST_REPETITIONS, budget_tokens: int | None = None,
+           block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> DataFrame:
+    """Rows of ``mix`` with all columns of ``rows`` but the text."""
     planned = plan(rows, target_entropy, repetitions, budget_tokens, seed)
     chosen = running_tokens(repeat(rows, planned, seed).drop("text"), ["mix_source", "epoch"])
     n_blocks = planned.agg(F.ceil(F.sum("quota") / block_tokens)).first()[0] or 0
     share = (F.col("epoch") * F.col("source_tokens") + F.col("before")) / F.col("quota")
     dealt = chosen.withColumn("block", F.least(F.floor(share * n_blocks), F.lit(n_blocks - 1)))
     place = Window.partitionBy("block").orderBy(order_hash(F.lit(seed), F.lit("block"), F.col("epoch"), F.col("doc_id")), "doc_id", "epoch", "source", "tokens")
-    return dealt.select("doc_id", "source", "tokens", "epoch", "block", F.row_number().over(place).alias("position"))
+    return dealt.withColumn("position", F.row_number().over(place))
+
+
+def mixed_texts(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """Documents with all their columns, as often as ``mix`` has them and in its order: dealt by ranges of (block, position) and sorted by them."""
+    numbered = stored(docs.withColumn("mix_row", F.monotonically_increasing_id()), "mix-docs")
+    order = _dealt(numbered.select("doc_id", "text", "source", "mix_row"), block_tokens=block_tokens)
+    order = stored(order.select("mix_row", "block", "position"), "mix-order")
+    placed = numbered.join(order, "mix_row").repartitionByRange("block", "position").sortWithinPartitions("block", "position")
+    return placed.select(*docs.columns)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

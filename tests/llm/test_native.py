@@ -140,3 +140,19 @@ def test_shards_odd_rows(spark):
     check_shards(hilbert.shard(docs).collect(), docs.select("doc_id", "text").collect())
     check_shards(hilbert.shard(docs, 3).collect(), docs.select("doc_id", "text").collect(), 3)
     assert hilbert.shard(docs.limit(0)).count() == 0
+
+
+def test_texts_are_stored_in_the_order_of_blocks(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"w{i} " * 10, "hot" if i < 900 else f"s{i % 3}", i) for i in range(1000)], "doc_id long, text string, source string, extra long")
+    mixing.mixed_texts(docs, block_tokens=1000).write.parquet(str(tmp_path / "mixed"))
+    rows = spark.read.parquet(str(tmp_path / "mixed")).withColumns(
+        {"file": F.input_file_name(), "at": F.monotonically_increasing_id()}).orderBy("file", "at").collect()
+    place = {}
+    for r in mixing.mix(docs, block_tokens=1000).collect():
+        place.setdefault(r.block, {})[r.position] = r.doc_id
+    want = [place[b][p] for b in sorted(place) for p in sorted(place[b])]
+    assert [r.doc_id for r in rows] == want and all(r.extra == r.doc_id for r in rows)
+    whole = Counter(r.source for r in rows)["hot"] / len(rows)
+    for i in range(0, len(rows) - 100, 100):
+        assert abs(sum(r.source == "hot" for r in rows[i:i + 100]) / 100 - whole) < 0.1
+    assert sum(a.doc_id == b.doc_id for a, b in zip(rows, rows[1:])) < 0.05 * len(rows)
