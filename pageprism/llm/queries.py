@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pageprism.llm import hilbert, lang_id, line_rules, mixing, packing, pseudo_lm, records, secret_scan, simhash, topk
+from pageprism.llm import hilbert, lang_id, line_rules, mixing, packing, pseudo_lm, records, secret_scan, simhash, token_counts, topk
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_topk": topk.op8_topk,
     "op9_hilbert_shards": hilbert.op9_hilbert_shards,
     "op10_token_records": records.op10_token_records,
+    "op13_token_counts": token_counts.op13_token_counts,
 }
 
 ORACLES = {
