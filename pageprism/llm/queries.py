@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pageprism.llm import hilbert, lang_id, line_rules, mixing, packing, pseudo_lm, records, secret_scan, simhash, token_counts, topk
+from pageprism.llm import (
+    alignment, hilbert, lang_id, line_rules, mixing, packing, pseudo_lm, records, secret_scan, simhash, spelling, token_counts, topk,
+)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +17,8 @@ QUERIES = {
     "op8_topk": topk.op8_topk,
     "op9_hilbert_shards": hilbert.op9_hilbert_shards,
     "op10_token_records": records.op10_token_records,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_alignment": alignment.op12_alignment,
     "op13_token_counts": token_counts.op13_token_counts,
 }
 
