@@ -101,6 +101,21 @@ def registered_domains(spark, sf_dir):
     return registered_domain(known, "host", "domain_listed", suffixes)
 
 
+def registered_domain_full(spark, sf_dir):
+    """Hosts of the customers against a list of nine thousand suffixes with wildcards, exceptions and rules of four labels."""
+    n = F.col("id").cast("string")
+    base = F.concat(F.lit("s"), n, F.lit(".t"), (F.col("id") % 300).cast("string"))
+    rules = F.when(F.col("id") % 3 == 0, F.array(base)).when(
+        F.col("id") % 3 == 1, F.array(F.concat(F.lit("*."), base), F.concat(F.lit("!x."), base))).otherwise(F.array(F.concat(F.lit("a.b."), base)))
+    suffixes = spark.range(9000).select(F.explode(rules).alias("suffix"))
+    key = F.col("c_custkey")
+    front = F.element_at(F.array(F.lit("www.shop.d."), F.lit("www.x."), F.lit("www.shop.a.b.")), (F.floor(key / 3) % 3).cast("int") + 1)
+    number = key % 9000
+    host = F.concat(front, F.lit("s"), number.cast("string"), F.lit(".t"), (number % 300).cast("string"))
+    hosts = table(spark, sf_dir, "customer").select(key, host.alias("host"))
+    return registered_domain(hosts, "host", "domain", suffixes)
+
+
 def page_batches(spark, sf_dir):
     return budget.page_batches(page_index(spark, sf_dir), ["url_path", "warc_record_offset"],
                                limits=budget.Limits(batch_size=5)).select(
@@ -170,7 +185,7 @@ def page_budget(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     index_lookup, suffix_filter, index_semi_join, seed_hits, index_dedupe, keep_first, index_upsert, index_rows_added,
-    crawl_calendar, registered_domains, page_batches, per_domain_limit, live_anti_join, archive_plus_live,
+    crawl_calendar, registered_domains, registered_domain_full, page_batches, per_domain_limit, live_anti_join, archive_plus_live,
     novelty_streak, page_budget, final_url_check)}
 QUERIES["normalize_url"] = normalize_urls
 QUERIES["url_host"] = url_hosts
@@ -247,6 +262,12 @@ SELECT b.domain, b.url_path, b.rn, b.batch, s.last IS NULL AS needs_live
 FROM batched b LEFT JOIN stops s ON s.domain = b.domain WHERE s.last IS NULL OR b.batch <= s.last""",
 }
 QUERIES["registered_domain"] = QUERIES.pop("registered_domains")
+ORACLES["registered_domain_full"] = """
+WITH c AS (SELECT c_custkey, c_custkey % 9000 AS n, (c_custkey // 3) % 3 AS f, 's' || (c_custkey % 9000) || '.t' || (c_custkey % 9000 % 300) AS base FROM customer)
+SELECT c_custkey, (CASE f WHEN 0 THEN 'www.shop.d.' WHEN 1 THEN 'www.x.' ELSE 'www.shop.a.b.' END) || base AS host,
+       CASE n % 3 WHEN 0 THEN (CASE f WHEN 0 THEN 'd.' WHEN 1 THEN 'x.' ELSE 'b.' END) || base
+                  WHEN 1 THEN (CASE f WHEN 0 THEN 'shop.d.' WHEN 1 THEN 'x.' ELSE 'a.b.' END) || base
+                  ELSE (CASE f WHEN 2 THEN 'shop.a.b.' ELSE '' END) || base END AS domain FROM c"""
 ORACLES["registered_domain"] = """
 WITH hosts AS (SELECT page_id, split_part(url, '/', 3) AS host FROM pages)
 SELECT page_id, host, regexp_extract(host, '[^.]+\\.[^.]+$') AS domain_common,

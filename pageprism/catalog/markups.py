@@ -14,7 +14,7 @@ from pageprism.operators import links as l
 from pageprism.operators import markup
 from pageprism.operators.dedupe import non_null_count
 from pageprism.operators.products import page_products, product_rows, with_tokens
-from pageprism.operators.rows import spread, unnest
+from pageprism.operators.rows import spread, unnest, unnest_positions
 
 
 def _shop(spark, sf_dir):
@@ -75,9 +75,10 @@ def markup_items(spark, sf_dir):
 
 
 def markup_price(spark, sf_dir):
-    items = markup.markup_items(markup.markup_columns(_shop(spark, sf_dir))).where("seq = 0")
-    return items.select("page_id", F.expr(markup.product_fields("item")).alias("f")).select(
-        "page_id", "f.price", "f.currency", "f.brand")
+    """Price, currency and brand of every item of the shop pages."""
+    items = markup.markup_items(markup.markup_columns(_shop(spark, sf_dir)))
+    return items.select("page_id", "syntax", "seq", F.expr(markup.product_fields("item")).alias("f")).select(
+        "page_id", "syntax", "seq", "f.price", "f.currency", "f.brand")
 
 
 def markup_merge(spark, sf_dir):
@@ -117,12 +118,10 @@ def product_group(spark, sf_dir):
 
 
 def price_bounds(spark, sf_dir):
-    """Category, low and high price of the products in lists, pages and graphs."""
-    items = unnest(markup.markup_columns(_described(spark, sf_dir)), ["page_id"],
-                   F.expr(markup.candidates("jsonld")), "v")
-    found = items.select("page_id", F.expr(markup.product_fields("v")).alias("f"), F.expr(markup.extra_fields("v")).alias("x"))
-    return found.where("x.category IS NOT NULL AND f.product_title <> 'other'").select(
-        "page_id", F.col("f.product_title").alias("title"), "x.category", "x.low_price", "x.high_price").distinct()
+    """Category, low and high price of every candidate in groups, lists, pages and graphs, in order."""
+    items = unnest_positions(markup.markup_columns(_described(spark, sf_dir)), ["page_id"], F.expr(markup.candidates("jsonld")), "pos", "v")
+    found = items.select("page_id", "pos", F.expr(markup.product_fields("v")).alias("f"), F.expr(markup.extra_fields("v")).alias("x"))
+    return found.select("page_id", "pos", F.col("f.product_title").alias("title"), "x.category", "x.low_price", "x.high_price")
 
 
 def min_non_null(spark, sf_dir):
@@ -177,15 +176,21 @@ ORACLES = {
     "markup_items": f"WITH {SHOP_SQL} SELECT k AS page_id, 'jsonld' AS syntax, unnest([0, 1])::INTEGER AS seq, 'Product' AS type "
                     "FROM shop WHERE k % 4 = 0 UNION ALL SELECT k, 'opengraph', 0, 'product' FROM shop WHERE k % 4 = 1 "
                     "UNION ALL SELECT k, 'microdata', 0, 'Product' FROM shop WHERE k % 4 = 2",
-    "markup_price": f"WITH {SHOP_SQL} SELECT k AS page_id, price, 'EUR' AS currency, p_brand AS brand FROM shop WHERE k % 4 < 3",
+    "markup_price": f"""WITH {SHOP_SQL}, i AS (SELECT k, unnest(CASE k % 4 WHEN 0 THEN [0, 1] WHEN 3 THEN [] ELSE [0] END) AS seq FROM shop)
+      SELECT k AS page_id, CASE k % 4 WHEN 0 THEN 'jsonld' WHEN 1 THEN 'opengraph' ELSE 'microdata' END AS syntax, CAST(seq AS INTEGER) AS seq, price,
+             'EUR' AS currency, p_brand AS brand FROM i JOIN shop USING (k)""",
     "markup_merge": f"WITH {SHOP_SQL}, m AS (SELECT *, k % 4 < 3 AS has FROM shop) SELECT k AS page_id, "
                     "CASE WHEN has THEN p_name END AS product_title, CASE WHEN has THEN about END AS product_description, "
                     "CASE WHEN has THEN p_brand END AS brand, CASE WHEN has THEN price END AS price, "
                     "CASE WHEN has THEN 'EUR' END AS currency FROM m",
     "product_group": "SELECT p_partkey AS page_id, p_name AS product_title, "
                      "CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS price, 'USD' AS currency FROM part",
-    "price_bounds": "SELECT p_partkey AS page_id, p_name AS title, p_type AS category, CAST(p_size AS DOUBLE) AS low_price, "
-                    "CAST(p_size + 100 AS DOUBLE) AS high_price FROM part",
+    "price_bounds": """WITH c AS (SELECT *, unnest(CASE p_partkey % 4 WHEN 0 THEN ['own', 'other'] WHEN 1 THEN ['none', 'site', 'own', 'other']
+          WHEN 2 THEN ['none', 'own'] ELSE ['own', 'other', 'own'] END) AS kind,
+          unnest(CASE p_partkey % 4 WHEN 0 THEN [0, 1] WHEN 1 THEN [0, 1, 2, 3] WHEN 2 THEN [0, 1] ELSE [0, 1, 2] END) AS pos FROM part)
+      SELECT p_partkey AS page_id, CAST(pos AS INTEGER) AS pos, CASE kind WHEN 'own' THEN p_name WHEN 'none' THEN NULL ELSE kind END AS title,
+             CASE WHEN kind IN ('own', 'other') THEN p_type END AS category, CASE WHEN kind IN ('own', 'other') THEN CAST(p_size AS DOUBLE) END AS low_price,
+             CASE WHEN kind IN ('own', 'other') THEN CAST(p_size + 100 AS DOUBLE) END AS high_price FROM c""",
     "min_non_null": f"WITH {SHOP_SQL} SELECT k AS page_id, CASE WHEN k % 4 < 3 THEN 7 ELSE 2 END AS found, k % 4 < 3 AS enough "
                     "FROM shop",
     "product_text": "SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN (CASE WHEN p_size % 3 = 1 THEN p_type END) "

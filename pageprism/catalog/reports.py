@@ -86,7 +86,7 @@ def live_top_up(spark, sf_dir):
         "domain", "url_path", "link", "response", "header")
     seeds = shop.select("domain").distinct()
     r = report_of(archive.drop("response", "header"), from_table(archive), seeds, sample_rules(spark),
-                  F.lit(RUN_DATE), live=live, store=False)
+                  F.lit(RUN_DATE), live=live)
     return r.products.groupBy("domain", "archive_year", "product_schema").agg(F.count(F.lit(1)).alias("products"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pageprism.catalog.frames import SHOP_SQL, shop_pages, table
 from pageprism.functions.headers import parse_headers
 from pageprism.functions.urls import url_host
-from pageprism.operators import technology as t
+from pageprism.operators import rule_index, technology as t
 from pageprism.operators.products import with_tokens
 from pageprism.operators.rows import spread, unnest
 from pageprism.operators.rules import split_pattern
@@ -49,8 +49,7 @@ def tech_dom(spark, sf_dir):
     """Selector rules on the given pages, those on text and on nested elements included."""
     rules = sample_rules(spark)
     pages = t.with_tree(_pages(spark, sf_dir), rules)
-    return unnest(pages, ["page_id"], t.element_hits(rules, tree="tree"), "h").select(
-        "page_id", "h.technology", "h.version").distinct()
+    return unnest(pages, ["page_id"], t.element_hits(rules, tree="tree"), "h").select("page_id", "h.technology", "h.version")
 
 
 def tech_meta(spark, sf_dir):
@@ -84,9 +83,34 @@ def tech_categories(spark, sf_dir):
         "domain", "technology", F.array_join("categories", "|").alias("categories"))
 
 
+def _numbered_rules(spark, n):
+    """Rule table of ``n`` numbers: one rule on the text of a page, with a version, and one on its address, for even numbers."""
+    number = F.col("id").cast("string")
+    def row(letter, field, pattern, template):
+        return F.struct(F.concat(F.lit(letter), number).alias("tech"), F.lit(field).alias("field"), pattern.alias("pattern"),
+                        F.lit(template).cast("string").alias("version_tpl"))
+
+    rows = F.array(row("R", "html", F.concat(F.lit("/p/"), number, F.lit(r"/next\?x=(\d)#")), r"\1?v\1:none"),
+                   row("U", "url", F.when(F.col("id") % 2 == 0, F.concat(F.lit("/about/"), number, F.lit("$"))), None),
+                   row("X", "html", F.when(F.col("id") % 50 == 0, F.lit("(broken")), None))
+    rules = spark.range(n).select(F.explode(rows).alias("r")).select("r.*").withColumns(
+        {"key": F.lit(""), "selector": F.lit(""), "confidence": F.lit(100)}).where("pattern IS NOT NULL")
+    return rule_index.indexable(rules)
+
+
+def tech_indexed(spark, sf_dir):
+    """Four hundred rules and more, a fiftieth of them broken, by the index of their texts."""
+    return rule_index.matches(_shop(spark, sf_dir), _numbered_rules(spark, 400))
+
+
+def tech_many_rules(spark, sf_dir):
+    """Two hundred thousand rules by the index of their texts."""
+    return rule_index.matches(_shop(spark, sf_dir), _numbered_rules(spark, 200_000)).where("technology LIKE 'R%'")
+
+
 QUERIES = {f.__name__: f for f in (
     rule_parse, tech_html, tech_headers, tech_dom, tech_meta, tech_confidence, tech_per_domain, tech_implied,
-    tech_categories)}
+    tech_categories, tech_indexed, tech_many_rules)}
 
 _HEADER_SQL = """
   SELECT k, domain, CASE WHEN k % 2 = 0 THEN 'Nginx' ELSE 'Apache HTTP Server' END AS technology,
@@ -105,8 +129,8 @@ implied AS (
   UNION ALL SELECT domain, unnest(['PHP', 'MySQL']), NULL FROM found WHERE technology = 'WordPress')"""
 _DOM_SQL = """
   SELECT page_id, 'Ad slot' AS technology, NULL AS version FROM pages WHERE contains(html, '<div class="ad">')
-  UNION SELECT page_id, 'Navigation list', NULL FROM pages WHERE regexp_matches(html, '<nav><ul>.*<a href="/')
-  UNION SELECT page_id, 'Footer credits', regexp_extract(html, '(?s)<footer>.*?\\b(example\\.(com|net|org))\\b', 1)
+  UNION ALL SELECT page_id, 'Navigation list', NULL FROM pages WHERE regexp_matches(html, '<nav><ul>.*<a href="/')
+  UNION ALL SELECT page_id, 'Footer credits', regexp_extract(html, '(?s)<footer>.*?\\b(example\\.(com|net|org))\\b', 1)
   FROM pages WHERE regexp_matches(html, '(?s)<footer>.*\\bexample\\.(com|net|org)\\b')"""
 _PAGE_HTML_SQL = """
   SELECT page_id, 'Tracking call' AS technology, regexp_extract(html, 'track\\((\\d+)\\);', 1) AS version, 60 AS confidence
@@ -121,6 +145,9 @@ CATEGORY_SQL = "names(technology, categories) AS (VALUES " + ", ".join(
     f"('{k}', '{v}')" for k, v in CATEGORY_NAMES.items()) + ")"
 
 ORACLES = {
+    "tech_indexed": f"""WITH {SHOP_SQL} SELECT k AS page_id, 'R' || k AS technology, 'v1' AS version, 100 AS confidence, 'html' AS field FROM shop WHERE k < 400
+      UNION ALL SELECT k, 'U' || k, NULL, 100, 'url' FROM shop WHERE k % 3 = 2 AND k % 2 = 0 AND k < 400""",
+    "tech_many_rules": f"WITH {SHOP_SQL} SELECT k AS page_id, 'R' || k AS technology, 'v1' AS version, 100 AS confidence, 'html' AS field FROM shop WHERE k < 200000",
     "rule_parse": "SELECT p_partkey, p_type || '-([\\d.]+)' AS pattern, '\\1?' || p_name || ':none' AS version_tpl, "
                   "CASE WHEN p_size % 2 = 0 THEN p_size ELSE 100 END AS confidence FROM part",
     "tech_html": _PAGE_HTML_SQL,

@@ -9,9 +9,9 @@ from pageprism.catalog.frames import SHOP_SQL, shop_pages, table
 from pageprism.functions import markup_text as m
 from pageprism.functions.headers import header_text, parse_headers, status_code
 from pageprism.functions.price import clean_price as price_of
+from pageprism.functions.charset import declared_charset as charset_of, with_text
 from pageprism.functions.text import (
-    clean_text as cleaned, declared_charset as charset_of, decode_page, is_translatable, strip_html as stripped,
-    translation_input, unescape_html as unescaped,
+    clean_text as cleaned, is_translatable, strip_html as stripped, translation_input, unescape_html as unescaped,
 )
 from pageprism.functions.urls import url_host
 from pageprism.operators.classify import predict, train
@@ -22,6 +22,9 @@ from pageprism.session import checkpointed
 from pageprism.operators.rows import spread, unnest, unnest_positions
 
 
+_BLOCK = "(?s)<(?:title|h1|p|li)>.*?</(?:title|h1|p|li)>"
+
+
 def _pages(spark, sf_dir):
     return spread(table(spark, sf_dir, "pages"))
 
@@ -50,7 +53,7 @@ def script_sources(spark, sf_dir):
 
 
 def page_elements(spark, sf_dir):
-    """Elements per page and tag, with the number of distinct parents' depth left out."""
+    """Elements per page and tag."""
     found = elements_of(_pages(spark, sf_dir))
     return found.groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("elements"))
 
@@ -75,8 +78,9 @@ def strip_html(spark, sf_dir):
 
 
 def clean_text(spark, sf_dir):
-    titles = _pages(spark, sf_dir).select("page_id", F.regexp_extract("html", r"(?s)<h1>.*?</h1>", 0).alias("h1"))
-    return titles.select("page_id", cleaned("h1").alias("title"))
+    """Every title, heading, paragraph and list item of a page, cleaned."""
+    blocks = unnest_positions(_pages(spark, sf_dir), ["page_id"], F.expr(f"regexp_extract_all(html, '{_BLOCK}', 0)"), "pos", "block")
+    return blocks.select("page_id", "pos", cleaned("block").alias("text"))
 
 
 def html_unescape(spark, sf_dir):
@@ -122,9 +126,27 @@ def answered_pages(spark, sf_dir):
 
 
 def declared_charset(spark, sf_dir):
-    pages = _pages(spark, sf_dir)
-    return pages.select("page_id", charset_of("html").alias("charset"),
-                        (decode_page(F.encode("html", "UTF-8")) == F.col("html")).alias("same"))
+    pages = with_text(_pages(spark, sf_dir).withColumn("data", F.encode("html", "UTF-8")), "data", "text")
+    return pages.select("page_id", charset_of("html").alias("charset"), (F.col("text") == F.col("html")).alias("same"))
+
+
+#: Alphabets by doc_id: the letters a to z become so many letters from a code point on; null for a script whose language isn't known.
+_ALPHABETS = [("ru", 0x430), ("el", 0x3B1), ("ja", 0x3042), ("ko", 0xAC00), ("he", 0x5D0), ("zh", 0x4E00), ("th", 0xE01), ("ka", 0x10D0), (None, 0x13A0)]
+
+
+def _alphabet(first: int) -> str:
+    """Letters from a code point on, as many as a to z; short alphabets begin anew."""
+    size = {0x3B1: 17, 0x5D0: 27}.get(first, 26)
+    return "".join(chr(first + i % size) for i in range(26))
+
+
+def language_scripts(spark, sf_dir):
+    """Languages of documents that are written in other alphabets."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", "[^a-z ]", "").alias("plain")).where("plain RLIKE '[a-z]'")
+    text = F.col("plain")
+    for i, (_, first) in enumerate(_ALPHABETS):
+        text = F.when(F.col("doc_id") % len(_ALPHABETS) == i, F.translate("plain", "abcdefghijklmnopqrstuvwxyz", _alphabet(first))).otherwise(text)
+    return docs.select("doc_id", text.alias("text")).select("doc_id", detect_language("text").alias("lang"))
 
 
 def language_id(spark, sf_dir):
@@ -180,7 +202,7 @@ QUALITY = [(0, "low quality"), (1, "high quality")]
 QUERIES = {f.__name__: f for f in (
     page_head, meta_map, page_links, script_sources, page_elements, page_tokens, followed_links, strip_html,
     clean_text, html_unescape, clean_price, answered_pages, declared_charset, language_id, language_profile,
-    text_classifier, language_quality, classifier_quality)}
+    text_classifier, language_quality, classifier_quality, language_scripts)}
 QUERIES["parse_headers"] = parse_header_blocks
 
 # Pages without comments, scripts and styles: what is left has markup only where it is markup.
@@ -213,10 +235,14 @@ ORACLES = {
         regexp_extract(url, '^https?://[^/]+') || href, '(\\?.+)|(#.+)', '', 'g'), ' ', '') AS link FROM links)
       SELECT DISTINCT domain, url, link FROM targets WHERE NOT ("""
       + " OR ".join(f"ends_with(link, '{s}')" for s in fixed.FILE_SUFFIXES) + ")",
+    "language_scripts": "SELECT doc_id, CASE doc_id % " + str(len(_ALPHABETS)) + " " + " ".join(
+        f"WHEN {i} THEN {repr(lang) if lang else 'NULL'}" for i, (lang, _) in enumerate(_ALPHABETS)) + " END AS lang FROM documents WHERE regexp_matches(text, '[a-z]')",
     "strip_html": "SELECT page_id, md5(regexp_replace(html, '<.*?>', '', 'g')) AS digest, "
                   "CAST(length(regexp_replace(html, '<.*?>', '', 'g')) AS BIGINT) AS chars FROM pages",
-    "clean_text": f"SELECT page_id, {_UNESCAPED.format('''regexp_replace(trim(regexp_replace(regexp_extract(html, '(?s)<h1>.*?</h1>'), '<.*?>', '', 'g')), ' +', ' ', 'g')''')} "
-                  "AS title FROM pages",
+    "clean_text": f"""WITH b AS (SELECT page_id, regexp_extract_all(html, '{_BLOCK}') AS blocks FROM pages),
+      u AS (SELECT page_id, unnest(range(len(blocks))) AS pos, unnest(blocks) AS block FROM b)
+      SELECT page_id, CAST(pos AS INTEGER) AS pos, """
+                  + _UNESCAPED.format("regexp_replace(trim(regexp_replace(block, '<.*?>', '', 'g')), ' +', ' ', 'g')") + " AS text FROM u",
     "html_unescape": f"SELECT page_id, md5({_UNESCAPED.format('html')}) AS digest FROM pages",
     "clean_price": """
 WITH d AS (SELECT p_partkey, CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS v FROM part)

@@ -1,4 +1,4 @@
-"""Text functions: entities, tag stripping, cleaning, product text, charset."""
+"""Text functions: entities, tag stripping, cleaning, product text."""
 
 from __future__ import annotations
 
@@ -108,14 +108,17 @@ def _all_decoded(text: str, in_tag: bool = False) -> str:
     return f"array_join({pieces}, '')"
 
 
+#: References of most pages; a page without others needs no search in the table. The ampersand comes last.
+FREQUENT = "lt gt quot nbsp #39 copy reg trade middot bull hellip mdash ndash lsquo rsquo ldquo rdquo laquo raquo euro times amp".split()
+
+
 def unescape_sql(text: str) -> str:
     def decode(t: str) -> str:
         # The frequent references are replaced as they are; the ampersand goes last.
         common = t
-        for name, value in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", "\u00a0"), ("&#39;", "'"),
-                            ("&amp;", "&")):
-            common = f"replace({common}, {q(name)}, {q(value)})"
-        rare = q(r"&(?!(?:lt|gt|quot|nbsp|#39|amp);)[#a-zA-Z]")
+        for name in FREQUENT:
+            common = f"replace({common}, {q(f'&{name};')}, {q(html.unescape(f'&{name};'))})"
+        rare = q(rf"&(?!(?:{'|'.join(FREQUENT)});)[#a-zA-Z]")
         return (f"CASE WHEN NOT contains({t}, '&') THEN {t} WHEN {t} RLIKE {rare} THEN {_all_decoded(t)} "
                 f"ELSE {common} END")
 
@@ -188,27 +191,3 @@ def is_translatable(lang) -> Column:
 def translation_input(lang, text) -> Column:
     """The text when its language can be translated, else null."""
     return F.when(is_translatable(lang), _col(text))
-
-
-def declared_charset(head) -> Column:
-    """Charset that a page declares in a meta tag, lower-cased; ISO-8859-1 when it declares none.
-
-    ``head`` is the page read as Latin-1, so it works before the encoding is known.
-    """
-    head = _col(head)
-    direct = F.regexp_extract(head, r"(?is)<meta\b[^>]*?\scharset\s*=\s*[\"']?\s*([^\s\"'/>;]+)", 1)
-    typed = F.regexp_extract(head, r"(?is)<meta\b[^>]*?\bcontent\s*=\s*[\"'][^\"'>]*?charset=\s*([^\s\"'/>;]+)", 1)
-    return F.lower(F.coalesce(F.nullif(direct, F.lit("")), F.nullif(typed, F.lit("")), F.lit("ISO-8859-1")))
-
-
-def decode_page(data) -> Column:
-    """Bytes to text: UTF-8 when valid, else Latin-1 or UTF-16 as declared, else UTF-8 with replacement."""
-    data = _col(data)
-    charset = declared_charset(F.decode(data, "ISO-8859-1"))
-    return (
-        F.when(F.is_valid_utf8(data.cast("string")), data.cast("string"))
-        .when(charset.isin("iso-8859-1", "latin1", "latin-1", "windows-1252", "us-ascii"),
-              F.decode(data, "ISO-8859-1"))
-        .when(charset == "utf-16", F.decode(data, "UTF-16"))
-        .otherwise(F.make_valid_utf8(data.cast("string")))
-    )

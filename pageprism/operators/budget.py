@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pageprism import fixed
 from pageprism.operators.ranking import rank_by_hash, salted_join, shuffle_key
+from pageprism.session import stored
 
 
 @dataclass(frozen=True)
@@ -60,34 +61,33 @@ def apply_budget(ranked: DataFrame, limits: Limits = Limits(), product: str = "i
 
     Batches run until one ends with too many pages or products, or with at least
     ``relevance_check`` pages of which too few were products. ``needs_live`` marks domains whose
-    records were used up without any stop. A domain has at most ``most_pages`` rows here,
-    so the windows per domain are bounded.
+    records were used up without any stop. Pages are folded to one row per batch before the domain's windows, which
+    so have ``most_pages / batch_size`` narrow rows at most; the verdict, one row per domain, is joined to the pages.
     """
-    running = Window.partitionBy("domain").orderBy("batch").rangeBetween(Window.unboundedPreceding, 0)
-    domain = Window.partitionBy("domain")
     pages, products = F.col("_pages"), F.col("_products")
     stop = (
         (pages > limits.max_pages) | (products > limits.max_products)
         | ((pages >= limits.max_products) & (products == 0))
         | ((pages >= limits.relevance_check) & (products * 100.0 / pages < limits.relevance_threshold))
     )
+    batched = ranked.withColumn("batch", F.floor((F.col("rn") - 1) / limits.batch_size))
+    sums = batched.groupBy(F.col("domain").alias("_domain"), F.col("batch").alias("_batch")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.coalesce(F.col(product), F.lit(False))).alias("_hits"))
+    over = Window.partitionBy("_domain").orderBy("_batch").rowsBetween(Window.unboundedPreceding, 0)
+    ends = sums.withColumns({"_pages": F.sum("_n").over(over), "_products": F.sum("_hits").over(over)}).groupBy("_domain").agg(
+        F.min(F.when(stop, F.col("_batch"))).alias("_last"))
     return (
-        ranked.withColumn("batch", F.floor((F.col("rn") - 1) / limits.batch_size))
-        .withColumns({
-            "_pages": F.count(F.lit(1)).over(running),
-            "_products": F.sum(F.coalesce(F.col(product), F.lit(False)).cast("int")).over(running),
-        })
-        .withColumn("_last", F.min(F.when(stop, F.col("batch"))).over(domain))
+        batched.join(ends, F.col("domain").eqNullSafe(F.col("_domain")))
         .where(F.col("_last").isNull() | (F.col("batch") <= F.col("_last")))
         .withColumn("needs_live", F.col("_last").isNull())
-        .drop("_pages", "_products", "_last")
+        .drop("_domain", "_last")
     )
 
 
 def page_budget(df: DataFrame, product: str = "is_product", by: list[str] = ("url_path",), seed: int = 0,
                 limits: Limits = Limits()) -> DataFrame:
     """Order, candidates and stop rules in one go, for pages whose product flag is known."""
-    return apply_budget(candidates(df, by, seed, limits), limits, product)
+    return apply_budget(stored(candidates(df, by, seed, limits), "candidates"), limits, product)
 
 
 def needs_live(seeds: DataFrame, checked: DataFrame) -> DataFrame:
@@ -113,7 +113,7 @@ def novelty_streak(df: DataFrame, technologies: str = "technologies", by: list[s
     The pages with something new are few, at most one per technology, so each domain's list of
     them is small; the pages are joined to it with salt.
     """
-    ranked = shuffled(df, by, seed)
+    ranked = stored(shuffled(df, by, seed), "ranked")
     firsts = (
         ranked.select("domain", "rn", F.explode(technologies).alias("_tech"))
         .groupBy("domain", "_tech").agg(F.min("rn").alias("_rn"))

@@ -1,142 +1,32 @@
 """Element trees of pages.
 
-Most operators read markup tokens (functions.markup_text) and never leave the JVM. A tree is only
-needed for microdata and for selectors that look at text or at a parent; those pages, and no
-others, pass through the parser below in Arrow batches.
+Most operators read markup tokens (functions.markup_text). A tree is only needed for microdata and for selectors that look at text or
+at neighbours; only those pages get one, inside the JVM (functions.tree).
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-from html.parser import HTMLParser
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from pageprism import schemas
-
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-_URL_ATTR = {"a": "href", "area": "href", "link": "href", "audio": "src", "embed": "src", "iframe": "src",
-             "img": "src", "source": "src", "track": "src", "video": "src", "object": "data",
-             "meta": "content", "data": "value", "meter": "value", "time": "datetime"}
-
-
-class _Tree(HTMLParser):
-    """Elements of one page in document order: [parent, last descendant, tag, attributes, text parts]."""
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.rows: list[list] = []
-        self.open: list[int] = []
-
-    def handle_starttag(self, tag, attrs):
-        pos = len(self.rows)
-        self.rows.append([self.open[-1] if self.open else -1, pos, tag, {k: v or "" for k, v in attrs}, []])
-        if tag not in VOID:
-            self.open.append(pos)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self._close()
-
-    def handle_endtag(self, tag):
-        if any(self.rows[i][2] == tag for i in self.open):
-            while self.rows[self._close()][2] != tag:
-                pass
-
-    def handle_data(self, data):
-        if self.open:
-            self.rows[self.open[-1]][4].append(data)
 
-    def _close(self) -> int:
-        pos = self.open.pop()
-        self.rows[pos][1] = len(self.rows) - 1
-        return pos
-
-
-def parse_tree(page: str) -> list[list]:
-    tree = _Tree()
-    tree.feed(page)
-    tree.close()
-    while tree.open:
-        tree._close()
-    return tree.rows
+from pageprism.functions.binding import column, let
+from pageprism.functions.tree import microdata_sql, own_text_sql, tree, tree_sql
+from pageprism.operators.rows import unnest
 
 
 def page_elements(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """One row per element: ``pos, parent, last`` (position of its last descendant), ``tag, attrs`` and
-    the element's own text. Rows are emitted page by page; nothing is collected."""
-    schema = T.StructType([pages.schema[key], *schemas.ELEMENT.fields])
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for ident, page in zip(batch[key], batch[html]):
-                rows = parse_tree(page or "")
-                if rows:
-                    yield pd.DataFrame({
-                        key: [ident] * len(rows),
-                        "pos": range(len(rows)),
-                        "parent": [r[0] for r in rows],
-                        "last": [r[1] for r in rows],
-                        "tag": [r[2] for r in rows],
-                        "attrs": [r[3] for r in rows],
-                        "text": ["".join(r[4]) for r in rows],
-                    })
-
-    return pages.select(key, html).mapInPandas(parse, schema)
-
-
-@F.pandas_udf(T.ArrayType(schemas.ELEMENT))
-def _element_arrays(pages: pd.Series) -> pd.Series:
-    return pages.map(lambda page: None if page is None else [
-        (pos, r[0], r[1], r[2], r[3], "".join(r[4])) for pos, r in enumerate(parse_tree(page))])
+    """One row per element: ``pos, parent, last`` (number of its last descendant), ``tag, attrs`` and the element's own text. Empty and
+    null pages have no rows."""
+    found = unnest(pages, [key], tree(html), "_e")
+    return found.select(key, "_e.pos", "_e.parent", "_e.last", "_e.tag", "_e.attrs", column(own_text_sql("_e")).alias("text"))
 
 
 def element_array(html: str, needed: Column) -> Column:
     """Element tree of a page as an array of structs; null where it is not ``needed``."""
-    return _element_arrays(F.when(needed, F.col(html)))
-
-
-def _microdata(page: str) -> list[str]:
-    """Top-level microdata items as JSON texts: ``@type``, ``@context`` and one key per property."""
-    rows = parse_tree(page)
-    items: dict[int, dict] = {}
-    top: list[dict] = []
-    owner: list[int] = []
-    for pos, (parent, last, tag, attrs, _) in enumerate(rows):
-        scope = -1 if parent < 0 else (parent if parent in items else owner[parent])
-        owner.append(scope)
-        value: object = None
-        if "itemscope" in attrs:
-            context, _, kind = attrs.get("itemtype", "").strip().rpartition("/")
-            value = items[pos] = {"@type": kind, "@context": context} if kind else {}
-        if "itemprop" in attrs and scope >= 0:
-            if value is None:
-                value = attrs.get(_URL_ATTR.get(tag, "content")) or attrs.get("content")
-                if value is None:
-                    value = " ".join("".join("".join(r[4]) for r in rows[pos:last + 1]).split())
-            for name in attrs["itemprop"].split():
-                item = items[scope]
-                if name not in item:
-                    item[name] = value
-                elif isinstance(item[name], list):
-                    item[name].append(value)
-                else:
-                    item[name] = [item[name], value]
-        elif "itemscope" in attrs:
-            top.append(items[pos])
-    return [json.dumps(item, ensure_ascii=False) for item in top]
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _microdata_items(pages: pd.Series) -> pd.Series:
-    return pages.map(lambda page: [] if page is None else _microdata(page))
+    return F.when(needed, tree(html))
 
 
 def microdata_items(html: str) -> Column:
-    """``array<string>`` of JSON texts. Only pages that mention ``itemscope`` are sent to Python."""
-    return _microdata_items(F.when(F.lower(F.col(html)).contains("itemscope"), F.col(html)))
+    """``array<string>`` of JSON texts. Only pages that mention ``itemscope`` are parsed."""
+    items = let(tree_sql(html), microdata_sql)
+    return column(f"CASE WHEN contains(lower({html}), 'itemscope') THEN {items} ELSE CAST(array() AS ARRAY<STRING>) END")

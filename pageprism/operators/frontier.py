@@ -1,52 +1,95 @@
-"""Link frontier: breadth-first pages of each domain over a stored page/link table."""
+"""Link frontier: breadth-first pages of each domain over a stored page/link table.
+
+Links and known pages lie in folders by a hash of (domain, page). A round reads only the folders that its front hashes to, so its work follows
+the front and not all that is known: a chain of many short rounds costs little, and a wide front reads what it needs.
+"""
 
 from __future__ import annotations
 
 import itertools
-from functools import reduce
+import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pageprism.operators.ranking import rank_by_hash, shuffle_key
-from pageprism.session import checkpointed
+from pageprism.session import shared_folder
+
+BUCKETS = 64
+_BUCKET = "_bucket"
+
+
+@dataclass(frozen=True)
+class _Stored:
+    """A table in folders by bucket, and which buckets it has."""
+
+    path: str
+    buckets: frozenset
+    schema: T.StructType
 
+    def folders(self, wanted: frozenset) -> list[str]:
+        return [f"{self.path}/{_BUCKET}={b}" for b in sorted(self.buckets & wanted)]
 
-#: Fronts that are read side by side before they are written as one.
-MERGE_ROUNDS = 8
 
+def _store(df: DataFrame, name: str, page: str, buckets: int) -> _Stored:
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/pageprism/{name}-{uuid.uuid4().hex}"
+    placed = df.withColumn(_BUCKET, F.pmod(F.xxhash64("domain", page), F.lit(buckets)).cast("int"))
+    placed.hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    return _Stored(path, frozenset(int(n.split("=")[1]) for n in names if n.startswith(_BUCKET)), df.schema)
 
-def frontier(links: DataFrame, roots: DataFrame, cap: int | None = None, seed: int = 0) -> DataFrame:
+
+def _read(spark, tables: list[_Stored], wanted: frozenset) -> DataFrame:
+    folders = [f for t in tables for f in t.folders(wanted)]
+    schema = tables[0].schema
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def frontier(links: DataFrame, roots: DataFrame, cap: int | None = None, seed: int = 0, buckets: int = BUCKETS) -> DataFrame:
     """Pages reached from the root of each domain: ``domain, page, depth, position``.
 
-    ``links`` has ``domain, source, target``, ``roots`` has ``domain, page``. Each round follows the links
-    of the last round's pages and drops pages that are known. Rounds go on until no domain has new pages. With ``cap``
-    (a live crawl takes ``fixed.MAX_LIVE_RECORDS``) a domain ends with its first ``cap`` pages, by depth and seeded order.
-    The state of a round is stored, so the plan does not grow with the rounds.
+    ``links`` has ``domain, source, target``, ``roots`` has ``domain, page``. Each round follows the links of the last round's pages and drops
+    pages that are known; both look only into the folders that can hold them. Rounds go on until no domain has new pages. With ``cap``
+    (a live crawl takes ``fixed.MAX_LIVE_RECORDS``) a domain ends with its first ``cap`` pages, by depth and seeded order. Every
+    round is stored, so the plan does not grow with the rounds. Nulls in any column take no part.
     """
-    front = checkpointed(roots.select("domain", "page").distinct().select(
-        "domain", "page", F.lit(0).alias("depth"), F.lit(1).cast("long").alias("position")))
-    fronts = [front]
+    spark = links.sparkSession
+    edges = _store(links.select("domain", "source", "target").dropna().distinct(), "links", "source", buckets)
+    first = roots.select("domain", "page").dropna().distinct()
+    counted = first.withColumns({"depth": F.lit(0), "used": F.count(F.lit(1)).over(Window.partitionBy("domain")) if cap is not None else F.lit(0).cast("long")})
+    fronts = [_store(counted, "front", "page", buckets)]
     for depth in itertools.count(1):
-        known = reduce(DataFrame.union, fronts)
-        fresh = (
-            links.join(front.select("domain", F.col("page").alias("source")), ["domain", "source"], "left_semi")
-            .select("domain", F.col("target").alias("page")).distinct()
-            .join(known.select("domain", "page"), ["domain", "page"], "left_anti")
-        )
-        used = known.groupBy("domain").agg(F.count(F.lit(1)).alias("_used"))
+        front = fronts[-1]
+        if not front.buckets:
+            break
+        pages = _read(spark, [front], front.buckets)
         if cap is not None:
-            open_domains = used.where(F.col("_used") < cap).select("domain")
-            fresh = fresh.join(open_domains, "domain", "left_semi")
-        ranked = rank_by_hash(fresh.withColumn("_order", shuffle_key("page", seed=seed)), ["domain"], "_order", ["page"], limit=cap)
-        placed = ranked.join(used, "domain").select(
-            "domain", "page", F.lit(depth).alias("depth"), (F.col("rn") + F.col("_used")).alias("position"))
-        front = checkpointed(placed if cap is None else placed.where(F.col("position") <= cap))
-        if front.isEmpty():
-            return known
-        fronts.append(front)
-        if len(fronts) > MERGE_ROUNDS:
-            fronts = [checkpointed(reduce(DataFrame.union, fronts))]
+            pages = pages.where(F.col("used") < cap)
+        ahead = _read(spark, [edges], front.buckets).join(
+            pages.select("domain", F.col("page").alias("source"), "used"), ["domain", "source"]).select("domain", F.col("target").alias("page"), "used")
+        found = _store(ahead.distinct(), "found", "page", buckets)
+        known = _read(spark, fronts, found.buckets).select("domain", "page")
+        fresh = _read(spark, [found], found.buckets).join(known, ["domain", "page"], "left_anti")
+        if cap is not None:  # one count per domain of the front
+            added = fresh.groupBy("domain").agg(F.count(F.lit(1)).alias("_added"))
+            fresh = fresh.join(added, "domain").withColumn("used", F.col("used") + F.col("_added"))
+        fronts.append(_store(fresh.select("domain", "page", F.lit(depth).alias("depth"), "used"), "front", "page", buckets))
+    everything = frozenset(range(buckets))
+    return _placed(_read(spark, fronts, everything).select("domain", "page", "depth"), cap, seed)
+
+
+def _placed(found: DataFrame, cap: int | None, seed: int) -> DataFrame:
+    """Adds ``position`` by depth and seeded order, in each domain from 1; with ``cap`` the first ones."""
+    before = Window.partitionBy("domain").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = found.groupBy("domain", "depth").agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    ranked = rank_by_hash(found.withColumn("_order", shuffle_key("page", seed=seed)), ["domain", "depth"], "_order", ["page"], limit=cap)
+    placed = ranked.join(offsets.drop("_n"), ["domain", "depth"]).select(
+        "domain", "page", "depth", (F.col("rn") + F.col("_before")).cast("long").alias("position"))
+    return placed if cap is None else placed.where(F.col("position") <= cap)
 
 
 def on_asked_domain(pages: DataFrame, url: str = "link") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Language of a text: a scorer over function words, and one that learns n-gram profiles."""
+"""Language of a text: by its script, by function words, and by n-gram profiles that are learned."""
 
 from __future__ import annotations
 
@@ -11,6 +11,18 @@ from pageprism.operators.rows import unnest
 
 _WORD = r"\p{L}+"
 
+#: Scripts that one language of the web mostly has, and the languages of those that several share: the first whose own letters occur, else the last.
+SCRIPTS = {
+    "Greek": "el", "Hebrew": "he", "Thai": "th", "Hangul": "ko", "Devanagari": "hi", "Bengali": "bn", "Tamil": "ta", "Telugu": "te", "Gujarati": "gu",
+    "Gurmukhi": "pa", "Kannada": "kn", "Malayalam": "ml", "Sinhala": "si", "Khmer": "km", "Lao": "lo", "Georgian": "ka", "Armenian": "hy", "Ethiopic": "am",
+}
+SHARED_SCRIPTS = {
+    "Cyrillic": (("uk", "іїєґ"), ("be", "ў"), ("mk", "ѓќѕ"), ("sr", "ђјљњћџ"), ("kk", "әғқңөұүһ"), ("ru", "ыэё"), ("bg", "ъ"), ("ru", "")),
+    "Arabic": (("ur", "ٹڈڑےں"), ("fa", "پچژگ"), ("ar", "")),
+}
+#: Japanese mixes kana with Chinese characters; a tenth of kana tells it.
+KANA_SHARE = 10
+
 
 def words(text: str) -> str:
     return f"regexp_extract_all(lower({text}), {q(_WORD)}, 0)"
@@ -32,11 +44,32 @@ def word_scores(text: str) -> str:
     return let(only(words(text), lambda w: f"{w} IN {listed(every)}"), scores)
 
 
+def script_language(text: str) -> str:
+    """SQL for the language that the script of most letters tells; ``latin`` where most are Latin or there are none, null for an unknown script."""
+    def share(t: str) -> str:
+        count = lambda name: f"length(regexp_replace({t}, {q(f'[^' + chr(92) + 'p{Is' + name + '}]+')}, ''))"
+        rows = [f"named_struct('n', {count(name)}, 'lang', {q(lang)})" for name, lang in SCRIPTS.items()]
+        for name, languages in SHARED_SCRIPTS.items():
+            own = " ".join(f"WHEN {t} RLIKE {q(f'(?iu)[{letters}]')} THEN {q(lang)}" for lang, letters in languages[:-1])
+            rows.append(f"named_struct('n', {count(name)}, 'lang', CASE {own} ELSE {q(languages[-1][0])} END)")
+        kana = f"length(regexp_replace({t}, {q('[^' + chr(92) + 'p{IsHiragana}' + chr(92) + 'p{IsKatakana}]+')}, ''))"
+        east = let(kana, lambda k: let(count("Han"), lambda h: (
+            f"named_struct('n', {k} + {h}, 'lang', CASE WHEN {k} * {KANA_SHARE} >= {k} + {h} THEN 'ja' ELSE 'zh' END)")))
+        best = f"array_max(array({', '.join([*rows, east])}))"
+        letters = f"length(regexp_replace({t}, {q('[^' + chr(92) + 'p{L}]+')}, ''))"
+        return (f"CASE WHEN {count('Latin')} * 2 >= {letters} THEN 'latin' ELSE "
+                f"{let(best, lambda b: f'CASE WHEN {b}.n * 2 >= {letters} THEN {b}.lang END')} END")
+
+    # Most texts have Latin letters alone and need no counts.
+    return f"CASE WHEN {text} RLIKE {q('[^' + chr(92) + 'x00-' + chr(92) + 'x{24F}]')} THEN {let(text, share)} ELSE 'latin' END"
+
+
 def detect_language(text: str) -> Column:
-    """Language with the most function words, the first by code among equals; null for no text and
-    ``en`` when no function word occurs at all. Stays inside the row."""
+    """Language that the script tells; for Latin letters that with the most function words, the first by code among equals. Null for no text and for a
+    script that isn't known; ``en`` when no function word occurs at all. Stays inside the row."""
     best = let(f"array_max({word_scores(text)})", lambda b: f"CASE WHEN {b}.score > 0 THEN {b}.lang ELSE 'en' END")
-    return column(f"CASE WHEN {text} IS NOT NULL THEN {best} END")
+    by_script = let(script_language(text), lambda s: f"CASE WHEN {s} = 'latin' THEN {best} ELSE {s} END")
+    return column(f"CASE WHEN {text} IS NOT NULL THEN {by_script} END")
 
 
 def _ngrams(df: DataFrame, text: str, keep: list[str], n: int) -> DataFrame:

@@ -1,23 +1,26 @@
-"""CSS selectors as predicates. Supported: tag, ``*``, ``#id``, ``.class``, attribute tests, the child
-and descendant combinators and comma lists."""
+"""CSS selectors as predicates. Supported: tag, ``*``, ``#id``, ``.class``, attribute tests, ``:not``, comma lists, and the combinators
+for descendants, children (``>``) and siblings (``+``, ``~``). Elements are numbered as nested intervals, so combinators compare numbers."""
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
 
-from pageprism.functions.binding import each, fresh, let, only, q
+from pageprism.functions.binding import fresh, let, q
 from pageprism.functions.markup_text import attribute, is_tag
+from pageprism.functions.tree import inner_text_sql
 
 _PART = re.compile(
     r"""(?P<tag>\*|[a-zA-Z][\w-]*)|\#(?P<id>[\w-]+)|\.(?P<cls>[\w-]+)"""
-    r"""|\[\s*(?P<attr>[\w:-]+)\s*(?:(?P<op>[*^$~|]?=)\s*(?:"(?P<dq>[^"]*)"|'(?P<sq>[^']*)'|(?P<uq>[^\]\s]+))\s*)?\]""")
+    r"""|\[\s*(?P<attr>[\w:-]+)\s*(?:(?P<op>[*^$~|]?=)\s*(?:"(?P<dq>[^"]*)"|'(?P<sq>[^']*)'|(?P<uq>[^\]\s]+))\s*)?\]"""
+    r"""|:not\((?P<no>(?:\[[^\]]*\]|[^)\[])*)\)""")
 
 
 @dataclass(frozen=True)
 class Compound:
     tag: str | None
     tests: tuple  # (attribute, operator, value)
+    negated: tuple = ()  # compounds that must not fit
 
     def literals(self) -> list[str]:
         return [v for _, _, v in self.tests if v and not set(v) & set("&<>\"'")]
@@ -26,7 +29,7 @@ class Compound:
 @dataclass(frozen=True)
 class Selector:
     steps: tuple  # compounds from left to right
-    combinators: tuple  # one of " ", ">" in front of each step but the first
+    combinators: tuple  # one of " ", ">", "+", "~" in front of each step but the first
 
     @property
     def simple(self) -> bool:
@@ -43,7 +46,7 @@ class Selector:
 
 
 def _compound(text: str) -> Compound:
-    tag, tests, at = None, [], 0
+    tag, tests, negated, at = None, [], [], 0
     while at < len(text):
         m = _PART.match(text, at)
         if not m:
@@ -55,28 +58,35 @@ def _compound(text: str) -> Compound:
             tests.append(("id", "=", m["id"]))
         elif m["cls"]:
             tests.append(("class", "~=", m["cls"]))
+        elif m["no"] is not None:
+            inner = parse(m["no"])
+            if not inner or not all(s.simple for s in inner):
+                raise ValueError(f"unsupported selector: {text}")
+            negated += [s.steps[0] for s in inner]
         else:
             value = next((m[g] for g in ("dq", "sq", "uq") if m[g] is not None), None)
             value = value if value is None else re.sub(r"\\(.)", r"\1", value)
             tests.append((m["attr"].lower(), m["op"], value))
-    return Compound(tag, tuple(tests))
+    return Compound(tag, tuple(tests), tuple(negated))
 
 
 def parse(text: str) -> list[Selector]:
     """Alternatives of a selector list."""
-    quoted = r"""(?:\[[^\]]*\])"""
+    whole = r"""(?:\[[^\]]*\]|:not\((?:\[[^\]]*\]|[^)\[])*\))"""
     out = []
-    for part in re.findall(rf"(?:{quoted}|[^,\[])+", text):
-        tokens = re.findall(rf">|(?:{quoted}|[^\s>\[])+", part.strip())
+    for part in re.findall(rf"(?:{whole}|[^,\[])+", text):
+        tokens = re.findall(rf"[>+~]|(?:{whole}|[^\s>+~\[])+", part.strip())
         steps, combinators, pending = [], [], " "
         for token in tokens:
-            if token == ">":
-                pending = ">"
+            if token in ">+~":
+                pending = token
                 continue
             if steps:
                 combinators.append(pending)
             steps.append(_compound(token))
             pending = " "
+        if not steps or pending != " ":
+            raise ValueError(f"unsupported selector: {text}")
         out.append(Selector(tuple(steps), tuple(combinators)))
     return out
 
@@ -96,36 +106,42 @@ def _test(value: str, op: str | None, wanted: str | None) -> str:
     return f"coalesce({hit}, false)"
 
 
+def _all(tests: list[str], negated: list[str]) -> str:
+    return " AND ".join([f"({t})" for t in tests] + [f"NOT ({t})" for t in negated]) or "true"
+
+
 def on_token(compound: Compound, token: str) -> str:
     """Does a start tag fit? Used with functions.markup_text.tokens."""
     tests = [is_tag(token, compound.tag)] if compound.tag else []
     tests += [_test(attribute(token, name), op, wanted) for name, op, wanted in compound.tests]
-    return " AND ".join(f"({t})" for t in tests) or "true"
+    return _all(tests, [on_token(c, token) for c in compound.negated])
 
 
 def _on_element(compound: Compound, element: str) -> str:
     tests = [f"{element}.tag = {q(compound.tag)}"] if compound.tag else []
     tests += [_test(f"try_element_at({element}.attrs, {q(name)})", op, wanted) for name, op, wanted in compound.tests]
-    return " AND ".join(f"({t})" for t in tests) or "true"
+    return _all(tests, [_on_element(c, element) for c in compound.negated])
 
 
 def on_element(selector: Selector, element: str, elements: str) -> str:
-    """Does an element of a tree fit, its parents or ancestors included?"""
+    """Does an element of a tree fit, its ancestors and siblings included?"""
     def fits(step: int, e: str) -> str:
         hit = f"({_on_element(selector.steps[step], e)})"
         if step == 0:
             return hit
-        if selector.combinators[step - 1] == ">":
+        combinator = selector.combinators[step - 1]
+        if combinator == ">":
             parent = f"try_element_at({elements}, CASE WHEN {e}.parent >= 0 THEN {e}.parent + 1 END)"
             return f"{hit} AND {let(parent, lambda p: f'({p} IS NOT NULL AND {fits(step - 1, p)})')}"
-        a = fresh("a")
-        return (f"{hit} AND exists({elements}, {a} -> {a}.pos < {e}.pos AND {a}.last >= {e}.pos "
-                f"AND {fits(step - 1, a)})")
+        other = fresh("o")
+        where = {" ": f"{other}.last >= {e}.pos", "~": f"{other}.parent = {e}.parent",
+                 "+": f"{other}.parent = {e}.parent AND {other}.last = {e}.pos - 1"}[combinator]
+        before = f"slice({elements}, 1, {e}.pos)"  # all that begin before the element
+        return f"{hit} AND exists({before}, {other} -> {where} AND {fits(step - 1, other)})"
 
     return fits(len(selector.steps) - 1, element)
 
 
 def element_text(element: str, elements: str) -> str:
-    """Text of an element and its descendants."""
-    inside = only(elements, lambda d: f"{d}.pos BETWEEN {element}.pos AND {element}.last")
-    return f"array_join({each(inside, lambda d: f'{d}.text')}, '')"
+    """Text of an element and its descendants in document order."""
+    return inner_text_sql(element, elements)

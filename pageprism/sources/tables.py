@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageprism import schemas
 from pageprism.operators.dedupe import keep_latest
 from pageprism.operators.index import merge_index
+from pageprism.sources.snapshots import Manifest, read_snapshot, upsert
 
-TRACKING_BUCKETS = 64
+RESULT_BUCKETS = 64
+INDEX_BUCKETS = 16
 
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
@@ -28,67 +30,42 @@ def read_index_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PAGE_INDEX).csv(path, header=True, enforceSchema=False)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("domain"), F.lit(buckets)).cast("int").cast("string")
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Table of a known schema; an empty frame of that schema when nothing was written yet."""
-    if not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+def read_index(spark: SparkSession, path: str, crawls: list[str] | None = None) -> DataFrame:
+    """Local index, empty when it was never written; with ``crawls`` only their parts are read."""
+    wanted = None if crawls is None else (lambda part: part.rpartition(".")[0] in crawls)
+    return read_snapshot(spark, path, schemas.PAGE_INDEX, wanted=wanted)
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, path, schemas.PAGE_INDEX)
+def upsert_index(spark: SparkSession, new: DataFrame, path: str) -> Manifest:
+    """Adds index rows to the local index, each once. Only the parts (crawl, bucket of the domain) that occur in ``new`` are
+    read and rewritten. Returns the new version, with its row count."""
+    part = F.concat(F.coalesce("crawl", F.lit("")), F.lit("."), F.coalesce(_bucket(INDEX_BUCKETS), F.lit("")))
+    return upsert(spark, path, new, part, schemas.PAGE_INDEX, merge_index)
 
 
-def _overwrite_partitions(df: DataFrame, path: str, partitions: list[str]) -> None:
-    """Replaces exactly the partitions that occur in ``df``. The rows are staged and swapped in when
-    the job commits, so a table may be read and rewritten in one job."""
-    balanced = df.hint("rebalance", *partitions)  # few files for small partitions, many for large ones
-    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+def _result_schema(name: str) -> T.StructType:
+    extra = [] if name == "tracking" else [T.StructField("query_year", T.StringType())]
+    return T.StructType([*schemas.RESULT_SCHEMAS[name].fields, *extra])
 
 
-def upsert_index(spark: SparkSession, new: DataFrame, path: str) -> None:
-    """Adds index rows to the local index, each once. Only the crawls that occur in ``new`` are
-    read and rewritten."""
-    crawls = new.select("crawl").distinct()
-    touched = read_index(spark, path).join(F.broadcast(crawls), "crawl", "left_semi")  # one row per crawl id
-    _overwrite_partitions(merge_index(touched, new), path, ["crawl"])
+def read_results(spark: SparkSession, name: str, path: str, version: int | None = None) -> DataFrame:
+    """Result table, empty when it was never written: the latest version or the given one."""
+    return read_snapshot(spark, path, _result_schema(name), version)
 
 
-def _result_schema(name: str) -> T.StructType:
-    extra = "bucket" if name == "tracking" else "query_year"
-    kind = T.IntegerType() if name == "tracking" else T.StringType()
-    return T.StructType([*schemas.RESULT_SCHEMAS[name].fields, T.StructField(extra, kind)])
-
-
-def read_results(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Result table, empty when it was never written."""
-    return read_or_empty(spark, path, _result_schema(name))
-
-
-def upsert_results(spark: SparkSession, name: str, new: DataFrame, path: str, query_year: str) -> None:
-    """Keep-latest upsert into a result table.
-
-    The result tables are partitioned by query year and only that year is rewritten; the tracking
-    table, whose key is the domain alone, by a hash bucket of the domain.
-    """
-    columns = schemas.RESULT_SCHEMAS[name].fieldNames()
-    if name == "tracking":
-        partition = "bucket"
-        new = new.withColumn("bucket", F.pmod(F.xxhash64("domain"), F.lit(TRACKING_BUCKETS)).cast("int"))
-        old = read_results(spark, name, path)
-        keys = ["bucket", "domain"]
-    else:
-        partition = "query_year"
+def upsert_results(spark: SparkSession, name: str, new: DataFrame, path: str, query_year: str, batch: tuple[str, int] | None = None) -> Manifest:
+    """Keep-latest upsert into a result table, whose parts are hash buckets of the domain, in the tables but for tracking of each query year.
+    Readers see the table before or after it, never between. ``batch`` (stream, number) is written once."""
+    schema, keys = _result_schema(name), schemas.RESULT_KEYS[name]
+    part = F.coalesce(_bucket(RESULT_BUCKETS), F.lit(""))
+    if name != "tracking":
         new = new.withColumn("query_year", F.lit(str(query_year)))
-        old = read_results(spark, name, path).where(F.col("query_year") == str(query_year))
-        keys = schemas.RESULT_KEYS[name]
-    merged = keep_latest(new.select(*columns, partition), old, keys)
-    _overwrite_partitions(merged, path, [partition])
+        part = F.concat("query_year", F.lit("."), part)
+    return upsert(spark, path, new, part, schema, lambda old, rows: keep_latest(rows, old, keys), batch)
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:

@@ -22,15 +22,15 @@ def page_product_rows(pages: DataFrame, rules: RuleSet, archive_year: str, run_d
 
 def stream_products(spark: SparkSession, page_folder: str, result_path: str, checkpoint: str, rules: RuleSet,
                     query_year: str, run_date: Column, files_per_batch: int = 1000) -> StreamingQuery:
-    """Reads page files as they arrive and upserts their products. The upsert is idempotent, so a
-    batch that runs twice after a failure changes nothing."""
+    """Reads page files as they arrive and upserts their products. The table notes the last batch of the stream, so a
+    batch that runs twice after a failure is written once."""
     pages = (
         spark.readStream.schema(schemas.PAGE_RECORDS).option("maxFilesPerTrigger", files_per_batch)
         .parquet(page_folder)
     )
     rows = page_product_rows(pages, rules, query_year, run_date)
     return (
-        rows.writeStream.foreachBatch(lambda batch, _: upsert_results(
-            batch.sparkSession, "products", batch, result_path, query_year))
+        rows.writeStream.foreachBatch(lambda batch, number: upsert_results(
+            batch.sparkSession, "products", batch, result_path, query_year, batch=(checkpoint, number)))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )

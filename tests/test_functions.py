@@ -6,7 +6,7 @@ from html import entities
 import pytest
 from pyspark.sql import functions as F
 
-from pageprism.functions import headers, markup_text, price, social, text, urls
+from pageprism.functions import charset, headers, markup_text, price, social, text, urls
 from pageprism.functions.markup_text import anchors, tokens
 
 
@@ -109,9 +109,9 @@ def test_language_tags(spark):
 def test_charset(spark):
     rows = [('<meta charset="Windows-1252">',), ("<meta http-equiv=Content-Type content='text/html; charset=utf-8'>",),
             ("<p>none</p>",)]
-    assert values(spark, rows, "h string", text.declared_charset("h")) == ["windows-1252", "utf-8", "iso-8859-1"]
+    assert values(spark, rows, "h string", charset.declared_charset("h")) == ["windows-1252", "utf-8", "iso-8859-1"]
     data = [(bytearray("é".encode()),), (bytearray("<meta charset=latin1>é".encode("latin-1")),)]
-    assert values(spark, data, "b binary", text.decode_page("b")) == ["é", "<meta charset=latin1>é"]
+    assert [r.t for r in charset.with_text(spark.createDataFrame(data, "b binary"), "b", "t").collect()] == ["é", "<meta charset=latin1>é"]
 
 
 def test_parse_headers(spark):

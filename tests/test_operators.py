@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pageprism.operators import budget, dedupe, index, markup, selectors, technology as tech
-from pageprism.operators.elements import page_elements, parse_tree
+from pageprism.operators.elements import page_elements
 from pageprism.operators.domains import registered_domain
 from pageprism.operators.frontier import frontier
 from pageprism.operators.links import live_only, social_links
@@ -187,7 +187,6 @@ def test_elements(spark):
     assert [(r.tag, r.parent, r.last) for r in rows] == [
         ("div", -1, 5), ("p", 0, 2), ("a", 1, 2), ("br", 0, 3), ("p", 0, 5), ("span", 4, 5), ("footer", -1, 6)]
     assert rows[2].attrs == {"href": "/u", "class": "l"}
-    assert parse_tree("") == []
 
 
 @pytest.mark.parametrize("selector, want", [
@@ -304,6 +303,22 @@ def test_rows_without_a_key_are_ranked_too(spark):
 
 
 def test_frontier_goes_on_to_the_last_page(spark):
-    links = spark.createDataFrame([("d", str(i), str(i + 1)) for i in range(12)], "domain string, source string, target string")
-    roots = spark.createDataFrame([("d", "0")], "domain string, page string")
-    assert {(r.page, r.depth) for r in frontier(links, roots).collect()} == {(str(i), i) for i in range(13)}
+    links = spark.createDataFrame([("d", str(i), str(i + 1)) for i in range(12)] + [("d", "5", "0"), ("e", "0", "1"), (None, "0", "x"), ("d", "0", None)],
+                                  "domain string, source string, target string")
+    roots = spark.createDataFrame([("d", "0"), ("f", None)], "domain string, page string")
+    assert {(r.page, r.depth, r.position) for r in frontier(links, roots).collect()} == {(str(i), i, i + 1) for i in range(13)}
+    assert frontier(links, roots.limit(0)).count() == 0
+
+
+def test_a_round_reads_the_folders_of_its_front(spark, monkeypatch):
+    from pageprism.operators import frontier as module
+
+    read = []
+    real = module._read
+    monkeypatch.setattr(module, "_read", lambda s, tables, wanted: read.append(sum(len(t.folders(wanted)) for t in tables)) or real(s, tables, wanted))
+    chains = [(d, str(i), str(i + 1)) for d in "abcdefgh" for i in range(40 if d == "a" else 3)]
+    links = spark.createDataFrame(chains, "domain string, source string, target string")
+    roots = spark.createDataFrame([(d, "0") for d in "abcdefgh"], "domain string, page string")
+    assert frontier(links, roots).count() == 41 + 7 * 4
+    late = read[4 * 10:-1]
+    assert max(late) <= 2  # one front, one bucket of links, of candidates and of known pages

@@ -2,6 +2,7 @@
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from pageprism import schemas
@@ -9,7 +10,7 @@ from pageprism.catalog.frames import shop_pages
 from pageprism.plans import acquire
 from pageprism.plans.report import from_archive, from_table, shop_report, write_report
 from pageprism.sources import tables
-from pageprism.sources.records import decode_record, fetch_records, split_record, write_records
+from pageprism.sources.records import fetch_records, merged_reads, write_records
 from pageprism.sources.rule_files import read_rules, sample_rules
 from pageprism.streaming.upserts import stream_products
 
@@ -61,14 +62,11 @@ def test_records_round_trip(spark, tmp_path):
     broken = located.withColumn("warc_record_offset", F.col("warc_record_offset") + 1)
     assert fetch_records(broken, root).where("response IS NULL").count() == 20
     lost = located.withColumn("warc_filename", F.lit("gone"))
-    assert fetch_records(lost, root).where("response IS NULL").count() == 20
-
-
-def test_record_encodings():
-    assert decode_record("<meta charset=latin1>é".encode("latin-1")).endswith("é")
-    assert decode_record("<meta charset=bogus>é".encode("latin-1")).endswith("é")
-    assert split_record(b"W\r\n\r\nH\r\n\r\n") == (None, None)
-    assert split_record(b"") == (None, None)
+    assert fetch_records(lost, root, missing="null").where("response IS NULL").count() == 20
+    with pytest.raises(Exception, match="gone"):
+        fetch_records(lost, root).count()
+    nowhere = located.withColumn("warc_record_offset", F.when(F.col("url_path") != "/3", F.col("warc_record_offset")))
+    assert {r.url_path for r in fetch_records(nowhere, root).where("response IS NOT NULL").collect()} == {f"/{i}" for i in range(20)} - {"/3"}
 
 
 def test_live_pages_take_the_shape_of_records(spark):
