@@ -105,7 +105,7 @@ def _in_map(gram: str, field: str, table: bytes) -> str:
 
 def candidates(pages: DataFrame, key: str, rules: DataFrame, index: DataFrame, table: bytes) -> DataFrame:
     """(key, rules): for each page the rules whose piece it holds."""
-    pieces = [each(only(grams(f"lower({field})"), lambda g, f=field: _in_map(g, f, table)), lambda g, f=field: f"named_struct('field', {q(f)}, 'gram', {g})")
+    pieces = [each(only(grams(f"coalesce(lower({field}), '')"), lambda g, f=field: _in_map(g, f, table)), lambda g, f=field: f"named_struct('field', {q(f)}, 'gram', {g})")
               for field in FIELDS]
     held = pages.select(key, F.explode(column(f"concat({', '.join(pieces)})")).alias("p")).select(key, "p.field", "p.gram")
     fields = ["rule", "tech", "field", "pattern", "version_tpl", "confidence", "literal", "groups"]

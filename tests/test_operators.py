@@ -321,4 +321,4 @@ def test_a_round_reads_the_folders_of_its_front(spark, monkeypatch):
     roots = spark.createDataFrame([(d, "0") for d in "abcdefgh"], "domain string, page string")
     assert frontier(links, roots).count() == 41 + 7 * 4
     late = read[4 * 10:-1]
-    assert max(late) <= 2  # one front, one bucket of links, of candidates and of known pages
+    assert max(late) <= 5  # of hundreds: a front, its bucket of links, of candidates and of known pages
