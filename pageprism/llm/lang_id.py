@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageprism.llm.common import column_bytes, map_batches, table
+from pageprism.llm.common import column_bytes, map_batches, spread_ranges, table
 from pageprism.session import stored
 
 FEATURES = 1 << 14
@@ -84,34 +84,69 @@ def unit(v: np.ndarray) -> np.ndarray:
     return v / np.maximum(np.linalg.norm(v, axis=-1, keepdims=True), 1e-12)
 
 
-def cluster(vectors: np.ndarray, k: int, seed: int, rounds: int = 12) -> np.ndarray:
-    """Spherical k-means, started from vectors far from those already chosen."""
+@dataclass
+class Rows:
+    """Sparse rows: the features of row i are ``at[start[i]:start[i + 1]]``, with ``value``. No row is empty."""
+
+    start: np.ndarray
+    at: np.ndarray
+    value: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.start) - 1
+
+    def of(self) -> np.ndarray:
+        """Row of each entry."""
+        return np.repeat(np.arange(len(self)), np.diff(self.start))
+
+    def pick(self, rows: np.ndarray) -> Rows:
+        sizes = np.diff(self.start)[rows]
+        entries = spread_ranges(self.start[:-1][rows], sizes)
+        return Rows(np.concatenate([[0], np.cumsum(sizes)]), self.at[entries], self.value[entries])
+
+    def dense(self, row: int) -> np.ndarray:
+        out = np.zeros(FEATURES, np.float32)
+        part = slice(self.start[row], self.start[row + 1])
+        out[self.at[part]] = self.value[part]
+        return out
+
+    def cosines(self, centres: np.ndarray) -> np.ndarray:
+        """Products with each centre; rows and centres are of length 1."""
+        return np.stack([np.add.reduceat(self.value * c[self.at], self.start[:-1]) for c in centres], 1)
+
+    def total(self, chosen: np.ndarray) -> np.ndarray:
+        keep = np.repeat(chosen, np.diff(self.start))
+        return np.bincount(self.at[keep], self.value[keep], FEATURES).astype(np.float32)
+
+
+def cluster(rows: Rows, k: int, seed: int, rounds: int = 12) -> np.ndarray:
+    """Spherical k-means, started from rows far from those already chosen."""
     rng = np.random.default_rng(seed)
-    centres = vectors[[rng.integers(len(vectors))]]
-    while len(centres) < min(k, len(vectors)):
-        centres = np.vstack([centres, vectors[[int((vectors @ centres.T).max(1).argmin())]]])
+    centres = rows.dense(int(rng.integers(len(rows))))[None]
+    while len(centres) < min(k, len(rows)):
+        centres = np.vstack([centres, rows.dense(int(rows.cosines(centres).max(1).argmin()))[None]])
     for _ in range(rounds):
-        nearest = (vectors @ centres.T).argmax(1)
-        centres = unit(np.stack([vectors[nearest == i].sum(0) if (nearest == i).any() else centres[i] for i in range(len(centres))]))
+        nearest = rows.cosines(centres).argmax(1)
+        centres = unit(np.stack([rows.total(nearest == i) if (nearest == i).any() else centres[i] for i in range(len(centres))]))
     return centres
 
 
-def fit(languages: list[str], labels: np.ndarray, counts: np.ndarray, centroids: int = CENTROIDS, seed: int = 11) -> Centroids:
+def fit(languages: list[str], labels: np.ndarray, counts: Rows, centroids: int = CENTROIDS, seed: int = 11) -> Centroids:
     """Weights, centroids and rejection bounds from counted texts. A language's bound lies ``REJECT_MARGIN`` of the way below the
     cosine that all but ``REJECT_QUANTILE`` of its own texts reach."""
     if not languages:
         return Centroids([], np.zeros(FEATURES), np.zeros((0, FEATURES), np.float32), np.zeros(0, int), np.zeros(0))
-    idf = (np.log((1 + len(counts)) / (1 + np.count_nonzero(counts, 0))) + 0.1).astype(np.float32)
-    vectors = np.log1p(counts, dtype=np.float32)
-    vectors *= idf
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+    idf = (np.log((1 + len(counts)) / (1 + np.bincount(counts.at, minlength=FEATURES))) + 0.1).astype(np.float32)
+    value = np.log1p(counts.value, dtype=np.float32) * idf[counts.at]
+    length = np.sqrt(np.add.reduceat(value * value, counts.start[:-1]))
+    rows = Rows(counts.start, counts.at, value / np.maximum(length, 1e-12)[counts.of()])
     found, owner, least = [], [], []
     for i in range(len(languages)):
-        own = vectors[labels == i]
+        own = rows.pick(np.nonzero(labels == i)[0])
         centres = cluster(own, centroids, seed + i)
         found.append(centres)
         owner += [i] * len(centres)
-        least.append(REJECT_MARGIN * float(np.quantile((own @ centres.T).max(1), REJECT_QUANTILE)))
+        least.append(REJECT_MARGIN * float(np.quantile(own.cosines(centres).max(1), REJECT_QUANTILE)))
     return Centroids(list(languages), idf, np.vstack(found).astype(np.float32), np.array(owner), np.array(least))
 
 
@@ -128,7 +163,7 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most_languag
     sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
     languages = sorted(r.lang for r in sizes)
     if not languages:
-        return fit([], np.zeros(0), np.zeros((0, FEATURES)))
+        return fit([], np.zeros(0), Rows(np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0)))
     per_language = min(per_language, -(-MOST_SAMPLES // len(languages)))
     bound = {r.lang: min(2**63 - 1, int(2**64 * min(1.0, per_language / r["count"])) - 2**63) for r in sizes}
     chosen = F.create_map(*[F.lit(x) for pair in bound.items() for x in pair])
@@ -152,10 +187,10 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most_languag
     found = stored(map_batches(sample, run, "label int, order long, grams binary, counts binary"), "grams").collect()
     found.sort(key=lambda r: (r.label, r.order))
     known = sorted({r.label for r in found})
-    counts = np.zeros((len(found), FEATURES), np.float32)
-    for i, r in enumerate(found):
-        counts[i, np.frombuffer(r.grams, "<u2")] = np.frombuffer(r.counts, "<u4")
-    return fit([languages[i] for i in known], np.array([known.index(r.label) for r in found]), counts)
+    at = [np.frombuffer(r.grams, "<u2") for r in found]
+    counts = Rows(np.concatenate([[0], np.cumsum([len(x) for x in at])]).astype(np.int64), np.concatenate([np.zeros(0, np.int64), *at]).astype(np.int64),
+                  np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(r.counts, "<u4") for r in found)]).astype(np.float32))
+    return fit([languages[i] for i in known], np.array([known.index(r.label) for r in found], np.int64), counts)
 
 
 def identify(docs: DataFrame, model: Centroids) -> DataFrame:

@@ -53,3 +53,50 @@ def test_counts_do_not_depend_on_pieces():
         assert np.array_equal(lang_id.gram_counts(LONG), whole)
     finally:
         lang_id._PIECE = old
+
+
+def plain_prediction(text, model):
+    """Cosine with every centroid, from n-grams counted one by one."""
+    letters = [c if c.isalpha() else " " for c in text.lower()]
+    words = "".join(letters).split()
+    if not words:
+        return "und", 0.0
+    row = " " + " ".join(words) + " "
+    vector = np.zeros(lang_id.FEATURES)
+
+    def place(h):
+        return ((h ^ (h >> 15)) & 0x7FFFFFFF) % lang_id.FEATURES
+
+    def wrapped(h):
+        return (h + (1 << 63)) % (1 << 64) - (1 << 63)
+    for i in range(len(row) - 1):
+        two = wrapped(ord(row[i]) * 0x9E3779B1 + ord(row[i + 1]) * 0x85EBCA6B)
+        vector[place(two)] += 1
+        if i + 2 < len(row) and row[i + 1] != " ":
+            vector[place(wrapped(wrapped(two * 31) + ord(row[i + 2]) * 0xC2B2AE35))] += 1
+    weighted = np.log1p(vector) * model.idf
+    cosines = model.vectors @ (weighted / np.linalg.norm(weighted))
+    best = int(cosines.argmax())
+    return model.languages[model.owner[best]], float(cosines[best])
+
+
+def test_predictions_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = lang_id.train(docs)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in lang_id.identify(docs, model).collect():
+        lang, score = plain_prediction(texts[r.doc_id], model)
+        assert r.lang_pred == lang and abs(r.score - max(0.0, min(1.0, score))) < 1e-4
+
+
+def test_sparse_rows_equal_dense_ones():
+    rng = np.random.default_rng(0)
+    dense = np.where(rng.random((30, lang_id.FEATURES)) < 0.01, rng.random((30, lang_id.FEATURES)), 0).astype(np.float32)
+    start = np.concatenate([[0], np.cumsum((dense > 0).sum(1))])
+    rows = lang_id.Rows(start, np.nonzero(dense)[1], dense[dense > 0])
+    centres = rng.random((3, lang_id.FEATURES)).astype(np.float32)
+    assert np.allclose(rows.cosines(centres), dense @ centres.T, atol=1e-3)
+    some = np.array([3, 7, 29])
+    assert np.allclose(rows.pick(some).cosines(centres), dense[some] @ centres.T, atol=1e-3)
+    chosen = np.arange(30) % 4 == 1
+    assert np.allclose(rows.total(chosen), dense[chosen].sum(0), atol=1e-4) and np.array_equal(rows.dense(5), dense[5])
