@@ -20,12 +20,7 @@ SEED = 42
 BITS_APART = 2
 BYTES = 8
 LONG_POSTING = 64
-#: A pair at a similarity s agrees in one of ``bands`` bands of ``BAND_HASHES`` min-hashes with probability 1 - (1 - s ** BAND_HASHES) ** bands.
-BAND_HASHES = 6
-SIMILAR_PERCENT = 80
-HUB_GROWTH = 4
 _CHUNK = 1 << 16
-_BAND_CHUNK = 1024
 
 
 def shingle_hashes(text: bytes, n: int, seed: int = SEED) -> np.ndarray:
@@ -50,60 +45,23 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def shingle_set(hashes: np.ndarray) -> tuple[np.ndarray, int]:
-    """The different hashes in order, and a name for them (0 if there are none)."""
-    from xxhash import xxh64_intdigest
-
-    different = np.unique(hashes)
-    return different, xxh64_intdigest(different.astype("<u8").tobytes(), SEED) if len(different) else 0
-
-
-def band_keys(different: np.ndarray, bands: int) -> np.ndarray:
-    """One key per band: the sum of ``BAND_HASHES`` independent min-hashes, each times an odd number of its own."""
-    if not len(different):
-        return np.zeros(0, np.uint64)
-    rng = np.random.default_rng(SEED)
-    factors, weights = rng.integers(0, 1 << 63, (2, bands * BAND_HASHES), np.uint64) * np.uint64(2) + np.uint64(1)
-    least = np.full(bands * BAND_HASHES, np.iinfo(np.uint64).max)
-    for i in range(0, len(different), _BAND_CHUNK):
-        least = np.minimum(least, (different[i:i + _BAND_CHUNK, None] * factors).min(0))
-    least ^= least >> np.uint64(29)
-    return (least * weights).reshape(bands, BAND_HASHES).sum(1, dtype=np.uint64)
-
-
-def with_fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, bands: int = 0) -> DataFrame:
-    """doc_id, ``fp`` (the fingerprint's 64 bits as a signed long), ``shingles`` (name of the set of shingles) and ``bands`` (its keys)."""
+def with_fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """doc_id, ``mark`` (hash of the text, which tells rows of one doc_id apart) and ``fp`` (the fingerprint's 64 bits as a signed long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, names, keys = [], [], []
-            for text in column_bytes(batch.column(1)):
-                hashes = shingle_hashes(text, shingle_words)
-                prints.append(fingerprint(hashes))
-                different, name = shingle_set(hashes) if bands else (hashes[:0], 0)
-                names.append(name)
-                keys.append(band_keys(different, bands).view(np.int64))
-            signed = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (prints, names)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *signed, pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "fp", "shingles", "bands"])
-
-    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
-                       "doc_id long, fp long, shingles long, bands array<long>")
-
-
-def shingle_sets(docs: DataFrame, prints: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFrame:
-    """shingles and ``hashes`` (the whole set, 64 bits each) of every ``wanted`` set, from one document that has it."""
-    chosen = prints.join(wanted, "shingles").groupBy("shingles").agg(F.min("doc_id").alias("chosen")).select("chosen").distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    texts = texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("chosen")), "left_semi").select("text")
+            prints = [fingerprint(shingle_hashes(text, shingle_words)) for text in column_bytes(batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(prints, np.uint64).view(np.int64))],
+                                             names=["doc_id", "mark", "fp"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_set(shingle_hashes(text, shingle_words)) for text in column_bytes(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.array([name for _, name in found], np.uint64).view(np.int64)),
-                                              pa.array([different.tobytes() for different, _ in found], pa.binary())], names=["shingles", "hashes"])
+    return map_batches(docs.select(F.col("doc_id").cast("long"), text_mark().alias("mark"), F.col("text").cast("string")), run,
+                       "doc_id long, mark long, fp long")
 
-    made = map_batches(texts, run, "shingles long, hashes binary")
-    return made.join(wanted, "shingles", "left_semi").dropDuplicates(["shingles"])
+
+def text_mark() -> Column:
+    """Hash of a text; that of null differs from that of the empty text."""
+    text = F.col("text").cast("string")
+    return F.xxhash64(text, text.isNull())
 
 
 def _byte(fp: Column, position: int) -> Column:
@@ -156,83 +114,51 @@ def links(prints: DataFrame, bits_apart: int = BITS_APART, long_posting: int = L
     return near.select("a", "b").union(starred).distinct()
 
 
-def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, common, either): sizes of the intersection and the union of the sets of each pair."""
-    left, right = (sets.select(F.col("shingles").alias(k), F.col("hashes").alias(f"hashes_{k}")) for k in "ab")
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "hashes_a", "hashes_b")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            common, either = [], []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common.append(len(np.intersect1d(x, y, assume_unique=True)))
-                either.append(len(x) + len(y) - common[-1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(either, pa.int64())],
-                                             names=["a", "b", "common", "either"])
-
-    return map_batches(joined, run, "a long, b long, common long, either long")
+def _groups(prints: DataFrame, bits_apart: int) -> DataFrame:
+    """(fp, component, component_id) of every fingerprint: its component's least fingerprint and least doc_id. Equal prints are folded into one
+    before the index is made, so copies cost nothing."""
+    least = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "least")
+    found = components(links(least.select("fp"), bits_apart))
+    named = least.join(found.withColumnRenamed("node", "fp"), "fp")
+    groups = named.groupBy("component").agg(F.min("least").alias("group_least"))
+    linked = named.join(groups, "component").select("fp", "component", "group_least")
+    return least.join(linked, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"),
+                                                   F.coalesce("group_least", "least").alias("component_id"))
 
 
-def band_links(docs: DataFrame, prints: DataFrame, shingle_words: int, percent: int = SIMILAR_PERCENT) -> DataFrame:
-    """Links (a, b) between sets of shingles whose components are those of all pairs that share a key of some band and have a Jaccard similarity of
-    ``percent`` at least; each link is verified on the whole sets.
+def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, bits_apart: int = BITS_APART) -> DataFrame:
+    """(doc_id, fp, component_id) of every document: the smallest doc_id that a chain of links reaches.
 
-    A list of equal keys isn't expanded into pairs. In each round it names hubs, and every member is compared with them; the first round has one
-    hub, each further one ``HUB_GROWTH`` times as many. A hub has met all others and leaves. A member leaves with a hub that it is linked to if that hub's
-    nearest stranger is too far for the member: distances obey the triangle inequality, so every other member is either
-    linked to the same hub or no match. All others go on until no list has two, so each pair is compared or decided by a hub.
+    Texts are linked if their fingerprints are at most ``bits_apart`` bits apart. A text without words (null, empty) has print 0. A null
+    doc_id takes part in links but never names a component; a component of such rows alone has a null name. Repeated rows
+    stay. Extra columns are left out.
     """
-    seen = prints.select("shingles", F.posexplode("bands").alias("band", "key")).distinct()
-    several = seen.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "key")
-    members = stored(seen.join(several, ["band", "key"], "left_semi"), "lists")
-    sets = stored(shingle_sets(docs, prints, members.select("shingles").distinct(), shingle_words), "sets")
-    reach = 1 - percent / 100
-    found, hubs = [], 1
-    while not members.isEmpty():
-        part = F.pmod(F.xxhash64("shingles", F.lit(hubs)), F.lit(hubs))
-        named = members.groupBy("band", "key", part.alias("part")).agg(F.min("shingles").alias("hub")).drop("part")
-        met = members.join(named, ["band", "key"]).where("hub <> shingles")
-        met = met.withColumns({"a": F.least("hub", "shingles"), "b": F.greatest("hub", "shingles")})
-        compared = stored(similarities(met.select("a", "b").distinct(), sets), "compared")
-        linked = F.col("common") * 100 >= F.col("either") * percent
-        found.append(compared.where(linked).select("a", "b"))
-        rows = stored(met.join(compared, ["a", "b"]).select("band", "key", "hub", "shingles", linked.alias("linked"),
-                                                            (1 - F.col("common") / F.col("either")).alias("far")), "met")
-        strangers = rows.where("NOT linked").groupBy("band", "key", "hub").agg(F.min("far").alias("nearest"))
-        settled = rows.where("linked").join(strangers, ["band", "key", "hub"], "left").where(
-            F.col("nearest").isNull() | (F.col("far") + F.lit(reach + 1e-9) < F.col("nearest"))).select("band", "key", "shingles")
-        gone = settled.union(named.select("band", "key", "hub")).distinct()
-        rest = stored(members.join(gone, ["band", "key", "shingles"], "left_anti"), "lists")
-        again = rest.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "key")
-        members = stored(rest.join(again, ["band", "key"], "left_semi"), "lists")
-        hubs *= HUB_GROWTH
-    return reduce(DataFrame.union, found).distinct() if found else prints.select(F.col("shingles").alias("a"), F.col("shingles").alias("b")).limit(0)
-
-
-def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, bits_apart: int = BITS_APART, bands: int = 0) -> DataFrame:
-    """(doc_id, fp, component_id) of every document: the smallest doc_id that a chain of links reaches.
+    prints = stored(with_fingerprints(docs, shingle_words), "prints")
+    return prints.join(_groups(prints, bits_apart).select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
 
-    Texts are linked if their fingerprints are at most ``bits_apart`` bits apart, and with ``bands`` also by ``band_links``. Equal prints are folded
-    into one before the index is made, so copies cost nothing. A text without words (null, empty) has print 0. A null doc_id takes part in links
-    but never names a component; a component of such rows alone has a null name. Repeated rows stay. Extra columns are left out.
+def drop_near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, bits_apart: int = BITS_APART) -> DataFrame:
+    """One row of each group of linked texts, all columns kept: that of the smallest doc_id, of the smallest hash of its text among rows
+    of one doc_id; null doc_ids come last. A row is known by doc_id and text: rows that agree in both are one document, and of them the one with the least
+    other columns (by hash) stays. Different texts of one doc_id are only dropped if they are linked. An empty table gives no rows.
     """
-    prints = stored(with_fingerprints(docs, shingle_words, bands), "prints")
-    least = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "least")
-    linked = links(least.select("fp"), bits_apart)
-    if bands:
-        fp_of = prints.groupBy("shingles").agg(F.min("fp").alias("fp"))
-        ends = [fp_of.select(F.col("shingles").alias(k), F.col("fp").alias(f"fp_{k}")) for k in "ab"]
-        similar = band_links(docs, prints, shingle_words).join(ends[0], "a").join(ends[1], "b").select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
-        # equal sets with repeats of another number have different prints
-        equal = prints.where(F.size("bands") > 0).join(fp_of.withColumnRenamed("fp", "a"), "shingles").select("a", F.col("fp").alias("b")).where("a <> b")
-        linked = linked.union(similar).union(equal).distinct()
-    found = components(linked)
-    named = least.join(found.withColumnRenamed("node", "fp"), "fp")
-    groups = named.groupBy("component").agg(F.min("least").alias("group_least"))
-    linked = named.join(groups, "component").select("fp", "group_least")
-    names = least.join(linked, "fp", "left").select("fp", F.coalesce("group_least", "least").alias("component_id"))
-    return prints.join(names, "fp").select("doc_id", "fp", "component_id")
+    prints = stored(with_fingerprints(docs, shingle_words), "prints")
+    groups = _groups(prints, bits_apart).select("fp", "component")
+    named = [F.col("doc_id").isNull().alias("_simhash_unnamed"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_simhash_id")]
+    keys = ["_simhash_unnamed", "_simhash_id", "_simhash_mark"]
+    rows = prints.select("fp", *named, F.col("mark").alias("_simhash_mark"))
+    first = rows.join(groups, "fp").groupBy("component").agg(F.min(F.struct(*keys)).alias("k")).select("k.*")
+    copies = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_simhash_copies"))
+    chosen = stored(first.join(copies, keys), "chosen")
+    given = [F.col(c) for c in docs.columns]
+    marked = docs.select(*given, *named, text_mark().alias("_simhash_mark"))
+    kept = marked.join(chosen.where("_simhash_copies = 1").select(*keys), keys).select(*given)
+    several = chosen.where("_simhash_copies > 1").select(*keys)
+    if several.isEmpty():
+        return kept
+    rest = F.xxhash64(*[F.col(c) for c in docs.columns if c != "text"], F.lit(0)).alias("_rest")
+    least = marked.join(several, keys).groupBy(*keys).agg(F.min(F.struct(rest, *given)).alias("_r"))
+    return kept.union(least.select(*[F.col("_r")[c].alias(c) for c in docs.columns]))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as pipeline
 from pageprism.llm import packing
 from tests.llm.helpers import odd_docs
+from tests.llm.test_simhash import near, plain_groups, plain_print
 
 SF = "/root/testdata/sf0.01"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -58,7 +59,16 @@ def test_near_duplicates(spark, planted):
     assert out.columns == COLUMNS and max(ids.values()) == 1
     assert {r[0] for r in rows} <= set(ids)                       # clean documents stay
     assert not [i for i in ids if 20_000 <= i < 30_000]           # exact copies go
-    assert len([i for i in ids if 10_000 <= i < 20_000]) <= 1     # near copies go
+    kept = docs.where("text is not null").select("doc_id", "text").collect()
+    prints = {r.doc_id: plain_print(r.text) for r in kept}
+    groups = plain_groups(near(set(prints.values())), set(prints.values()))
+    assert set(ids) == {min(k for k in prints if groups[prints[k]] == g) for g in set(groups.values())}
+
+
+def test_rows_of_one_doc_id_are_documents_of_their_own(spark, planted):
+    _, rows = planted
+    docs = spark.createDataFrame([(1, *rows[0][1:]), (1, *rows[1][1:]), (1, *rows[0][1:])], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.text for r in pipeline.drop_near_duplicates(spark, docs, SF).collect()) == sorted((rows[0][1], rows[1][1]))
 
 
 def test_secrets(spark, planted):

@@ -92,49 +92,20 @@ def test_spark_agrees_on_hashes(spark):
     assert int(simhash.shingle_hashes(b"A b\tc", 3)[0]) == h % (1 << 64)
 
 
-def similar_pairs():
-    """Texts of 5-word shingles at known similarities: (text, text) pairs at 0.8 to 0.85 and at 0.5 to 0.75."""
-    rng = np.random.default_rng(5)
-    words = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
-    close, far = [], []
-    for i in range(300):
-        n, own = 300, words(300)
-        low, high = ((0.805, 0.85), (0.5, 0.75))[i % 2]
-        share = rng.uniform(low, high)
-        changed = int((n - 4) * (1 - share) / (1 + share))
-        other = own[:n - changed] + words(changed)      # a changed end: n - 4 - changed shingles in common
-        (close, far)[i % 2].append((" ".join(own), " ".join(other)))
-    return close, far
-
-
-def plain_similarity(x, y):
-    a, b = ({tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (x.split(), y.split()))
-    return len(a & b) / len(a | b)
-
-
-def test_pairs_at_the_similarity_limit(spark):
-    close, far = similar_pairs()
-    assert all(0.8 <= plain_similarity(*p) <= 0.86 for p in close) and all(0.49 <= plain_similarity(*p) < 0.76 for p in far)
-    rows = [(2 * i + k, t) for i, p in enumerate(close + far) for k, t in enumerate(p)]
-    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, bands=24).collect()}
-    met = [found[2 * i] == found[2 * i + 1] for i in range(len(close + far))]
-    assert sum(met[:len(close)]) >= len(close) - 1 and not any(met[len(close):])
-
-
-def test_lists_of_several_groups(spark):
-    """Groups that share a passage meet in long lists; the least and the greatest member are strangers to all others."""
-    rng = np.random.default_rng(6)
-    words = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
-    passage, texts = words(300), []
-    for _ in range(12):
-        own = words(90)
-        for _ in range(4):
-            copy = list(passage) + own
-            copy[int(rng.integers(310, 380))] = "changed" + words(1)[0]
-            texts.append(" ".join(copy))
-    texts += [" ".join(passage + words(int(rng.integers(110, 160)))) for _ in range(20)]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, 5, bands=24).collect()}
-    like = [(i, j) for i in range(len(texts)) for j in range(i) if plain_similarity(texts[i], texts[j]) >= 0.8]
-    want = plain_groups([(j, i) for i, j in like], range(len(texts)))
-    assert found == {i: min(j for j in want if want[j] == want[i]) for i in want} and len(set(found.values())) > 12
+def test_one_of_each_group_stays(spark):
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(3, " ".join(words), "a"), (2, " ".join(words[:-1] + ["other"]), "b"), (2, "another text of the same doc_id", "c"),
+            (None, " ".join(words), "d"), (None, "a text without doc_id", "e"), (None, "a text without doc_id", "f"), (7, None, "g"), (8, "", "h"),
+            (9, "twice the same row", "i"), (9, "twice the same row", "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    prints = {r.fp for r in simhash.near_duplicates(docs.where("doc_id in (2, 3) and length(text) > 100")).collect()}
+    assert len(prints) > 0 and np.bitwise_count(np.array([p & (2**64 - 1) for p in prints], np.uint64)[:1] ^ np.array([p & (2**64 - 1) for p in prints], np.uint64)[-1:])[0] <= 2
+    out = simhash.drop_near_duplicates(docs)
+    found = sorted(((r.doc_id, (r.text or "")[:6]) for r in out.collect()), key=str)
+    assert out.columns == docs.columns
+    assert found == sorted([(2, "w0 w1 "), (2, "anothe"), (None, "a text"), (7, ""), (9, "twice ")], key=str)
+    again = sorted(map(tuple, simhash.drop_near_duplicates(docs.repartition(2)).collect()), key=str)
+    assert again == sorted(map(tuple, out.collect()), key=str)
+    assert simhash.drop_near_duplicates(docs.limit(0)).count() == 0
+    odd = odd_docs(spark)
+    assert simhash.drop_near_duplicates(odd).columns == odd.columns
