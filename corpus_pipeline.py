@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from pageprism.llm import lang_id, mixing, packing, secret_scan, simhash
 from pageprism.session import stored
 
-#: Near-duplicates are texts of like five-word shingles; keys of min-hashes find those that the fingerprint misses.
-SHINGLE_WORDS = 5
-BANDS = 24
-
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that are too far from every known language; those without a letter are among them."""
@@ -20,11 +16,8 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group. Rows without doc_id have no name in a group and stay."""
-    groups = simhash.near_duplicates(docs, shingle_words=SHINGLE_WORDS, bands=BANDS)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.union(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    """Keeps one document of each group of linked SimHash fingerprints (3-word shingles, 2 bits), the one with the smallest doc_id."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
