@@ -25,4 +25,5 @@ QUERIES = {
 ORACLES = {
     "op1_mixing": mixing.OP1_SQL,
     "op5_line_rules": line_rules.OP5_SQL,
+    "op8_topk": topk.OP8_SQL,
 }

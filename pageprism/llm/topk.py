@@ -205,3 +205,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE)
 
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_EVERY == 0)
+
+
+OP8_SQL = f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND list_aggregate(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)), 'bool_and')),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % {QUERY_EVERY} = 0 AND a.vec_id <> b.vec_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {K}"""
