@@ -56,6 +56,19 @@ def candidates(index: DataFrame, by: list[str] = ("url_path",), seed: int = 0, l
     return shuffled(index, by, seed, limit=limits.most_pages)
 
 
+def budget_ends(sums: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """(_domain, _last): the batch with which a domain stops, null without a stop, from ``_domain, _batch, _n`` (pages) and ``_hits`` (products)."""
+    pages, products = F.col("_pages"), F.col("_products")
+    stop = (
+        (pages > limits.max_pages) | (products > limits.max_products)
+        | ((pages >= limits.max_products) & (products == 0))
+        | ((pages >= limits.relevance_check) & (products * 100.0 / pages < limits.relevance_threshold))
+    )
+    over = Window.partitionBy("_domain").orderBy("_batch").rowsBetween(Window.unboundedPreceding, 0)
+    return sums.withColumns({"_pages": F.sum("_n").over(over), "_products": F.sum("_hits").over(over)}).groupBy("_domain").agg(
+        F.min(F.when(stop, F.col("_batch"))).alias("_last"))
+
+
 def apply_budget(ranked: DataFrame, limits: Limits = Limits(), product: str = "is_product") -> DataFrame:
     """Pages that get checked, out of candidates with ``rn``, ``total`` and a product flag.
 
@@ -64,20 +77,11 @@ def apply_budget(ranked: DataFrame, limits: Limits = Limits(), product: str = "i
     records were used up without any stop. Pages are folded to one row per batch before the domain's windows, which
     so have ``most_pages / batch_size`` narrow rows at most; the verdict, one row per domain, is joined to the pages.
     """
-    pages, products = F.col("_pages"), F.col("_products")
-    stop = (
-        (pages > limits.max_pages) | (products > limits.max_products)
-        | ((pages >= limits.max_products) & (products == 0))
-        | ((pages >= limits.relevance_check) & (products * 100.0 / pages < limits.relevance_threshold))
-    )
     batched = ranked.withColumn("batch", F.floor((F.col("rn") - 1) / limits.batch_size))
     sums = batched.groupBy(F.col("domain").alias("_domain"), F.col("batch").alias("_batch")).agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(F.coalesce(F.col(product), F.lit(False))).alias("_hits"))
-    over = Window.partitionBy("_domain").orderBy("_batch").rowsBetween(Window.unboundedPreceding, 0)
-    ends = sums.withColumns({"_pages": F.sum("_n").over(over), "_products": F.sum("_hits").over(over)}).groupBy("_domain").agg(
-        F.min(F.when(stop, F.col("_batch"))).alias("_last"))
     return (
-        batched.join(ends, F.col("domain").eqNullSafe(F.col("_domain")))
+        batched.join(budget_ends(sums, limits), F.col("domain").eqNullSafe(F.col("_domain")))
         .where(F.col("_last").isNull() | (F.col("batch") <= F.col("_last")))
         .withColumn("needs_live", F.col("_last").isNull())
         .drop("_domain", "_last")
