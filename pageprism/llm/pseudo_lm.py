@@ -6,13 +6,14 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageprism.llm.common import column_bytes, groups_by_bytes, map_batches, table
+from pageprism.llm.common import TEXT_GROUP_BYTES, column_bytes, groups_by_bytes, map_batches, table
 from pageprism.session import stored
 
 CLASSES = 256
@@ -24,7 +25,9 @@ HIDDEN = 32
 ROUNDS = 3
 EVERY = 3  # with as many rounds: each token is a target once
 RATE = 5e-3
-BATCH = 256
+BATCH = 1024
+GROUP = 16
+SHARD_TOKENS = 4 << 20  # tokens of a training shard: shards follow the corpus, not the cluster
 MOST_WORDS = 500_000
 KNOWN = 100_000  # words whose probabilities are sent to every task; those of all others are joined
 _TOKENS = 8192
@@ -132,23 +135,27 @@ def encode(docs: DataFrame, frequent: list[bytes], known: dict[bytes, float] | N
 
 @dataclass
 class Network:
-    """Embeddings of the ``SIDE`` tokens on either side, a hidden layer and a softmax over all tokens. The token itself isn't seen."""
+    """Embeddings of the ``SIDE`` tokens on either side, a hidden layer, and the probability of a token as that of its group of ``GROUP`` tokens times
+    that of the token in its group. The token itself isn't seen."""
 
     embed: np.ndarray
     inner: np.ndarray  # one matrix per position
     bias: np.ndarray
-    out: np.ndarray
-    out_bias: np.ndarray
+    group: np.ndarray
+    group_bias: np.ndarray
+    member: np.ndarray  # one matrix per group
+    member_bias: np.ndarray
 
     @staticmethod
     def fresh(seed: int = 3) -> Network:
         rng = np.random.default_rng(seed)
         draw = lambda scale, *shape: rng.normal(0, scale, shape).astype(np.float32)
-        return Network(draw(0.3, CLASSES, EMBED), draw(0.15, 2 * SIDE, EMBED, HIDDEN), np.zeros(HIDDEN, np.float32),
-                       draw(0.1, HIDDEN, CLASSES), np.zeros(CLASSES, np.float32))
+        groups = CLASSES // GROUP
+        return Network(draw(0.3, CLASSES, EMBED), draw(0.15, 2 * SIDE, EMBED, HIDDEN), np.zeros(HIDDEN, np.float32), draw(0.1, HIDDEN, groups),
+                       np.zeros(groups, np.float32), draw(0.1, groups, HIDDEN, GROUP), np.zeros((groups, GROUP), np.float32))
 
     def parameters(self) -> list[np.ndarray]:
-        return [self.embed, self.inner, self.bias, self.out, self.out_bias]
+        return [self.embed, self.inner, self.bias, self.group, self.group_bias, self.member, self.member_bias]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([p.reshape(-1) for p in self.parameters()])
@@ -161,47 +168,81 @@ class Network:
             at += p.size
         return Network(*made)
 
-    def log_probabilities(self, contexts: np.ndarray, tokens: np.ndarray, tables: np.ndarray) -> np.ndarray:
-        """Of each token given its sides. ``tables``: ``position_tables()``."""
+    def position_tables(self) -> np.ndarray:
+        return np.stack([self.embed @ w for w in self.inner])
+
+    def hidden(self, contexts: np.ndarray, tables: np.ndarray) -> np.ndarray:
         hidden = tables[0][contexts[0]]
         for k in range(1, 2 * SIDE):
             hidden += tables[k][contexts[k]]
         hidden += self.bias
-        np.maximum(hidden, 0, out=hidden)
-        logits = hidden @ self.out
-        logits += self.out_bias
-        chosen = logits[np.arange(len(tokens)), tokens]
-        top = logits.max(1)
-        logits -= top[:, None]
-        np.exp(logits, out=logits)
-        return chosen - top - np.log(logits.sum(1))
+        return np.maximum(hidden, 0, out=hidden)
 
-    def position_tables(self) -> np.ndarray:
-        return np.stack([self.embed @ w for w in self.inner])
+    def log_probabilities(self, contexts: np.ndarray, tokens: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        """Of each token given its sides. ``tables``: ``position_tables()``."""
+        order, first = _by_group(tokens)
+        hidden, wanted = self.hidden(contexts[:, order], tables), tokens[order]
+        logits = hidden @ self.group
+        logits += self.group_bias
+        out = _log_softmax(logits, wanted // GROUP)
+        for g, (a, b) in enumerate(zip(first[:-1], first[1:])):
+            if b > a:
+                out[a:b] += _log_softmax(hidden[a:b] @ self.member[g] + self.member_bias[g], wanted[a:b] % GROUP)
+        found = np.empty_like(out)
+        found[order] = out
+        return found
 
     def step(self, contexts: np.ndarray, tokens: np.ndarray, state: list, t: int) -> None:
         """One Adam step on the mean negative log-probability of a batch."""
         n = len(tokens)
-        hidden = np.maximum(sum(t[c] for t, c in zip(self.position_tables(), contexts)) + self.bias, 0)
-        logits = hidden @ self.out + self.out_bias
-        p = np.exp(logits - logits.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(n), tokens] -= 1
-        p /= n
-        d_hidden = (p @ self.out.T) * (hidden > 0)
+        order, first = _by_group(tokens)
+        contexts, tokens = contexts[:, order], tokens[order]
+        hidden = self.hidden(contexts, self.position_tables())
+        p = _softmax_error(hidden @ self.group + self.group_bias, tokens // GROUP, n)
+        d_hidden = p @ self.group.T
+        d_member, d_member_bias = np.zeros_like(self.member), np.zeros_like(self.member_bias)
+        for g, (a, b) in enumerate(zip(first[:-1], first[1:])):
+            if b > a:
+                own = _softmax_error(hidden[a:b] @ self.member[g] + self.member_bias[g], tokens[a:b] % GROUP, n)
+                d_member[g], d_member_bias[g] = hidden[a:b].T @ own, own.sum(0)
+                d_hidden[a:b] += own @ self.member[g].T
+        d_hidden *= hidden > 0
         d_tables = np.zeros((2 * SIDE, CLASSES, HIDDEN), np.float32)  # of the position tables: rows of like tokens are summed first
         for c, d_table in zip(contexts, d_tables):
-            order = np.argsort(c, kind="stable")
-            own, first = np.unique(c[order], return_index=True)
-            d_table[own] = np.add.reduceat(d_hidden[order], first)
+            alike = np.argsort(c, kind="stable")
+            own, start = np.unique(c[alike], return_index=True)
+            d_table[own] = np.add.reduceat(d_hidden[alike], start)
         d_embed = sum(d @ w.T for d, w in zip(d_tables, self.inner))
-        grads = [d_embed, np.stack([self.embed.T @ d for d in d_tables]), d_hidden.sum(0), hidden.T @ p, p.sum(0)]
+        grads = [d_embed, np.stack([self.embed.T @ d for d in d_tables]), d_hidden.sum(0), hidden.T @ p, p.sum(0), d_member, d_member_bias]
         for value, g, (m, v) in zip(self.parameters(), grads, state):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             value -= RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
 
 
+def _by_group(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of tokens by group, and where each group begins in it."""
+    groups = tokens // GROUP
+    return np.argsort(groups, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(groups, minlength=CLASSES // GROUP))])
+
+
+def _log_softmax(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    chosen, top = logits[np.arange(len(wanted)), wanted], logits.max(1)
+    logits -= top[:, None]
+    np.exp(logits, out=logits)
+    return chosen - top - np.log(logits.sum(1))
+
+
+def _softmax_error(logits: np.ndarray, wanted: np.ndarray, n: int) -> np.ndarray:
+    """Gradient of the mean negative log-probability over ``n`` tokens."""
+    logits -= logits.max(1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(1, keepdims=True)
+    logits[np.arange(len(wanted)), wanted] -= 1
+    logits /= n
+    return logits
+
+
 def windows(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All tokens of some documents one after another, where each stands in a row with ``SIDE`` edges around every document, and that row."""
     lengths = np.fromiter(map(len, documents), np.int64, len(documents))
@@ -216,36 +257,59 @@ def sides(row: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([row[at + d] for d in (*range(-SIDE, 0), *range(1, SIDE + 1))])
 
 
-def train(encoded: DataFrame, rounds: int = ROUNDS, every: int = EVERY, seed: int = 3) -> Network:
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[list[bytes]]]:
+    """For each shard of a task its documents, in groups whose bounds depend on the shard's own rows alone."""
+    rows = ((shard, tokens) for batch in batches for shard, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+
+    def groups(own) -> Iterator[list[bytes]]:
+        held, size = [], 0
+        for _, tokens in own:
+            held.append(tokens)
+            size += len(tokens)
+            if size >= TEXT_GROUP_BYTES:
+                yield held
+                held, size = [], 0
+        if held:
+            yield held
+
+    for _, own in groupby(rows, lambda r: r[0]):
+        yield groups(own)
+
+
+def train(encoded: DataFrame, rounds: int = ROUNDS, every: int = EVERY, seed: int = 3, shard_tokens: int = SHARD_TOKENS) -> Network:
     """Round r trains on the tokens r, r + ``every``, ... of all documents; with no more than ``rounds`` for ``every`` each token is a target.
 
-    In each round every task starts from the same network, learns from the documents of its own partitions, and gives back its parameters; Spark
+    Documents are dealt by hash over shards of about ``shard_tokens`` tokens, in an order that only they decide; so the result doesn't depend on files, tasks
+    or cores. In each round every shard starts from the same network, learns, and gives back its parameters; Spark
     averages them, weighted by the tokens learned from, and only the mean (some thousand numbers) reaches the driver.
     """
     spark = encoded.sparkSession
     flat = Network.fresh(seed).flat()
+    shards = max(1, -(-(encoded.agg(F.sum(F.length("tokens"))).first()[0] or 0) // shard_tokens))
+    place = F.xxhash64("tokens", F.col("doc_id"))
+    dealt = encoded.where(F.length("tokens") > 0).select("tokens", place.alias("place"), F.pmod(place, F.lit(shards)).cast("int").alias("shard"))
+    # One file, of one row group, for each shard: so no reader tears one.
+    dealt = stored(dealt.repartitionById(shards, "shard").sortWithinPartitions("place", "tokens"), "shards")
     for number in range(rounds):
         start = spark.sparkContext.broadcast(flat)
 
         def run(batches: Iterator[pa.RecordBatch], number=number, start=start) -> Iterator[pa.RecordBatch]:
-            net, learned, t = Network.of(start.value.copy()), 0, 0
-            state = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()]
-            rng = np.random.default_rng(seed + number)
-            for batch in batches:
-                documents = batch.column(0).to_pylist()
-                for a, b in groups_by_bytes(documents):
-                    at, _, row = windows(documents[a:b])
+            for groups in _shards(batches):
+                net, learned, t = Network.of(start.value.copy()), 0, 0
+                state = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()]
+                rng = np.random.default_rng(seed + number)
+                for documents in groups:
+                    at, _, row = windows(documents)
                     at = rng.permutation(at[number % every::every])
                     for i in range(0, len(at), BATCH):
                         t += 1
                         net.step(sides(row, at[i:i + BATCH]), row[at[i:i + BATCH]], state, t)
                     learned += len(at)
-            values = net.flat().astype(np.float64)
-            if learned:
+                values = net.flat().astype(np.float64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values * learned), pa.array(np.full(len(values), float(learned)))],
                                                  names=["i", "value", "learned"])
 
-        rows = map_batches(encoded.select("tokens").coalesce(spark.sparkContext.defaultParallelism), run, "i long, value double, learned double")
+        rows = map_batches(dealt.select("shard", "tokens"), run, "i long, value double, learned double").where("learned > 0")
         mean = rows.groupBy("i").agg((F.sum("value") / F.sum("learned")).alias("value")).collect()
         if not mean:
             break
@@ -298,7 +362,7 @@ def with_words(scored: DataFrame, encoded: DataFrame, logs: DataFrame) -> DataFr
 
 def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS, every: int = EVERY) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_likelihood, word_log_likelihood, mean_word_log_likelihood) of every document, by a network trained on
-    the same documents.
+    the same documents. The result depends on the documents alone, not on how they are dealt over files, tasks or cores.
 
     Words of all texts are counted; the ``FREQUENT`` most frequent are tokens of their own, the rest share tokens by their endings. Every token of a
     document is predicted from ``SIDE`` tokens on either side, and the logarithms of the probabilities are added: of the tokens alone in

@@ -21,8 +21,9 @@ def test_scores_are_sums_of_conditional_log_probabilities():
         for i, token in enumerate(doc):
             seen = padded[i:i + 2] + padded[i + 3:i + 5]
             hidden = np.maximum(sum(net.embed[c] @ w for c, w in zip(seen, net.inner)) + net.bias, 0)
-            logits = (hidden @ net.out + net.out_bias).astype(float)
-            total += logits[token] - np.log(np.exp(logits).sum())
+            g, m = divmod(token, pseudo_lm.GROUP)
+            for logits, k in ((hidden @ net.group + net.group_bias, g), (hidden @ net.member[g] + net.member_bias[g], m)):
+                total += float(logits[k]) - np.log(np.exp(logits.astype(float)).sum())
         assert np.isclose(value, total, atol=1e-4)
     alone = pseudo_lm.score_documents([docs[2]], net, net.position_tables())[0]
     assert np.isclose(found[2], alone)
@@ -104,3 +105,46 @@ def test_every_token_is_a_target_in_production(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "a b c d e f g h " * 5) for i in range(200)] + [(999, "d a h b g c f e " * 5)], "doc_id long, text string")
     rows = {r.doc_id: r for r in pseudo_lm.pseudo_likelihood(docs).collect()}
     assert rows[0].mean_log_likelihood > rows[999].mean_log_likelihood + 0.5
+
+
+def test_probabilities_of_all_tokens_add_up_to_one():
+    net = pseudo_lm.Network.fresh(2)
+    contexts = np.tile(np.array([[3], [70], [255], [0]], np.uint8), 256)
+    logs = net.log_probabilities(contexts, np.arange(256, dtype=np.uint8), net.position_tables())
+    assert np.isclose(np.exp(logs).sum(), 1, atol=1e-4)
+
+
+def test_gradients():
+    """A step against gradients by differences: Adam's first step moves each parameter by the rate against the sign of its gradient."""
+    rng = np.random.default_rng(0)
+    contexts, tokens = rng.integers(0, 256, (4, 300)).astype(np.uint8), rng.integers(0, 256, 300).astype(np.uint8)
+    net, before = pseudo_lm.Network.fresh(4), pseudo_lm.Network.fresh(4)
+    loss = lambda n: -n.log_probabilities(contexts, tokens, n.position_tables()).mean()
+    net.step(contexts, tokens, [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()], 1)
+    for old, new, p in zip(before.parameters(), net.parameters(), pseudo_lm.Network.fresh(4).parameters()):
+        assert old.shape == new.shape == p.shape
+    for k, old in enumerate(before.parameters()):
+        for at in rng.integers(0, old.size, 6):
+            probe = pseudo_lm.Network.fresh(4)
+            flat = probe.parameters()[k].reshape(-1)
+            flat[at] += 0.02
+            high = loss(probe)
+            flat[at] -= 0.04
+            slope = high - loss(probe)
+            if abs(slope) > 2e-5:
+                assert np.sign(net.parameters()[k].reshape(-1)[at] - old.reshape(-1)[at]) == -np.sign(slope)
+
+
+def test_result_is_independent_of_partitions_and_order(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(300)
+    score = lambda d: {r.doc_id: r.log_likelihood for r in pseudo_lm.pseudo_likelihood(d).collect()}
+    one, two = score(docs.repartition(1)), score(docs.repartition(7).sortWithinPartitions("text"))
+    assert one.keys() == two.keys() and all(np.isclose(one[k], two[k], rtol=1e-4, atol=1e-2) for k in one)
+
+
+def test_shards_are_kept_apart():
+    import pyarrow as pa
+
+    rows = [(1, b"a"), (1, b"b"), (2, b"c"), (5, b"d"), (5, b"e")]
+    batches = [pa.RecordBatch.from_pydict({"shard": [s for s, _ in part], "tokens": [t for _, t in part]}) for part in (rows[:1], rows[1:4], rows[4:])]
+    assert [[d for g in groups for d in g] for groups in pseudo_lm._shards(iter(batches))] == [[b"a", b"b"], [b"c"], [b"d", b"e"]]
