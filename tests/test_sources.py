@@ -127,3 +127,15 @@ def test_report_covers_every_page_of_a_large_domain(spark):
     row = rep.tracking.first()
     assert row.archive_record_count_unique == row.archive_record_count_checked == row.product_count_pattern == 6100
     assert rep.products.count() == rep.links.count() == 6100
+
+
+def test_page_contents_are_never_broadcast(spark):
+    key = F.col("id")
+    pages = spark.range(50).select(
+        F.lit("a.example.com").alias("domain"), F.concat(F.lit("/p/"), key).alias("url_path"), F.lit("CC-MAIN-2024-10").alias("crawl"), F.lit("f").alias("warc_filename"),
+        key.alias("warc_record_offset"), F.repeat(F.lit("x"), 1000).alias("response"), F.lit("HTTP/1.1 200 OK").alias("header"))
+    wanted = pages.where("warc_record_offset % 2 = 0").drop("response", "header").withColumn("rn", F.col("warc_record_offset")).union(
+        pages.limit(1).drop("response", "header").withColumns({"url_path": F.lit("/gone"), "rn": F.lit(1).cast("long")}))
+    taken = from_table(pages)(wanted)
+    assert "BuildLeft" not in taken._jdf.queryExecution().optimizedPlan().toString() + taken._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.url_path, r.rn, len(r.response)) for r in taken.collect()) == sorted((f"/p/{i}", i, 1000) for i in range(0, 50, 2))
