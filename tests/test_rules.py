@@ -6,6 +6,7 @@ import re
 import pytest
 
 from pageprism.operators.language import learn_profile, score_languages
+from pageprism.operators import rules as rule_operators
 from pageprism.operators.rules import load_rules
 from pageprism.operators.technology import required_literal
 
@@ -31,3 +32,17 @@ def test_profile_has_no_cut_and_keeps_all_rows(spark):
     found = {r.id: r.lang_detected for r in score_languages(spark.createDataFrame([(1, "the dog"), (2, "und der"), (3, "зжш"), (4, None)], "id int, text string"), profile, "id").collect()}
     assert found == {1: "en", 2: "de", 3: None, 4: None}
     assert learn_profile(docs, size=3).count() <= 6
+
+
+def test_rule_files_has_no_limit_on_rules(spark, monkeypatch):
+    from pageprism.catalog.stores import rule_files
+
+    monkeypatch.setattr(rule_operators, "MAX_RULE_ROWS", 50)
+    found = rule_files(spark, "/root/testdata/sf0.001")
+    assert found.count() > 50 and {r.valid for r in found.select("valid").distinct().collect()} == {True, False}
+
+
+def test_null_patterns_and_selectors_are_checked(spark):
+    rows = [("A", None, ""), ("B", "a+", None), ("C", "(", ""), ("D", "", "div.shop")]
+    checked = rule_operators.checked_rules(spark.createDataFrame(rows, "tech string, pattern string, selector string"))
+    assert {r.tech: r.valid for r in checked.collect()} == {"A": False, "B": True, "C": False, "D": True}
