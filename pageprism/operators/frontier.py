@@ -1,7 +1,8 @@
 """Link frontier: breadth-first pages of each domain over a stored page/link table.
 
-Links and known pages lie in folders by a hash of (domain, page). A round reads only the folders that its front hashes to, so its work follows
-the front and not all that is known: a chain of many short rounds costs little, and a wide front reads what it needs.
+Links lie in folders by a hash of (domain, page), and a round reads only those that its front hashes to. A round is one write: the new pages, as few
+files as their size asks for, whose number and folders are observed in that write. Known pages are the rounds so far; every eight
+folders of them are merged into one, so a walk of many rounds reads few files and rewrites a page once per power of eight of its rounds.
 """
 
 from __future__ import annotations
@@ -10,14 +11,15 @@ import itertools
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageprism.operators.ranking import rank_by_hash, shuffle_key
-from pageprism.session import shared_folder
+from pageprism.session import shared_folder, stored
 
 BUCKETS = 64
+MERGED = 8
 _BUCKET = "_bucket"
 
 
@@ -49,37 +51,76 @@ def _read(spark, tables: list[_Stored], wanted: frozenset) -> DataFrame:
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
+@dataclass(frozen=True)
+class _Round:
+    """Pages of some rounds, stored; how many, and as the bits of ``mask`` the buckets (modulo 64) that hold their links."""
+
+    path: str
+    rows: int
+    mask: int
+    schema: T.StructType
+
+    def leads_to(self, table: _Stored) -> frozenset:
+        return frozenset(b for b in table.buckets if self.mask >> b % 64 & 1)
+
+
+def _store_round(df: DataFrame, buckets: int) -> _Round:
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/pageprism/front-{uuid.uuid4().hex}"
+    bit = F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(domain, page), {buckets}) % 64 AS INT))")
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.bit_or(bit), F.lit(0)).alias("mask")).write.parquet(path)
+    return _Round(path, seen.get["rows"], seen.get["mask"] & (1 << 64) - 1, df.schema)
+
+
+def _read_rounds(spark, rounds: list[_Round]) -> DataFrame:
+    return spark.read.schema(rounds[0].schema).parquet(*[r.path for r in rounds])
+
+
+def _add(spark, levels: list[list[_Round]], new: _Round, buckets: int) -> None:
+    """Adds a round; a level that is full becomes one folder of the next."""
+    for i in itertools.count():
+        if i == len(levels):
+            levels.append([])
+        levels[i].append(new)
+        if len(levels[i]) < MERGED:
+            break
+        new = _store_round(_read_rounds(spark, levels[i]), buckets)
+        levels[i] = []
+
+
 def frontier(links: DataFrame, roots: DataFrame, cap: int | None = None, seed: int = 0, buckets: int = BUCKETS) -> DataFrame:
     """Pages reached from the root of each domain: ``domain, page, depth, position``.
 
     ``links`` has ``domain, source, target``, ``roots`` has ``domain, page``. Each round follows the links of the last round's pages and drops
-    pages that are known; both look only into the folders that can hold them. Rounds go on until no domain has new pages. With ``cap``
-    (a live crawl takes ``fixed.MAX_LIVE_RECORDS``) a domain ends with its first ``cap`` pages, by depth and seeded order. Every
-    round is stored, so the plan does not grow with the rounds. Nulls in any column take no part.
+    pages that are known. Rounds go on until no domain has new pages. With ``cap`` (a live crawl takes
+    ``fixed.MAX_LIVE_RECORDS``) a domain ends with its first ``cap`` pages, by depth and seeded order. Every round is stored, so the plan
+    does not grow with the rounds. Nulls in any column take no part.
     """
     spark = links.sparkSession
     edges = _store(links.select("domain", "source", "target").dropna().distinct(), "links", "source", buckets)
     first = roots.select("domain", "page").dropna().distinct()
     counted = first.withColumns({"depth": F.lit(0), "used": F.count(F.lit(1)).over(Window.partitionBy("domain")) if cap is not None else F.lit(0).cast("long")})
-    fronts = [_store(counted, "front", "page", buckets)]
+    front, levels = _store_round(counted, buckets), []
+    _add(spark, levels, front, buckets)
     for depth in itertools.count(1):
-        front = fronts[-1]
-        if not front.buckets:
+        if not front.rows:
             break
-        pages = _read(spark, [front], front.buckets)
+        pages = _read_rounds(spark, [front])
         if cap is not None:
             pages = pages.where(F.col("used") < cap)
-        ahead = _read(spark, [edges], front.buckets).join(
-            pages.select("domain", F.col("page").alias("source"), "used"), ["domain", "source"]).select("domain", F.col("target").alias("page"), "used")
-        found = _store(ahead.distinct(), "found", "page", buckets)
-        known = _read(spark, fronts, found.buckets).select("domain", "page")
-        fresh = _read(spark, [found], found.buckets).join(known, ["domain", "page"], "left_anti")
+        found = _read(spark, [edges], front.leads_to(edges)).join(
+            pages.select("domain", F.col("page").alias("source"), "used"), ["domain", "source"]).select("domain", F.col("target").alias("page"), "used").distinct()
+        known = _read_rounds(spark, [r for level in levels for r in level]).select("domain", "page")
+        fresh = found.join(known, ["domain", "page"], "left_anti")
         if cap is not None:  # one count per domain of the front
+            fresh = stored(fresh, "found")
             added = fresh.groupBy("domain").agg(F.count(F.lit(1)).alias("_added"))
             fresh = fresh.join(added, "domain").withColumn("used", F.col("used") + F.col("_added"))
-        fronts.append(_store(fresh.select("domain", "page", F.lit(depth).alias("depth"), "used"), "front", "page", buckets))
-    everything = frozenset(range(buckets))
-    return _placed(_read(spark, fronts, everything).select("domain", "page", "depth"), cap, seed)
+        front = _store_round(fresh.select("domain", "page", F.lit(depth).alias("depth"), "used"), buckets)
+        if front.rows:
+            _add(spark, levels, front, buckets)
+    return _placed(_read_rounds(spark, [r for level in levels for r in level]).select("domain", "page", "depth"), cap, seed)
 
 
 def _placed(found: DataFrame, cap: int | None, seed: int) -> DataFrame:

@@ -322,3 +322,14 @@ def test_a_round_reads_the_folders_of_its_front(spark, monkeypatch):
     assert frontier(links, roots).count() == 41 + 7 * 4
     late = read[4 * 10:-1]
     assert max(late) <= 5  # of hundreds: a front, its bucket of links, of candidates and of known pages
+
+
+def test_frontier_of_many_rounds_reads_few_folders(spark, monkeypatch):
+    from pageprism.operators import frontier as module
+
+    read = []
+    monkeypatch.setattr(module, "_read_rounds", lambda spark, rounds, f=module._read_rounds: read.append(len(rounds)) or f(spark, rounds))
+    chain = spark.range(11).selectExpr("'a' AS domain", "CAST(id AS STRING) AS source", "CAST(id + 1 AS STRING) AS target")
+    found = module.frontier(chain, spark.createDataFrame([("a", "0")], "domain string, page string"))
+    assert sorted((r.depth, r.page) for r in found.collect()) == [(i, str(i)) for i in range(12)]
+    assert max(read) <= module.MERGED
