@@ -333,3 +333,12 @@ def test_frontier_of_many_rounds_reads_few_folders(spark, monkeypatch):
     found = module.frontier(chain, spark.createDataFrame([("a", "0")], "domain string, page string"))
     assert sorted((r.depth, r.page) for r in found.collect()) == [(i, str(i)) for i in range(12)]
     assert max(read) <= module.MERGED
+
+
+def test_only_scripts_that_a_text_has_are_counted(spark):
+    from pageprism.operators.language import detect_language, script_language
+
+    assert "THEN named_struct('n', length(" in script_language("x") and "array(named_struct('n'" not in script_language("x")
+    texts = ["αβγ abc αβγδ", "это слово", "їжак", "ハロー世界", "世界世界", "سلام پ", "क का कि", "ᎠᎡᎢ", "123 ½ £", "éa abc Ω", "", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string").select("id", detect_language("text").alias("lang")).collect()
+    assert [r.lang for r in sorted(rows)] == ["el", "ru", "uk", "ja", "zh", "fa", "hi", None, "en", "en", "en", None]
