@@ -5,10 +5,14 @@ import random
 from html.parser import HTMLParser
 
 import pytest
+from pyspark.sql import functions as F
 
 from pageprism.functions import tree as t
 from pageprism.operators import selectors
 from pageprism.operators.elements import microdata_items, page_elements
+from pageprism.operators.rules import load_rules
+from pageprism.operators.technology import with_tree
+from pageprism.sources.rule_files import texts
 
 
 def rows(spark, page):
@@ -148,3 +152,20 @@ def test_microdata(spark):
 def test_no_python_in_the_plan(spark):
     plan = page_elements(spark.createDataFrame([(1, "<p>")], "page_id long, html string"))._jdf.queryExecution().executedPlan().toString()
     assert not any(node in plan for node in ("EvalPython", "InArrow", "InPandas"))
+
+
+def test_trees_only_where_all_steps_of_a_selector_occur(spark):
+    rules = load_rules(texts(spark, {"a.json": '{"A": {"dom": "nav > a[href^=\'/\']"}, "B": {"dom": {"footer": {"text": "x"}}}}'}))
+    pages = spark.createDataFrame([(1, "<p><a href='/x'>y</a></p>"), (2, "<NAV><A href='/x'>y</A></NAV>"), (3, "<nav><a>y</a></nav>"), (4, "<footer>x</footer>"), (5, None)],
+                                  "page_id long, html string")
+    made = with_tree(pages, rules).select("page_id", F.col("tree").isNotNull().alias("t"))
+    assert {r.page_id for r in made.collect() if r.t} == {2, 4}
+
+
+def test_blocks_of_any_width_give_one_tree(spark):
+    texts_ = ["<ul>" + "<li>a<b>c</b>" * n + "</ul>" for n in (0, 1, 7, 8, 40, 300)]
+    pages = spark.createDataFrame(list(enumerate(texts_)), "page_id long, html string")
+    rows = page_elements(pages).collect()
+    for k, n in enumerate((0, 1, 7, 8, 40, 300)):
+        own = sorted((r.pos, r.parent, r.last, r.tag, r.text) for r in rows if r.page_id == k)
+        assert own == [(0, -1, 2 * n, "ul", "")] + [e for i in range(n) for e in ((2 * i + 1, 0, 2 * i + 2, "li", "a"), (2 * i + 2, 2 * i + 1, 2 * i + 2, "b", "c"))]
