@@ -18,8 +18,14 @@ from pageprism.operators.technology import required_literal
 from pageprism.session import stored
 
 GRAM = 4
-#: Bits of the map of indexed pieces, 16 KB as a literal of the plan.
-MAP_BITS = 1 << 17
+WORD = "[a-z0-9]+"
+INNER_WORD = "(?<=[^a-z0-9])[a-z0-9]+(?=[^a-z0-9])"
+#: Rules that may share a word of the index; those of more frequent words are indexed by their pieces.
+MOST_SHARED = 64
+#: Behind the name of a field: its words instead of its pieces.
+WORDS = "#"
+#: Bits of the map of indexed pieces and words, 128 KB as a literal of the plan.
+MAP_BITS = 1 << 20
 MOST_GROUPS = 9
 HIT = "struct<technology:string,version:string,confidence:int,field:string>"
 FIELDS = ("url", "html")
@@ -76,12 +82,24 @@ def grams(text: str) -> str:
     return f"array_distinct(concat({', '.join(parts)}))"
 
 
+def words(text: str, pattern: str = WORD) -> str:
+    return f"array_distinct(regexp_extract_all({text}, {q(pattern)}, 0))"
+
+
+def _rarest(rules: DataFrame, pieces: str) -> DataFrame:
+    """(rule, field, b): for each rule the piece that fewest rules have, with their number."""
+    found = rules.select("rule", "field", F.explode(column(pieces)).alias("gram"))
+    shared = found.groupBy("field", "gram").agg(F.count(F.lit(1)).alias("n"))
+    return found.join(shared, ["field", "gram"]).groupBy("rule", "field").agg(F.min(F.struct("n", "gram")).alias("b"))
+
+
 def rarest_grams(rules: DataFrame) -> DataFrame:
-    """(field, gram, rule): for each rule the piece of its text that fewest rules have."""
-    pieces = rules.where(F.length("literal") >= GRAM).select("rule", "field", F.explode(column(grams("literal"))).alias("gram"))
-    shared = pieces.groupBy("field", "gram").agg(F.count(F.lit(1)).alias("n"))
-    best = pieces.join(shared, ["field", "gram"]).groupBy("rule", "field").agg(F.min(F.struct("n", "gram")).alias("b"))
-    return best.select("field", F.col("b.gram").alias("gram"), "rule")
+    """(field, gram, rule): for each rule the inner word of its text that fewest rules have (``field`` with ``WORDS``), if they are few, else the
+    piece that fewest have."""
+    long = rules.where(F.length("literal") >= GRAM)
+    by_word = _rarest(long, words("literal", INNER_WORD)).where(F.col("b.n") <= MOST_SHARED)
+    by_piece = _rarest(long.join(by_word.select("rule"), "rule", "left_anti"), grams("literal"))
+    return by_word.withColumn("field", F.concat("field", F.lit(WORDS))).unionByName(by_piece).select("field", F.col("b.gram").alias("gram"), "rule")
 
 
 def _bit(gram: str) -> str:
@@ -105,9 +123,15 @@ def _in_map(gram: str, field: str, table: bytes) -> str:
 
 def candidates(pages: DataFrame, key: str, rules: DataFrame, index: DataFrame, table: bytes) -> DataFrame:
     """(key, rules): for each page the rules whose piece it holds."""
-    pieces = [each(only(grams(f"coalesce(lower({field}), '')"), lambda g, f=field: _in_map(g, f, table)), lambda g, f=field: f"named_struct('field', {q(f)}, 'gram', {g})")
-              for field in FIELDS]
-    held = pages.select(key, F.explode(column(f"concat({', '.join(pieces)})")).alias("p")).select(key, "p.field", "p.gram")
+    def pieces(kind: str) -> str:
+        text = f"coalesce(lower({kind.removesuffix(WORDS)}), '')"
+        return each(only(words(text) if kind.endswith(WORDS) else grams(text), lambda g: _in_map(g, kind, table)),
+                    lambda g: f"named_struct('field', {q(kind)}, 'gram', {g})")
+
+    # Kinds that no rule is indexed by need no pass over the pages.
+    kinds = sorted(r.field for r in index.select("field").distinct().collect())
+    listed = [pieces(kind) for kind in kinds] or ["CAST(array() AS ARRAY<STRUCT<field: STRING, gram: STRING>>)"]
+    held = pages.select(key, F.explode(column(f"concat({', '.join(listed)})")).alias("p")).select(key, "p.field", "p.gram")
     fields = ["rule", "tech", "field", "pattern", "version_tpl", "confidence", "literal", "groups"]
     found = held.join(index, ["field", "gram"]).select(key, "rule").join(rules.select(*fields), "rule")
     return found.groupBy(key).agg(F.collect_list(F.struct(*fields)).alias("rules"))

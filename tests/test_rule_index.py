@@ -45,3 +45,14 @@ def test_empty_rules_and_pages(spark):
     rules = x.rules_of_files(texts(spark, {"a.json": RULES}))
     assert x.matches(pages.limit(0), rules).count() == 0
     assert x.matches(pages, rules.limit(0)).count() == 0
+
+
+def test_inner_words_are_the_index(spark):
+    rules = x.rules_of_files(texts(spark, {"a.json": '{"A": {"html": "/p/12/next"}, "B": {"html": "/p/13/nexty"}, "C": {"html": "jquery"}, "D": {"html": "-12-12"}}'}))
+    index = {(r.tech, r.field, r.gram) for r in x.rarest_grams(rules).join(rules.select("rule", "tech"), "rule").collect()}
+    assert ("B", "html#", "13") in index
+    assert {f for t, f, _ in index if t in "ABD"} == {"html#"} and {f for t, f, _ in index if t == "C"} == {"html"}
+    pages = spark.createDataFrame([(1, "", "x/P/12/NEXT"), (2, "", "/p/112/next /p/13/nextyz"), (3, "", "xjqueryx"), (4, "", "a-12-12b"), (5, "", "/p/12/nex 13")],
+                                  "page_id long, url string, html string")
+    found = sorted((r.page_id, r.technology) for r in x.matches(pages, rules).collect())
+    assert found == [(1, "A"), (2, "B"), (3, "C"), (4, "D")]
