@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import copy
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,10 +30,13 @@ CONTEXT = 24
 SYMBOLS = 98
 FILTERS = 24
 WIDTH = 5
-SAMPLE_PER_LABEL = 2000
+#: Findings of a shard: one shard is trained at once; more are trained apart in rounds, each from the mean of all.
+SHARD = 4000
+ROUNDS = 4
+ROUND_EPOCHS = 3
 RECALL = 0.99
 HELD_OUT = 4
-TRAIN_CHARS = 512  # of a candidate in the training sample; scoring takes whole candidates
+TRAIN_CHARS = 512  # of a candidate in training; scoring takes whole candidates
 
 _SPAN = "array<struct<kind:string,start:long,end:long>>"
 _ARROW_SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -151,7 +156,16 @@ def fit(items: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
     if min(labels[~held].sum(), (1 - labels[~held]).sum(), labels[held].sum(), (1 - labels[held]).sum()) == 0:
         return net
     weight = np.where(labels == 1, 0.5 / labels[~held].mean(), 0.5 / (1 - labels[~held].mean()))
-    rng, own = np.random.default_rng(seed), np.nonzero(~held)[0]
+    _descend(net, items, labels, weight, np.nonzero(~held)[0], epochs, seed, rate)
+    kept = np.nonzero(held)[0]
+    scores = net.logits(np.stack([net.pooled(*items[i]) for i in kept]))
+    _calibrate(net, scores, labels[kept], totals)
+    return net
+
+
+def _descend(net: Network, items, labels, weight, own, epochs: int, seed: int, rate: float = 4e-3) -> None:
+    """Epochs of Adam over the findings ``own``."""
+    rng = np.random.default_rng(seed)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()]
     step = 0
     for _ in range(epochs):
@@ -161,10 +175,6 @@ def fit(items: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 p -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
-    kept = np.nonzero(held)[0]
-    scores = net.logits(np.stack([net.pooled(*items[i]) for i in kept]))
-    _calibrate(net, scores, labels[kept], totals)
-    return net
 
 
 def _gradients(net: Network, items, labels, weight) -> list[np.ndarray]:
@@ -238,20 +248,107 @@ def findings(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select(F.col("text").cast("string")), run, "label int, symbols binary, inside binary")
 
 
-def train(docs: DataFrame, sample_per_label: int = SAMPLE_PER_LABEL, seed: int = 7) -> Network:
-    """Network trained on a sample of the findings of all texts: for either label the ``sample_per_label`` with the least hashes, each
-    different finding once."""
+def _unpacked(symbols, inside) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [(np.frombuffer(s, np.uint8).astype(np.int64), np.frombuffer(i, np.uint8).astype(bool)) for s, i in zip(symbols, inside)]
+
+
+def train(docs: DataFrame, shard: int = SHARD, seed: int = 7) -> Network:
+    """Network trained on all findings of all texts, each different finding once. Up to ``shard`` findings are trained at once; more are dealt by
+    hash over shards of about this size, trained on the cluster."""
     found = findings(docs).withColumn("order", F.xxhash64("symbols", "inside"))
     split = found.groupBy("order").agg(F.first("label").alias("label"), F.first("symbols").alias("symbols"), F.first("inside").alias("inside"),
                                        F.count(F.lit(1)).alias("n"))
     from pageprism.session import stored
 
     split = stored(split, "findings")
-    n = {r.label: r.n for r in split.groupBy("label").agg(F.sum("n").alias("n")).collect()}
-    rows = [r for label in (0, 1) for r in split.where(F.col("label") == label).orderBy("order").limit(sample_per_label).collect()]
-    rows.sort(key=lambda r: r.order)
-    items = [(np.frombuffer(r.symbols, np.uint8).astype(np.int64), np.frombuffer(r.inside, np.uint8).astype(bool)) for r in rows]
-    return fit(items, np.array([r.label for r in rows]), seed=seed, totals=(n.get(0, 0), n.get(1, 0)))
+    sums = split.groupBy("label").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("different")).collect()
+    n, different = {r.label: r.n for r in sums}, sum(r.different for r in sums)
+    totals = (n.get(0, 0), n.get(1, 0))
+    if different > shard:
+        return _train_shards(split, -(-different // shard), totals, seed)
+    rows = split.orderBy("order").collect()
+    return fit(_unpacked([r.symbols for r in rows], [r.inside for r in rows]), np.array([r.label for r in rows]), seed=seed, totals=totals)
+
+
+def _round(start, share: float, seed: int):
+    """Epochs of one shard, from a broadcast network: its parameters times the number of findings learned."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, net = rows.sort_values("order"), copy.deepcopy(start.value)
+        labels = rows["label"].to_numpy(float)
+        weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
+        _descend(net, _unpacked(rows["symbols"], rows["inside"]), labels, weight, np.arange(len(rows)), ROUND_EPOCHS, seed)
+        flat = np.concatenate([p.ravel() for p in net.parameters()])
+        return pd.DataFrame({"i": np.arange(len(flat)), "value": np.round(flat * (1 << 24)).astype(np.int64) * len(rows), "learned": len(rows)})
+
+    return run
+
+
+def _train_shards(split: DataFrame, shards: int, totals: tuple[int, int], seed: int) -> Network:
+    """``fit`` on the cluster: in each round every shard trains from the mean of the last one. Parameters are added as whole multiples of 2^-24, so the
+    result doesn't depend on the order. Calibration and threshold are those of all held-out findings."""
+    from pageprism.session import stored
+
+    # The hash deals the findings; whether one is held out comes from another part of it.
+    dealt = split.withColumn("shard", F.pmod("order", F.lit(shards)).cast("int")).withColumn("held", F.pmod(F.xxhash64("order"), F.lit(HELD_OUT)) == 0)
+    dealt = stored(dealt.select("shard", "order", "held", "label", "symbols", "inside"), "finding-shards")
+    counts = {(r.held, r.label): r.n for r in dealt.groupBy("held", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    net = Network.fresh(seed)
+    if len(counts) < 4:  # one label only, in training or apart
+        return net
+    share = counts[False, 1] / (counts[False, 0] + counts[False, 1])
+    shapes = [p.shape for p in net.parameters()]
+    own = dealt.where("NOT held").drop("held")
+    context = split.sparkSession.sparkContext
+    for number in range(ROUNDS):
+        trained = own.groupBy("shard").applyInPandas(_round(context.broadcast(net), share, seed + number), "i long, value long, learned long")
+        mean = trained.groupBy("i").agg((F.sum("value") / F.sum("learned") / (1 << 24)).alias("value")).orderBy("i").collect()
+        flat, at = np.array([r.value for r in mean]), 0
+        for p, shape in zip(net.parameters(), shapes):
+            p[...] = flat[at:at + p.size].reshape(shape)
+            at += p.size
+    model = context.broadcast(net)
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [model.value.pooled(*x) for x in _unpacked(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            logits = model.value.logits(np.stack(found)) if found else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(logits, pa.float64())], names=["label", "score"])
+
+    held = stored(map_batches(dealt.where("held").select("label", "symbols", "inside"), scores, "label int, score double"), "held-scores")
+    _calibrate_table(net, held, totals)
+    return net
+
+
+def _calibrate_table(net: Network, held: DataFrame, totals: tuple[int, int]) -> None:
+    """``_calibrate`` over a table of ``label, score``: sums of all rows for each Newton step, and the exact row at the threshold."""
+    one = F.col("label") == 1
+    s = held.agg(F.count_if(one).alias("pos"), F.count_if(~one).alias("neg"), F.avg("score").alias("mean"), F.stddev_pop("score").alias("spread")).first()
+    spread, w = s.spread or 1.0, np.zeros(2)
+    z = (F.col("score") - s.mean) / spread
+    for _ in range(50):
+        p = 1 / (1 + F.exp(-F.greatest(F.least(z * float(w[0]) + float(w[1]), F.lit(60.0)), F.lit(-60.0))))
+        off = p - F.when(one, (s.pos + 1) / (s.pos + 2)).otherwise(1 / (s.neg + 2))
+        h = p * (1 - p)
+        r = held.agg(F.sum(h * z * z), F.sum(h * z), F.sum(h), F.sum(z * off), F.sum(off)).first()
+        step = np.linalg.solve(np.array([[r[0], r[1]], [r[1], r[2]]]) + 1e-3 * np.eye(2), np.array([r[3], r[4]]) + 1e-3 * w)
+        w -= step
+        if abs(step).max() < 1e-9:
+            break
+    # Sums of tables differ in their last digits by the order of their rows.
+    net.slope, net.shift = float(np.round(w[0] / spread, 6)), float(np.round(w[1] - w[0] * s.mean / spread, 6))
+    logit = net.slope * F.col("score") + net.shift
+    place = int(np.floor((1 - RECALL) * s.pos))
+    positive = held.where(one).select(logit.alias("logit"), F.floor(logit * 64).alias("bin"))
+    before = 0
+    for r in positive.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).orderBy("bin").collect():
+        if before + r.n > place:
+            at = positive.where(F.col("bin") == r.bin).orderBy("logit").offset(place - before).limit(1).first().logit
+            break
+        before += r.n
+    net.threshold = float(1 / (1 + np.exp(-at)))
+    kept = held.agg(F.count_if(one & (logit >= at)).alias("true"), F.count_if(~one & (logit >= at)).alias("false")).first()
+    true, false = totals[1] * kept.true / s.pos, totals[0] * kept.false / s.neg
+    net.precision = float(true / (true + false))
 
 
 def scan_text(text: str, net: Network) -> list[tuple[int, int, str]]:

@@ -113,3 +113,26 @@ def test_recall_alone_sets_the_threshold():
     assert 0.99 <= (p[labels == 1] >= net.threshold).mean() <= 0.992
     false = (p[labels == 0] >= net.threshold).mean()
     assert np.isclose(net.precision, 0.01 * 0.99 / (0.01 * 0.99 + 0.99 * false), rtol=0.01)
+
+
+def test_all_findings_are_learned_in_shards(spark):
+    rng = np.random.default_rng(6)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    run = lambda n: "".join(rng.choice(letters, n))
+    texts = [f"use password={run(28)}4x now" for _ in range(300)] + [f"see www.shop-{run(9).lower()}.com/item-12 now" for _ in range(700)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    net, again = secret_scan.train(docs, shard=200), secret_scan.train(docs.repartition(3), shard=200)
+    assert all(np.array_equal(a, b) for a, b in zip(net.parameters(), again.parameters())) and net.threshold == again.threshold
+    found = net.probabilities(items(texts)) >= net.threshold
+    labels = np.array([int(t.startswith("use")) for t in texts])
+    assert found[labels == 1].mean() >= 0.97 and found[labels == 0].mean() <= 0.03
+
+
+def test_table_and_array_calibrate_alike(spark):
+    rng = np.random.default_rng(8)
+    labels = np.arange(600) % 2
+    scores = labels + rng.normal(0, 1, 600)
+    a, b = secret_scan.Network.fresh(), secret_scan.Network.fresh()
+    secret_scan._calibrate(a, scores, labels.astype(float), (900, 100))
+    secret_scan._calibrate_table(b, spark.createDataFrame([(int(x), float(y)) for x, y in zip(labels, scores)], "label int, score double"), (900, 100))
+    assert np.allclose([a.slope, a.shift, a.threshold, a.precision], [b.slope, b.shift, b.threshold, b.precision], atol=1e-4)

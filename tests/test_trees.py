@@ -155,7 +155,7 @@ def test_no_python_in_the_plan(spark):
 
 
 def test_trees_only_where_all_steps_of_a_selector_occur(spark):
-    rules = load_rules(texts(spark, {"a.json": '{"A": {"dom": "nav > a[href^=\'/\']"}, "B": {"dom": {"footer": {"text": "x"}}}}'}))
+    rules = load_rules(texts(spark, {"a.json": '{"A": {"dom": "nav > a[href^=\'/x\']"}, "B": {"dom": {"footer": {"text": "x"}}}}'}))
     pages = spark.createDataFrame([(1, "<p><a href='/x'>y</a></p>"), (2, "<NAV><A href='/x'>y</A></NAV>"), (3, "<nav><a>y</a></nav>"), (4, "<footer>x</footer>"), (5, None)],
                                   "page_id long, html string")
     made = with_tree(pages, rules).select("page_id", F.col("tree").isNotNull().alias("t"))
