@@ -297,7 +297,8 @@ def _train_shards(split: DataFrame, shards: int, totals: tuple[int, int], seed:
         return net
     share = counts[False, 1] / (counts[False, 0] + counts[False, 1])
     shapes = [p.shape for p in net.parameters()]
-    own = dealt.where("NOT held").drop("held")
+    # A given number of partitions: small shards would else be put together into few tasks.
+    own = dealt.where("NOT held").drop("held").repartition(shards, "shard")
     context = split.sparkSession.sparkContext
     for number in range(ROUNDS):
         trained = own.groupBy("shard").applyInPandas(_round(context.broadcast(net), share, seed + number), "i long, value long, learned long")
