@@ -35,6 +35,25 @@ def test_chunks_give_the_ids_of_the_whole_text(name):
             plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_words_before_marks_are_learned_once():
+    from tokenizers import Tokenizer
+
+    texts = ["word. word, word!! word### (word) word's word", "né. né; né", "don't-stop... it.'s 's. a<|endoftext|>b. <|endoftext|>.", "x.y 3.5, 7.", "a=\u0338 b", "a", ".", "", "é"]
+    coder, plain = tokens.TextEncoder(tokens.tokenizer_text(tokens.default_tokenizer())), Tokenizer.from_file(tokens.default_tokenizer())
+    ids, counts = coder.encode([t.encode() for t in texts])
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert not {b"word.", b"word,", b"word!!", b"word###", "né.".encode()} & set(coder.index)
+
+
+def test_chunks_that_come_again_stay():
+    coder = tokens.TextEncoder(tokens.tokenizer_text(tokens.default_tokenizer()), most_chunks=8)
+    first, _ = coder.encode([b"often seldom"])
+    coder.encode([b"often a b c d e f g h"])
+    coder.encode([b"x"])
+    assert b"often" in coder.index and b"seldom" not in coder.index
+    assert coder.encode([b"often seldom"])[0].tolist() == first.tolist()
+
+
 def test_long_texts_are_sliced_at_blanks():
     text = ("ab cd\n" * 400_000).encode()
     assert b"".join(tokens.slices(text)) == text and len(list(tokens.slices(text))) > 2
