@@ -10,6 +10,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,25 +110,36 @@ def encode(docs: DataFrame, frequent: list[bytes], known: dict[bytes, float] | N
     spark, known, totals = docs.sparkSession, known or {}, totals or {}
     sent = spark.sparkContext.broadcast(known)
     element = pa.struct([("name", pa.int64()), ("n", pa.int64()), ("unseen", pa.float64())])
+    unseen = np.array([-np.log(totals.get(c, 0) + 1) for c in range(CLASSES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, known = Classes(frequent), sent.value
         for batch in batches:
-            tokens, logs, rest = [], [], []
-            for text in column_bytes(batch.column(1)):
-                words = text.lower().split()
-                tokens.append(bytes(map(classes.__getitem__, words)))
-                log, own = 0.0, []
-                for word, n in Counter(words).items():
-                    if (value := known.get(word)) is not None:
-                        log += n * value
-                    elif (token := classes[word]) > FREQUENT:
-                        name = _name(word)
-                        own.append({"name": name - (1 << 64) if name >> 63 else name, "n": n, "unseen": -np.log(totals.get(token, 0) + 1)})
-                logs.append(log)
-                rest.append(own)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.binary()), pa.array(logs, pa.float64()), pa.array(rest, pa.list_(element))],
-                                             names=["doc_id", "tokens", "known_log", "rest"])
+            texts = column_bytes(batch.column(1))
+            for a, b in groups_by_bytes(texts):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *encoded(texts[a:b], classes, known)], names=["doc_id", "tokens", "known_log", "rest"])
+
+    def encoded(texts: list[bytes], classes: Classes, known: dict[bytes, float]) -> list[pa.Array]:
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.binary()).view(pa.string())))
+        found = split.values.dictionary_encode()
+        words = found.dictionary.view(pa.binary()).to_pylist()
+        token = np.fromiter(map(classes.__getitem__, words), np.uint8, len(words))
+        value = np.fromiter((known.get(w, np.nan) for w in words), np.float64, len(words))
+        at, owner = found.indices.to_numpy(), np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
+        if b"" in words:  # blanks at the ends of a text
+            held = at != words.index(b"")
+            at, owner = at[held], owner[held]
+        ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))]).astype(np.int32)
+        tokens = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends), pa.py_buffer(token[at])])
+        logs = np.bincount(owner, np.nan_to_num(value)[at], len(texts))
+        other = np.isnan(value) & (token > FREQUENT)
+        pairs, n = np.unique(owner[other[at]] * np.int64(len(words)) + at[other[at]], return_counts=True)
+        owners, own = np.divmod(pairs, max(1, len(words)))
+        names = np.zeros(len(words), np.uint64)
+        names[other] = [_name(words[i]) for i in np.flatnonzero(other)]
+        rows = pa.StructArray.from_arrays([pa.array(names[own].view(np.int64)), pa.array(n.astype(np.int64)), pa.array(unseen[token[own]])], fields=list(element))
+        starts = np.searchsorted(owners, np.arange(len(texts) + 1)).astype(np.int32)
+        return [tokens, pa.array(logs.astype(np.float64)), pa.ListArray.from_arrays(pa.array(starts), rows)]
 
     return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
                        "doc_id long, tokens binary, known_log double, rest array<struct<name:long,n:long,unseen:double>>")
@@ -164,7 +176,7 @@ class Network:
     def of(flat: np.ndarray) -> Network:
         made, at = [], 0
         for p in Network.fresh().parameters():
-            made.append(flat[at:at + p.size].reshape(p.shape).astype(np.float32))
+            made.append(flat[at:at + p.size].reshape(p.shape).astype(np.float32, copy=False))
             at += p.size
         return Network(*made)
 
@@ -185,39 +197,54 @@ class Network:
         logits = hidden @ self.group
         logits += self.group_bias
         out = _log_softmax(logits, wanted // GROUP)
-        for g, (a, b) in enumerate(zip(first[:-1], first[1:])):
-            if b > a:
-                out[a:b] += _log_softmax(hidden[a:b] @ self.member[g] + self.member_bias[g], wanted[a:b] % GROUP)
+        out += _log_softmax(self._members(hidden, first), wanted % GROUP)
         found = np.empty_like(out)
         found[order] = out
         return found
 
-    def step(self, contexts: np.ndarray, tokens: np.ndarray, state: list, t: int) -> None:
-        """One Adam step on the mean negative log-probability of a batch."""
+    def _members(self, hidden: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Logits of the tokens of each row's group; rows lie by group."""
+        logits = np.empty((len(hidden), GROUP), hidden.dtype)
+        for g, (a, b) in enumerate(zip(first[:-1], first[1:])):
+            if b > a:
+                np.matmul(hidden[a:b], self.member[g], out=logits[a:b])
+                logits[a:b] += self.member_bias[g]
+        return logits
+
+    def gradients(self, contexts: np.ndarray, tokens: np.ndarray) -> list[np.ndarray]:
+        """Of the mean negative log-probability of a batch."""
         n = len(tokens)
         order, first = _by_group(tokens)
         contexts, tokens = contexts[:, order], tokens[order]
         hidden = self.hidden(contexts, self.position_tables())
         p = _softmax_error(hidden @ self.group + self.group_bias, tokens // GROUP, n)
+        own = _softmax_error(self._members(hidden, first), tokens % GROUP, n)
         d_hidden = p @ self.group.T
         d_member, d_member_bias = np.zeros_like(self.member), np.zeros_like(self.member_bias)
         for g, (a, b) in enumerate(zip(first[:-1], first[1:])):
             if b > a:
-                own = _softmax_error(hidden[a:b] @ self.member[g] + self.member_bias[g], tokens[a:b] % GROUP, n)
-                d_member[g], d_member_bias[g] = hidden[a:b].T @ own, own.sum(0)
-                d_hidden[a:b] += own @ self.member[g].T
+                d_member[g], d_member_bias[g] = hidden[a:b].T @ own[a:b], own[a:b].sum(0)
+                d_hidden[a:b] += own[a:b] @ self.member[g].T
         d_hidden *= hidden > 0
         d_tables = np.zeros((2 * SIDE, CLASSES, HIDDEN), np.float32)  # of the position tables: rows of like tokens are summed first
-        for c, d_table in zip(contexts, d_tables):
-            alike = np.argsort(c, kind="stable")
-            own, start = np.unique(c[alike], return_index=True)
-            d_table[own] = np.add.reduceat(d_hidden[alike], start)
+        at = (contexts + CLASSES * np.arange(2 * SIDE, dtype=np.uint16)[:, None]).reshape(-1)
+        alike = np.argsort(at, kind="stable")
+        at = at[alike]
+        start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        d_tables.reshape(-1, HIDDEN)[at[start]] = np.add.reduceat(d_hidden[alike % n], start)
         d_embed = sum(d @ w.T for d, w in zip(d_tables, self.inner))
-        grads = [d_embed, np.stack([self.embed.T @ d for d in d_tables]), d_hidden.sum(0), hidden.T @ p, p.sum(0), d_member, d_member_bias]
-        for value, g, (m, v) in zip(self.parameters(), grads, state):
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            value -= RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
+        return [d_embed, np.stack([self.embed.T @ d for d in d_tables]), d_hidden.sum(0), hidden.T @ p, p.sum(0), d_member, d_member_bias]
+
+    def step(self, contexts: np.ndarray, tokens: np.ndarray, state: list, t: int) -> None:
+        """One Adam step on the mean negative log-probability of a batch."""
+        for value, g, (m, v) in zip(self.parameters(), self.gradients(contexts, tokens), state):
+            _adam(value, g, m, v, t)
+
+
+def _adam(value: np.ndarray, g: np.ndarray, m: np.ndarray, v: np.ndarray, t: int) -> None:
+    m += 0.1 * (g - m)
+    v += 0.01 * (g * g - v)
+    value -= RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
 
 
 def _by_group(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -295,17 +322,18 @@ def train(encoded: DataFrame, rounds: int = ROUNDS, every: int = EVERY, seed: in
 
         def run(batches: Iterator[pa.RecordBatch], number=number, start=start) -> Iterator[pa.RecordBatch]:
             for groups in _shards(batches):
-                net, learned, t = Network.of(start.value.copy()), 0, 0
-                state = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()]
+                values, learned, t = start.value.copy(), 0, 0
+                net, m, v = Network.of(values), np.zeros_like(values), np.zeros_like(values)  # the network's parameters lie in values
                 rng = np.random.default_rng(seed + number)
                 for documents in groups:
                     at, _, row = windows(documents)
                     at = rng.permutation(at[number % every::every])
                     for i in range(0, len(at), BATCH):
                         t += 1
-                        net.step(sides(row, at[i:i + BATCH]), row[at[i:i + BATCH]], state, t)
+                        grads = net.gradients(sides(row, at[i:i + BATCH]), row[at[i:i + BATCH]])
+                        _adam(values, np.concatenate([g.reshape(-1) for g in grads]), m, v, t)
                     learned += len(at)
-                values = net.flat().astype(np.float64)
+                values = values.astype(np.float64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values * learned), pa.array(np.full(len(values), float(learned)))],
                                                  names=["i", "value", "learned"])
 

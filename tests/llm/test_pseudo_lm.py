@@ -148,3 +148,29 @@ def test_shards_are_kept_apart():
     rows = [(1, b"a"), (1, b"b"), (2, b"c"), (5, b"d"), (5, b"e")]
     batches = [pa.RecordBatch.from_pydict({"shard": [s for s, _ in part], "tokens": [t for _, t in part]}) for part in (rows[:1], rows[1:4], rows[4:])]
     assert [[d for g in groups for d in g] for groups in pseudo_lm._shards(iter(batches))] == [[b"a", b"b"], [b"c"], [b"d", b"e"]]
+
+
+def test_encoded_texts_equal_those_word_by_word(spark):
+    texts = [(1, "  b a\tA b zz zz yx\n"), (2, None), (3, ""), (4, " \n"), (5, "zz é É c."), (6, "a"), (None, "yx yx q")]
+    frequent, known = [b"a", b"b"], {b"zz": -0.5, b"c.": -2.25}
+    classes, totals = pseudo_lm.Classes(frequent), {t: 7 for t in range(256)}
+    rows = {r.doc_id: r for r in pseudo_lm.encode(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), frequent, known, totals).collect()}
+    for key, text in texts:
+        words = (text or "").encode().lower().split()
+        rest = {pseudo_lm._name(w): words.count(w) for w in words if w not in known and classes[w] > pseudo_lm.FREQUENT}
+        assert bytes(rows[key].tokens) == bytes(classes[w] for w in words)
+        assert rows[key].known_log == sum(known.get(w, 0.0) for w in words)
+        assert {r.name % (1 << 64): r.n for r in rows[key].rest} == rest and all(r.unseen == -np.log(8) for r in rows[key].rest)
+
+
+def test_one_vector_of_parameters_learns_as_its_parts():
+    rng = np.random.default_rng(6)
+    contexts, tokens = rng.integers(0, 256, (4, 300), np.uint8), rng.integers(0, 256, 300, np.uint8)
+    parts = pseudo_lm.Network.fresh(5)
+    state = [(np.zeros_like(p), np.zeros_like(p)) for p in parts.parameters()]
+    values = pseudo_lm.Network.fresh(5).flat()
+    whole, m, v = pseudo_lm.Network.of(values), np.zeros_like(values), np.zeros_like(values)
+    for t in (1, 2, 3):
+        parts.step(contexts, tokens, state, t)
+        pseudo_lm._adam(values, np.concatenate([g.reshape(-1) for g in whole.gradients(contexts, tokens)]), m, v, t)
+    assert np.array_equal(parts.flat(), values) and np.array_equal(whole.flat(), values)
