@@ -15,6 +15,7 @@ from pageprism.llm.tokens import default_tokenizer, encoder, tokenizer_text
 
 SEQUENCE_TOKENS = 4096
 WINDOW_SEQUENCES = 512
+BATCH_PIECES = 1024  # of a result batch, some MB of ids
 LINEAR_COST = 1.0
 QUADRATIC_COST = 1.0 / 1024
 END_ID = 2
@@ -98,8 +99,8 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, end_id: int = END_I
     def emit(window, sequence):
         lengths = np.array([len(ids) for _, ids in window], np.int64)
         placed = assign(lengths, capacity, linear, quadratic)
-        for i in range(0, len(placed), 4096):
-            part = placed[i:i + 4096]
+        for i in range(0, len(placed), BATCH_PIECES):
+            part = placed[i:i + BATCH_PIECES]
             yield pa.RecordBatch.from_arrays([
                 pa.array([window[d][0] for d, *_ in part], pa.int64()),
                 pa.array([p[1] for p in part], pa.int64()), pa.array([p[2] for p in part], pa.int64()),
