@@ -6,7 +6,8 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from functools import lru_cache
+from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -70,11 +71,38 @@ class Classes(dict):
             self[word] = token
         return token
 
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """Tokens of many words, by their endings at once."""
+        row, size = np.frombuffer(b"  " + b" ".join(words), np.uint8), np.fromiter(map(len, words), np.int64, len(words))
+        end = 1 + np.cumsum(size + 1)
+        last = row[end - 1].astype(np.int64)
+        ending = np.where(size > 1, 256 * row[end - 2].astype(np.int64) + last, (1 << 16) + np.where(size > 0, last, 256))
+        own = np.fromiter(map(self.get, words, repeat(0)), np.uint8, len(words))
+        return np.where(own > 0, own, _by_ending()[ending])
 
-def _name(word: bytes) -> int:
+
+@lru_cache(maxsize=1)
+def _by_ending() -> np.ndarray:
+    """Token of a word that isn't frequent by its last two bytes; then by its only byte; then that of the empty word."""
+    every = [bytes(divmod(i, 256)) for i in range(1 << 16)] + [bytes([i]) for i in range(256)] + [b""]
+    return np.fromiter(map(Classes([]).__getitem__, every), np.uint8, len(every))
+
+
+def _names(words: list[bytes]) -> np.ndarray:
     from xxhash import xxh64_intdigest
 
-    return xxh64_intdigest(word)
+    return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
+
+
+def _name(word: bytes) -> int:
+    return int(_names([word]).view(np.uint64)[0])
+
+
+def _listed(words: pa.Array) -> list[bytes]:
+    """Values of a column of words. They hold no blanks, so they are joined by blanks and cut again, which is much faster than one by one."""
+    if not len(words):
+        return []
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), b" ")[0].as_py().split(b" ")
 
 
 def class_totals(counts: DataFrame, frequent: list[bytes]) -> dict[int, int]:
@@ -82,8 +110,7 @@ def class_totals(counts: DataFrame, frequent: list[bytes]) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, held = Classes(frequent), np.zeros(CLASSES, np.int64)
         for batch in batches:
-            at = np.fromiter(map(classes.__getitem__, batch.column(0).to_pylist()), np.int64, batch.num_rows)
-            np.add.at(held, at, batch.column(1).to_numpy())
+            np.add.at(held, classes.of(_listed(batch.column(0))), batch.column(1).to_numpy())
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), pa.array(held)], names=["class", "n"])
 
     summed = map_batches(counts.select("word", "n"), run, "class long, n long").groupBy("class").agg(F.sum("n").alias("n"))
@@ -94,12 +121,13 @@ def word_logs(counts: DataFrame, frequent: list[bytes], totals: dict[int, int])
     """(name, log): ln P(word | class) of every counted word that shares its class: n / (total + 1), which leaves 1 / (total + 1) for
     a word that was never counted. ``name`` is the XXH64 of the word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = Classes(frequent)
+        classes, all_of = Classes(frequent), np.array([totals.get(c, 0) + 1 for c in range(CLASSES)])
         for batch in batches:
-            rows = [(_name(w), np.log(n / (totals.get(c, 0) + 1))) for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                    if (c := classes[w]) > FREQUENT]
-            yield pa.RecordBatch.from_arrays([pa.array(np.array([r[0] for r in rows], np.uint64).view(np.int64)), pa.array([r[1] for r in rows], pa.float64())],
-                                             names=["name", "log"])
+            words = _listed(batch.column(0))
+            at = classes.of(words)
+            shared = at > FREQUENT
+            logs = np.log(batch.column(1).to_numpy()[shared] / all_of[at[shared]])
+            yield pa.RecordBatch.from_arrays([pa.array(_names(words)[shared]), pa.array(logs)], names=["name", "log"])
 
     return map_batches(counts.select("word", "n"), run, "name long, log double")
 
@@ -122,9 +150,9 @@ def encode(docs: DataFrame, frequent: list[bytes], known: dict[bytes, float] | N
     def encoded(texts: list[bytes], classes: Classes, known: dict[bytes, float]) -> list[pa.Array]:
         split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.binary()).view(pa.string())))
         found = split.values.dictionary_encode()
-        words = found.dictionary.view(pa.binary()).to_pylist()
-        token = np.fromiter(map(classes.__getitem__, words), np.uint8, len(words))
-        value = np.fromiter((known.get(w, np.nan) for w in words), np.float64, len(words))
+        words = _listed(found.dictionary.view(pa.binary()))
+        token = classes.of(words)
+        value = np.fromiter(map(known.get, words, repeat(np.nan)), np.float64, len(words))
         at, owner = found.indices.to_numpy(), np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
         if b"" in words:  # blanks at the ends of a text
             held = at != words.index(b"")
@@ -135,9 +163,9 @@ def encode(docs: DataFrame, frequent: list[bytes], known: dict[bytes, float] | N
         other = np.isnan(value) & (token > FREQUENT)
         pairs, n = np.unique(owner[other[at]] * np.int64(len(words)) + at[other[at]], return_counts=True)
         owners, own = np.divmod(pairs, max(1, len(words)))
-        names = np.zeros(len(words), np.uint64)
-        names[other] = [_name(words[i]) for i in np.flatnonzero(other)]
-        rows = pa.StructArray.from_arrays([pa.array(names[own].view(np.int64)), pa.array(n.astype(np.int64)), pa.array(unseen[token[own]])], fields=list(element))
+        names = np.zeros(len(words), np.int64)
+        names[other] = _names([words[i] for i in np.flatnonzero(other).tolist()])
+        rows = pa.StructArray.from_arrays([pa.array(names[own]), pa.array(n.astype(np.int64)), pa.array(unseen[token[own]])], fields=list(element))
         starts = np.searchsorted(owners, np.arange(len(texts) + 1)).astype(np.int32)
         return [tokens, pa.array(logs.astype(np.float64)), pa.ListArray.from_arrays(pa.array(starts), rows)]
 
@@ -184,9 +212,9 @@ class Network:
         return np.stack([self.embed @ w for w in self.inner])
 
     def hidden(self, contexts: np.ndarray, tables: np.ndarray) -> np.ndarray:
-        hidden = tables[0][contexts[0]]
+        hidden = tables[0].take(contexts[0], axis=0)
         for k in range(1, 2 * SIDE):
-            hidden += tables[k][contexts[k]]
+            hidden += tables[k].take(contexts[k], axis=0)
         hidden += self.bias
         return np.maximum(hidden, 0, out=hidden)
 
@@ -221,17 +249,20 @@ class Network:
         own = _softmax_error(self._members(hidden, first), tokens % GROUP, n)
         d_hidden = p @ self.group.T
         d_member, d_member_bias = np.zeros_like(self.member), np.zeros_like(self.member_bias)
+        back = np.empty_like(d_hidden)
         for g, (a, b) in enumerate(zip(first[:-1], first[1:])):
             if b > a:
-                d_member[g], d_member_bias[g] = hidden[a:b].T @ own[a:b], own[a:b].sum(0)
-                d_hidden[a:b] += own[a:b] @ self.member[g].T
+                np.matmul(hidden[a:b].T, own[a:b], out=d_member[g])
+                np.add.reduce(own[a:b], 0, out=d_member_bias[g])
+                np.matmul(own[a:b], self.member[g].T, out=back[a:b])
+        d_hidden += back
         d_hidden *= hidden > 0
         d_tables = np.zeros((2 * SIDE, CLASSES, HIDDEN), np.float32)  # of the position tables: rows of like tokens are summed first
         at = (contexts + CLASSES * np.arange(2 * SIDE, dtype=np.uint16)[:, None]).reshape(-1)
         alike = np.argsort(at, kind="stable")
         at = at[alike]
         start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        d_tables.reshape(-1, HIDDEN)[at[start]] = np.add.reduceat(d_hidden[alike % n], start)
+        d_tables.reshape(-1, HIDDEN)[at[start]] = np.add.reduceat(d_hidden.take(alike % n, axis=0), start)
         d_embed = sum(d @ w.T for d, w in zip(d_tables, self.inner))
         return [d_embed, np.stack([self.embed.T @ d for d in d_tables]), d_hidden.sum(0), hidden.T @ p, p.sum(0), d_member, d_member_bias]
 
@@ -253,21 +284,31 @@ def _by_group(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.argsort(groups, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(groups, minlength=CLASSES // GROUP))])
 
 
+def _exponents(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Largest logit of each row, e to the others less that one, as columns, and the sums of these: numpy folds a few long rows much faster than many
+    short ones."""
+    columns = np.ascontiguousarray(logits.T)
+    top = columns.max(0)
+    columns -= top
+    np.exp(columns, out=columns)
+    held = columns[:GROUP // 2] + columns[GROUP // 2:]  # in the order in which numpy adds a row of 16, so sums are the same to the last bit
+    while len(held) > 1:
+        held = held[::2] + held[1::2]
+    return top, columns, held[0]
+
+
 def _log_softmax(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    chosen, top = logits[np.arange(len(wanted)), wanted], logits.max(1)
-    logits -= top[:, None]
-    np.exp(logits, out=logits)
-    return chosen - top - np.log(logits.sum(1))
+    top, _, total = _exponents(logits)
+    return logits[np.arange(len(wanted)), wanted] - top - np.log(total)
 
 
 def _softmax_error(logits: np.ndarray, wanted: np.ndarray, n: int) -> np.ndarray:
     """Gradient of the mean negative log-probability over ``n`` tokens."""
-    logits -= logits.max(1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(1, keepdims=True)
-    logits[np.arange(len(wanted)), wanted] -= 1
-    logits /= n
-    return logits
+    _, error, total = _exponents(logits)
+    error /= total
+    error[wanted, np.arange(len(wanted))] -= 1
+    error /= n
+    return np.ascontiguousarray(error.T)
 
 
 def windows(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -281,7 +322,7 @@ def windows(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def sides(row: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return np.stack([row[at + d] for d in (*range(-SIDE, 0), *range(1, SIDE + 1))])
+    return np.stack([row.take(at + d) for d in (*range(-SIDE, 0), *range(1, SIDE + 1))])
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[list[bytes]]]:

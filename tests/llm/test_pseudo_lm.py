@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from pageprism.llm import pseudo_lm
 from tests.llm.helpers import odd_docs
@@ -174,3 +175,33 @@ def test_one_vector_of_parameters_learns_as_its_parts():
         parts.step(contexts, tokens, state, t)
         pseudo_lm._adam(values, np.concatenate([g.reshape(-1) for g in whole.gradients(contexts, tokens)]), m, v, t)
     assert np.array_equal(parts.flat(), values) and np.array_equal(whole.flat(), values)
+
+
+def test_softmax_by_columns_is_that_of_rows_to_the_last_bit():
+    rng = np.random.default_rng(7)
+    logits = rng.normal(0, 20, (1000, pseudo_lm.GROUP)).astype(np.float32)
+    wanted, given = rng.integers(0, pseudo_lm.GROUP, 1000), logits.copy()
+    top, columns, total = pseudo_lm._exponents(logits)
+    rows = np.exp(logits - logits.max(1)[:, None])
+    assert np.array_equal(top, logits.max(1)) and np.array_equal(columns, rows.T) and np.array_equal(total, rows.sum(1))
+    error = rows / rows.sum(1, keepdims=True)
+    error[np.arange(1000), wanted] -= 1
+    assert np.array_equal(pseudo_lm._softmax_error(logits, wanted, 1000), error / 1000)
+    assert np.array_equal(pseudo_lm._log_softmax(logits, wanted), logits[np.arange(1000), wanted] - logits.max(1) - np.log(rows.sum(1)))
+    assert np.array_equal(logits, given)
+
+
+def test_columns_of_words_are_listed_whole():
+    words = [b"", b"a", b"\xc3\xa9\x00", b"\xff\x1c\x85", b"", b"b" * 300, b""]
+    column = pa.array([b"before", *words, b"behind"], pa.binary())
+    assert pseudo_lm._listed(column.slice(1, len(words))) == words
+    assert pseudo_lm._listed(column.slice(0, 0)) == [] and pseudo_lm._listed(column.slice(1, 1)) == [b""]
+    assert pseudo_lm._names([b"", b"a"]).view(np.uint64).tolist() == [0xEF46DB3751D8E999, 0xD24EC4F1A98C6E5B]
+
+
+def test_classes_of_many_words_are_those_of_each():
+    rng = random.Random(5)
+    words = [b"", b"a", b"\xff", b"the", *(bytes(rng.randrange(33, 256) for _ in range(rng.randrange(6))) for _ in range(5000)), b"\xc3\xa9", b"of", b""]
+    frequent = [b"the", b"a", b"of", b"\xc3\xa9"]
+    assert pseudo_lm.Classes(frequent).of(words).tolist() == [pseudo_lm.Classes(frequent)[w] for w in words]
+    assert pseudo_lm.Classes(frequent).of([]).tolist() == []
